@@ -55,25 +55,26 @@ def term_share(
 ) -> DataFrame:
     """The built-in scorer: weighted share of the query's words found in the unit.
 
-    ``weights`` is (query_id, term, weight). Candidates are few per query, so the
-    join on the query is small whatever the corpus.
+    ``weights`` is (query_id, term, weight). They are put back into one row per
+    query, which is no larger than the query text they were taken from.
     """
-    texts = with_text(candidates.withColumnRenamed("rk", "candidate_rk").drop("score"), units, keys)
-    found = F.array_contains(F.col("words"), F.col("term"))
+    asked = (
+        weights.where(F.col("weight").isNotNull())
+        .groupBy("query_id")
+        .agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("asked"))
+    )
+
+    def total(terms):
+        return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t["weight"])
+
+    words = tx.words(F.col("text"))
+    hit = F.filter("asked", lambda t: F.array_contains("words", t["term"]))
+    share = F.try_divide(total(hit), total(F.col("asked")))
     scored = (
-        texts.withColumn("words", F.array_distinct(tx.words(F.col("text"))))
-        .join(weights, "query_id")
-        .groupBy("query_id", *keys, "candidate_rk")
-        .agg(
-            F.first("text").alias("text"),
-            F.round(
-                F.try_divide(
-                    F.coalesce(F.sum(F.when(found, F.col("weight"))), F.lit(0.0)),
-                    F.sum("weight"),
-                ),
-                digits,
-            ).alias("score"),
-        )
-        .withColumn("score", F.coalesce("score", F.lit(0.0)))
+        with_text(candidates.withColumnRenamed("rk", "candidate_rk").drop("score"), units, keys)
+        .join(asked, "query_id", "left")
+        .withColumn("words", words)
+        .withColumn("score", F.round(F.coalesce(share, F.lit(0.0)), digits))
+        .drop("words", "asked")
     )
     return ranked(scored, ["query_id"], [F.desc("score"), F.col("candidate_rk")], top_k)
