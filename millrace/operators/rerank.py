@@ -14,8 +14,8 @@ Scorer = Callable[[Column, Column], Column]
 
 
 def with_text(candidates: DataFrame, units: DataFrame, keys: list[str]) -> DataFrame:
-    """Look up the candidates' texts. Only the key and text columns are read."""
-    return candidates.join(units.select(*keys, "text"), keys, "inner")
+    """Look up the candidates' ids and texts; nothing else of the units is read."""
+    return candidates.join(units.select(*keys, "chunk_id", "text"), keys, "inner")
 
 
 def missing_units(candidates: DataFrame, units: DataFrame, keys: list[str]) -> DataFrame:

@@ -45,9 +45,11 @@ def run(
         tables.append(stage.observe(batch), layout.bronze, ORDER_SCHEMA)
 
     with track_stage(spark, layout.events, "silver_layer") as stage:
-        bronze = tables.read_appended(spark, layout.bronze, ORDER_SCHEMA)
-        seeded = tables.seed(spark, layout.silver, bronze)
-        source = incoming if incoming is not None or seeded else batch
+        seeding = tables.current_snapshot(spark, layout.silver) is None
+        if seeding:
+            bronze = tables.read_appended(spark, layout.bronze, ORDER_SCHEMA)
+            tables.seed(spark, layout.silver, stage.observe(bronze))
+        source = batch if incoming is None and not seeding else incoming
         if source is not None:
             source = tables.conform(source, ORDER_SCHEMA)
             merged = upsert.merge(tables.read_snapshot(spark, layout.silver), source, KEY)

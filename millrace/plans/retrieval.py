@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from millrace.operators import bm25, dense, fusion, prompts, rerank
 
@@ -56,7 +55,4 @@ def answer_prompts(
 ) -> DataFrame:
     """One prompt per query, with the best chunks as cited context."""
     best = reranked_topk(index, vectors, queries, top_k)
-    labelled = best.join(index.units.select(*KEYS, "chunk_id"), KEYS)
-    return prompts.prompts(
-        prompts.context_blocks(labelled), queries.withColumn("text", F.col("text")), system
-    )
+    return prompts.prompts(prompts.context_blocks(best), queries, system)
