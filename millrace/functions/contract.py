@@ -32,6 +32,7 @@ NOT_NUMBER_TEXT = "Input should be a valid number, unable to parse string as a n
 NOT_INTEGER = "Input should be a valid integer"
 NOT_INTEGER_TEXT = "Input should be a valid integer, unable to parse string as an integer"
 FRACTION = "Input should be a valid integer, got a number with a fractional part"
+NOT_FINITE = "Input should be a finite number"
 TOO_LONG = "Unable to parse input string as an integer, exceeded maximum size"
 NOT_POSITIVE = "Input should be greater than 0"
 TOO_EXPENSIVE = "Value error, price exceeds reasonable maximum"
@@ -46,7 +47,8 @@ NUMBER_BLANKS = (
 )
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
 INTEGER_TEXT = rf"^[+-]?{_DIGITS}(?:\.0+)?$"
-DECIMAL_TEXT = rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
+DECIMAL_TEXT = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+STRAY_UNDERSCORE = r"^_|__|_$"
 INFINITE_TEXT = r"^[+-]?inf(?:inity)?$"
 NAN_TEXT = r"^[+-]?nan$"
 
@@ -56,14 +58,13 @@ def _text_reason(value: Column) -> Column:
 
 
 def _positive_reason(value: Column) -> Column:
-    """NaN compares as the greatest number in Spark, so it is named apart."""
-    return F.when(~(value > 0) | F.isnan(value.cast("double")), F.lit(NOT_POSITIVE))
+    return F.when(~(value > 0), F.lit(NOT_POSITIVE))
 
 
 def _price_range_reason(value: Column) -> Column:
-    return F.coalesce(
-        _positive_reason(value),
-        F.when(value > MAX_PRICE, F.lit(TOO_EXPENSIVE)),
+    """NaN compares as the greatest number in Spark, so it is named apart."""
+    return F.when(~(value > 0) | F.isnan(value), F.lit(NOT_POSITIVE)).when(
+        value > MAX_PRICE, F.lit(TOO_EXPENSIVE)
     )
 
 
@@ -77,123 +78,134 @@ def typed_reason() -> Column:
     )
 
 
-# The JSON form parses [record, end mark]: the parser stops after one value, so
-# text behind a record would go unseen if the record were parsed alone.
+# JSON form. Each value is looked at several times, so it is worked out in steps,
+# every step a projection of its own: see ``operators.contract.check_json``. Names
+# of helper columns start with an underscore.
+
+# The record is parsed within a list, with an end mark behind it: the parser stops
+# after one value, so text that follows a record would go unseen otherwise.
 _END = "end of record"
 
 
 def parsed(json_text: Column) -> Column:
-    return F.try_parse_json(F.concat(F.lit("["), json_text, F.lit(f',"{_END}"]')))
+    wrapped = F.concat(F.lit("["), json_text, F.lit(f',"{_END}"]'))
+    return F.try_parse_json(wrapped).alias("_wrapped")
 
 
-def record_part(wrapped: Column, name: str) -> Column:
-    """A field as a variant: null if absent, a variant null if sent as null."""
-    return F.try_variant_get(wrapped, f"$[0].{name}", "variant")
+def record_parts() -> list[Column]:
+    """The fields as variants: null if absent, a variant null if sent as null."""
+    wrapped = F.col("_wrapped")
+    return [
+        F.try_variant_get(wrapped, "$[1]", "string").eqNullSafe(_END).alias("_closed"),
+        *[
+            F.try_variant_get(wrapped, f"$[0].{name}", "variant").alias(f"_{name}")
+            for name in ORDER_SCHEMA.fieldNames()
+        ],
+    ]
 
 
-def root_reason(wrapped: Column) -> Column:
-    root_type = F.schema_of_variant(F.try_variant_get(wrapped, "$[0]", "variant"))
-    closed = F.try_variant_get(wrapped, "$[1]", "string").eqNullSafe(_END)
-    return F.when(~closed, F.lit(INVALID_JSON)).when(
-        ~F.coalesce(root_type.startswith("OBJECT"), F.lit(False)), F.lit(NOT_OBJECT)
-    )
+def field_kinds() -> list[Column]:
+    """What each field was sent as: its type, its text, its number."""
+    columns = [
+        F.when(
+            F.schema_of_variant(F.col(f"_{name}")) == "STRING",
+            F.try_variant_get(F.col(f"_{name}"), "$", "string"),
+        ).alias(name)
+        for name in TEXT_FIELDS
+    ]
+    for name in ("price", "quantity"):
+        part = F.col(f"_{name}")
+        kind = F.schema_of_variant(part)
+        text = F.when(kind == "STRING", F.try_variant_get(part, "$", "string"))
+        number = F.when(
+            kind.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | kind.startswith("DECIMAL"),
+            F.try_variant_get(part, "$", "double"),
+        )
+        columns += [
+            F.btrim(text, F.lit(NUMBER_BLANKS)).alias(f"_{name}_text"),
+            number.alias(f"_{name}_number"),
+        ]
+    return columns
 
 
-def _number_text(part: Column) -> Column:
-    return F.btrim(F.try_variant_get(part, "$", "string"), F.lit(NUMBER_BLANKS))
+# Doubles from here on have no fractional part.
+_ALL_WHOLE = float(2**53)
 
 
 def _plain(text: Column) -> Column:
     return F.replace(text, F.lit("_"), F.lit(""))
 
 
-def _kind(part: Column) -> Column:
-    return F.schema_of_variant(part)
-
-
-def _is_number(kind: Column) -> Column:
-    return kind.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | kind.startswith("DECIMAL")
-
-
-def price_value(part: Column) -> Column:
+def price_value() -> Column:
     """The price as a double, null if it is no number."""
-    kind, text = _kind(part), _number_text(part)
-    sign = F.when(text.startswith("-"), F.lit(-1.0)).otherwise(F.lit(1.0))
-    from_text = (
-        F.when(text.rlike(DECIMAL_TEXT), _plain(text).try_cast("double"))
-        .when(F.lower(text).rlike(INFINITE_TEXT), sign * F.lit(float("inf")))
-        .when(F.lower(text).rlike(NAN_TEXT), F.lit(float("nan")))
-    )
-    return F.when(_is_number(kind), F.try_variant_get(part, "$", "double")).when(
-        kind == "STRING", from_text
-    )
+    text = F.col("_price_text")
+    plain = F.when(~text.rlike(STRAY_UNDERSCORE), _plain(text))
+    sign = F.when(plain.startswith("-"), F.lit(-1.0)).otherwise(F.lit(1.0))
+    return F.coalesce(
+        F.col("_price_number"),
+        F.when(plain.rlike(DECIMAL_TEXT), plain.try_cast("double")),
+        F.when(F.lower(plain).rlike(INFINITE_TEXT), sign * F.lit(float("inf"))),
+        F.when(F.lower(plain).rlike(NAN_TEXT), F.lit(float("nan"))),
+    ).alias("price")
 
 
-def quantity_value(part: Column) -> Column:
+def quantity_value() -> Column:
     """The quantity as an int, null if it is none or does not fit."""
-    kind, text = _kind(part), _number_text(part)
-    from_text = F.when(
-        text.rlike(INTEGER_TEXT),
-        F.regexp_replace(_plain(text), r"\.0+$", "").try_cast("int"),
-    )
-    number = F.try_variant_get(part, "$", "double")
-    from_number = F.when(number == F.floor(number), number.try_cast("int"))
-    return F.when(_is_number(kind), from_number).when(kind == "STRING", from_text)
+    text, number = F.col("_quantity_text"), F.col("_quantity_number")
+    digits = F.regexp_replace(_plain(text), r"\.0+$", "")
+    whole = (F.abs(number) < _ALL_WHOLE) & (number == F.floor(number))
+    return F.coalesce(
+        F.when(whole, number.try_cast("int")),
+        F.when(text.rlike(INTEGER_TEXT), digits.try_cast("int")),
+    ).alias("quantity")
 
 
-def text_value(part: Column) -> Column:
-    return F.when(_kind(part) == "STRING", F.try_variant_get(part, "$", "string"))
+def _root_reason() -> Column:
+    root = F.schema_of_variant(F.try_variant_get("_wrapped", "$[0]", "variant"))
+    no_object = ~F.coalesce(root.startswith("OBJECT"), F.lit(False))
+    return F.when(~F.col("_closed"), F.lit(INVALID_JSON)).when(
+        F.col("_order_id").isNull() & no_object, F.lit(NOT_OBJECT)
+    )
 
 
-def _json_text_reason(part: Column) -> Column:
-    return F.when(part.isNull(), F.lit(MISSING)).otherwise(_text_reason(text_value(part)))
+def _sent(name: str, reason: Column) -> Column:
+    return F.when(F.col(f"_{name}").isNull(), F.lit(MISSING)).otherwise(reason)
 
 
-def _json_price_reason(part: Column) -> Column:
-    value = price_value(part)
+def _price_reason() -> Column:
+    price = F.col("price")
     return (
-        F.when(part.isNull(), F.lit(MISSING))
-        .when(value.isNotNull(), _price_range_reason(value))
-        .when(_kind(part) == "STRING", F.lit(NOT_NUMBER_TEXT))
+        F.when(price.isNotNull(), _price_range_reason(price))
+        .when(F.col("_price_text").isNotNull(), F.lit(NOT_NUMBER_TEXT))
         .otherwise(F.lit(NOT_NUMBER))
     )
 
 
-def _json_quantity_reason(part: Column) -> Column:
-    kind, value = _kind(part), quantity_value(part)
-    number = F.try_variant_get(part, "$", "double")
-    # A whole number that Spark's int cannot hold is refused unless it is
-    # refused anyway for being negative.
-    overflow = F.when(number < 0, F.lit(NOT_POSITIVE)).otherwise(F.lit(TOO_LONG))
-    text = _number_text(part)
+def _quantity_reason() -> Column:
+    quantity, number = F.col("quantity"), F.col("_quantity_number")
+    text = F.col("_quantity_text")
+    # A whole number that Spark's int cannot hold is refused, as too long unless
+    # it is negative anyway.
     return (
-        F.when(part.isNull(), F.lit(MISSING))
-        .when(value.isNotNull(), _positive_reason(value))
-        .when(_is_number(kind) & (number != F.floor(number)), F.lit(FRACTION))
-        .when(_is_number(kind), overflow)
+        F.when(quantity.isNotNull(), _positive_reason(quantity))
+        .when(F.abs(number) == float("inf"), F.lit(NOT_FINITE))
+        .when((F.abs(number) < _ALL_WHOLE) & (number != F.floor(number)), F.lit(FRACTION))
         .when(
-            text.rlike(INTEGER_TEXT),
-            F.when(text.startswith("-"), F.lit(NOT_POSITIVE)).otherwise(F.lit(TOO_LONG)),
+            number.isNotNull() | text.rlike(INTEGER_TEXT),
+            F.when((number < 0) | text.startswith("-"), F.lit(NOT_POSITIVE)).otherwise(
+                F.lit(TOO_LONG)
+            ),
         )
-        .when(kind == "STRING", F.lit(NOT_INTEGER_TEXT))
+        .when(text.isNotNull(), F.lit(NOT_INTEGER_TEXT))
         .otherwise(F.lit(NOT_INTEGER))
     )
 
 
-def json_reason(wrapped: Column) -> Column:
-    """Reason for a record given as the variant made by ``parsed``."""
+def json_reason() -> Column:
+    """Reason for a decoded record, null if it passes."""
     return F.coalesce(
-        root_reason(wrapped),
-        *[_json_text_reason(record_part(wrapped, name)) for name in TEXT_FIELDS],
-        _json_price_reason(record_part(wrapped, "price")),
-        _json_quantity_reason(record_part(wrapped, "quantity")),
-    )
-
-
-def json_fields(wrapped: Column) -> list[Column]:
-    """The five typed columns; fields the contract does not know are dropped."""
-    return [
-        *[text_value(record_part(wrapped, name)).alias(name) for name in TEXT_FIELDS],
-        price_value(record_part(wrapped, "price")).alias("price"),
-        quantity_value(record_part(wrapped, "quantity")).alias("quantity"),
-    ]
+        _root_reason(),
+        *[_sent(name, _text_reason(F.col(name))) for name in TEXT_FIELDS],
+        _sent("price", _price_reason()),
+        _sent("quantity", _quantity_reason()),
+    ).alias("reason")

@@ -19,17 +19,18 @@ def check_json(raw: DataFrame, value: str = "value") -> DataFrame:
     """Decode JSON text into the five typed columns plus ``reason``.
 
     Other columns of ``raw`` are kept, the text itself included, so that a
-    rejected record can be stored as it came.
+    rejected record can be stored as it came. The text is parsed once and every
+    field is looked at once: each step is used several times by the next, so
+    Spark keeps the steps apart. The generated row at the end keeps a filter on
+    the reason from being moved below the steps, which would do them twice.
     """
-    wrapped = F.col("_wrapped")
-    return raw.withColumn("_wrapped", rules.parsed(F.col(value).cast("string"))).select(
-        *[F.col(c) for c in raw.columns],
-        *rules.json_fields(wrapped),
-        F.coalesce(
-            rules.json_reason(wrapped),
-            F.when(F.col(value).isNull(), F.lit(rules.INVALID_JSON)),
-        ).alias("reason"),
-    )
+    kept = [F.col(c) for c in raw.columns]
+    parts = raw.select(*kept, rules.parsed(F.col(value).cast("string")))
+    parts = parts.select(*kept, "_wrapped", *rules.record_parts())
+    kinds = parts.select("*", *rules.field_kinds())
+    values = kinds.select("*", rules.price_value(), rules.quantity_value())
+    checked = F.struct(*FIELDS, rules.json_reason())
+    return values.select(*kept, F.inline(F.array(checked)))
 
 
 def accepted(checked: DataFrame) -> DataFrame:

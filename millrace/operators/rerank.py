@@ -67,14 +67,17 @@ def term_share(
     def total(terms):
         return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t["weight"])
 
-    words = tx.words(F.col("text"))
-    hit = F.filter("asked", lambda t: F.array_contains("words", t["term"]))
-    share = F.try_divide(total(hit), total(F.col("asked")))
+    def share(words):
+        hit = F.filter("asked", lambda t: F.array_contains(words, t["term"]))
+        return F.try_divide(total(hit), total(F.col("asked")))
+
+    # As a lambda's argument the words are taken from the text once, and not
+    # again for every word asked for.
+    once = F.transform(F.array(tx.words(F.col("text"))), share)[0]
     scored = (
         with_text(candidates.withColumnRenamed("rk", "candidate_rk").drop("score"), units, keys)
         .join(asked, "query_id", "left")
-        .withColumn("words", words)
-        .withColumn("score", F.round(F.coalesce(share, F.lit(0.0)), digits))
-        .drop("words", "asked")
+        .withColumn("score", F.round(F.coalesce(once, F.lit(0.0)), digits))
+        .drop("asked")
     )
     return ranked(scored, ["query_id"], [F.desc("score"), F.col("candidate_rk")], top_k)

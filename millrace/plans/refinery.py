@@ -37,19 +37,19 @@ def run(
     """Append a batch, bring Silver up to date, check it, and publish Gold.
 
     The first run seeds Silver with all of Bronze and merges ``incoming`` if it
-    is given. Later runs merge ``incoming``, or the batch itself. A failed
+    is given. Later runs merge ``incoming``, or the batch they appended. A failed
     check raises ``GateFailed`` and leaves Gold as it was; every stage leaves
     its events. Returns the check results.
     """
     with track_stage(spark, layout.events, "bronze_layer") as stage:
-        tables.append(stage.observe(batch), layout.bronze, ORDER_SCHEMA)
+        stored = tables.add_batch(stage.observe(batch), layout.bronze, ORDER_SCHEMA)
 
     with track_stage(spark, layout.events, "silver_layer") as stage:
         seeding = tables.current_snapshot(spark, layout.silver) is None
         if seeding:
             bronze = tables.read_appended(spark, layout.bronze, ORDER_SCHEMA)
             tables.seed(spark, layout.silver, stage.observe(bronze))
-        source = batch if incoming is None and not seeding else incoming
+        source = stored if incoming is None and not seeding else incoming
         if source is not None:
             source = tables.conform(source, ORDER_SCHEMA)
             merged = upsert.merge(tables.read_snapshot(spark, layout.silver), source, KEY)

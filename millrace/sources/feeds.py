@@ -40,8 +40,8 @@ def query_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Orders
 
 
-def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order event table: one event per line item."""
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order feed and the number of the order that an event belongs to."""
     lines = files.spread(
         table(spark, sf_dir, "lineitem").select(
             "l_orderkey",
@@ -65,19 +65,24 @@ def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("p_name").alias("product"),
             F.col("l_extendedprice").alias("price"),
             F.col("l_quantity").cast("int").alias("quantity"),
+            F.col("l_orderkey").alias("order_no"),
         )
     )
 
 
+def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order event table: one event per line item."""
+    return _lines(spark, sf_dir).drop("order_no")
+
+
 def _fault(divisor: int) -> Column:
-    order_key = F.split_part("order_id", F.lit("-"), F.lit(1)).cast("bigint")
-    return F.pmod(order_key, F.lit(divisor)) == 0
+    return F.col("order_no") % divisor == 0
 
 
 def faulty_order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole order feed with faults put into the records of some orders."""
     price, quantity = F.col("price"), F.col("quantity")
-    return order_feed(spark, sf_dir).select(
+    return _lines(spark, sf_dir).select(
         "order_id",
         "user_id",
         F.when(_fault(89), F.lit("")).otherwise(F.col("product")).alias("product"),
@@ -128,7 +133,7 @@ def untyped_order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         quantity,
         F.when(_fault(53), F.lit("")).otherwise(F.lit("}")),
     )
-    return order_feed(spark, sf_dir).select("order_id", text.alias("value"))
+    return _lines(spark, sf_dir).select("order_id", text.alias("value"))
 
 
 # Topics

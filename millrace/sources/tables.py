@@ -66,6 +66,18 @@ def put_batch(df: DataFrame, path: str, table: StructType, batch_id: int) -> Non
     conform(df, table).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def add_batch(df: DataFrame, path: str, table: StructType) -> DataFrame:
+    """Add a batch under the next free number and read it back.
+
+    Later steps then use the stored rows and do not work them out again.
+    """
+    spark = df.sparkSession
+    taken = [int(n.split("=")[1]) for n in files.child_dirs(spark, path) if "=" in n]
+    folder = f"{path}/batch_id={max(taken, default=-1) + 1}"
+    conform(df, table).write.mode("errorifexists").parquet(folder)
+    return spark.read.schema(table).parquet(folder)
+
+
 def read_appended(spark: SparkSession, path: str, table: StructType) -> DataFrame:
     """An append-only table, numbered batches or not, in the declared columns."""
     return spark.read.schema(table).parquet(path).select(*table.fieldNames())

@@ -58,8 +58,11 @@ def merge_stream(
     def apply(batch: DataFrame, batch_id: int) -> None:
         target = tables.read_snapshot(spark, table_path)
         # Rows without a key match nothing and would be inserted again on replay.
-        keyed = batch.where(F.col(key).isNotNull())
-        tables.publish(upsert.merge(target, keyed, key, latest_by).result(), table_path)
+        keyed = batch.where(F.col(key).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            tables.publish(upsert.merge(target, keyed, key, latest_by).result(), table_path)
+        finally:
+            keyed.unpersist()
 
     return (
         updates.writeStream.foreachBatch(apply)

@@ -1,0 +1,158 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.functions import contract as rules
+from millrace.operators import contract
+from tests.conftest import ORDER_FIELDS, rows
+from tests.samples import RAW_ORDERS, REASONS
+
+GOOD = {"order_id": "a", "user_id": "u", "product": "p", "price": 1.5, "quantity": 2}
+
+NUMBERS = [
+    "2.5", " 2 ", "1e3", "1_000", "1_000.5", "1__0", "_1", "1_", "+1.5", "-1", ".5", "5.", "inf",
+    "Infinity", "-inf", "+inf", "INF", "nan", "NaN", "-nan", "infin", "1.5d", "0x10", "1,5", "",
+    "  ", "1e400", "1e-400", "٣", "1 2", "\xa03\xa0", "\x1f3\x1f", "​3", "1E5", "1.e3",
+    "--1", "+-1", "3.0", "3.00", "3.5", "+3", "-3", "1_0", "3e0", "03", "0_3", "0", "-0", "0.0",
+    "3.0_0", ".0", "+3.0", " 3.0 ", "03.0", "3_.0", "3_0.0", "-3.0", "abc",
+    "+_3", "3_e5", "3e_5", "3._5", "i_nf", "n_an", "-_3.5", "1_e", "3.5_", "3._", "1_.", "_.5", "+.5", "1e+5",
+    "1e-5", "1e5_0", "+infinity", "-Infinity", "infinit", ".", "e5", "+", "-", ".e5", "\t4\n", "　4　",
+    1, 2.5, 3.0, 3.5, 0, -1, -2.5, 0.0, True, False, None, [1], [], {"a": 1}, 1_000_000, 1_000_000.01,
+    1e6, 1e22, 123456789, 3.0000000001,
+]
+STRINGS = ["", " ", "x", "​", "é", 5, 2.5, None, True, [], {}]
+
+
+@pytest.fixture(scope="module")
+def model():
+    pydantic = pytest.importorskip("pydantic")
+
+    def limit(value):
+        if value > 1_000_000:
+            raise ValueError("price exceeds reasonable maximum")
+        return value
+
+    from typing import Annotated
+
+    text = Annotated[str, pydantic.Field(min_length=1)]
+    return pydantic.create_model(
+        "Order",
+        order_id=(text, ...),
+        user_id=(text, ...),
+        product=(text, ...),
+        price=(
+            Annotated[float, pydantic.Field(gt=0), pydantic.AfterValidator(limit)],
+            ...,
+        ),
+        quantity=(Annotated[int, pydantic.Field(gt=0)], ...),
+    )
+
+
+def records():
+    found = [dict(GOOD), {**GOOD, "other": [1]}, {}]
+    for name in ORDER_FIELDS:
+        found.append({k: v for k, v in GOOD.items() if k != name})
+        values = NUMBERS if name in ("price", "quantity") else STRINGS
+        found += [{**GOOD, name: value} for value in values]
+    found += [
+        {**GOOD, "product": "", "price": -1, "quantity": 0},
+        {**GOOD, "price": "x", "quantity": None},
+        {**GOOD, "user_id": 7, "order_id": ""},
+    ]
+    return found
+
+
+def test_json_form_agrees_with_the_contract_library(spark, model):
+    import pydantic
+
+    cases = records()
+    raw = spark.createDataFrame(
+        [(i, json.dumps(r)) for i, r in enumerate(cases)], "i int, value string"
+    )
+    checked = {r["i"]: r for r in contract.check_json(raw).collect()}
+    assert len(checked) == len(cases)
+    for i, record in enumerate(cases):
+        got = checked[i]
+        try:
+            want = model(**record).model_dump()
+        except pydantic.ValidationError as error:
+            assert got["reason"] == error.errors()[0]["msg"], record
+        else:
+            assert got["reason"] is None, (record, got["reason"])
+            assert {name: got[name] for name in ORDER_FIELDS} == want
+
+
+@pytest.mark.parametrize(
+    "value, reason",
+    [
+        ("", rules.INVALID_JSON),
+        (None, rules.INVALID_JSON),
+        ("{", rules.INVALID_JSON),
+        ('{"order_id": "a"', rules.INVALID_JSON),
+        (json.dumps(GOOD) + " x", rules.INVALID_JSON),
+        (json.dumps(GOOD) + json.dumps(GOOD), rules.INVALID_JSON),
+        (json.dumps(GOOD) + "," + json.dumps(GOOD), rules.INVALID_JSON),
+        ("[]", rules.NOT_OBJECT),
+        ('"x"', rules.NOT_OBJECT),
+        ("null", rules.NOT_OBJECT),
+        ("5", rules.NOT_OBJECT),
+        ("  " + json.dumps(GOOD) + "\n", None),
+        # Whole numbers beyond Spark's int are refused.
+        (json.dumps({**GOOD, "quantity": 2**31 - 1}), None),
+        (json.dumps({**GOOD, "quantity": 2**31}), rules.TOO_LONG),
+        (json.dumps({**GOOD, "quantity": 10**20}), rules.TOO_LONG),
+        (json.dumps({**GOOD, "quantity": str(2**31)}), rules.TOO_LONG),
+        (json.dumps({**GOOD, "quantity": -(10**20)}), rules.NOT_POSITIVE),
+        (json.dumps({**GOOD, "quantity": str(-(10**20))}), rules.NOT_POSITIVE),
+    ],
+)
+def test_roots_and_limits(spark, value, reason):
+    df = spark.createDataFrame([(value,)], "value string")
+    assert contract.check_json(df).first()["reason"] == reason
+
+
+def test_typed_form(spark, orders):
+    inf, nan = float("inf"), float("nan")
+    cases = [
+        (("a", "u", "p", 1.0, 1), None),
+        (("a", " ", "p", 1_000_000.0, 1), None),
+        (("", "", "p", -1.0, 0), rules.EMPTY_TEXT),
+        (("a", None, "p", 1.0, 1), rules.NOT_TEXT),
+        (("a", "u", "p", None, 1), rules.NOT_NUMBER),
+        (("a", "u", "p", nan, 1), rules.NOT_POSITIVE),
+        (("a", "u", "p", 0.0, 1), rules.NOT_POSITIVE),
+        (("a", "u", "p", inf, 1), rules.TOO_EXPENSIVE),
+        (("a", "u", "p", -inf, 1), rules.NOT_POSITIVE),
+        (("a", "u", "p", 1_000_000.01, 0), rules.TOO_EXPENSIVE),
+        (("a", "u", "p", 1.0, None), rules.NOT_INTEGER),
+        (("a", "u", "p", 1.0, 0), rules.NOT_POSITIVE),
+    ]
+    got = contract.check_typed(orders([r for r, _ in cases]).coalesce(1)).collect()
+    assert [r["reason"] for r in got] == [reason for _, reason in cases]
+
+
+def test_sample_orders_split(spark):
+    raw = spark.createDataFrame([(json.dumps(r),) for r in RAW_ORDERS], "value string")
+    checked = contract.check_json(raw)
+    good, bad = contract.accepted(checked), contract.quarantined(checked, raw_value="value")
+    assert rows(good.select("order_id")) == [("ORD001",), ("ORD002",)]
+    found = {r["record"]["order_id"]: r for r in bad.collect()}
+    assert {k: r["rejection_reason"] for k, r in found.items()} == REASONS
+    # The text keeps -10 as it was sent.
+    assert json.loads(found["ORD004"]["raw"]) == RAW_ORDERS[3]
+    assert '"price": -10,' in found["ORD004"]["raw"]
+    assert all(r["quarantined_at"] is not None for r in found.values())
+    counts = {r["accepted"]: r["n"] for r in contract.outcome(checked).groupBy("accepted")
+              .agg(F.sum("n_records").alias("n")).collect()}
+    assert counts == {True: 2, False: 3}
+
+
+def test_text_is_parsed_once(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.createDataFrame([(json.dumps(GOOD),)], "value string").write.parquet(path)
+    checked = contract.check_json(spark.read.parquet(path))
+    for df in (checked, contract.accepted(checked), contract.quarantined(checked)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("parseJson") == 1
+        assert "Exchange" not in plan
