@@ -1,0 +1,68 @@
+from millrace.operators import quality, summary
+from tests.conftest import rows
+from tests.samples import BAD, BRONZE, GOLD, UPDATES
+
+NAMES = [
+    (1, "ExpectColumnValuesToNotBeNull", "order_id"),
+    (2, "ExpectColumnValuesToBeUnique", "order_id"),
+    (3, "ExpectColumnValuesToBeBetween", "price"),
+    (4, "ExpectColumnValuesToBeBetween", "quantity"),
+    (5, "ExpectColumnValuesToNotBeNull", "product"),
+]
+
+
+def outcome(df):
+    results = quality.check_results(df)
+    found = results.orderBy("check_no").collect()
+    assert [(r["check_no"], r["check"], r["column"]) for r in found] == NAMES
+    assert all(r["success"] == (r["unexpected_count"] == 0) for r in found)
+    assert quality.passed(results) == all(r["success"] for r in found)
+    return [r["unexpected_count"] for r in found]
+
+
+def test_clean_rows_pass(orders):
+    assert outcome(orders(BRONZE)) == [0, 0, 0, 0, 0]
+
+
+def test_bad_rows_fail_three_checks(orders):
+    assert outcome(orders(BAD)) == [0, 2, 1, 0, 1]
+
+
+def test_empty_passes(orders):
+    assert outcome(orders([])) == [0, 0, 0, 0, 0]
+
+
+def test_nulls_and_nan_are_ignored_but_by_the_null_checks(spark):
+    df = spark.createDataFrame(
+        [
+            (None, None, None, None, None),
+            (None, "u", "p", float("nan"), 1),
+            ("a", "u", "p", 0.0, 0),
+            ("a", "u", "p", -0.0, -1),
+            ("a", "u", "", float("-inf"), 1),
+        ],
+        "order_id string, user_id string, product string, price double, quantity int",
+    )
+    assert outcome(df) == [2, 3, 3, 2, 1]
+
+
+def test_checks_scan_once(spark, tmp_path, orders):
+    path = str(tmp_path / "t")
+    orders(BRONZE).write.parquet(path)
+    plan = quality.check_results(spark.read.parquet(path))._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("FileScan") == 1
+    assert "user_id" not in plan.toString()
+
+
+def test_product_summary(orders):
+    silver = [UPDATES[0], UPDATES[1], *BRONZE[1:]]
+    report = summary.by_revenue(summary.product_summary(orders(silver)))
+    assert [tuple(r) for r in report.collect()] == GOLD
+    assert [f.dataType.simpleString() for f in report.schema] == [
+        "string", "bigint", "bigint", "double", "double",
+    ]
+
+
+def test_null_product_is_one_group(orders):
+    got = summary.product_summary(orders([("a", "u", None, 1.0, 1), ("b", "u", None, 2.0, None)]))
+    assert rows(got) == [(None, 2, 1, 1.0, 1.5)]
