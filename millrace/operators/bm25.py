@@ -173,7 +173,9 @@ def _score_pass(index: Bm25Index, weights: pa.Table, schema: StructType, k: int,
                     e_q[entry] * n_units + unit[posting],
                     weights=part[posting] * e_w[entry],
                     minlength=size * n_units,
-                ).reshape(size, n_units)
+                )
+                # Without any posting the counts come back as integers.
+                scores = scores.astype(np.float64, copy=False).reshape(size, n_units)
                 if digits is not None:
                     scores = np.round(scores, digits)
                 query, row = best.keep(first, scores)

@@ -1,0 +1,64 @@
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from millrace.operators.topk import RunningBest, query_passes, ranked
+
+
+@settings(max_examples=200, deadline=None, derandomize=True)
+@given(
+    seed=st.integers(0, 2**32 - 1),
+    n_queries=st.integers(1, 6),
+    k=st.integers(1, 5),
+    sizes=st.lists(st.integers(1, 12), min_size=1, max_size=6),
+    levels=st.integers(1, 6),
+)
+def test_nothing_of_the_best_is_lost(seed, n_queries, k, sizes, levels):
+    """Few score levels make many ties; units are spread over batches at random."""
+    rng = np.random.default_rng(seed)
+    n = sum(sizes)
+    scores = rng.integers(-levels, levels, size=(n_queries, n)).astype(float)
+    order = rng.permutation(n)
+    best, kept, at = RunningBest(n_queries, k), [set() for _ in range(n_queries)], 0
+    for size in sizes:
+        units = np.sort(order[at : at + size])
+        at += size
+        for first in range(0, n_queries, 2):
+            query, unit = best.keep(first, scores[first : first + 2, units])
+            for q, u in zip(query, unit, strict=True):
+                kept[q].add(int(units[u]))
+    for q in range(n_queries):
+        want = sorted(range(n), key=lambda u: (-scores[q, u], u))[:k]
+        got = sorted(kept[q], key=lambda u: (-scores[q, u], u))[:k]
+        assert got == want
+
+
+def test_little_is_kept_of_equal_scores():
+    """All units tie: each batch hands on k of them and no more."""
+    best = RunningBest(1, 3)
+    assert len(best.keep(0, np.zeros((1, 1000)))[0]) == 3
+    assert len(best.keep(0, np.full((1, 1000), -1.0))[0]) == 0
+
+
+@pytest.mark.parametrize("limit", [1, 7, 40, 1000])
+def test_passes_divide_the_queries(spark, limit):
+    entries = spark.range(100).select((F.col("id") % 20).alias("query_id"), "id")
+    parts = [p.collect() for p in query_passes(entries, "query_id", limit)]
+    assert len(parts) == -(-100 // limit)
+    seen = {}
+    for number, part in enumerate(parts):
+        for r in part:
+            assert seen.setdefault(r["query_id"], number) == number
+    assert sorted(r["id"] for p in parts for r in p) == list(range(100))
+    assert list(query_passes(entries.where("false"), "query_id", limit)) == []
+
+
+def test_rank_is_limited_on_both_sides_of_the_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 2).alias("query_id"), F.col("id").alias("score"))
+    top = ranked(df, ["query_id"], [F.desc("score")], 3)
+    assert [(r["score"], r["rk"]) for r in top.orderBy("query_id", "rk").collect()] == [
+        (998, 1), (996, 2), (994, 3), (999, 1), (997, 2), (995, 3),
+    ]
+    assert top._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
