@@ -181,7 +181,9 @@ def quality_gate_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_product_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.by_revenue(summary.product_summary(feeds.order_feed(spark, sf_dir)))
+    return summary.by_revenue(
+        summary.product_summary(feeds.order_feed(spark, sf_dir), whole_cents=True)
+    )
 
 
 def gold_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,9 +200,9 @@ def lineage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _two_runs(spark: SparkSession, sf_dir: str) -> refinery.Layout:
     layout = refinery.Layout.under(files.run_dir(spark, "refinery"))
-    refinery.run(spark, feeds.order_feed(spark, sf_dir), layout)
+    refinery.run(spark, feeds.order_feed(spark, sf_dir), layout, whole_cents=True)
     try:
-        refinery.run(spark, feeds.faulty_order_feed(spark, sf_dir), layout)
+        refinery.run(spark, feeds.faulty_order_feed(spark, sf_dir), layout, whole_cents=True)
     except quality.GateFailed:
         return layout
     raise AssertionError("the checks let faulty orders through")

@@ -33,6 +33,7 @@ def run(
     batch: DataFrame,
     layout: Layout,
     incoming: DataFrame | None = None,
+    whole_cents: bool = False,
 ) -> DataFrame:
     """Append a batch, bring Silver up to date, check it, and publish Gold.
 
@@ -65,5 +66,5 @@ def run(
             raise quality.GateFailed("; ".join(f"{r['check']}({r['column']})" for r in failed))
 
     with track_stage(spark, layout.events, "gold_layer") as stage:
-        tables.publish(stage.observe(summary.product_summary(silver)), layout.gold)
+        tables.publish(stage.observe(summary.product_summary(silver, whole_cents)), layout.gold)
     return results

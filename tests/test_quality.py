@@ -66,3 +66,15 @@ def test_product_summary(orders):
 def test_null_product_is_one_group(orders):
     got = summary.product_summary(orders([("a", "u", None, 1.0, 1), ("b", "u", None, 2.0, None)]))
     assert rows(got) == [(None, 2, 1, 1.0, 1.5)]
+
+
+def test_whole_cents_do_not_depend_on_row_order(orders):
+    silver = orders([UPDATES[0], UPDATES[1], *BRONZE[1:]])
+    exact = summary.product_summary(silver, whole_cents=True)
+    assert rows(exact) == sorted(GOLD, key=repr)
+    assert exact.schema == summary.product_summary(silver).schema
+    halves = [(str(i), "u", "p", 0.1 + 0.01 * (i % 2), 1) for i in range(8)]
+    got = summary.product_summary(orders(halves), whole_cents=True)
+    assert rows(got) == [("p", 8, 8, 0.84, 0.11)]
+    none = summary.product_summary(orders([("a", "u", "p", None, 1)]), whole_cents=True)
+    assert rows(none) == [("p", 1, 1, None, None)]
