@@ -7,6 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -18,12 +19,15 @@ from millrace.operators.topk import QUERY_BLOCK, RunningBest, query_passes, rank
 MAX_NUMBERS = 16_000_000
 
 
-def _matrix(column) -> np.ndarray:
+def _matrix(column, dims: int | None = None) -> np.ndarray:
     """Vectors of an Arrow list column as unit rows; a zero vector stays zero."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    rows = rows.reshape(len(column), -1)
+    lengths = pc.unique(pc.list_value_length(column)).to_pylist()
+    dims = dims or lengths[0]
+    if lengths != [dims]:
+        raise ValueError(f"vectors have {lengths} numbers, not {dims}")
+    rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
     norm = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
     return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
 
@@ -47,7 +51,7 @@ def _score_pass(
             if batch.num_rows == 0:
                 continue
             batch = batch.sort_by([(c, "ascending") for c in keys])
-            units = _matrix(batch.column("embedding")).T
+            units = _matrix(batch.column("embedding"), query_rows.shape[1]).T
             for first in range(0, len(ids), QUERY_BLOCK):
                 scores = query_rows[first : first + QUERY_BLOCK] @ units
                 if digits is not None:
@@ -87,6 +91,9 @@ def vector_topk(
             StructField("score", DoubleType()),
         ]
     )
+    # A unit or query without a vector has no place in the ranking.
+    vectors = vectors.where(F.col("embedding").isNotNull())
+    queries = queries.where(F.col("embedding").isNotNull())
     longest = queries.agg(F.max(F.size("embedding"))).first()[0] or 1
     parts = [
         _score_pass(vectors, part.toArrow(), keys, schema, k, digits)

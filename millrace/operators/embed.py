@@ -69,10 +69,5 @@ def _counts(texts: DataFrame, dims: int) -> DataFrame:
 
 
 def vector_table(embedded: DataFrame) -> DataFrame:
-    """The stored form: unit keys, text, embedding and its length."""
-    squares = F.aggregate(
-        F.col("embedding"), F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")
-    )
-    return embedded.select(
-        "source_doc", "chunk_idx", "chunk_id", "text", "embedding", F.sqrt(squares).alias("norm")
-    )
+    """The stored form: unit keys, text and embedding."""
+    return embedded.select("source_doc", "chunk_idx", "chunk_id", "text", "embedding")

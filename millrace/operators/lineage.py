@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
+from millrace.sources import files
+
 EVENT_SCHEMA = StructType(
     [
         StructField("eventType", StringType(), False),
@@ -61,15 +64,16 @@ def track_stage(
     stage = Stage(str(uuid.uuid4()))
 
     def emit(event: str, rows_out: int | None = None) -> None:
-        row = (
-            event,
-            datetime.now(timezone.utc),
-            (stage.run_id,),
-            (namespace, name),
-            producer,
-            rows_out,
-        )
-        spark.createDataFrame([row], EVENT_SCHEMA).coalesce(1).write.mode("append").json(log_path)
+        row = {
+            "eventType": event,
+            "eventTime": datetime.now(timezone.utc).isoformat(),
+            "run": {"runId": stage.run_id},
+            "job": {"namespace": namespace, "name": name},
+            "producer": producer,
+            "rows_out": rows_out,
+        }
+        # One line in a file of its own: events of several runs never collide.
+        files.put_text(spark, f"{log_path}/{uuid.uuid4().hex}.json", json.dumps(row) + "\n")
 
     emit("START")
     try:

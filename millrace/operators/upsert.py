@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 _MATCHED = "_matched"
 
+# A source of up to this many rows is sent to every task.
+SMALL_SOURCE = 100_000
+
 
 class AmbiguousSource(ValueError):
     """Several source rows would update the same target row."""
@@ -59,13 +62,16 @@ def latest(source: DataFrame, key: str, order: Column) -> DataFrame:
     return best.unionByName(source.where(F.col(key).isNull()))
 
 
-def _check_unambiguous(target: DataFrame, source: DataFrame, key: str) -> None:
-    repeated = source.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")
-    if repeated.isEmpty():
-        return
-    hit = repeated.join(target.select(key), key, "left_semi").take(1)
-    if hit:
-        raise AmbiguousSource(f"several source rows have the key {hit[0][0]!r}")
+def _keyed_rows(target: DataFrame, source: DataFrame, key: str) -> int:
+    """Number of source rows with a key, after the check that no two of them match."""
+    per_key = source.where(F.col(key).isNotNull()).groupBy(key).count()
+    total, most = per_key.agg(F.sum("count"), F.max("count")).first()
+    if most is not None and most > 1:
+        repeated = per_key.where("count > 1")
+        hit = repeated.join(target.select(key), key, "left_semi").take(1)
+        if hit:
+            raise AmbiguousSource(f"several source rows have the key {hit[0][0]!r}")
+    return total or 0
 
 
 def merge(
@@ -82,19 +88,23 @@ def merge(
     matches, unless ``latest_by`` says which row counts.
 
     It is written as a left join for the target rows and an anti join for the
-    inserts, not as one full outer join: Spark can broadcast a small source
-    then, leaving the target unshuffled, and can split skewed keys, neither of
-    which it does for a full outer join.
+    inserts, not as one full outer join: Spark splits the skewed keys of a left
+    join, and a source counted to be small is broadcast, leaving the target
+    unshuffled. A full outer join allows neither.
     """
     if latest_by is not None:
         source = latest(source, key, latest_by)
-    else:
-        _check_unambiguous(target, source, key)
+    small = _keyed_rows(target, source, key) <= SMALL_SOURCE
     columns = target.columns
     others = [c for c in columns if c != key]
     flagged = source.select(
         F.col(key), F.struct(*others, F.lit(True).alias("_set")).alias(_MATCHED)
     ).where(F.col(key).isNotNull())
+    keys = target.select(key).where(F.col(key).isNotNull())
+    if small:
+        flagged = F.broadcast(flagged)
+        # Only target keys that the source has are left to be made distinct.
+        keys = keys.join(F.broadcast(flagged.select(key)), key, "left_semi")
     joined = target.join(flagged, key, "left")
     updated = joined.select(
         *[
@@ -107,7 +117,7 @@ def merge(
         ],
         F.col(_MATCHED),
     )
-    # Only keys that occur in the source are kept before they are made distinct.
-    present = target.select(key).join(flagged.select(key), key, "left_semi").distinct()
-    inserted = source.select(*columns).join(present, key, "left_anti")
+    # Distinct keys are combined per task, so a key with very many target rows
+    # reaches the anti join as one row per task.
+    inserted = source.select(*columns).join(keys.distinct(), key, "left_anti")
     return Merge(updated, inserted, columns)

@@ -427,10 +427,7 @@ SELECT query_id, unit AS vec_id, score, CAST(rk AS INTEGER) AS rk,
     ),
     "embed_chunks": _with(
         _CHUNKS,
-        select=f"""
-SELECT source_doc, chunk_idx, chunk_id, text, 256 AS dims,
-       CASE WHEN len({_words("text")}) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm
-FROM units""",
+        select="SELECT source_doc, chunk_idx, chunk_id, text, 256 AS dims FROM units",
     ),
     "rrf_fusion": _with(
         *_LINKED,

@@ -335,7 +335,7 @@ def _vector_store(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, embed.Ha
 
 
 def embed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The vector table of all chunks, with the size and length of each vector."""
+    """The vector table of all chunks, with the size of each vector."""
     store, _ = _vector_store(spark, sf_dir)
     return store.select(
         "source_doc",
@@ -343,7 +343,6 @@ def embed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "chunk_id",
         "text",
         F.size("embedding").alias("dims"),
-        F.round("norm", 4).alias("norm"),
     )
 
 

@@ -58,13 +58,13 @@ def run(
 
     silver = tables.read_snapshot(spark, layout.silver)
     with track_stage(spark, layout.events, "quality_gate"):
-        # Five rows; kept as rows so that the verdict and the report agree.
+        # Five rows, whatever the size of the table.
         results = quality.check_results(silver)
-        results = spark.createDataFrame(results.collect(), results.schema)
-        if not quality.passed(results):
-            failed = results.where("not success").select("check", "column").collect()
-            raise quality.GateFailed("; ".join(f"{r['check']}({r['column']})" for r in failed))
+        found = results.collect()
+        failed = [f"{r['check']}({r['column']})" for r in found if not r["success"]]
+        if failed:
+            raise quality.GateFailed("; ".join(failed))
 
     with track_stage(spark, layout.events, "gold_layer") as stage:
         tables.publish(stage.observe(summary.product_summary(silver, whole_cents)), layout.gold)
-    return results
+    return spark.createDataFrame(found, results.schema)

@@ -61,15 +61,28 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small new file, without a job."""
+    fs, hadoop_path = _hadoop(spark, path)
+    out = fs.create(hadoop_path, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use every core on a small input that lies in too few files.
 
     One file with one row group is one task however many cores wait. The
     shuffle is only added when the input is measured to be less than one
-    ordinary split per core; larger inputs keep the splits of their scan.
+    ordinary split per core; larger inputs keep the splits of their scan, and
+    their files are not even listed.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() > 4 * cores:
+        return df
     paths = df.inputFiles()
     if len(paths) >= cores:
         return df

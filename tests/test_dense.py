@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 
 from millrace.operators import dense
 from tests.conftest import rows
@@ -73,3 +74,15 @@ def test_no_vectors_and_no_queries(spark, vectors):
     assert dense.vector_topk(some, none, ["vec_id"], 3).count() == 0
     queries = frame(spark, "query_id", vectors[:2])
     assert dense.vector_topk(some.where("false"), queries, ["vec_id"], 3).count() == 0
+
+
+def test_missing_and_uneven_vectors(spark, vectors):
+    queries = frame(spark, "query_id", vectors[:1])
+    schema = "vec_id long, embedding array<float>"
+    some = spark.createDataFrame([(1, vectors[0].tolist()), (2, None)], schema)
+    found = dense.vector_topk(some, queries, ["vec_id"], 3)
+    assert rows(found.select("vec_id", "score")) == [(1, 1.0)]
+    # Seven and nine numbers would fill two rows of eight.
+    uneven = spark.createDataFrame([(1, [1.0] * 7), (2, [1.0] * 9)], schema).coalesce(1)
+    with pytest.raises(PySparkException, match="numbers, not 8"):
+        dense.vector_topk(uneven, queries, ["vec_id"], 3).collect()

@@ -30,16 +30,27 @@ def test_edge_rows(spark):
     assert tuple(merged.outcome().first()) == (2, 2, 2)
 
 
-def test_without_broadcast(spark):
+def test_large_source(spark, monkeypatch):
+    monkeypatch.setattr(upsert, "SMALL_SOURCE", 1)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        merged = upsert.merge(frame(spark, TARGET), frame(spark, SOURCE), "k").result()
-        assert rows(merged) == sorted(MERGED, key=repr)
+        merged = upsert.merge(frame(spark, TARGET), frame(spark, SOURCE), "k")
+        assert "Broadcast" not in merged.result()._jdf.queryExecution().toString()
+        assert rows(merged.result()) == sorted(MERGED, key=repr)
+        assert tuple(merged.outcome().first()) == (2, 2, 2)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_small_source_leaves_the_target_unshuffled(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame(spark, TARGET).write.parquet(path)
+    merged = upsert.merge(spark.read.parquet(path), frame(spark, SOURCE), "k")
+    plan = merged.kept_and_updated._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_applying_again_changes_nothing(spark):
     source = frame(spark, [r for r in SOURCE if r[0]])
     once = upsert.merge(frame(spark, TARGET), source, "k").result()
