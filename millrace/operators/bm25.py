@@ -15,7 +15,14 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 
 from millrace.functions import scores as sc
 from millrace.functions import text as tx
-from millrace.operators.topk import QUERY_BLOCK, RunningBest, query_passes, ranked, unit_order
+from millrace.operators.topk import (
+    QUERY_BLOCK,
+    RunningBest,
+    blocks,
+    query_passes,
+    ranked,
+    unit_order,
+)
 from millrace.sources import files
 
 KEYS = ["source_doc", "chunk_idx"]
@@ -142,12 +149,11 @@ def _score_pass(index: Bm25Index, weights: pa.Table, schema: StructType, k: int,
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, vocab, e_term, e_query, e_weight = shared.value
-        blocks = []
-        for first in range(0, len(ids), QUERY_BLOCK):
-            inside = (e_query >= first) & (e_query < first + QUERY_BLOCK)
-            term = e_term[inside]
-            start = np.searchsorted(term, np.arange(len(vocab) + 1))
-            blocks.append((first, start, e_query[inside] - first, e_weight[inside]))
+        parts = []
+        for block in blocks(np.arange(len(ids)), QUERY_BLOCK):
+            inside = (e_query >= block[0]) & (e_query <= block[-1])
+            start = np.searchsorted(e_term[inside], np.arange(len(vocab) + 1))
+            parts.append((block, start, e_query[inside] - block[0], e_weight[inside]))
         best = RunningBest(n_queries, k)
         for batch in batches:
             if batch.num_rows == 0:
@@ -163,8 +169,7 @@ def _score_pass(index: Bm25Index, weights: pa.Table, schema: StructType, k: int,
             unit, term = np.divmod(pair, max(len(vocab), 1))
             length = 1 - sc.BM25_B + sc.BM25_B * n_words[unit] / mean_words if mean_words else 1.0
             part = tf * (sc.BM25_K1 + 1) / (tf + sc.BM25_K1 * length)
-            for first, start, e_q, e_w in blocks:
-                size = min(QUERY_BLOCK, len(ids) - first)
+            for block, start, e_q, e_w in parts:
                 count = start[term + 1] - start[term]
                 posting = np.repeat(np.arange(len(term)), count)
                 entry = np.arange(len(posting)) - np.repeat(np.cumsum(count) - count, count)
@@ -172,19 +177,19 @@ def _score_pass(index: Bm25Index, weights: pa.Table, schema: StructType, k: int,
                 scores = np.bincount(
                     e_q[entry] * n_units + unit[posting],
                     weights=part[posting] * e_w[entry],
-                    minlength=size * n_units,
+                    minlength=len(block) * n_units,
                 )
                 # Without any posting the counts come back as integers.
-                scores = scores.astype(np.float64, copy=False).reshape(size, n_units)
+                scores = scores.astype(np.float64, copy=False).reshape(-1, n_units)
                 if digits is not None:
                     scores = np.round(scores, digits)
-                query, row = best.keep(first, scores)
+                query, row = best.keep(block, scores)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.take(pa.array(query)),
+                        ids.take(pa.array(block[query])),
                         batch.column("source_doc").take(pa.array(row)),
                         batch.column("chunk_idx").take(pa.array(row)),
-                        pa.array(scores[query - first, row]),
+                        pa.array(scores[query, row]),
                     ],
                     names=["query_id", *KEYS, "score"],
                 )

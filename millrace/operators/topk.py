@@ -41,15 +41,15 @@ class RunningBest:
         self.k = k
         self._best = np.full((n_queries, k), -np.inf)
 
-    def keep(self, first: int, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions (query, unit) worth handing on.
+    def keep(self, queries: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places (row, unit) in ``scores`` that are worth handing on.
 
-        ``scores`` has a row per query, starting with number ``first``, and a
-        column per unit. Units must be in key order: of those tied at the k-th
-        place only the first ones are kept.
+        ``scores`` has a row for each of the query numbers and a column per
+        unit. Units must be in key order: of those tied at the k-th place only
+        the first ones are kept.
         """
         n_units = scores.shape[1]
-        best = self._best[first : first + scores.shape[0]]
+        best = self._best[queries]
         floor = best.min(axis=1, keepdims=True)
         if n_units > self.k:
             cut = n_units - self.k
@@ -61,10 +61,15 @@ class RunningBest:
         else:
             top, kept = scores, np.ones(scores.shape, dtype=bool)
         merged = np.concatenate([best, top], axis=1)
-        best[:] = np.partition(merged, merged.shape[1] - self.k, axis=1)[:, -self.k :]
+        self._best[queries] = np.partition(merged, -self.k, axis=1)[:, -self.k :]
         # Equal to the floor may still win on key order.
-        query, unit = np.nonzero(kept & (scores >= floor))
-        return query + first, unit
+        return np.nonzero(kept & (scores >= floor))
+
+
+def blocks(queries: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """Query numbers in blocks, to bound the score block of one batch."""
+    for first in range(0, len(queries), size):
+        yield queries[first : first + size]
 
 
 def query_passes(entries: DataFrame, query: str, max_entries: int) -> Iterator[DataFrame]:

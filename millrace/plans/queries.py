@@ -326,6 +326,15 @@ def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("distance", distance)
 
 
+def dense_cells_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the exact results, how many a search in a quarter of the cells finds."""
+    queries, vectors = _query_vectors(spark, sf_dir), _embeddings(spark, sf_dir)
+    exact = dense.vector_topk(vectors, queries, ["vec_id"], retrieval.LIST_DEPTH)
+    cells = dense.build_cells(vectors, ["vec_id"], 16)
+    near = dense.cell_topk(cells, queries, ["vec_id"], retrieval.LIST_DEPTH, n_probe=4)
+    return dense.recall(exact, near, ["vec_id"])
+
+
 def _vector_store(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, embed.HashedTfIdf]:
     chunks = files.materialize(_chunks(spark, sf_dir), "chunks")
     encoder = embed.HashedTfIdf.fit(chunks)
@@ -428,6 +437,7 @@ QUERIES: dict[str, Query] = {
         bm25_idf,
         bm25_topk,
         dense_topk,
+        dense_cells_recall,
         embed_chunks,
         semantic_topk,
         rrf_fusion,

@@ -86,3 +86,30 @@ def test_missing_and_uneven_vectors(spark, vectors):
     uneven = spark.createDataFrame([(1, [1.0] * 7), (2, [1.0] * 9)], schema).coalesce(1)
     with pytest.raises(PySparkException, match="numbers, not 8"):
         dense.vector_topk(uneven, queries, ["vec_id"], 3).collect()
+
+
+def test_cells(spark, vectors):
+    queries = frame(spark, "query_id", vectors[250:260])
+    some = frame(spark, "vec_id", vectors)
+    exact = dense.vector_topk(some, queries, ["vec_id"], 5)
+    cells = dense.build_cells(some, ["vec_id"], 6)
+    assert cells.vectors.count() == len(vectors)
+    everywhere = dense.cell_topk(cells, queries, ["vec_id"], 5, n_probe=6)
+    assert rows(everywhere) == rows(exact)
+    near = dense.cell_topk(cells, queries, ["vec_id"], 5, n_probe=1)
+    # Nothing but the unread cells is missing: the result is exact within a cell.
+    cell_of = {r["vec_id"]: r["cell"] for r in cells.vectors.collect()}
+    unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-30)
+    got = rows(near.select("query_id", "rk", "vec_id"), "query_id", "rk")
+    for q in range(10):
+        cell = int(np.argmax(unit[250 + q] @ cells.centers.T))
+        members = [i for i in range(len(vectors)) if cell_of[i] == cell]
+        want = [members[i] for i, _ in best(vectors[members], vectors[250 + q], 5)]
+        assert [v for query, _, v in got if query == q] == want
+    found = dense.recall(exact, near, ["vec_id"])
+    assert all(r["n_exact"] == 5 and 1 <= r["n_found"] <= 5 for r in found.collect())
+    assert found.count() == 10
+    # Folders of other cells are left unread.
+    one = dense.cell_topk(cells, queries.where("query_id = 0"), ["vec_id"], 5, n_probe=1)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "(cell#" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]

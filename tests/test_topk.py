@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.operators.topk import RunningBest, query_passes, ranked
+from millrace.operators.topk import RunningBest, blocks, query_passes, ranked
 
 
 @settings(max_examples=200, deadline=None, derandomize=True)
@@ -25,9 +25,9 @@ def test_nothing_of_the_best_is_lost(seed, n_queries, k, sizes, levels):
     for size in sizes:
         units = np.sort(order[at : at + size])
         at += size
-        for first in range(0, n_queries, 2):
-            query, unit = best.keep(first, scores[first : first + 2, units])
-            for q, u in zip(query, unit, strict=True):
+        for block in blocks(rng.permutation(n_queries), 2):
+            query, unit = best.keep(block, scores[np.ix_(block, units)])
+            for q, u in zip(block[query], unit, strict=True):
                 kept[q].add(int(units[u]))
     for q in range(n_queries):
         want = sorted(range(n), key=lambda u: (-scores[q, u], u))[:k]
@@ -38,8 +38,9 @@ def test_nothing_of_the_best_is_lost(seed, n_queries, k, sizes, levels):
 def test_little_is_kept_of_equal_scores():
     """All units tie: each batch hands on k of them and no more."""
     best = RunningBest(1, 3)
-    assert len(best.keep(0, np.zeros((1, 1000)))[0]) == 3
-    assert len(best.keep(0, np.full((1, 1000), -1.0))[0]) == 0
+    first = np.array([0])
+    assert len(best.keep(first, np.zeros((1, 1000)))[0]) == 3
+    assert len(best.keep(first, np.full((1, 1000), -1.0))[0]) == 0
 
 
 @pytest.mark.parametrize("limit", [1, 7, 40, 1000])
