@@ -106,22 +106,38 @@ def open_index(spark: SparkSession, path: str) -> Bm25Index:
     return _opened(spark.read.parquet(f"{path}/units"), spark.read.parquet(f"{path}/terms"))
 
 
-def query_weights(index: Bm25Index, queries: DataFrame) -> DataFrame:
-    """(query_id, term, weight): idf times the number of times the query has the term.
+def query_words(queries: DataFrame) -> DataFrame:
+    """(query_id, term, n): words of each query and how often it has them.
 
-    A query none of whose words is in the corpus keeps one row without a term:
-    it still gets its k units, all with score 0.
+    A query without words keeps one row without a term.
     """
-    counted = (
+    return (
         queries.select("query_id", F.explode_outer(tx.words(F.col("text"))).alias("term"))
         .groupBy("query_id", "term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def _weighted(index: Bm25Index, asked: DataFrame) -> DataFrame:
+    """Weights of words that the corpus has. ``asked`` must be of a measured size:
+    it is sent to the tasks that read the terms, which are not shuffled."""
     idf = term_weights(index.terms, index.n_units, index.mean_raw_idf)
-    known = counted.join(idf, "term", "left")
+    known = idf.join(F.broadcast(asked), "term")
     return known.select("query_id", "term", (F.col("n") * F.col("idf")).alias("weight"))
 
 
+def query_weights(
+    index: Bm25Index, queries: DataFrame, max_entries: int = MAX_ENTRIES
+) -> DataFrame:
+    """(query_id, term, weight): idf times the number of times the query has the term."""
+    parts = [
+        _weighted(index, part) for part in query_passes(query_words(queries), "query_id", max_entries)
+    ]
+    if not parts:
+        parts = [_weighted(index, query_words(queries))]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _result_schema(queries: DataFrame) -> StructType:
     return StructType(
         [
@@ -133,8 +149,15 @@ def _result_schema(queries: DataFrame) -> StructType:
     )
 
 
-def _score_pass(index: Bm25Index, weights: pa.Table, schema: StructType, k: int, digits: int | None):
+def _score_pass(
+    index: Bm25Index, asked: DataFrame, schema: StructType, k: int, digits: int | None
+) -> DataFrame:
     """Score all units against one part of the queries."""
+    # A query none of whose words is in the corpus still gets its k units.
+    everyone = asked.select(
+        "query_id", F.lit(None).cast("string").alias("term"), F.lit(None).cast("double").alias("weight")
+    ).distinct()
+    weights = _weighted(index, asked).unionByName(everyone).toArrow()
     query_ids = pc.unique(weights["query_id"].combine_chunks())
     known = weights.filter(pc.is_valid(weights["weight"]))
     known = known.sort_by([("term", "ascending")])
@@ -214,10 +237,9 @@ def keyword_topk(
     side and a task hands on about k rows per query.
     """
     schema = _result_schema(queries)
-    weights = query_weights(index, queries)
     parts = [
-        _score_pass(index, part.toArrow(), schema, k, digits)
-        for part in query_passes(weights, "query_id", max_entries)
+        _score_pass(index, part, schema, k, digits)
+        for part in query_passes(query_words(queries), "query_id", max_entries)
     ]
     if not parts:
         parts = [queries.sparkSession.createDataFrame([], schema)]

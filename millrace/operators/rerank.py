@@ -9,10 +9,25 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
 from millrace.operators.topk import ranked
+from millrace.sources import files
 
 Scorer = Callable[[Column, Column], Column]
 
 
+# Candidates of up to this many rows are sent to every task.
+MAX_CANDIDATES = 1_000_000
+
+
+def settled(candidates: DataFrame) -> DataFrame:
+    """Write the candidates, so that the search runs once and their size is known.
+
+    The planner takes what comes out of a search for as large as the corpus it
+    went through, and would shuffle all units to look up a few of them.
+    """
+    stored = files.materialize(candidates, "candidates")
+    return F.broadcast(stored) if stored.count() <= MAX_CANDIDATES else stored
+
+
 def with_text(candidates: DataFrame, units: DataFrame, keys: list[str]) -> DataFrame:
     """Look up the candidates' ids and texts; nothing else of the units is read."""
     return candidates.join(units.select(*keys, "chunk_id", "text"), keys, "inner")

@@ -327,11 +327,11 @@ def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dense_cells_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the exact results, how many a search in a quarter of the cells finds."""
+    """Of the exact results, how many a search in half of the cells finds."""
     queries, vectors = _query_vectors(spark, sf_dir), _embeddings(spark, sf_dir)
     exact = dense.vector_topk(vectors, queries, ["vec_id"], retrieval.LIST_DEPTH)
     cells = dense.build_cells(vectors, ["vec_id"], 16)
-    near = dense.cell_topk(cells, queries, ["vec_id"], retrieval.LIST_DEPTH, n_probe=4)
+    near = dense.cell_topk(cells, queries, ["vec_id"], retrieval.LIST_DEPTH, n_probe=8)
     return dense.recall(exact, near, ["vec_id"])
 
 

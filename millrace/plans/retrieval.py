@@ -41,7 +41,7 @@ def reranked_topk(
     candidates: int = CANDIDATES,
 ) -> DataFrame:
     """Hybrid candidates in the order of the built-in scorer, with their texts."""
-    found = hybrid_topk(index, vectors, queries, candidates)
+    found = rerank.settled(hybrid_topk(index, vectors, queries, candidates))
     weights = bm25.query_weights(index, queries)
     return rerank.term_share(found, index.units, weights, KEYS, top_k)
 

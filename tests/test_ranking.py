@@ -97,6 +97,20 @@ def test_any_scorer(spark, units, candidates):
         ]
 
 
+def test_units_are_not_shuffled_for_their_texts(spark, units, candidates, tmp_path):
+    units.write.parquet(str(tmp_path / "units"))
+    stored = spark.read.parquet(str(tmp_path / "units"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = rerank.with_text(rerank.settled(candidates), stored, bm25.KEYS)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert found.count() == candidates.count()
+
+
 def test_missing_units_are_found(spark, units, candidates):
     lost = units.where("chunk_idx = 0")
     missing = rerank.missing_units(candidates, lost, bm25.KEYS)
