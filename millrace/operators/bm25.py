@@ -27,6 +27,10 @@ from millrace.sources import files
 
 KEYS = ["source_doc", "chunk_idx"]
 
+# Scores of single words worked out at a time, some 100 MB of arrays. A word that is
+# in many units and many queries would fill the memory of a task otherwise.
+MAX_SCORED = 2_000_000
+
 # (query, term) entries sent to every task in one pass; about 100 MB at most.
 MAX_ENTRIES = 1_000_000
 
@@ -149,6 +153,24 @@ def _result_schema(queries: DataFrame) -> StructType:
     )
 
 
+def _unit_ranges(unit: np.ndarray, count: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Divide postings, sorted by unit, where their counts add up to about the limit.
+
+    A unit is never divided: its score is added up in one go, always in the same
+    order, so copies of a text get the very same score.
+    """
+    total, first = np.cumsum(count), 0
+    while first < len(unit):
+        done = total[first - 1] if first else 0
+        last = int(np.searchsorted(total, done + limit, side="right"))
+        if last < len(unit):
+            last = int(np.searchsorted(unit, unit[last]))
+        if last <= first:
+            last = int(np.searchsorted(unit, unit[first], side="right"))
+        yield first, last
+        first = last
+
+
 def _score_pass(
     index: Bm25Index, asked: DataFrame, schema: StructType, k: int, digits: int | None
 ) -> DataFrame:
@@ -193,17 +215,19 @@ def _score_pass(
             length = 1 - sc.BM25_B + sc.BM25_B * n_words[unit] / mean_words if mean_words else 1.0
             part = tf * (sc.BM25_K1 + 1) / (tf + sc.BM25_K1 * length)
             for block, start, e_q, e_w in parts:
+                scores = np.zeros((len(block), n_units))
                 count = start[term + 1] - start[term]
-                posting = np.repeat(np.arange(len(term)), count)
-                entry = np.arange(len(posting)) - np.repeat(np.cumsum(count) - count, count)
-                entry += start[term][posting]
-                scores = np.bincount(
-                    e_q[entry] * n_units + unit[posting],
-                    weights=part[posting] * e_w[entry],
-                    minlength=len(block) * n_units,
-                )
-                # Without any posting the counts come back as integers.
-                scores = scores.astype(np.float64, copy=False).reshape(-1, n_units)
+                for first, last in _unit_ranges(unit, count, MAX_SCORED):
+                    many = count[first:last]
+                    posting = np.repeat(np.arange(first, last), many)
+                    entry = np.arange(len(posting)) - np.repeat(np.cumsum(many) - many, many)
+                    entry += start[term[posting]]
+                    lowest, width = unit[first], unit[last - 1] - unit[first] + 1
+                    scores[:, lowest : lowest + width] = np.bincount(
+                        e_q[entry] * width + unit[posting] - lowest,
+                        weights=part[posting] * e_w[entry],
+                        minlength=len(block) * width,
+                    ).reshape(-1, width)
                 if digits is not None:
                     scores = np.round(scores, digits)
                 query, row = best.keep(block, scores)

@@ -97,15 +97,22 @@ def merge(
     small = _keyed_rows(target, source, key) <= SMALL_SOURCE
     columns = target.columns
     others = [c for c in columns if c != key]
-    flagged = source.select(
+    has_key = F.col(key).isNotNull()
+    flagged = source.where(has_key).select(
         F.col(key), F.struct(*others, F.lit(True).alias("_set")).alias(_MATCHED)
-    ).where(F.col(key).isNotNull())
-    keys = target.select(key).where(F.col(key).isNotNull())
+    )
     if small:
         flagged = F.broadcast(flagged)
+        joined = target.join(flagged, key, "left")
         # Only target keys that the source has are left to be made distinct.
-        keys = keys.join(F.broadcast(flagged.select(key)), key, "left_semi")
-    joined = target.join(flagged, key, "left")
+        keys = target.select(key).join(F.broadcast(flagged.select(key)), key, "left_semi")
+    else:
+        # Rows without a key would all meet in one task of the shuffle.
+        unkeyed = target.where(~has_key).withColumn(
+            _MATCHED, F.lit(None).cast(flagged.schema[_MATCHED].dataType)
+        )
+        joined = target.where(has_key).join(flagged, key, "left").unionByName(unkeyed)
+        keys = target.where(has_key).select(key)
     updated = joined.select(
         *[
             F.col(c)
@@ -119,5 +126,6 @@ def merge(
     )
     # Distinct keys are combined per task, so a key with very many target rows
     # reaches the anti join as one row per task.
-    inserted = source.select(*columns).join(keys.distinct(), key, "left_anti")
+    new = source.where(has_key).join(keys.distinct(), key, "left_anti").select(*columns)
+    inserted = new.unionByName(source.where(~has_key).select(*columns))
     return Merge(updated, inserted, columns)

@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +116,7 @@ def test_exact_scores_without_rounding(spark, corpus):
 
 def test_small_batches_and_query_blocks(spark, corpus, monkeypatch):
     monkeypatch.setattr(bm25, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(bm25, "MAX_SCORED", 5)
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
     try:
@@ -125,6 +127,20 @@ def test_small_batches_and_query_blocks(spark, corpus, monkeypatch):
         assert [k for k, _ in got[i]] == [k for k, _ in best(corpus, query, 4)], query
 
 
+@pytest.mark.parametrize("limit", [1, 3, 10, 10**6])
+def test_unit_ranges(limit):
+    rng = np.random.default_rng(limit)
+    unit = np.sort(rng.integers(0, 12, 40))
+    count = rng.integers(0, 5, 40)
+    ranges = list(bm25._unit_ranges(unit, count, limit))
+    assert [first for first, _ in ranges] == [0, *[last for _, last in ranges[:-1]]]
+    assert ranges[-1][1] == 40
+    for first, last in ranges:
+        assert first == 0 or unit[first - 1] != unit[first]
+        assert count[first:last].sum() <= limit or len(set(unit[first:last])) == 1
+    assert list(bm25._unit_ranges(unit[:0], count[:0], limit)) == []
+
+
 def test_fewer_units_than_asked_for(spark):
     units = [(("a", 0), "one"), (("a", 1), "two"), (("b", 0), "")]
     got = search(spark, unit_frame(spark, units), ["two"], 10)
