@@ -109,14 +109,15 @@ decoded AS (
 _DECODED_FIELDS = """s_order_id AS order_id, s_user_id AS user_id, s_product AS product,
   v_price AS price, CAST(v_quantity AS INTEGER) AS quantity"""
 
-# Revenue and mean price in whole cents, so that rounding is exact.
-_SUMMARY = """
+def _summary(rows: str) -> str:
+    """Revenue and mean price in whole cents, so that rounding is exact."""
+    return f"""
 SELECT product, count(order_id) AS total_orders,
        CAST(sum(quantity) AS BIGINT) AS total_units_sold,
        CAST(sum(CAST(round(price * 100) AS BIGINT) * quantity) AS DOUBLE) / 100 AS total_revenue,
        CAST((2 * sum(CAST(round(price * 100) AS BIGINT)) + count(price)) // (2 * count(price))
             AS DOUBLE) / 100 AS avg_price
-FROM feed GROUP BY product"""
+FROM {rows} GROUP BY product"""
 
 _UPDATES = """updates AS (
   SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 100 AS o_totalprice,
@@ -349,8 +350,8 @@ UNION ALL SELECT * FROM source""",
         _FEED,
         _FAULTY,
     ),
-    "gold_product_summary": _with(_FEED, select=_SUMMARY),
-    "gold_gated": _with(_FEED, select=_SUMMARY),
+    "gold_product_summary": _with(_FEED, select=_summary("feed")),
+    "gold_gated": _with(_FEED, select=_summary("feed")),
     "lineage_report": _with(
         _FEED,
         select="""
@@ -383,6 +384,13 @@ SELECT value AS raw, reason AS rejection_reason FROM decoded WHERE reason IS NOT
 SELECT count(*) AS n_consumed, count(*) FILTER (reason IS NULL) AS n_accepted,
        count(*) FILTER (reason IS NOT NULL) AS n_rejected FROM decoded""",
     ),
+    "stream_refined": _with(
+        _FEED,
+        _MESSAGES,
+        _DECODED,
+        f"good AS (SELECT {_DECODED_FIELDS} FROM decoded WHERE reason IS NULL)",
+        select=_summary("good"),
+    ),
     "stream_upsert": _MERGED,
     "chunk_documents": _with(
         _CHUNKS,

@@ -253,6 +253,18 @@ def stream_consumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_refined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold from a topic: messages checked, stored, merged, checked again, summed up."""
+    root = files.run_dir(spark, "refinery")
+    feeds.write_topic(feeds.untyped_order_feed(spark, sf_dir), f"{root}/topic")
+    layout = refinery.Layout.under(root)
+    stream = feeds.read_topic(spark, f"{root}/topic")
+    refinery.run_stream(
+        spark, stream, layout, f"{root}/quarantine", f"{root}/checkpoint", whole_cents=True
+    )
+    return tables.read_snapshot(spark, layout.gold)
+
+
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The Silver updates arriving as a stream of files."""
     root = files.run_dir(spark, "silver-stream")
@@ -430,6 +442,7 @@ QUERIES: dict[str, Query] = {
         stream_ingest,
         stream_quarantine,
         stream_consumed,
+        stream_refined,
         stream_upsert,
         chunk_documents,
         bm25_stats,

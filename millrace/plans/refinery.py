@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from millrace.functions.contract import ORDER_SCHEMA
 from millrace.operators import quality, summary, upsert
 from millrace.operators.lineage import track_stage
 from millrace.sources import tables
+from millrace.streaming import ingest
 
 KEY = "order_id"
 
@@ -56,6 +57,40 @@ def run(
             merged = upsert.merge(tables.read_snapshot(spark, layout.silver), source, KEY)
             tables.publish(stage.observe(merged.result()), layout.silver)
 
+    return _check_and_publish(spark, layout, whole_cents)
+
+
+def run_stream(
+    spark: SparkSession,
+    messages: DataFrame,
+    layout: Layout,
+    quarantine_path: str,
+    checkpoint: str,
+    whole_cents: bool = False,
+    latest_by: Column | None = None,
+) -> DataFrame:
+    """Drain a topic through the same stages.
+
+    Every micro-batch is checked against the contract, stored in Bronze or
+    quarantine, and merged into Silver before it counts as done; a batch that
+    is run again merges the same rows to the same result. The checks and Gold
+    follow when the topic is drained. A merge rewrites Silver, so let batches
+    be large.
+    """
+
+    def merge_batch(stored: DataFrame, batch_id: int) -> None:
+        tables.seed(spark, layout.silver, spark.createDataFrame([], ORDER_SCHEMA))
+        silver = tables.read_snapshot(spark, layout.silver)
+        tables.publish(upsert.merge(silver, stored, KEY, latest_by).result(), layout.silver)
+
+    with track_stage(spark, layout.events, "stream_layer"):
+        ingest.drain(
+            messages, layout.bronze, quarantine_path, checkpoint, merge_batch
+        ).awaitTermination()
+    return _check_and_publish(spark, layout, whole_cents)
+
+
+def _check_and_publish(spark: SparkSession, layout: Layout, whole_cents: bool) -> DataFrame:
     silver = tables.read_snapshot(spark, layout.silver)
     with track_stage(spark, layout.events, "quality_gate"):
         # Five rows, whatever the size of the table.

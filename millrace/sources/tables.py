@@ -73,9 +73,13 @@ def add_batch(df: DataFrame, path: str, table: StructType) -> DataFrame:
     """
     spark = df.sparkSession
     taken = [int(n.split("=")[1]) for n in files.child_dirs(spark, path) if "=" in n]
-    folder = f"{path}/batch_id={max(taken, default=-1) + 1}"
-    conform(df, table).write.mode("errorifexists").parquet(folder)
-    return spark.read.schema(table).parquet(folder)
+    batch_id = max(taken, default=-1) + 1
+    conform(df, table).write.mode("errorifexists").parquet(f"{path}/batch_id={batch_id}")
+    return read_batch(spark, path, table, batch_id)
+
+
+def read_batch(spark: SparkSession, path: str, table: StructType, batch_id: int) -> DataFrame:
+    return spark.read.schema(table).parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_appended(spark: SparkSession, path: str, table: StructType) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,15 +15,22 @@ from millrace.sources import feeds, tables
 
 
 def drain(
-    messages: DataFrame, bronze_path: str, quarantine_path: str, checkpoint: str
+    messages: DataFrame,
+    bronze_path: str,
+    quarantine_path: str,
+    checkpoint: str,
+    then: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Check every message that is there now, store it, and stop.
 
     With a new checkpoint the topic is read from its start; with a kept one,
     only what came since. Each micro-batch is decoded once and written to two
     places under its number, so a batch that is run again after a failure
-    replaces what it had written.
+    replaces what it had written. ``then`` gets the stored accepted rows of a
+    batch and its number before the batch counts as done; it may see a batch
+    again.
     """
+    spark: SparkSession = messages.sparkSession
 
     def route(batch: DataFrame, batch_id: int) -> None:
         checked = contract.check_json(batch).persist(StorageLevel.MEMORY_AND_DISK)
@@ -32,6 +41,8 @@ def drain(
             feeds.put_quarantine_batch(bad, quarantine_path, batch_id)
         finally:
             checked.unpersist()
+        if then is not None:
+            then(tables.read_batch(spark, bronze_path, ORDER_SCHEMA, batch_id), batch_id)
 
     return (
         messages.writeStream.foreachBatch(route)

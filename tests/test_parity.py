@@ -10,7 +10,7 @@ from tests.parity import compare, connect
 SMALL = "/root/testdata/sf0.001"
 MEDIUM = "/root/testdata/sf0.01"
 # The small order feed has one id twice, which the gated run rightly refuses.
-NEEDS_UNIQUE_IDS = {"gold_gated", "lineage_report"}
+NEEDS_UNIQUE_IDS = {"gold_gated", "lineage_report", "stream_refined"}
 # Hashed word places and clusters are not to be had in SQL; both are tested by
 # brute force instead.
 NO_SQL = {"semantic_topk", "dense_cells_recall"}

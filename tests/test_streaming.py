@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.contract import ORDER_SCHEMA
 from millrace.operators import contract
+from millrace.plans import refinery
 from millrace.sources import feeds, tables
 from millrace.streaming import ingest
 from tests.conftest import rows
@@ -96,6 +97,28 @@ def test_encoded_records_decode_to_themselves(spark, orders):
     assert rows(contract.accepted(contract.check_json(messages))) == BRONZE
 
 
+def test_topic_to_gold(spark, tmp_path):
+    root = str(tmp_path)
+    layout = refinery.Layout.under(root)
+
+    def arrive(records):
+        raw = spark.createDataFrame([(json.dumps(r),) for r in records], "value string")
+        feeds.write_topic(raw.coalesce(1), f"{root}/topic")
+        stream = feeds.read_topic(spark, f"{root}/topic")
+        refinery.run_stream(spark, stream, layout, f"{root}/quarantine", f"{root}/checkpoint")
+        return rows(tables.read_snapshot(spark, layout.gold).select("product", "total_units_sold"))
+
+    assert arrive(RAW_ORDERS) == [("Laptop", 1), ("Mouse", 2)]
+    # A late correction of one order, and one that was refused before.
+    late = {**RAW_ORDERS[0], "quantity": 3}
+    assert arrive([late, {**RAW_ORDERS[2], "product": "Cable"}]) == [
+        ("Cable", 1), ("Laptop", 3), ("Mouse", 2),
+    ]
+    for name in ("1", ".1.crc"):
+        os.remove(f"{root}/checkpoint/commits/{name}")
+    assert arrive([]) == [("Cable", 1), ("Laptop", 3), ("Mouse", 2)]
+
+
 def test_updates_are_merged_as_they_come(spark, orders, tmp_path):
     root = str(tmp_path)
     tables.seed(spark, f"{root}/silver", orders(BRONZE))
