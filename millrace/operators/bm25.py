@@ -134,12 +134,9 @@ def query_weights(
     index: Bm25Index, queries: DataFrame, max_entries: int = MAX_ENTRIES
 ) -> DataFrame:
     """(query_id, term, weight): idf times the number of times the query has the term."""
-    parts = [
-        _weighted(index, part) for part in query_passes(query_words(queries), "query_id", max_entries)
-    ]
-    if not parts:
-        parts = [_weighted(index, query_words(queries))]
-    return reduce(DataFrame.unionByName, parts)
+    asked = query_words(queries)
+    parts = [_weighted(index, part) for part in query_passes(asked, "query_id", max_entries)]
+    return reduce(DataFrame.unionByName, parts) if parts else _weighted(index, asked)
 
 
 def _result_schema(queries: DataFrame) -> StructType:
@@ -176,9 +173,8 @@ def _score_pass(
 ) -> DataFrame:
     """Score all units against one part of the queries."""
     # A query none of whose words is in the corpus still gets its k units.
-    everyone = asked.select(
-        "query_id", F.lit(None).cast("string").alias("term"), F.lit(None).cast("double").alias("weight")
-    ).distinct()
+    nothing = {"term": F.lit(None).cast("string"), "weight": F.lit(None).cast("double")}
+    everyone = asked.select("query_id").distinct().withColumns(nothing)
     weights = _weighted(index, asked).unionByName(everyone).toArrow()
     query_ids = pc.unique(weights["query_id"].combine_chunks())
     known = weights.filter(pc.is_valid(weights["weight"]))

@@ -40,6 +40,8 @@ def _matrix(column, dims: int | None = None) -> np.ndarray:
     if lengths != [dims]:
         raise ValueError(f"vectors have {lengths} numbers, not {dims}")
     rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
+    if not np.isfinite(rows).all():
+        raise ValueError("vectors must hold finite numbers only")
     norm = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
     return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
 

@@ -20,7 +20,8 @@ _FEED = """feed AS (
          CAST(o_custkey AS VARCHAR) AS user_id, p_name AS product,
          l_extendedprice AS price, CAST(l_quantity AS INTEGER) AS quantity,
          l_orderkey, l_linenumber
-  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey)"""
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
+                LEFT JOIN orders ON l_orderkey = o_orderkey)"""
 
 _FAULTY = """faulty AS (
   SELECT order_id, user_id, l_orderkey, l_linenumber,

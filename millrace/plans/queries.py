@@ -64,7 +64,9 @@ def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
             problem = str(mismatch)[:300]
             written = spark.createDataFrame([], ORDER_SCHEMA)
         parts.append(
-            written.agg(F.count(F.lit(1)).alias("n_written"), F.count("quantity").alias("n_quantity"))
+            written.agg(
+                F.count(F.lit(1)).alias("n_written"), F.count("quantity").alias("n_quantity")
+            )
             .withColumn("batch", F.lit(name))
             .withColumn("problem", F.lit(problem).cast("string"))
         )
@@ -165,13 +167,13 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_gate_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.check_results(feeds.order_feed(spark, sf_dir))
+    return quality.check_results(feeds.order_feed(spark, sf_dir, with_user=False))
 
 
 def quality_gate_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faulty rows whose id is cut to order and line number, which repeats."""
     parts = F.split("order_id", "-")
-    bad = feeds.faulty_order_feed(spark, sf_dir).select(
+    bad = feeds.faulty_order_feed(spark, sf_dir, with_user=False).select(
         F.concat_ws("-", parts[0], parts[3]).alias("order_id"),
         F.when(F.col("product") != "", F.col("product")).alias("product"),
         "price",
@@ -181,9 +183,8 @@ def quality_gate_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_product_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.by_revenue(
-        summary.product_summary(feeds.order_feed(spark, sf_dir), whole_cents=True)
-    )
+    feed = feeds.order_feed(spark, sf_dir, with_user=False)
+    return summary.by_revenue(summary.product_summary(feed, whole_cents=True))
 
 
 def gold_gated(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ def query_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Orders
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, with_user: bool = True) -> DataFrame:
     """The order feed and the number of the order that an event belongs to."""
     lines = files.spread(
         table(spark, sf_dir, "lineitem").select(
@@ -53,36 +53,39 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     products = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    buyers = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return (
-        lines.join(products, lines["l_partkey"] == products["p_partkey"])
-        .join(buyers, lines["l_orderkey"] == buyers["o_orderkey"])
-        .select(
-            F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias(
-                "order_id"
-            ),
-            F.col("o_custkey").cast("string").alias("user_id"),
-            F.col("p_name").alias("product"),
-            F.col("l_extendedprice").alias("price"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("l_orderkey").alias("order_no"),
-        )
+    events = lines.join(products, lines["l_partkey"] == products["p_partkey"], "left")
+    if with_user:
+        buyers = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        events = events.join(buyers, lines["l_orderkey"] == buyers["o_orderkey"], "left")
+    else:
+        events = events.withColumn("o_custkey", F.lit(None).cast("bigint"))
+    return events.select(
+        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("order_id"),
+        F.col("o_custkey").cast("string").alias("user_id"),
+        F.col("p_name").alias("product"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_orderkey").alias("order_no"),
     )
 
 
-def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order event table: one event per line item."""
-    return _lines(spark, sf_dir).drop("order_no")
+def order_feed(spark: SparkSession, sf_dir: str, with_user: bool = True) -> DataFrame:
+    """The order event table: one event per line item.
+
+    The user comes from a join of the two largest tables, which a caller that
+    has no use for it should not pay for: without it, ``user_id`` is null.
+    """
+    return _lines(spark, sf_dir, with_user).drop("order_no")
 
 
 def _fault(divisor: int) -> Column:
     return F.col("order_no") % divisor == 0
 
 
-def faulty_order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def faulty_order_feed(spark: SparkSession, sf_dir: str, with_user: bool = True) -> DataFrame:
     """The whole order feed with faults put into the records of some orders."""
     price, quantity = F.col("price"), F.col("quantity")
-    return _lines(spark, sf_dir).select(
+    return _lines(spark, sf_dir, with_user).select(
         "order_id",
         "user_id",
         F.when(_fault(89), F.lit("")).otherwise(F.col("product")).alias("product"),

@@ -39,6 +39,10 @@ def compare(spark, con, name: str, query, sql: str | None, sf_dir: str) -> tuple
     """Equal rows up to order, under columns sorted by name; and a short account."""
     begun = time.time()
     df = query(spark, sf_dir)
+    plan = df._jdf.queryExecution().toString()
+    for pairs in ("CartesianProduct", "BroadcastNestedLoopJoin", "Join Cross"):
+        if pairs in plan:
+            return False, f"{name}: the plan has a {pairs}"
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
     spent = time.time() - begun
     if sql is None:

@@ -91,11 +91,14 @@ def corpus():
             # "hot" is found in most units, and many units are copies.
             text = " ".join(rng.choices(vocabulary, k=rng.randint(0, 12)))
             text = "hot hot " + text if rng.random() < 0.7 else text
-            units.append(((f"d{doc:02}", idx), units[-1][1] if units and rng.random() < 0.3 else text))
+            copied = units and rng.random() < 0.3
+            units.append(((f"d{doc:02}", idx), units[-1][1] if copied else text))
     return units
 
 
-QUERIES = ["hot w1 w2", "w3 W3 w3 w4", "STRASSE Straße 中文", "nothing known", "", "hot", "w5, w6; ñandú"]
+QUERIES = [
+    "hot w1 w2", "w3 W3 w3 w4", "STRASSE Straße 中文", "nothing known", "", "hot", "w5, w6; ñandú"
+]
 
 
 @pytest.mark.parametrize("options", [{}, {"max_entries": 3}])

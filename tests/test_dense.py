@@ -82,6 +82,11 @@ def test_missing_and_uneven_vectors(spark, vectors):
     some = spark.createDataFrame([(1, vectors[0].tolist()), (2, None)], schema)
     found = dense.vector_topk(some, queries, ["vec_id"], 3)
     assert rows(found.select("vec_id", "score")) == [(1, 1.0)]
+    # A number that is none would come out on top of every comparison.
+    for wrong in (float("nan"), float("inf"), None):
+        odd = spark.createDataFrame([(1, [1.0] * 7 + [wrong])], schema)
+        with pytest.raises(PySparkException, match="finite numbers"):
+            dense.vector_topk(odd, queries, ["vec_id"], 3).collect()
     # Seven and nine numbers would fill two rows of eight.
     uneven = spark.createDataFrame([(1, [1.0] * 7), (2, [1.0] * 9)], schema).coalesce(1)
     with pytest.raises(PySparkException, match="numbers, not 8"):
