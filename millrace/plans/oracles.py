@@ -438,6 +438,14 @@ SELECT query_id, unit AS vec_id, score, CAST(rk AS INTEGER) AS rk,
         _CHUNKS,
         select="SELECT source_doc, chunk_idx, chunk_id, text, 256 AS dims FROM units",
     ),
+    "vector_rebuild": _with(_CHUNKS, select="SELECT count(*) AS n_vectors FROM units"),
+    "candidate_texts": _with(
+        _nearest("CAST(v.vec_id AS VARCHAR)"),
+        select="""
+SELECT query_id, count(*) AS n_candidates,
+       count(*) FILTER (unit NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM documents)) AS n_missing
+FROM nearest GROUP BY query_id""",
+    ),
     "rrf_fusion": _with(
         *_LINKED,
         select="""

@@ -19,6 +19,7 @@ from millrace.operators import (
     lineage,
     prompts,
     quality,
+    rerank,
     summary,
     upsert,
 )
@@ -368,6 +369,16 @@ def embed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vector_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors in the table after building it anew over an older one."""
+    chunks = files.materialize(_chunks(spark, sf_dir), "chunks")
+    vectors = embed.vector_table(embed.HashedTfIdf.fit(chunks).transform(chunks))
+    path = files.run_dir(spark, "vectors")
+    for _ in range(2):
+        tables.publish(vectors, path)
+    return tables.read_snapshot(spark, path).agg(F.count(F.lit(1)).alias("n_vectors"))
+
+
 def semantic_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text questions against the vector table, both through the same encoder."""
     store, encoder = _vector_store(spark, sf_dir)
@@ -379,19 +390,41 @@ def semantic_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 # document and the vector of the same number are taken for one unit.
 
 
-def _linked(spark: SparkSession, sf_dir: str) -> tuple[bm25.Bm25Index, DataFrame, DataFrame]:
-    units = feeds.document_feed(spark, sf_dir).select(
+def _linked_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feeds.document_feed(spark, sf_dir).select(
         "source_doc",
         F.lit(0).alias("chunk_idx"),
         F.concat("source_doc", F.lit("_chunk0")).alias("chunk_id"),
         "text",
     )
-    vectors = _embeddings(spark, sf_dir).select(
+
+
+def _linked_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _embeddings(spark, sf_dir).select(
         F.col("vec_id").cast("string").alias("source_doc"),
         F.lit(0).alias("chunk_idx"),
         "embedding",
     )
-    return bm25.build_index(units), vectors, _query_vectors(spark, sf_dir)
+
+
+def _linked(spark: SparkSession, sf_dir: str) -> tuple[bm25.Bm25Index, DataFrame, DataFrame]:
+    index = bm25.build_index(_linked_units(spark, sf_dir))
+    return index, _linked_vectors(spark, sf_dir), _query_vectors(spark, sf_dir)
+
+
+def candidate_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest vectors of each question, and how many of them no document belongs to."""
+    vectors, queries = _linked_vectors(spark, sf_dir), _query_vectors(spark, sf_dir)
+    units = _linked_units(spark, sf_dir)
+    nearest = rerank.settled(
+        dense.vector_topk(vectors, queries, retrieval.KEYS, retrieval.LIST_DEPTH)
+    )
+    found = rerank.with_text(nearest, units, retrieval.KEYS).select("query_id", F.lit(0).alias("m"))
+    missing = rerank.missing_units(nearest, units, retrieval.KEYS)
+    both = found.unionByName(missing.select("query_id", F.lit(1).alias("m")))
+    return both.groupBy("query_id").agg(
+        F.count(F.lit(1)).alias("n_candidates"), F.sum("m").alias("n_missing")
+    )
 
 
 def rrf_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -453,7 +486,9 @@ QUERIES: dict[str, Query] = {
         dense_topk,
         dense_cells_recall,
         embed_chunks,
+        vector_rebuild,
         semantic_topk,
+        candidate_texts,
         rrf_fusion,
         hybrid_topk,
         rerank_topk,
