@@ -153,10 +153,13 @@ def joined(spans: Column) -> Column:
 
 def digests(found: DataFrame) -> DataFrame:
     """``doc_id``, counts by kind, hash of the base spans, and all spans."""
-    counts = [F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in KINDS[:3]]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
         "doc_id",
-        *counts,
+        *map(count, KINDS[:3]),
         F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
         joined(F.concat("base", "added")).alias("spans"),
         F.size("added").cast("long").alias("n_live"),
