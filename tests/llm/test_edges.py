@@ -1,0 +1,92 @@
+"""Every operator and stage on odd rows, clashing columns and empty tables."""
+
+import public_tokenizers
+import pytest
+
+import corpus_pipeline
+from millrace.llm import (
+    bayes,
+    exact_dedup,
+    host_rules,
+    html_extract,
+    line_dedup,
+    order_minhash,
+    packing,
+    pieces,
+    secrets,
+    token_files,
+    tokens,
+)
+from tests.llm.conftest import LABELS
+
+WORDS = tokens.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+BYTES = tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+MODEL = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def labels(spark):
+    return spark.createDataFrame([(1, 1, 0), (10, 0, 0), (None, 1, 0), (9, None, None), (99, 1, 1), (1, 1, 0)], LABELS)
+
+
+OPERATORS = {
+    "exact_dedup": lambda spark, df: exact_dedup.exact_dedup(df),
+    "packing": lambda spark, df: packing.pack_documents(df, WORDS),
+    "secrets": lambda spark, df: secrets.digests(secrets.find_secrets(df)),
+    "redact": lambda spark, df: secrets.redact(df),
+    "near": lambda spark, df: order_minhash.near_duplicates(df),
+    "pieces": lambda spark, df: pieces.decode(pieces.encode(df, MODEL), MODEL),
+    "lines": lambda spark, df: line_dedup.dedup_lines(df),
+    "rules": lambda spark, df: host_rules.judge(df),
+    "files": lambda spark, df: token_files.round_trip(spark, df, BYTES, 50_257),
+    "bayes": lambda spark, df: bayes.classify(df, labels(spark)),
+}
+
+
+@pytest.mark.parametrize("name", list(OPERATORS))
+def test_odd_rows(spark, odd, clashing, empty, name):
+    run = OPERATORS[name]
+    rows = run(spark, clashing).collect()
+    plain = run(spark, odd)
+    assert len(rows) == plain.count()
+    if name != "packing":
+        assert len(rows) == odd.count()
+    assert run(spark, empty).collect() == []
+
+
+def test_odd_pages(spark):
+    rows = [
+        (1, "u", "<p>one</p>", 1),
+        (1, "u", "<p>one</p>", 2),
+        (2, None, None, 3),
+        (None, "u", "", 4),
+        (3, "u", "<article><p>" + "word " * 50_000, 5),
+        (4, "u", "<" * 2_000 + "'\"" * 2_000, 6),
+        (5, "u", "<nav><a href=x>menu</a></nav>", 7),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
+    found = sorted(html_extract.extract(pages).collect(), key=str)
+    assert len(found) == len(rows)
+    texts = {(r["page_id"], r["url"]): r["text"] for r in found}
+    assert texts[1, "u"] == "one"
+    assert texts[2, None] == texts[None, "u"] == texts[5, "u"] == ""
+    assert texts[3, "u"] == " ".join(["word"] * 50_000)
+    assert html_extract.extract(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES[:-1]])
+def test_stages_keep_columns(spark, clashing, empty, tmp_path, stage):
+    labels(spark).write.parquet(f"{tmp_path}/labels.parquet")
+    function = dict(corpus_pipeline.STAGES)[stage]
+    out = function(spark, clashing, str(tmp_path))
+    assert out.columns == clashing.columns
+    assert out.schema == clashing.schema
+    assert 0 < len(out.collect()) <= clashing.count()
+    assert function(spark, empty, str(tmp_path)).collect() == []
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, odd, empty, tmp_path):
+    for n, df in enumerate((odd, empty)):
+        labels(spark).write.parquet(f"{tmp_path}/{n}/labels.parquet")
+        df.write.parquet(f"{tmp_path}/{n}/documents.parquet")
+        rows = corpus_pipeline.run(spark, f"{tmp_path}/{n}").collect()
+        assert bool(rows) == (n == 0)

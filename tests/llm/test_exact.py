@@ -1,0 +1,47 @@
+"""Exact dedup against a plain grouping, and the trie by itself."""
+
+import hashlib
+import random
+import re
+
+from millrace.llm.exact_dedup import exact_dedup
+from millrace.llm.radix import RadixTrie
+
+
+def test_trie_against_dict():
+    rng = random.Random(1)
+    for _ in range(200):
+        trie, want, got = RadixTrie(lambda a, b: a + b), {}, {}
+        for _ in range(rng.randint(0, 60)):
+            key = bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 6)))
+            trie.insert(key, 1)
+            want[key] = want.get(key, 0) + 1
+            if rng.random() < 0.05:
+                for k, v in trie.spill():
+                    got[k] = got.get(k, 0) + v
+        for k, v in trie.items():
+            got[k] = got.get(k, 0) + v
+        assert got == want
+
+
+def test_edges_are_compressed():
+    trie = RadixTrie(min)
+    for n, key in enumerate((b"romane", b"romanus", b"romulus")):
+        trie.insert(key, n)
+    assert trie.n_bytes == len("rom") + len("an") + len("e") + len("us") + len("ulus")
+
+
+def test_against_grouping(spark, odd, odd_rows):
+    groups = {}
+    for doc_id, text, *_ in odd_rows:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", text or ""), []).append((doc_id, text or ""))
+    want = []
+    for norm, rows in groups.items():
+        first = min(rows, key=lambda r: (-len(r[1]), r[0] is None, r[0] or 0))
+        for doc_id, text in rows:
+            kept = doc_id == first[0] and len(text) == len(first[1])
+            want.append((doc_id, first[0], len(rows), kept, hashlib.sha256(norm.encode()).hexdigest()))
+    for trie_bytes in (1 << 20, 50):
+        found = exact_dedup(odd, trie_bytes=trie_bytes)
+        got = found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)

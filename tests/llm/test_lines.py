@@ -1,0 +1,57 @@
+"""Line dedup against a plain walk over all documents."""
+
+import random
+import re
+from collections import defaultdict
+
+from millrace.llm.line_dedup import dedup_lines
+
+SPACE = "\x20\t\n\x0b\x0c\r"
+
+
+def by_hand(rows):
+    """Texts by row, with the places that later repeats of windows of three cover removed."""
+    documents = sorted({(d is None, d or 0, t) for d, t in rows if t is not None}, key=lambda r: (r[0], r[1], md5(r[2])))
+    seen, gone = set(), defaultdict(set)
+    for row in documents:
+        lines = [(n, line.strip(SPACE)) for n, line in enumerate(row[2].split("\n"))]
+        lines = [x for x in lines if x[1]]
+        for window in zip(lines, lines[1:], lines[2:]):
+            key = tuple(line for _, line in window)
+            if key in seen:
+                gone[row].update(range(window[0][0], window[2][0] + 1))
+            seen.add(key)
+    out = []
+    for d, t in rows:
+        row = (d is None, d or 0, t)
+        kept = None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[row])
+        out.append((d, kept))
+    return out
+
+
+def md5(text):
+    import hashlib
+
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def test_against_walk(spark):
+    rng = random.Random(8)
+    pool = [f"line {n}" for n in range(6)] + ["", "  ", " line 1 ", "é", "line 2\r"]
+    rows = [(n if n % 7 else None, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 14)))) for n in range(150)]
+    rows += [(500, None), (501, ""), (502, "a\nb"), (503, "p\nq\nr"), (504, "x\np\n\nq\nr\ny"), (505, "\n".join("abc" * 2_000))]
+    rows += rows[:5]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["text"]) for r in dedup_lines(docs).collect()]
+    assert sorted(got, key=repr) == sorted(by_hand(rows), key=repr)
+
+
+def test_counts(spark):
+    docs = spark.createDataFrame([(1, "a\nb\nc\nd"), (2, "x\na\nb\n\nc\nd\ny")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in dedup_lines(docs).collect()}
+    assert got == {1: ("a\nb\nc\nd", 4, 0), 2: ("x\ny", 6, 4)}
+
+
+def test_no_python_in_the_plan(spark):
+    docs = spark.createDataFrame([(1, "a\nb\nc")], "doc_id long, text string")
+    assert not re.search("Python|Pandas|Arrow", dedup_lines(docs)._jdf.queryExecution().toString())

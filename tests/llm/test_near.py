@@ -1,0 +1,130 @@
+"""Near duplicates against all pairs, and the parts by themselves."""
+
+import random
+from collections import defaultdict
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from millrace.llm import order_minhash as omh
+
+
+def distance(a, b):
+    before = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        before = row
+    return before[-1]
+
+
+def test_banded_alignment():
+    rng = random.Random(1)
+    for _ in range(2_000):
+        a = [rng.randint(0, 3) for _ in range(rng.randint(0, 14))]
+        b = list(a)
+        for _ in range(rng.randint(0, 5)):
+            at, how = rng.randint(0, len(b)), rng.random()
+            if how < 0.4:
+                b.insert(at, rng.randint(0, 3))
+            elif b:
+                b[min(at, len(b) - 1) : min(at, len(b) - 1) + 1] = [] if how < 0.7 else [rng.randint(0, 3)]
+        most, want = rng.randint(0, 8), distance(a, b)
+        assert omh.edits_within(a, b, most) == (want if want <= most else None)
+
+
+def test_labels_tell_occurrences_apart():
+    words = np.array([7] * 12, np.uint64)
+    assert len(set(omh.labelled(words).tolist())) == 8
+    assert len(omh.labelled(words[:3])) == 1
+
+
+def test_keys_depend_on_order():
+    rng = np.random.default_rng(0)
+    words, seeds = rng.integers(1, 1 << 60, 400).astype(np.uint64), omh._seeds(omh.BANDS)
+    same = omh.sketch(words, seeds)
+    assert (same == omh.sketch(words.copy(), seeds)).all()
+    moved = np.r_[words[200:], words[:200]]
+    edited = words.copy()
+    edited[50] = 3
+    assert (omh.sketch(moved, seeds) == same).mean() < 0.3 < (omh.sketch(edited, seeds) == same).mean()
+
+
+def classes_of(texts):
+    words = [omh._words(t or "") for t in texts]
+    sets = [omh.shingles(w) for w in words]
+    root = list(range(len(texts)))
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if words[i] and words[j] and omh.similar(words[i], sets[i], words[j], sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [find(n) for n in range(len(texts))]
+
+
+def variants(prose, rng):
+    """Originals with edited copies of them, and unrelated texts that share a passage."""
+    passage = prose(60, 999)
+    texts = [None, "", " \n", "few words", "few words", "few  words"]
+    for n in range(25):
+        original = prose(rng.randint(30, 400), n)
+        texts.append(original)
+        for _ in range(rng.randint(0, 6)):
+            words = original.split(" ")
+            for _ in range(rng.randint(0, max(1, len(words) // 25))):
+                words[rng.randrange(len(words))] = f"new{rng.random()}"
+            texts.append(" ".join(words))
+    texts += [prose(120, 2_000 + n) + "\n" + passage for n in range(40)]
+    rng.shuffle(texts)
+    return texts
+
+
+def test_classes_against_all_pairs(prose, docs_of):
+    texts = variants(prose, random.Random(3))
+    rows = {r["doc_id"]: r for r in omh.near_duplicates(docs_of(texts)).collect()}
+    want = classes_of(texts)
+    assert [rows[n]["class_id"] for n in range(len(texts))] == want
+    sizes = defaultdict(int)
+    for c in want:
+        sizes[c] += 1
+    assert all(rows[n]["class_size"] == sizes[want[n]] for n in rows)
+    assert all(rows[n]["kept"] == (want[n] == n) for n in rows)
+
+
+def test_one_large_class(prose, docs_of):
+    """A star: copies are like the original and hardly like each other. Pairs stay linear."""
+    rng, original = random.Random(5), prose(200, 1).split(" ")
+    texts = []
+    for n in range(500):
+        words = list(original)
+        for _ in range(2 if n != 250 else 0):
+            words[rng.randrange(len(words))] = f"w{rng.random()}"
+        texts.append(" ".join(words))
+    docs = docs_of(texts)
+    nodes = docs.select(omh._node(F.col("text")).alias("node"), "text")
+    assert omh.candidates(nodes).count() < 20 * len(texts)
+    assert [r["class_id"] for r in omh.near_duplicates(docs).select("class_id").distinct().collect()] == [0]
+
+
+def test_components_of_a_chain(spark):
+    names = [n.to_bytes(4, "big") for n in range(200)]
+    order = random.Random(1).sample(names, 200)
+    links = spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in zip(order, order[1:])], "node binary, other binary")
+    found = omh.components(links).collect()
+    assert len(found) == 200 and {bytes(r["root"]) for r in found} == {names[0]}
+
+
+def test_one_row_of_each_class_stays(spark, odd, prose, docs_of):
+    texts = variants(prose, random.Random(4))
+    want = sorted(set(classes_of(texts)))
+    docs = docs_of(texts)
+    assert sorted(r["doc_id"] for r in omh.keep_one(docs.union(docs)).collect() if (r["text"] or "").strip()) == [
+        n for n in want if (texts[n] or "").strip()
+    ]
