@@ -8,9 +8,10 @@
 2. Nodes that share a key are candidates. They are not paired with each other: in each
    bucket of a key every node is paired with three of its members. The central one is
    the node whose keys are shared most over all buckets, as an original shares keys with
-   all its edited copies; the others are the smallest name, and the smallest under a
-   hash that differs by bucket. All three come from combinable aggregates, so a bucket
-   of any size costs three pairs a member at most.
+   all its edited copies; the others are the smallest name and the one with the smallest
+   hash of its name, two orders that hold for all buckets, so that buckets of one group
+   agree on few heads. All three come from combinable aggregates, so a bucket of any
+   size costs three pairs a member at most.
 3. A pair is linked if its sets of ``SHINGLE``-word shingles have a Jaccard similarity
    of ``SIMILARITY`` or more, and a banded alignment of the words, which gives up as
    soon as it needs more edits than the band is wide, an edit similarity of
@@ -211,7 +212,7 @@ def shared_heads(ranked: DataFrame) -> DataFrame:
         # The smallest name among the most central, as max would take the largest.
         F.min(F.struct((-F.col("shares")).alias("rank"), "node"))["node"].alias("central"),
         F.min("node").alias("smallest"),
-        F.min(F.struct(F.xxhash64("node", "key").alias("rank"), "node"))["node"].alias("chosen"),
+        F.min(F.struct(F.xxhash64("node").alias("rank"), "node"))["node"].alias("chosen"),
     )
 
 
