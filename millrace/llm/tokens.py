@@ -10,18 +10,28 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Distinct units that a task remembers, and the longest one worth remembering.
+#: Distinct units of a generation that a worker remembers, and the longest one worth it.
 CACHE_UNITS = 500_000
 UNIT_CHARS = 200
 _TOGETHER = 64
-_OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
-_UNITS = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+\Z")
-_WORDS = re.compile(r"[^\t-\r ]+")
+_ASCII_ODD = "\x1c\x1d\x1e\x1f"
+_OTHER_SPACE = _ASCII_ODD + "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_UNITS = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+\Z").findall
 _SEPARATOR = "<|endoftext|>"
+# Stands before a unit that has no blank in front of it. Texts that hold it are encoded whole.
+_BARE = "\x1f"
+
+
+def _spaced_units(text: str) -> list[str]:
+    """Units of a text for vocabularies that keep white space, without the blank before each."""
+    if any(map(text.__contains__, ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c"))):
+        return [u[1:] if u[0] == " " else _BARE + u for u in _UNITS(text)]
+    # Each run of white space is one blank or one line feed, which a split by blanks finds.
+    return (_BARE + text.replace("\n", f" {_BARE}\n")).split(" ")
 
 
 class UnitEncoder:
@@ -29,6 +39,8 @@ class UnitEncoder:
 
     ``leading_space`` tells that white space belongs to the ids (byte-level vocabularies);
     else the vocabulary drops it. Strings of special tokens count as ordinary text.
+    Units are remembered for two generations: when the newer one is full the older one is
+    dropped, and what is used again moves to the newer.
     """
 
     def __init__(self, vocabulary: str, leading_space: bool, cache_units: int = CACHE_UNITS):
@@ -38,48 +50,66 @@ class UnitEncoder:
         self._plain.encode_special_tokens = True
         self._joined = Tokenizer.from_str(vocabulary)
         self._separator = self._joined.token_to_id(_SEPARATOR)
-        self._split = (_UNITS if leading_space else _WORDS).findall
-        self._cache: dict[str, bytes] = {}
+        self._spaced = leading_space
+        self._new: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
         self._cache_units = cache_units
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self._plain.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _learn(self, units: list[str]) -> dict[str, bytes]:
+    def _text(self, unit: str) -> str:
+        if not self._spaced:
+            return unit
+        return unit[1:] if unit[:1] == _BARE else " " + unit
+
+    def _learn(self, units: list[str]) -> Iterator[tuple[str, bytes]]:
         """Ids of distinct units. A special token between them keeps them apart."""
-        odd = [u for u in units if "<|" in u]
-        learnt = dict(zip(odd, self._whole(odd)))
-        plain = [u for u in units if "<|" not in u] if odd else units
-        groups = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
-        found = self._joined.encode_batch_fast([_SEPARATOR.join(g) for g in groups], add_special_tokens=False)
-        for group, encoding in zip(groups, found):
-            ids = np.array(encoding.ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self._separator) * 4
-            raw = ids.tobytes()
-            begins, ends = [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(raw)]
-            learnt.update((u, raw[a:b]) for u, a, b in zip(group, begins, ends))
-        return learnt
+        odd = [u for u in units if "<|" in u or len(u) > UNIT_CHARS]
+        if odd:
+            yield from zip(odd, self._whole([self._text(u) for u in odd]))
+            apart = set(odd)
+            units = [u for u in units if u not in apart]
+        for at in range(0, len(units), _TOGETHER * 256):
+            groups = [units[i : i + _TOGETHER] for i in range(at, min(at + _TOGETHER * 256, len(units)), _TOGETHER)]
+            joined = [_SEPARATOR.join(map(self._text, g)) for g in groups]
+            for group, encoding in zip(groups, self._joined.encode_batch_fast(joined, add_special_tokens=False)):
+                ids = np.array(encoding.ids, dtype="<u4")
+                cuts = (np.flatnonzero(ids == self._separator) * 4).tolist()
+                raw = ids.tobytes()
+                begin = 0
+                for unit, end in zip(group, [*cuts, len(raw)]):
+                    yield unit, raw[begin:end]
+                    begin = end + 4
+
+    def _units(self, text: str) -> list[str] | None:
+        """None if the text has to be encoded whole."""
+        odd = _ASCII_ODD if text.isascii() else _OTHER_SPACE
+        if any(map(text.__contains__, odd)):
+            return None
+        return _spaced_units(text) if self._spaced else text.split()
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         texts = list(texts)
-        units = [None if _OTHER_SPACE.search(t) else self._split(t) for t in texts]
-        distinct = set()
+        new, old = self._new, self._old
+        units = [self._units(t) for t in texts]
+        missing: set[str] = set()
         for found in units:
             if found:
-                distinct.update(found)
-        if len(self._cache) + len(distinct) > self._cache_units:
-            self._cache.clear()
-        cache = self._cache
-        new = [u for u in distinct if u not in cache]
-        long = [u for u in new if len(u) > UNIT_CHARS]
-        cache.update(self._learn([u for u in new if len(u) <= UNIT_CHARS] if long else new))
-        # Long units are looked up in this batch only.
-        cache.update(zip(long, self._whole(long)))
-        get = cache.__getitem__
+                missing.update([u for u in found if u not in new])
+        again = missing & old.keys() if old else set()
+        for unit in again:
+            new[unit] = old[unit]
+        learn = list(missing - again)
+        new.update(self._learn(learn))
+        get = new.__getitem__
         out = [b"".join(map(get, u)) if u is not None else self._whole([t])[0] for t, u in zip(texts, units)]
-        for unit in long:
-            del cache[unit]
+        for unit in learn:
+            if len(unit) > UNIT_CHARS:
+                del new[unit]  # long units are looked up in this batch only
+        if len(new) > self._cache_units:
+            self._new, self._old = {}, new
         return out
 
 
