@@ -11,10 +11,6 @@ BM25_B = 0.75
 BM25_EPSILON = 0.25
 RRF_K = 60
 
-# Scores equal to this many decimals count as ties, so that a ranking does not
-# hang on the order in which floating-point terms were added.
-SCORE_DIGITS = 6
-
 
 def raw_idf(n_units: int, df: Column) -> Column:
     """ln of the odds that a unit lacks the term; negative for very common terms."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -9,7 +10,8 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
@@ -19,11 +21,12 @@ from millrace.operators.topk import (
     QUERY_BLOCK,
     RunningBest,
     blocks,
+    in_passes,
     query_passes,
     ranked,
     unit_order,
 )
-from millrace.sources import files
+from millrace.sources import files, tables
 
 KEYS = ["source_doc", "chunk_idx"]
 
@@ -50,20 +53,36 @@ def tokenized(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("words", tx.words(F.col("text")))
 
 
+def _runs(words: Column) -> Column:
+    """(term, tf) of a list of words: sorted, each term is a run of equal words."""
+
+    def counted(ordered: Column, starts: Column) -> Column:
+        def run(start: Column, n: Column) -> Column:
+            stop = F.coalesce(F.get(starts, n + 1), F.size(ordered))
+            return F.struct(F.get(ordered, start).alias("term"), (stop - start).alias("tf"))
+
+        return F.transform(starts, run)
+
+    def starts(ordered: Column) -> Column:
+        def first(word: Column, n: Column) -> Column:
+            return F.when((n == 0) | (word != F.get(ordered, n - 1)), n)
+
+        return F.filter(F.transform(ordered, first), lambda n: n.isNotNull())
+
+    # As arguments of a lambda, lists are worked out once.
+    def whole(ordered: Column) -> Column:
+        return F.transform(F.array(starts(ordered)), lambda s: counted(ordered, s))[0]
+
+    return F.transform(F.array(F.array_sort(words)), whole)[0]
+
+
 def term_frequencies(units: DataFrame) -> DataFrame:
     """(unit, term, tf, n_words).
 
     A unit's words are counted inside its own row: all of them are there, so
     nothing has to be shuffled.
     """
-    counted = F.transform(
-        F.array_distinct("words"),
-        lambda term: F.struct(
-            term.alias("term"),
-            F.size(F.filter(F.col("words"), lambda w: w == term)).alias("tf"),
-        ),
-    )
-    return units.select(*KEYS, F.size("words").alias("n_words"), F.inline(counted))
+    return units.select(*KEYS, F.size("words").alias("n_words"), F.inline(_runs(F.col("words"))))
 
 
 def document_frequencies(units: DataFrame) -> DataFrame:
@@ -97,17 +116,27 @@ def _opened(units: DataFrame, terms: DataFrame) -> Bm25Index:
 
 
 def build_index(chunks: DataFrame, path: str | None = None) -> Bm25Index:
-    """Write the index tables once; every search reads them."""
+    """Write the index tables once; every search reads them.
+
+    Both are one snapshot: an index that was built before at this path is read
+    until the new one is complete, and a build that failed leaves nothing.
+    """
     spark = chunks.sparkSession
     path = path or files.run_dir(spark, "bm25")
-    tokenized(chunks).write.mode("errorifexists").parquet(f"{path}/units")
-    units = spark.read.parquet(f"{path}/units")
-    document_frequencies(units).write.mode("errorifexists").parquet(f"{path}/terms")
+    replaces = tables.newest(spark, path)
+    staged = f"{path}/_staged-{uuid.uuid4().hex}"
+    tokenized(chunks).write.mode("errorifexists").parquet(f"{staged}/units")
+    units = spark.read.parquet(f"{staged}/units")
+    document_frequencies(units).write.mode("errorifexists").parquet(f"{staged}/terms")
+    tables.put_snapshot(spark, staged, path, replaces)
     return open_index(spark, path)
 
 
 def open_index(spark: SparkSession, path: str) -> Bm25Index:
-    return _opened(spark.read.parquet(f"{path}/units"), spark.read.parquet(f"{path}/terms"))
+    current = tables.current_snapshot(spark, path)
+    if current is None:
+        raise FileNotFoundError(f"no index under {path}")
+    return _opened(spark.read.parquet(f"{current}/units"), spark.read.parquet(f"{current}/terms"))
 
 
 def query_words(queries: DataFrame) -> DataFrame:
@@ -169,9 +198,10 @@ def _unit_ranges(unit: np.ndarray, count: np.ndarray, limit: int) -> Iterator[tu
 
 
 def _score_pass(
-    index: Bm25Index, asked: DataFrame, schema: StructType, k: int, digits: int | None
-) -> DataFrame:
-    """Score all units against one part of the queries."""
+    index: Bm25Index, asked: pa.Table, schema: StructType, k: int, digits: int | None
+) -> tuple[DataFrame, Broadcast]:
+    """Score all units against one part of the queries, which is sent to the tasks."""
+    asked = index.units.sparkSession.createDataFrame(asked)
     # A query none of whose words is in the corpus still gets its k units.
     nothing = {"term": F.lit(None).cast("string"), "weight": F.lit(None).cast("double")}
     everyone = asked.select("query_id").distinct().withColumns(nothing)
@@ -237,18 +267,21 @@ def _score_pass(
                     names=["query_id", *KEYS, "score"],
                 )
 
-    return index.units.select(*KEYS, "words").mapInArrow(score, schema)
+    return index.units.select(*KEYS, "words").mapInArrow(score, schema), shared
 
 
 def keyword_topk(
     index: Bm25Index,
     queries: DataFrame,
     k: int,
-    digits: int | None = sc.SCORE_DIGITS,
+    digits: int | None = None,
     max_entries: int = MAX_ENTRIES,
 ) -> DataFrame:
     """The k best units per query: (query_id, source_doc, chunk_idx, score, rk).
 
+    With ``digits`` scores equal to that many decimals are ties, so that a ranking
+    does not hang on the order of floating-point additions.
+
     Every unit is scored for every query, those without a common word with 0, so
     a query always gets k units if there are as many; ties come in corpus order.
     Joining query words with postings would send a row per pair of query and
@@ -257,11 +290,13 @@ def keyword_topk(
     side and a task hands on about k rows per query.
     """
     schema = _result_schema(queries)
-    parts = [
-        _score_pass(index, part, schema, k, digits)
-        for part in query_passes(query_words(queries), "query_id", max_entries)
-    ]
-    if not parts:
-        parts = [queries.sparkSession.createDataFrame([], schema)]
-    scored = reduce(DataFrame.unionByName, parts)
-    return ranked(scored, ["query_id"], unit_order(KEYS), k)
+    asked = files.materialize(query_words(queries), "asked")
+    return in_passes(
+        asked,
+        "query_id",
+        max_entries,
+        k,
+        lambda part: _score_pass(index, part, schema, k, digits),
+        lambda scored: ranked(scored, ["query_id"], unit_order(KEYS), k),
+        schema,
+    )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
@@ -16,12 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from millrace.functions import scores as sc
 from millrace.operators.topk import (
     QUERY_BLOCK,
     RunningBest,
     blocks,
-    query_passes,
+    in_passes,
     ranked,
     unit_order,
 )
@@ -55,8 +54,10 @@ def _score_pass(
     digits: int | None,
     cells: CellTable | None,
     n_probe: int,
-) -> DataFrame:
-    ids, query_rows = queries["query_id"].combine_chunks(), _matrix(queries["embedding"])
+) -> tuple[DataFrame, Broadcast]:
+    """Score the vectors against one part of the queries, which is sent to the tasks."""
+    ids = queries["query_id"].combine_chunks()
+    query_rows = _matrix(queries["embedding"])
     probed = None
     if cells is not None:
         # Which of the cells each query looks into: those with the nearest centers.
@@ -100,7 +101,7 @@ def _score_pass(
                     )
 
     used = [*keys, "embedding"] if cells is None else [*keys, "embedding", "cell"]
-    return vectors.select(*used).mapInArrow(score, schema)
+    return vectors.select(*used).mapInArrow(score, schema), shared
 
 
 def _search(
@@ -123,14 +124,18 @@ def _search(
     # A unit or query without a vector has no place in the ranking.
     vectors = vectors.where(F.col("embedding").isNotNull())
     queries = queries.where(F.col("embedding").isNotNull()).select("query_id", "embedding")
+    # Written once: an encoder in front of them works on each question one time.
+    queries = files.materialize(queries, "queries")
     longest = queries.agg(F.max(F.size("embedding"))).first()[0] or 1
-    parts = [
-        _score_pass(vectors, part.toArrow(), keys, schema, k, digits, cells, n_probe)
-        for part in query_passes(queries, "query_id", max(1, max_numbers // longest))
-    ]
-    if not parts:
-        parts = [queries.sparkSession.createDataFrame([], schema)]
-    return ranked(reduce(DataFrame.unionByName, parts), ["query_id"], unit_order(keys), k)
+    return in_passes(
+        queries,
+        "query_id",
+        max(1, max_numbers // (longest + k)),
+        0,
+        lambda part: _score_pass(vectors, part, keys, schema, k, digits, cells, n_probe),
+        lambda scored: ranked(scored, ["query_id"], unit_order(keys), k),
+        schema,
+    )
 
 
 def vector_topk(
@@ -138,11 +143,13 @@ def vector_topk(
     queries: DataFrame,
     keys: list[str],
     k: int,
-    digits: int | None = sc.SCORE_DIGITS,
+    digits: int | None = None,
     max_numbers: int = MAX_NUMBERS,
 ) -> DataFrame:
     """The k vectors nearest to each query: (query_id, *keys, score, rk).
 
+    With ``digits`` scores equal to that many decimals are ties.
+
     ``vectors`` has the key columns and ``embedding``, ``queries`` has
     ``query_id`` and ``embedding``. The score is the cosine, 1 minus the cosine
     distance. Queries go to the tasks as one matrix of measured size, in several
@@ -190,7 +197,7 @@ def cell_topk(
     keys: list[str],
     k: int,
     n_probe: int,
-    digits: int | None = sc.SCORE_DIGITS,
+    digits: int | None = None,
     max_numbers: int = MAX_NUMBERS,
 ) -> DataFrame:
     """Like ``vector_topk``, but each query looks only into its nearest cells.

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import IDF, HashingTF, IDFModel, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, IDFModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +41,9 @@ def encode(df: DataFrame, load_encoder: Callable[[], Encoder], text: str = "text
 class HashedTfIdf:
     """Word counts hashed into ``dims`` places, weighted by idf, unit length.
 
-    All of it is built-in Spark ML, so texts never leave the JVM. The vectors
-    are not those of a trained sentence model; use ``encode`` for one.
+    A word's place is the number that its md5 begins with, modulo ``dims``, which any
+    engine can work out. All of it is built-in, so texts never leave the JVM. The
+    vectors are not those of a trained sentence model; use ``encode`` for one.
     """
 
     dims: int
@@ -64,8 +65,14 @@ class HashedTfIdf:
 
 
 def _counts(texts: DataFrame, dims: int) -> DataFrame:
-    words = texts.withColumn("_words", tx.words(F.col("text")))
-    return HashingTF(numFeatures=dims, inputCol="_words", outputCol="_tf").transform(words)
+    places = F.transform(
+        tx.words(F.col("text")),
+        lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dims).cast("string"),
+    )
+    counter = CountVectorizerModel.from_vocabulary(
+        [str(n) for n in range(dims)], inputCol="_words", outputCol="_tf"
+    )
+    return counter.transform(texts.withColumn("_words", places))
 
 
 def vector_table(embedded: DataFrame) -> DataFrame:

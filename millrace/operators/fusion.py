@@ -16,20 +16,21 @@ def fuse(
     keys: list[str],
     top_k: int | None = None,
     k: int = sc.RRF_K,
+    digits: int | None = None,
 ) -> DataFrame:
     """Fuse lists of (query_id, *keys, rk) to (query_id, *keys, score, rk).
 
     Each list adds 1 / (k + rank) to the units it holds. Ties go to the unit met
-    first: earlier lists come before later ones, then the better rank.
+    first: earlier lists come before later ones, then the better rank. With
+    ``digits`` scores equal to that many decimals are ties.
     """
     numbered = [
         ranking.select("query_id", *keys, "rk").withColumn("list_no", F.lit(number))
         for number, ranking in enumerate(lists)
     ]
     score = F.sum(sc.reciprocal_rank(F.col("rk"), k))
-    if len(lists) > 2:
-        # From three terms on a floating sum depends on their order.
-        score = F.round(score, 12)
+    if digits is not None:
+        score = F.round(score, digits)
     fused = (
         reduce(DataFrame.unionByName, numbered)
         .groupBy("query_id", *keys)

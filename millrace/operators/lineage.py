@@ -42,6 +42,11 @@ class Stage:
 
     run_id: str
     _seen: list[Observation] = field(default_factory=list)
+    _counted: list[int] = field(default_factory=list)
+
+    def count(self, rows: int) -> None:
+        """Add rows that were counted elsewhere."""
+        self._counted.append(rows)
 
     def observe(self, df: DataFrame) -> DataFrame:
         seen = Observation()
@@ -49,7 +54,9 @@ class Stage:
         return df.observe(seen, F.count(F.lit(1)).alias("rows"))
 
     def rows_out(self) -> int | None:
-        return sum(o.get["rows"] for o in self._seen) if self._seen else None
+        if not self._seen and not self._counted:
+            return None
+        return sum(o.get.get("rows", 0) for o in self._seen) + sum(self._counted)
 
 
 @contextmanager
@@ -59,8 +66,13 @@ def track_stage(
     name: str,
     namespace: str = "millrace",
     producer: str = "millrace",
+    once: str | None = None,
 ) -> Iterator[Stage]:
-    """Record START, then COMPLETE, or FAIL while the exception goes on."""
+    """Record START, then COMPLETE, or FAIL while the exception goes on.
+
+    With ``once``, events of a later stage of that name and mark take the place of
+    the earlier ones, as for a batch that is run again.
+    """
     stage = Stage(str(uuid.uuid4()))
 
     def emit(event: str, rows_out: int | None = None) -> None:
@@ -73,7 +85,10 @@ def track_stage(
             "rows_out": rows_out,
         }
         # One line in a file of its own: events of several runs never collide.
-        files.put_text(spark, f"{log_path}/{uuid.uuid4().hex}.json", json.dumps(row) + "\n")
+        name_of = uuid.uuid4().hex if once is None else f"{name}-{once}-{event}"
+        files.put_text(
+            spark, f"{log_path}/{name_of}.json", json.dumps(row) + "\n", replace=once is not None
+        )
 
     emit("START")
     try:

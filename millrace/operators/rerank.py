@@ -14,8 +14,8 @@ from millrace.sources import files
 Scorer = Callable[[Column, Column], Column]
 
 
-# Candidates of up to this many rows are sent to every task.
-MAX_CANDIDATES = 1_000_000
+# Candidates of up to this many measured bytes are sent to every task.
+MAX_CANDIDATE_BYTES = 32 << 20
 
 
 def settled(candidates: DataFrame) -> DataFrame:
@@ -25,7 +25,8 @@ def settled(candidates: DataFrame) -> DataFrame:
     went through, and would shuffle all units to look up a few of them.
     """
     stored = files.materialize(candidates, "candidates")
-    return F.broadcast(stored) if stored.count() <= MAX_CANDIDATES else stored
+    small = files.measured_bytes(stored)[1] <= MAX_CANDIDATE_BYTES
+    return F.broadcast(stored) if small else stored
 
 
 def with_text(candidates: DataFrame, units: DataFrame, keys: list[str]) -> DataFrame:
@@ -34,8 +35,13 @@ def with_text(candidates: DataFrame, units: DataFrame, keys: list[str]) -> DataF
 
 
 def missing_units(candidates: DataFrame, units: DataFrame, keys: list[str]) -> DataFrame:
-    """Candidates for which no text exists; should be empty."""
-    return candidates.join(units.select(*keys), keys, "left_anti")
+    """Candidates for which no text exists; should be empty.
+
+    The side that an anti join keeps cannot be sent to the tasks, so the units are
+    first cut down to those asked for, where they lie.
+    """
+    asked = units.select(*keys).join(candidates.select(*keys), keys, "left_semi")
+    return candidates.join(asked, keys, "left_anti")
 
 
 def rerank(
@@ -66,7 +72,7 @@ def term_share(
     weights: DataFrame,
     keys: list[str],
     top_k: int,
-    digits: int = 6,
+    digits: int | None = None,
 ) -> DataFrame:
     """The built-in scorer: weighted share of the query's words found in the unit.
 
@@ -89,10 +95,11 @@ def term_share(
     # As a lambda's argument the words are taken from the text once, and not
     # again for every word asked for.
     once = F.transform(F.array(tx.words(F.col("text"))), share)[0]
+    score = F.coalesce(once, F.lit(0.0))
     scored = (
         with_text(candidates.withColumnRenamed("rk", "candidate_rk").drop("score"), units, keys)
         .join(asked, "query_id", "left")
-        .withColumn("score", F.round(F.coalesce(once, F.lit(0.0)), digits))
+        .withColumn("score", score if digits is None else F.round(score, digits))
         .drop("asked")
     )
     return ranked(scored, ["query_id"], [F.desc("score"), F.col("candidate_rk")], top_k)

@@ -9,11 +9,17 @@ k per query before the shuffle and picks the final k after it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from millrace.sources import files
 
 # Queries scored at a time against one batch of units, to bound the score block.
 QUERY_BLOCK = 256
@@ -72,18 +78,56 @@ def blocks(queries: np.ndarray, size: int) -> Iterator[np.ndarray]:
         yield queries[first : first + size]
 
 
-def query_passes(entries: DataFrame, query: str, max_entries: int) -> Iterator[DataFrame]:
+def query_passes(
+    entries: DataFrame, query: str, max_entries: int, per_query: int = 0
+) -> Iterator[DataFrame]:
     """Split a query side into parts small enough to send to every task.
 
-    The size is measured. Parts are made by a hash of the query, so a query is
+    The size is measured; each query counts for ``per_query`` entries more, as for the
+    best scores that a task keeps of it. Parts are made by a hash of the query, so a query is
     never divided. One pass over the units is made per part.
     """
     total = entries.count()
     if total == 0:
         return
+    if per_query:
+        total += per_query * entries.select(query).distinct().count()
     parts = -(-total // max_entries)
     if parts == 1:
         yield entries
         return
     for part in range(parts):
         yield entries.where(F.pmod(F.xxhash64(F.col(query)), F.lit(parts)) == part)
+
+
+def in_passes(
+    entries: DataFrame,
+    query: str,
+    max_entries: int,
+    per_query: int,
+    score: Callable[[pa.Table], tuple[DataFrame, Broadcast]],
+    best: Callable[[DataFrame], DataFrame],
+    schema: StructType,
+) -> DataFrame:
+    """The best rows of all queries, from one pass over the units per part of them.
+
+    ``entries`` should be a written table, as it is read once per pass; a part of it
+    is what ``score`` sends to the tasks. A query is
+    in one part only, so each pass's result is final. Of several passes each is
+    run and written before the next, and its part of the queries is taken back
+    from the tasks, so that one part is held at a time.
+    """
+    passes = list(query_passes(entries, query, max_entries, per_query))
+    if not passes:
+        return best(entries.sparkSession.createDataFrame([], schema))
+    if len(passes) == 1:
+        return best(score(passes[0].toArrow())[0])
+    written = []
+    for part in passes:
+        held = part.toArrow()
+        if not held.num_rows:
+            continue  # the hash left this part without a query
+        scored, shared = score(held)
+        written.append(files.materialize(best(scored), "pass"))
+        shared.destroy()
+    return reduce(DataFrame.unionByName, written)

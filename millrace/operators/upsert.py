@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from millrace.sources import files
+
 _MATCHED = "_matched"
+_WHAT = "_what"
 
-# A source of up to this many rows is sent to every task.
-SMALL_SOURCE = 100_000
+# A source of up to this many measured bytes is sent to every task.
+SMALL_SOURCE_BYTES = 32 << 20
 
 
 class AmbiguousSource(ValueError):
@@ -28,21 +31,22 @@ class Merge:
     def result(self) -> DataFrame:
         return self.kept_and_updated.select(*self.columns).unionByName(self.inserted)
 
-    def outcome(self) -> DataFrame:
-        """One row: rows updated, rows inserted, rows left as they were."""
+    def observed(self) -> tuple[DataFrame, Observation]:
+        """The result, and its counts once it has been written: ``n_updated``,
+        ``n_inserted`` and ``n_kept`` rows."""
         updated = F.col(_MATCHED).isNotNull()
-        parts = self.kept_and_updated.select(
-            F.when(updated, 1).otherwise(0).alias("u"),
-            F.lit(0).alias("i"),
-            F.when(updated, 0).otherwise(1).alias("k"),
-        ).unionByName(
-            self.inserted.select(F.lit(0).alias("u"), F.lit(1).alias("i"), F.lit(0).alias("k"))
-        )
-        return parts.agg(
-            F.coalesce(F.sum("u"), F.lit(0)).alias("n_updated"),
-            F.coalesce(F.sum("i"), F.lit(0)).alias("n_inserted"),
-            F.coalesce(F.sum("k"), F.lit(0)).alias("n_kept"),
+        flagged = self.kept_and_updated.select(
+            *self.columns, F.when(updated, "u").otherwise("k").alias(_WHAT)
+        ).unionByName(self.inserted.withColumn(_WHAT, F.lit("i")))
+        counts = Observation()
+        seen = flagged.observe(
+            counts,
+            *[
+                F.count_if(F.col(_WHAT) == what).alias(name)
+                for what, name in (("u", "n_updated"), ("i", "n_inserted"), ("k", "n_kept"))
+            ],
         )
+        return seen.drop(_WHAT), counts
 
 
 def latest(source: DataFrame, key: str, order: Column) -> DataFrame:
@@ -62,16 +66,14 @@ def latest(source: DataFrame, key: str, order: Column) -> DataFrame:
     return best.unionByName(source.where(F.col(key).isNull()))
 
 
-def _keyed_rows(target: DataFrame, source: DataFrame, key: str) -> int:
-    """Number of source rows with a key, after the check that no two of them match."""
+def _refuse_repeats(target: DataFrame, source: DataFrame, key: str) -> None:
+    """Raise if several source rows would update the same target row."""
     per_key = source.where(F.col(key).isNotNull()).groupBy(key).count()
-    total, most = per_key.agg(F.sum("count"), F.max("count")).first()
-    if most is not None and most > 1:
-        repeated = per_key.where("count > 1")
+    repeated = per_key.where("count > 1")
+    if repeated.take(1):
         hit = repeated.join(target.select(key), key, "left_semi").take(1)
         if hit:
             raise AmbiguousSource(f"several source rows have the key {hit[0][0]!r}")
-    return total or 0
 
 
 def merge(
@@ -89,12 +91,14 @@ def merge(
 
     It is written as a left join for the target rows and an anti join for the
     inserts, not as one full outer join: Spark splits the skewed keys of a left
-    join, and a source counted to be small is broadcast, leaving the target
+    join, and a source measured to be small is broadcast, leaving the target
     unshuffled. A full outer join allows neither.
     """
     if latest_by is not None:
         source = latest(source, key, latest_by)
-    small = _keyed_rows(target, source, key) <= SMALL_SOURCE
+    else:
+        _refuse_repeats(target, source, key)
+    small = files.measured_bytes(source)[1] <= SMALL_SOURCE_BYTES
     columns = target.columns
     others = [c for c in columns if c != key]
     has_key = F.col(key).isNotNull()

@@ -120,18 +120,21 @@ SELECT product, count(order_id) AS total_orders,
             AS DOUBLE) / 100 AS avg_price
 FROM {rows} GROUP BY product"""
 
-_UPDATES = """updates AS (
-  SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 100 AS o_totalprice,
+def _updates(more: int) -> str:
+    return f"""updates AS (
+  SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + {more} AS o_totalprice,
          o_orderdate, CAST(NULL AS VARCHAR) AS o_orderpriority
   FROM orders WHERE o_orderstatus <> 'F'),
 silver AS (SELECT * FROM orders WHERE o_orderstatus <> 'O')"""
 
-_MERGED = _with(
-    _UPDATES,
-    select="""
+
+def _merged(more: int) -> str:
+    return _with(
+        _updates(more),
+        select="""
 SELECT * FROM silver WHERE o_orderkey NOT IN (SELECT o_orderkey FROM updates)
 UNION ALL SELECT * FROM updates""",
-)
+    )
 
 
 def _gate(rows: str, *ctes: str) -> str:
@@ -187,13 +190,13 @@ def _words(column: str) -> str:
 _TOKENIZED = f"""tokenized AS (
   SELECT source_doc, chunk_idx, {_words("text")} AS words FROM units)"""
 
-_INDEX = """stats AS (
+_INDEX = """stats AS MATERIALIZED (
   SELECT count(*) AS n_units, avg(len(words)) AS mean_words FROM tokenized),
-postings AS (
+postings AS MATERIALIZED (
   SELECT source_doc, chunk_idx, term, count(*) AS tf, any_value(n_words) AS n_words
   FROM (SELECT source_doc, chunk_idx, len(words) AS n_words, unnest(words) AS term FROM tokenized)
   GROUP BY source_doc, chunk_idx, term),
-raw_idf AS (
+raw_idf AS MATERIALIZED (
   SELECT term, count(*) AS df,
          ln((SELECT n_units FROM stats) - count(*) + 0.5) - ln(count(*) + 0.5) AS raw
   FROM postings GROUP BY term),
@@ -235,9 +238,54 @@ nearest AS (
   FROM sims QUALIFY rk <= 10)"""
 
 
+# Vectors of the chunks and questions by the hashed tf-idf encoder.
+_ENCODED = f"""counted AS (
+  SELECT source_doc, chunk_idx, NULL AS query_id,
+         {_words("text")} AS words FROM units
+  UNION ALL SELECT NULL, NULL, item_id, {_words("text")} FROM benchmark),
+keyed AS (SELECT *, row_number() OVER () AS id FROM counted),
+places AS (
+  SELECT id, any_value(source_doc) AS source_doc,
+         CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % 256 AS place, count(*) AS tf
+  FROM (SELECT id, source_doc, unnest(words) AS word FROM keyed) GROUP BY id, place),
+weights_of AS (
+  SELECT place, ln(((SELECT count(*) FROM units) + 1.0::DOUBLE) / (count(*) + 1.0::DOUBLE)) AS idf
+  FROM places WHERE source_doc IS NOT NULL GROUP BY place),
+raw_vectors AS MATERIALIZED (
+  SELECT id, map(list(place), list(tf * coalesce(idf, ln((SELECT count(*) FROM units) + 1.0::DOUBLE))))
+           AS m,
+         sqrt(sum((tf * coalesce(idf, ln((SELECT count(*) FROM units) + 1.0::DOUBLE))) ** 2)) AS norm
+  FROM places LEFT JOIN weights_of USING (place) GROUP BY id),
+vectors AS MATERIALIZED (
+  SELECT source_doc, chunk_idx, query_id,
+         list_transform(range(0, 256), lambda p: CAST(CAST(
+           CASE WHEN norm > 0 THEN coalesce(m[p], 0) / norm ELSE 0 END AS FLOAT) AS DOUBLE)) AS v
+  FROM keyed LEFT JOIN raw_vectors USING (id)),
+sims AS (
+  SELECT q.query_id, u.source_doc, u.chunk_idx,
+         round(coalesce(CASE WHEN isnan(list_cosine_similarity(q.v, u.v)) THEN 0
+                             ELSE list_cosine_similarity(q.v, u.v) END, 0), 6) AS score
+  FROM vectors q CROSS JOIN vectors u WHERE q.query_id IS NOT NULL AND u.source_doc IS NOT NULL),
+nearest AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY query_id ORDER BY score DESC, source_doc, chunk_idx) AS rk
+  FROM sims QUALIFY rk <= 10)"""
+
+_FUSE_CHUNKS = """lists AS (
+  SELECT query_id, source_doc, chunk_idx, rk, 0 AS list_no FROM nearest
+  UNION ALL SELECT query_id, source_doc, chunk_idx, rk, 1 FROM matches),
+summed AS (
+  SELECT query_id, source_doc, chunk_idx, sum(1.0::DOUBLE / (60 + rk)) AS score,
+         min(list_no * 1000000 + rk) AS first_met
+  FROM lists GROUP BY query_id, source_doc, chunk_idx),
+fused AS (
+  SELECT query_id, source_doc, chunk_idx, score,
+         CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, first_met)
+              AS INTEGER) AS rk
+  FROM summed)"""
+
 _FUSED = """linked AS (
-  SELECT query_id, source_doc, chunk_idx, rk FROM matches
-  WHERE query_id IN (SELECT vec_id FROM embeddings)),
+  SELECT query_id, source_doc, chunk_idx, rk FROM matches),
 lists AS (
   SELECT query_id, unit AS source_doc, 0 AS chunk_idx, rk, 0 AS list_no FROM nearest
   UNION ALL SELECT query_id, source_doc, chunk_idx, rk, 1 FROM linked),
@@ -277,6 +325,16 @@ _LINKED = (
     _FUSED,
 )
 
+_CHUNK_SEARCH = (_CHUNKS, _ENCODED, _TOKENIZED, _INDEX, _MATCHES, _FUSE_CHUNKS)
+
+_PROMPTS = """
+SELECT r.query_id,
+       'Context:' || chr(10)
+       || string_agg('[Source: ' || chunk_id || ']' || chr(10) || r.text, chr(10) || chr(10)
+                     ORDER BY rk)
+       || chr(10) || chr(10) || 'Question: ' || any_value(b.text) AS user_prompt
+FROM reranked r JOIN benchmark b ON b.item_id = r.query_id WHERE rk <= 2 GROUP BY r.query_id"""
+
 ORACLES: dict[str, str] = {
     "bronze_append": _with(
         _FEED, select=f"SELECT {_FIELDS} FROM feed UNION ALL SELECT {_FIELDS} FROM feed"
@@ -327,10 +385,10 @@ SELECT CAST(to_json({'order_id': order_id, 'user_id': user_id, 'product': produc
     ),
     "json_decode": """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""",
-    "silver_seed": "SELECT * FROM orders WHERE o_orderstatus <> 'O'",
-    "silver_upsert": _MERGED,
+    "silver_seed": "SELECT * FROM orders",
+    "silver_upsert": _merged(100),
     "upsert_outcome": _with(
-        _UPDATES,
+        _updates(100),
         select="""
 SELECT count(*) FILTER (s.o_orderkey IS NOT NULL AND u.o_orderkey IS NOT NULL) AS n_updated,
        count(*) FILTER (s.o_orderkey IS NULL) AS n_inserted,
@@ -340,10 +398,29 @@ FROM silver s FULL JOIN updates u ON s.o_orderkey = u.o_orderkey""",
     "upsert_latest": """
 WITH e AS (SELECT event_id, ts, user_id, event_type, value FROM events),
 target AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1),
-source AS (SELECT * FROM e WHERE event_type <> 'error'
+source AS (SELECT * FROM e
            QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
 SELECT * FROM target WHERE user_id NOT IN (SELECT user_id FROM source)
 UNION ALL SELECT * FROM source""",
+    "upsert_repeats": """
+WITH t AS (
+  SELECT CASE WHEN l_returnflag <> 'R' THEN l_orderkey END AS k, l_linestatus AS v,
+         CAST(l_linenumber AS BIGINT) AS n
+  FROM lineitem)
+SELECT k, coalesce(o_orderpriority, v) AS v, CASE WHEN o_orderkey IS NULL THEN n ELSE 0 END AS n
+FROM t LEFT JOIN orders ON k = o_orderkey
+UNION ALL SELECT o_orderkey, o_orderpriority, 0 FROM orders
+WHERE o_orderkey NOT IN (SELECT k FROM t WHERE k IS NOT NULL)
+UNION ALL SELECT NULL, 'no key', -1""",
+    "gate_verdicts": """
+SELECT * FROM (VALUES ('clean', true), ('bad', false)) v(rows_checked, passed)""",
+    "gold_in_doubles": _with(
+        _FEED,
+        select="""
+SELECT product, count(order_id) AS total_orders, CAST(sum(quantity) AS BIGINT) AS total_units_sold,
+       true AS revenue_within_a_cent, true AS price_within_a_cent
+FROM feed WHERE product IS NOT NULL GROUP BY product""",
+    ),
     "quality_gate_clean": _gate("SELECT * FROM feed", _FEED),
     "quality_gate_bad": _gate(
         """SELECT concat_ws('-', l_orderkey, l_linenumber) AS order_id, price, quantity,
@@ -392,7 +469,30 @@ SELECT count(*) AS n_consumed, count(*) FILTER (reason IS NULL) AS n_accepted,
         f"good AS (SELECT {_DECODED_FIELDS} FROM decoded WHERE reason IS NULL)",
         select=_summary("good"),
     ),
-    "stream_upsert": _MERGED,
+    "lineage_stream": _with(
+        _FEED,
+        _MESSAGES,
+        _DECODED,
+        f"good AS (SELECT {_DECODED_FIELDS} FROM decoded WHERE reason IS NULL)",
+        select="""
+SELECT stage, 1::BIGINT AS n_started, 1::BIGINT AS n_completed, 0::BIGINT AS n_failed,
+       1::BIGINT AS n_runs, CAST(rows_out AS BIGINT) AS rows_out
+FROM (SELECT 'stream_layer' AS stage, NULL AS rows_out
+      UNION ALL SELECT 'bronze_layer', count(*) FROM good
+      UNION ALL SELECT 'silver_layer', count(*) FROM good
+      UNION ALL SELECT 'quality_gate', NULL
+      UNION ALL SELECT 'gold_layer', count(DISTINCT product) FROM good)""",
+    ),
+    "stream_resume": """
+SELECT count(*) AS n_first, count(*) AS n_resumed, 2 * count(*) AS n_anew FROM lineitem""",
+    "stream_metadata": _with(
+        _FEED,
+        _MESSAGES,
+        _DECODED,
+        select="""
+SELECT count(*) AS n_with_file, count(*) FILTER (reason IS NOT NULL) AS n_with_time FROM decoded""",
+    ),
+    "stream_upsert": _merged(300),
     "chunk_documents": _with(
         _CHUNKS,
         select="""
@@ -436,9 +536,29 @@ SELECT query_id, unit AS vec_id, score, CAST(rk AS INTEGER) AS rk,
     ),
     "embed_chunks": _with(
         _CHUNKS,
-        select="SELECT source_doc, chunk_idx, chunk_id, text, 256 AS dims FROM units",
+        _ENCODED,
+        select="""
+SELECT source_doc, chunk_idx, chunk_id, text, 256 AS dims, round(list_sum(v), 3) AS total,
+       round(list_sum(list_transform(v, lambda x, i: x * i)), 3) AS weighted
+FROM vectors JOIN units USING (source_doc, chunk_idx)""",
     ),
-    "vector_rebuild": _with(_CHUNKS, select="SELECT count(*) AS n_vectors FROM units"),
+    "vector_rebuild": _with(
+        _CHUNKS,
+        select="SELECT source_doc, chunk_idx, CAST(length(text) AS INTEGER) AS n_chars FROM units",
+    ),
+    "semantic_topk": _with(
+        _CHUNKS,
+        _ENCODED,
+        select="""
+SELECT query_id, source_doc, chunk_idx, score, CAST(rk AS INTEGER) AS rk FROM nearest""",
+    ),
+    "hybrid_chunks": _with(
+        *_CHUNK_SEARCH,
+        select="""
+SELECT query_id, source_doc, chunk_idx, chunk_id, text, round(score, 6) AS score, rk
+FROM fused JOIN units USING (source_doc, chunk_idx) WHERE rk <= 3""",
+    ),
+    "prompt_chunks": _with(*_CHUNK_SEARCH, _RERANKED, select=_PROMPTS),
     "candidate_texts": _with(
         _nearest("CAST(v.vec_id AS VARCHAR)"),
         select="""
@@ -466,12 +586,6 @@ SELECT query_id, source_doc, chunk_idx, chunk_id, CAST(candidate_rk AS INTEGER)
     "prompt_context": _with(
         *_LINKED,
         _RERANKED,
-        select="""
-SELECT r.query_id,
-       'Context:' || chr(10)
-       || string_agg('[Source: ' || chunk_id || ']' || chr(10) || r.text, chr(10) || chr(10)
-                     ORDER BY rk)
-       || chr(10) || chr(10) || 'Question: ' || any_value(b.text) AS user_prompt
-FROM reranked r JOIN benchmark b ON b.item_id = r.query_id WHERE rk <= 2 GROUP BY r.query_id""",
+        select=_PROMPTS,
     ),
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.functions.contract import ORDER_SCHEMA
 from millrace.operators import (
@@ -17,19 +17,19 @@ from millrace.operators import (
     embed,
     fusion,
     lineage,
-    prompts,
     quality,
     rerank,
     summary,
     upsert,
 )
 from millrace.plans import refinery, retrieval
-from millrace.sources import feeds, files, tables
+from millrace.sources import buckets, feeds, files, tables
 from millrace.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _ROUNDED = 6
+_SYSTEM = "Use the given context only, and name its sources."
 
 
 # Bronze and the contract
@@ -120,39 +120,46 @@ def _silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "O")
 
 
-def _silver_updates(rows: DataFrame) -> DataFrame:
+def _silver_updates(rows: DataFrame, wave: int = 1) -> DataFrame:
     """Orders in progress with a new price and no priority, and open orders as new ones."""
     return rows.where(F.col("o_orderstatus") != "F").select(
         "o_orderkey",
         "o_custkey",
         F.lit("U").alias("o_orderstatus"),
-        (F.col("o_totalprice") + 100).alias("o_totalprice"),
+        (F.col("o_totalprice") + 100 * wave).alias("o_totalprice"),
         "o_orderdate",
         F.lit(None).cast("string").alias("o_orderpriority"),
     )
 
 
-def _silver_merge(spark: SparkSession, sf_dir: str) -> upsert.Merge:
-    updates = _silver_updates(feeds.table(spark, sf_dir, "orders"))
-    return upsert.merge(_silver_rows(spark, sf_dir), updates, "o_orderkey")
+def _seeded(spark: SparkSession, sf_dir: str) -> str:
+    path = files.run_dir(spark, "silver")
+    buckets.seed(spark, path, _silver_rows(spark, sf_dir), "o_orderkey")
+    return path
 
 
 def silver_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeding publishes the first table; a second attempt leaves it alone."""
     path = files.run_dir(spark, "silver")
-    tables.seed(spark, path, _silver_rows(spark, sf_dir))
-    tables.seed(spark, path, feeds.table(spark, sf_dir, "orders"))
-    return tables.read_snapshot(spark, path)
+    orders = feeds.table(spark, sf_dir, "orders")
+    buckets.seed(spark, path, orders, "o_orderkey")
+    buckets.seed(spark, path, orders.withColumn("o_totalprice", F.lit(0.0)), "o_orderkey")
+    return buckets.read(spark, path)
 
 
 def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = files.run_dir(spark, "silver")
-    tables.publish(_silver_merge(spark, sf_dir).result(), path)
-    return tables.read_snapshot(spark, path)
+    path = _seeded(spark, sf_dir)
+    buckets.merge(spark, path, _silver_updates(feeds.table(spark, sf_dir, "orders")))
+    return buckets.read(spark, path)
 
 
 def upsert_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _silver_merge(spark, sf_dir).outcome()
+    """Rows updated, inserted and left, as counted while the merge was written."""
+    updates = _silver_updates(feeds.table(spark, sf_dir, "orders"))
+    counts = buckets.merge(spark, _seeded(spark, sf_dir), updates)
+    return spark.createDataFrame(
+        [tuple(counts.values())], ", ".join(f"{name} long" for name in counts)
+    )
 
 
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,8 +167,21 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = feeds.table(spark, sf_dir, "events").drop("props")
     first = events.groupBy("user_id").agg(F.min("event_id").alias("event_id"))
     target = events.join(first, ["user_id", "event_id"], "left_semi")
-    source = events.where(F.col("event_type") != "error")
-    return upsert.merge(target, source, "user_id", latest_by=F.col("event_id")).result()
+    return upsert.merge(target, events, "user_id", latest_by=F.col("event_id")).result()
+
+
+def upsert_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines, many to a key and returned ones without one, merged with orders
+    and one row without a key: each line of a key is updated, no key matches nothing."""
+    key = F.when(F.col("l_returnflag") != "R", F.col("l_orderkey")).alias("k")
+    lines = feeds.table(spark, sf_dir, "lineitem").select(
+        key, F.col("l_linestatus").alias("v"), F.col("l_linenumber").cast("long").alias("n")
+    )
+    orders = feeds.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("v"), F.lit(0).cast("long").alias("n")
+    )
+    unkeyed = spark.createDataFrame([(None, "no key", -1)], "k long, v string, n long")
+    return upsert.merge(lines, orders.unionByName(unkeyed), "k").result()
 
 
 # Checks, Gold and lineage
@@ -188,6 +208,29 @@ def gold_product_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.by_revenue(summary.product_summary(feed, whole_cents=True))
 
 
+def gate_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the two check runs above come to."""
+    gates = {"clean": quality_gate_clean(spark, sf_dir), "bad": quality_gate_bad(spark, sf_dir)}
+    found = [(name, quality.passed(results)) for name, results in gates.items()]
+    return spark.createDataFrame(found, "rows_checked string, passed boolean")
+
+
+def gold_in_doubles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default summary, which adds doubles, against the one in whole cents."""
+    feed = feeds.order_feed(spark, sf_dir, with_user=False)
+    exact = summary.product_summary(feed, whole_cents=True).select(
+        "product", F.col("total_revenue").alias("revenue"), F.col("avg_price").alias("price")
+    )
+    cent = F.lit(0.0101)
+    return summary.product_summary(feed).join(exact, "product").select(
+        "product",
+        "total_orders",
+        "total_units_sold",
+        (F.abs(F.col("total_revenue") - F.col("revenue")) < cent).alias("revenue_within_a_cent"),
+        (F.abs(F.col("avg_price") - F.col("price")) < cent).alias("price_within_a_cent"),
+    )
+
+
 def gold_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold after one good run and one that the checks stopped: that of the good run."""
     layout = _two_runs(spark, sf_dir)
@@ -213,16 +256,26 @@ def _two_runs(spark: SparkSession, sf_dir: str) -> refinery.Layout:
 # Streams
 
 
-def _drained(spark: SparkSession, sf_dir: str) -> tuple[str, str, int]:
-    """A topic filled from the feed and drained; paths and messages consumed."""
+def _drained(spark: SparkSession, sf_dir: str) -> str:
+    """A topic filled from the feed and drained; the folder of what came of it."""
     root = files.run_dir(spark, "topic")
-    messages = feeds.untyped_order_feed(spark, sf_dir)
-    feeds.write_topic(messages, f"{root}/topic")
+    feeds.write_topic(feeds.untyped_order_feed(spark, sf_dir), f"{root}/topic")
+    _drain(spark, root, "checkpoint", "counts")
+    return root
+
+
+def _drain(spark: SparkSession, root: str, checkpoint: str, counts: str) -> int:
+    """Messages that a run with this checkpoint, new or kept, has consumed so far."""
     stream = feeds.read_topic(spark, f"{root}/topic", maxFilesPerTrigger=64)
-    query = ingest.drain(stream, f"{root}/bronze", f"{root}/quarantine", f"{root}/checkpoint")
-    query.awaitTermination()
-    consumed = sum(p["numInputRows"] for p in query.recentProgress)
-    return f"{root}/bronze", f"{root}/quarantine", consumed
+    ingest.drain(
+        stream,
+        f"{root}/bronze",
+        f"{root}/quarantine",
+        f"{root}/{checkpoint}",
+        counts_path=f"{root}/{counts}",
+    ).awaitTermination()
+    found = ingest.consumed(spark, f"{root}/{counts}").agg(F.sum("n_messages")).first()[0]
+    return found or 0
 
 
 _QUARANTINE = StructType(
@@ -231,32 +284,70 @@ _QUARANTINE = StructType(
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze, _, _ = _drained(spark, sf_dir)
-    return tables.read_appended(spark, bronze, ORDER_SCHEMA)
+    return tables.read_appended(spark, f"{_drained(spark, sf_dir)}/bronze", ORDER_SCHEMA)
 
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, quarantine, _ = _drained(spark, sf_dir)
-    return feeds.read_quarantine(spark, quarantine, _QUARANTINE)
+    return feeds.read_quarantine(spark, f"{_drained(spark, sf_dir)}/quarantine", _QUARANTINE)
 
 
 def stream_consumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages consumed, accepted and rejected."""
-    bronze, quarantine, consumed = _drained(spark, sf_dir)
-    parts = tables.read_appended(spark, bronze, ORDER_SCHEMA).select(
-        F.lit(1).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("r")
-    ).unionAll(
-        feeds.read_quarantine(spark, quarantine, _QUARANTINE).select(
-            F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    root = _drained(spark, sf_dir)
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    parts = (
+        ingest.consumed(spark, f"{root}/counts")
+        .select(F.col("n_messages").alias("c"), none.alias("a"), none.alias("r"))
+        .unionAll(
+            tables.read_appended(spark, f"{root}/bronze", ORDER_SCHEMA).select(none, one, none)
+        )
+        .unionAll(
+            feeds.read_quarantine(spark, f"{root}/quarantine", _QUARANTINE).select(none, none, one)
         )
     )
-    return parts.agg(F.sum("a").alias("n_accepted"), F.sum("r").alias("n_rejected")).select(
-        F.lit(consumed).cast(LongType()).alias("n_consumed"), "n_accepted", "n_rejected"
+    return parts.agg(
+        F.sum("c").alias("n_consumed"), F.sum("a").alias("n_accepted"), F.sum("r").alias("n_rejected")
     )
 
 
-def stream_refined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold from a topic: messages checked, stored, merged, checked again, summed up."""
+def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages consumed by a first run, by one that goes on after more have come, and
+    by one that starts anew."""
+    root = _drained(spark, sf_dir)
+    first = _drain(spark, root, "checkpoint", "counts")
+    feeds.write_topic(feeds.untyped_order_feed(spark, sf_dir), f"{root}/topic")
+    resumed = _drain(spark, root, "checkpoint", "counts") - first
+    anew = _drain(spark, root, "other-checkpoint", "other-counts")
+    return spark.createDataFrame(
+        [(first, resumed, anew)], "n_first long, n_resumed long, n_anew long"
+    )
+
+
+def stream_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that come with the file they lay in, and rejects with a time."""
+    root = _drained(spark, sf_dir)
+    seen = f"{root}/seen"
+    stream = feeds.read_topic(spark, f"{root}/topic").writeStream.format("parquet")
+    stream.option("path", seen).option("checkpointLocation", f"{root}/seen-checkpoint").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    named = F.col("source_file").contains("/topic/")
+    with_time = StructType([*_QUARANTINE.fields, StructField("quarantined_at", StringType())])
+    rejects = feeds.read_quarantine(spark, f"{root}/quarantine", with_time)
+    return (
+        spark.read.parquet(seen)
+        .select(named.cast("bigint").alias("f"), F.lit(0).cast("bigint").alias("t"))
+        .unionAll(
+            rejects.select(
+                F.lit(0).cast("bigint"),
+                F.col("quarantined_at").cast("timestamp").isNotNull().cast("bigint"),
+            )
+        )
+        .agg(F.sum("f").alias("n_with_file"), F.sum("t").alias("n_with_time"))
+    )
+
+
+def _refined(spark: SparkSession, sf_dir: str) -> refinery.Layout:
     root = files.run_dir(spark, "refinery")
     feeds.write_topic(feeds.untyped_order_feed(spark, sf_dir), f"{root}/topic")
     layout = refinery.Layout.under(root)
@@ -264,21 +355,33 @@ def stream_refined(spark: SparkSession, sf_dir: str) -> DataFrame:
     refinery.run_stream(
         spark, stream, layout, f"{root}/quarantine", f"{root}/checkpoint", whole_cents=True
     )
-    return tables.read_snapshot(spark, layout.gold)
+    return layout
+
+
+def stream_refined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold from a topic: messages checked, stored, merged, checked again, summed up."""
+    return tables.read_snapshot(spark, _refined(spark, sf_dir).gold)
+
+
+def lineage_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage events of the same run, with the number of runs that they name."""
+    log = lineage.read_events(spark, _refined(spark, sf_dir).events)
+    runs = log.groupBy(F.col("job.name").alias("stage")).agg(
+        F.count_distinct("run.runId").alias("n_runs")
+    )
+    return lineage.stage_report(log).join(runs, "stage")
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The Silver updates arriving as a stream of files."""
-    root = files.run_dir(spark, "silver-stream")
-    tables.seed(spark, f"{root}/silver", _silver_rows(spark, sf_dir))
+    """The Silver updates arriving as a stream of files, three times with new prices."""
+    path, root = _seeded(spark, sf_dir), files.run_dir(spark, "silver-stream")
     orders = feeds.table(spark, sf_dir, "orders")
-    # A file source takes a folder or a pattern, not the name of one file.
-    rows = spark.readStream.schema(orders.schema).parquet(f"{sf_dir}/order[s].parquet")
-    query = ingest.merge_stream(
-        _silver_updates(rows), f"{root}/silver", "o_orderkey", f"{root}/checkpoint"
-    )
-    query.awaitTermination()
-    return tables.read_snapshot(spark, f"{root}/silver")
+    for wave in (1, 2, 3):
+        updates = _silver_updates(orders, wave)
+        updates.write.mode("append").parquet(f"{root}/updates")
+        arriving = spark.readStream.schema(updates.schema).parquet(f"{root}/updates")
+        ingest.merge_stream(arriving, path, f"{root}/checkpoint").awaitTermination()
+    return buckets.read(spark, path)
 
 
 # Chunks and keyword search
@@ -316,7 +419,8 @@ def bm25_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = bm25.build_index(_chunks(spark, sf_dir))
-    return bm25.keyword_topk(index, feeds.query_feed(spark, sf_dir), retrieval.LIST_DEPTH)
+    queries = feeds.query_feed(spark, sf_dir)
+    return bm25.keyword_topk(index, queries, retrieval.LIST_DEPTH, _ROUNDED)
 
 
 # Vectors
@@ -329,13 +433,14 @@ def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark passage with the vector of the same number."""
     vectors = _embeddings(spark, sf_dir).select(F.col("vec_id").alias("query_id"), "embedding")
-    return feeds.query_feed(spark, sf_dir).join(vectors, "query_id")
+    # A question without a vector still has its keyword results.
+    return feeds.query_feed(spark, sf_dir).join(vectors, "query_id", "left")
 
 
 def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = _query_vectors(spark, sf_dir)
     vectors = _embeddings(spark, sf_dir)
-    found = dense.vector_topk(vectors, queries, ["vec_id"], retrieval.LIST_DEPTH)
+    found = dense.vector_topk(vectors, queries, ["vec_id"], retrieval.LIST_DEPTH, _ROUNDED)
     distance = F.round(1 - F.col("score"), _ROUNDED)
     return found.withColumn("distance", distance)
 
@@ -358,32 +463,65 @@ def _vector_store(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, embed.Ha
 
 
 def embed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The vector table of all chunks, with the size of each vector."""
+    """The vector table of all chunks; of each vector its size and two sums."""
     store, _ = _vector_store(spark, sf_dir)
+    weighted = F.transform("embedding", lambda x, n: x.cast("double") * (n + 1))
     return store.select(
         "source_doc",
         "chunk_idx",
         "chunk_id",
         "text",
         F.size("embedding").alias("dims"),
+        F.round(_total(F.transform("embedding", lambda x: x.cast("double"))), 3).alias("total"),
+        F.round(_total(weighted), 3).alias("weighted"),
     )
 
 
+def _total(numbers):
+    return F.aggregate(numbers, F.lit(0.0), lambda acc, x: acc + x)
+
+
 def vector_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors in the table after building it anew over an older one."""
-    chunks = files.materialize(_chunks(spark, sf_dir), "chunks")
-    vectors = embed.vector_table(embed.HashedTfIdf.fit(chunks).transform(chunks))
+    """The table after it was built anew over an older one of other texts."""
     path = files.run_dir(spark, "vectors")
-    for _ in range(2):
-        tables.publish(vectors, path)
-    return tables.read_snapshot(spark, path).agg(F.count(F.lit(1)).alias("n_vectors"))
+    for cut in (10, None):
+        chunks = _chunks(spark, sf_dir)
+        if cut is not None:
+            chunks = chunks.withColumn("text", F.substring("text", 1, cut))
+        chunks = files.materialize(chunks, "chunks")
+        encoder = embed.HashedTfIdf.fit(chunks)
+        tables.publish(embed.vector_table(encoder.transform(chunks)), path)
+    return tables.read_snapshot(spark, path).select(
+        "source_doc", "chunk_idx", F.length("text").alias("n_chars")
+    )
 
 
 def semantic_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text questions against the vector table, both through the same encoder."""
     store, encoder = _vector_store(spark, sf_dir)
     queries = encoder.transform(feeds.query_feed(spark, sf_dir))
-    return dense.vector_topk(store, queries, retrieval.KEYS, retrieval.LIST_DEPTH)
+    return dense.vector_topk(store, queries, retrieval.KEYS, retrieval.LIST_DEPTH, _ROUNDED)
+
+
+def _chunk_search(spark: SparkSession, sf_dir: str) -> tuple[bm25.Bm25Index, DataFrame, DataFrame]:
+    """Index, vectors and questions of the real chunks, all of one encoder."""
+    store, encoder = _vector_store(spark, sf_dir)
+    index = bm25.build_index(store.drop("embedding"))
+    return index, store, encoder.transform(feeds.query_feed(spark, sf_dir))
+
+
+def hybrid_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fused results with the chunks' ids, texts and sources."""
+    index, vectors, queries = _chunk_search(spark, sf_dir)
+    found = rerank.settled(retrieval.hybrid_topk(index, vectors, queries, digits=_ROUNDED))
+    return _rounded(rerank.with_text(found, vectors, retrieval.KEYS))
+
+
+def prompt_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts that cite the best chunks."""
+    return retrieval.answer_prompts(
+        *_chunk_search(spark, sf_dir), _SYSTEM, digits=_ROUNDED
+    ).select("query_id", "user_prompt")
 
 
 # Fusion, reranking, prompts. Keyword and vector search need one set of ids: a
@@ -417,7 +555,7 @@ def candidate_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors, queries = _linked_vectors(spark, sf_dir), _query_vectors(spark, sf_dir)
     units = _linked_units(spark, sf_dir)
     nearest = rerank.settled(
-        dense.vector_topk(vectors, queries, retrieval.KEYS, retrieval.LIST_DEPTH)
+        dense.vector_topk(vectors, queries, retrieval.KEYS, retrieval.LIST_DEPTH, _ROUNDED)
     )
     found = rerank.with_text(nearest, units, retrieval.KEYS).select("query_id", F.lit(0).alias("m"))
     missing = rerank.missing_units(nearest, units, retrieval.KEYS)
@@ -430,23 +568,24 @@ def candidate_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rrf_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All units of both lists with their fused score."""
     index, vectors, queries = _linked(spark, sf_dir)
-    nearest = dense.vector_topk(vectors, queries, retrieval.KEYS, retrieval.LIST_DEPTH)
-    matches = bm25.keyword_topk(index, queries, retrieval.LIST_DEPTH)
+    nearest = dense.vector_topk(vectors, queries, retrieval.KEYS, retrieval.LIST_DEPTH, _ROUNDED)
+    matches = bm25.keyword_topk(index, queries, retrieval.LIST_DEPTH, _ROUNDED)
     return _rounded(fusion.fuse([nearest, matches], retrieval.KEYS))
 
 
 def hybrid_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(retrieval.hybrid_topk(*_linked(spark, sf_dir)))
+    return _rounded(retrieval.hybrid_topk(*_linked(spark, sf_dir), digits=_ROUNDED))
 
 
 def rerank_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(retrieval.reranked_topk(*_linked(spark, sf_dir))).drop("text")
+    found = retrieval.reranked_topk(*_linked(spark, sf_dir), digits=_ROUNDED)
+    return _rounded(found).drop("text")
 
 
 def prompt_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.answer_prompts(
-        *_linked(spark, sf_dir), system=prompts.DEFAULT_SYSTEM
-    ).select("query_id", "user_prompt")
+    return retrieval.answer_prompts(*_linked(spark, sf_dir), _SYSTEM, digits=_ROUNDED).select(
+        "query_id", "user_prompt"
+    )
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -468,15 +607,21 @@ QUERIES: dict[str, Query] = {
         silver_upsert,
         upsert_outcome,
         upsert_latest,
+        upsert_repeats,
         quality_gate_clean,
         quality_gate_bad,
+        gate_verdicts,
         gold_product_summary,
+        gold_in_doubles,
         gold_gated,
         lineage_report,
         stream_ingest,
         stream_quarantine,
         stream_consumed,
+        stream_resume,
+        stream_metadata,
         stream_refined,
+        lineage_stream,
         stream_upsert,
         chunk_documents,
         bm25_stats,
@@ -488,6 +633,8 @@ QUERIES: dict[str, Query] = {
         embed_chunks,
         vector_rebuild,
         semantic_topk,
+        hybrid_chunks,
+        prompt_chunks,
         candidate_texts,
         rrf_fusion,
         hybrid_topk,

@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from millrace.functions.contract import ORDER_SCHEMA
-from millrace.operators import quality, summary, upsert
+from millrace.operators import quality, summary
 from millrace.operators.lineage import track_stage
-from millrace.sources import tables
+from millrace.sources import buckets, files, tables
 from millrace.streaming import ingest
 
 KEY = "order_id"
@@ -38,8 +38,8 @@ def run(
 ) -> DataFrame:
     """Append a batch, bring Silver up to date, check it, and publish Gold.
 
-    The first run seeds Silver with all of Bronze and merges ``incoming`` if it
-    is given. Later runs merge ``incoming``, or the batch they appended. A failed
+    The first run seeds Silver with all of Bronze, later ones merge the batch
+    that they appended; then ``incoming`` is merged if it is given. A failed
     check raises ``GateFailed`` and leaves Gold as it was; every stage leaves
     its events. Returns the check results.
     """
@@ -47,15 +47,17 @@ def run(
         stored = tables.add_batch(stage.observe(batch), layout.bronze, ORDER_SCHEMA)
 
     with track_stage(spark, layout.events, "silver_layer") as stage:
-        seeding = tables.current_snapshot(spark, layout.silver) is None
-        if seeding:
+        sources = []
+        if tables.newest(spark, layout.silver):
+            sources.append(stored)
+        else:
             bronze = tables.read_appended(spark, layout.bronze, ORDER_SCHEMA)
-            tables.seed(spark, layout.silver, stage.observe(bronze))
-        source = stored if incoming is None and not seeding else incoming
-        if source is not None:
-            source = tables.conform(source, ORDER_SCHEMA)
-            merged = upsert.merge(tables.read_snapshot(spark, layout.silver), source, KEY)
-            tables.publish(stage.observe(merged.result()), layout.silver)
+            buckets.seed(spark, layout.silver, stage.observe(bronze), KEY)
+        if incoming is not None:
+            sources.append(files.materialize(tables.conform(incoming, ORDER_SCHEMA), "incoming"))
+        for source in sources:
+            counts = buckets.merge(spark, layout.silver, source)
+            stage.count(counts["n_updated"] + counts["n_inserted"])
 
     return _check_and_publish(spark, layout, whole_cents)
 
@@ -73,15 +75,24 @@ def run_stream(
 
     Every micro-batch is checked against the contract, stored in Bronze or
     quarantine, and merged into Silver before it counts as done; a batch that
-    is run again merges the same rows to the same result. The checks and Gold
-    follow when the topic is drained. A merge rewrites Silver, so let batches
-    be large.
+    is run again finds itself in Silver and is left out. Both stages leave
+    events per batch, under its number. The checks and Gold follow when the
+    topic is drained; a topic without messages gives an empty Gold.
     """
+    empty = spark.createDataFrame([], ORDER_SCHEMA)
+    buckets.seed(spark, layout.silver, empty, KEY)
 
     def merge_batch(stored: DataFrame, batch_id: int) -> None:
-        tables.seed(spark, layout.silver, spark.createDataFrame([], ORDER_SCHEMA))
-        silver = tables.read_snapshot(spark, layout.silver)
-        tables.publish(upsert.merge(silver, stored, KEY, latest_by).result(), layout.silver)
+        mark = f"batch-{batch_id}"
+        with track_stage(spark, layout.events, "bronze_layer", once=mark) as stage:
+            stage.count(stored.count())
+        # The counts of a batch that is in Silver already stay as they were recorded.
+        if checkpoint in (held := buckets.state(spark, layout.silver).batches):
+            if held[checkpoint] >= batch_id:
+                return
+        with track_stage(spark, layout.events, "silver_layer", once=mark) as stage:
+            counts = buckets.merge(spark, layout.silver, stored, latest_by, checkpoint, batch_id)
+            stage.count(counts["n_updated"] + counts["n_inserted"])
 
     with track_stage(spark, layout.events, "stream_layer"):
         ingest.drain(
@@ -91,15 +102,15 @@ def run_stream(
 
 
 def _check_and_publish(spark: SparkSession, layout: Layout, whole_cents: bool) -> DataFrame:
-    silver = tables.read_snapshot(spark, layout.silver)
+    silver = buckets.read(spark, layout.silver)
     with track_stage(spark, layout.events, "quality_gate"):
         # Five rows, whatever the size of the table.
         results = quality.check_results(silver)
-        found = results.collect()
-        failed = [f"{r['check']}({r['column']})" for r in found if not r["success"]]
-        if failed:
-            raise quality.GateFailed("; ".join(failed))
+        found = spark.createDataFrame(results.collect(), results.schema)
+        if not quality.passed(found):
+            failed = found.where("not success").collect()
+            raise quality.GateFailed("; ".join(f"{r['check']}({r['column']})" for r in failed))
 
     with track_stage(spark, layout.events, "gold_layer") as stage:
         tables.publish(stage.observe(summary.product_summary(silver, whole_cents)), layout.gold)
-    return spark.createDataFrame(found, results.schema)
+    return found

@@ -22,14 +22,16 @@ def hybrid_topk(
     queries: DataFrame,
     top_k: int = HYBRID_K,
     depth: int = LIST_DEPTH,
+    digits: int | None = None,
 ) -> DataFrame:
     """Fuse the nearest vectors with the best keyword matches.
 
     ``queries`` is (query_id, text, embedding). The dense list comes first, so it
-    wins ties.
+    wins ties. With ``digits`` scores of either that are equal to that many
+    decimals are ties.
     """
-    nearest = dense.vector_topk(vectors, queries, KEYS, depth)
-    matches = bm25.keyword_topk(index, queries, depth)
+    nearest = dense.vector_topk(vectors, queries, KEYS, depth, digits)
+    matches = bm25.keyword_topk(index, queries, depth, digits)
     return fusion.fuse([nearest, matches], KEYS, top_k)
 
 
@@ -39,20 +41,25 @@ def reranked_topk(
     queries: DataFrame,
     top_k: int = RERANKED_K,
     candidates: int = CANDIDATES,
+    digits: int | None = None,
 ) -> DataFrame:
     """Hybrid candidates in the order of the built-in scorer, with their texts."""
-    found = rerank.settled(hybrid_topk(index, vectors, queries, candidates))
+    found = rerank.settled(hybrid_topk(index, vectors, queries, candidates, digits=digits))
     weights = bm25.query_weights(index, queries)
-    return rerank.term_share(found, index.units, weights, KEYS, top_k)
+    return rerank.term_share(found, index.units, weights, KEYS, top_k, digits)
 
 
 def answer_prompts(
     index: bm25.Bm25Index,
     vectors: DataFrame,
     queries: DataFrame,
+    system: str,
     top_k: int = ANSWER_K,
-    system: str = prompts.DEFAULT_SYSTEM,
+    digits: int | None = None,
 ) -> DataFrame:
-    """One prompt per query, with the best chunks as cited context."""
-    best = reranked_topk(index, vectors, queries, top_k)
+    """One prompt per query, with the best chunks as cited context.
+
+    ``system`` tells the model how to use it.
+    """
+    best = reranked_topk(index, vectors, queries, top_k, digits=digits)
     return prompts.prompts(prompts.context_blocks(best), queries, system)

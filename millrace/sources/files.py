@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 _LOCAL_DIRS: dict[str, str] = {}
 _SPLIT_BYTES = 128 * 1024 * 1024
@@ -61,16 +64,63 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
 
 
-def put_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small new file, without a job."""
+def put_text(spark: SparkSession, path: str, text: str, replace: bool = False) -> None:
+    """Write a small file, without a job."""
     fs, hadoop_path = _hadoop(spark, path)
-    out = fs.create(hadoop_path, False)
+    out = fs.create(hadoop_path, replace)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
 
 
+def get_text(spark: SparkSession, path: str) -> str:
+    """Read a small file, without a job."""
+    fs, hadoop_path = _hadoop(spark, path)
+    source = fs.open(hadoop_path)
+    try:
+        return bytes(source.readAllBytes()).decode("utf-8")
+    finally:
+        source.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _hadoop(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder to a name that is not taken; False if it is."""
+    jvm = spark._jvm
+    hadoop = jvm.org.apache.hadoop
+    conf = spark._jsc.hadoopConfiguration()
+    fs, goal = _hadoop(spark, target)
+    context = hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    no_options = spark.sparkContext._gateway.new_array(getattr(hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(hadoop.fs.Path(source), goal, no_options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def measured_bytes(df: DataFrame) -> tuple[int, int]:
+    """Rows and about how many bytes they hold, counted, not estimated from files."""
+    sizes = []
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(column), F.lit(0)) + 16)
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) + 16)
+        else:
+            sizes.append(F.lit(16))
+    row = df.agg(F.count(F.lit(1)), F.sum(sum(sizes, F.lit(0).cast("long")))).first()
+    return row[0], row[1] or 0
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use every core on a small input that lies in too few files.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -87,42 +89,68 @@ def read_appended(spark: SparkSession, path: str, table: StructType) -> DataFram
     return spark.read.schema(table).parquet(path).select(*table.fieldNames())
 
 
-def _snapshots(spark: SparkSession, path: str) -> list[str]:
-    return [n for n in files.child_dirs(spark, path) if n.startswith("v") and n[1:].isdigit()]
+class ConcurrentPublish(RuntimeError):
+    """Another writer published first; the plan has to be made anew from its snapshot."""
+
+
+def numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of all snapshots."""
+    names = files.child_dirs(spark, path)
+    return [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()]
+
+
+def newest(spark: SparkSession, path: str) -> int:
+    """Number of the newest snapshot, 0 before the first publish."""
+    return max(numbers(spark, path), default=0)
+
+
+def folder(path: str, number: int) -> str:
+    return f"{path}/v{number:08d}"
 
 
 def current_snapshot(spark: SparkSession, path: str) -> str | None:
-    """Folder of the newest complete snapshot, or None before the first publish."""
-    for name in sorted(_snapshots(spark, path), key=lambda n: int(n[1:]), reverse=True):
-        if files.exists(spark, f"{path}/{name}/_SUCCESS"):
-            return f"{path}/{name}"
-    return None
+    """Folder of the newest snapshot, or None before the first publish."""
+    number = newest(spark, path)
+    return folder(path, number) if number else None
+
 
+def put_snapshot(spark: SparkSession, staged: str, path: str, replaces: int) -> str:
+    """Give a written folder the number after ``replaces``, or refuse if that is taken."""
+    target = folder(path, replaces + 1)
+    if not files.move(spark, staged, target):
+        files.delete(spark, staged)
+        raise ConcurrentPublish(f"{target} was published meanwhile")
+    return target
 
-def publish(df: DataFrame, path: str) -> str:
+
+def publish(df: DataFrame, path: str, replaces: int | None = None) -> str:
     """Write the whole table as its next snapshot.
 
     The plan may read the snapshot it replaces, because that one is not
-    touched. A snapshot counts once the job commit has left its success marker,
-    so readers never see half a table; two writers of one number collide on the
-    folder and the second fails.
+    touched. Files are written aside and renamed when all are there, so readers
+    never see half a table and a failed write leaves no snapshot. ``replaces``
+    is the number of the snapshot that the plan has read (the newest, if not
+    given): of two writers that read the same one only the first succeeds, and
+    the other has to start again from what the first has written.
     """
-    taken = [int(n[1:]) for n in _snapshots(df.sparkSession, path)]
-    folder = f"{path}/v{max(taken, default=0) + 1:08d}"
-    df.write.mode("errorifexists").parquet(folder)
-    return folder
+    spark = df.sparkSession
+    if replaces is None:
+        replaces = newest(spark, path)
+    staged = f"{path}/_staged-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(staged)
+    return put_snapshot(spark, staged, path, replaces)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    folder = current_snapshot(spark, path)
-    if folder is None:
+    current = current_snapshot(spark, path)
+    if current is None:
         raise FileNotFoundError(f"no published snapshot under {path}")
-    return spark.read.parquet(folder)
+    return spark.read.parquet(current)
 
 
 def seed(spark: SparkSession, path: str, initial: DataFrame) -> bool:
     """Publish ``initial`` if the table does not exist yet; says whether it did."""
     if current_snapshot(spark, path) is not None:
         return False
-    publish(initial, path)
+    publish(initial, path, replaces=0)
     return True

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.contract import ORDER_SCHEMA
-from millrace.operators import contract, upsert
-from millrace.sources import feeds, tables
+from millrace.operators import contract
+from millrace.sources import buckets, feeds, files, tables
 
 
 def drain(
@@ -20,6 +20,7 @@ def drain(
     quarantine_path: str,
     checkpoint: str,
     then: Callable[[DataFrame, int], None] | None = None,
+    counts_path: str | None = None,
 ) -> StreamingQuery:
     """Check every message that is there now, store it, and stop.
 
@@ -28,7 +29,8 @@ def drain(
     places under its number, so a batch that is run again after a failure
     replaces what it had written. ``then`` gets the stored accepted rows of a
     batch and its number before the batch counts as done; it may see a batch
-    again.
+    again. ``counts_path`` keeps the number of messages of every batch, for
+    :func:`consumed`; Spark's own progress remembers the latest ones only.
     """
     spark: SparkSession = messages.sparkSession
 
@@ -39,6 +41,9 @@ def drain(
             bad = contract.quarantined(checked, raw_value="value")
             tables.put_batch(good, bronze_path, ORDER_SCHEMA, batch_id)
             feeds.put_quarantine_batch(bad, quarantine_path, batch_id)
+            if counts_path is not None:
+                line = json.dumps({"batch_id": batch_id, "n_messages": checked.count()})
+                files.put_text(spark, f"{counts_path}/{batch_id}.json", line + "\n", replace=True)
         finally:
             checked.unpersist()
         if then is not None:
@@ -52,28 +57,32 @@ def drain(
     )
 
 
+def consumed(spark: SparkSession, counts_path: str) -> DataFrame:
+    """``batch_id, n_messages`` of every batch that was drained."""
+    if not files.exists(spark, counts_path):
+        return spark.createDataFrame([], "batch_id long, n_messages long")
+    return spark.read.schema("batch_id long, n_messages long").json(counts_path)
+
+
 def merge_stream(
     updates: DataFrame,
     table_path: str,
-    key: str,
     checkpoint: str,
     latest_by: Column | None = None,
 ) -> StreamingQuery:
-    """Merge a stream of rows into a published table, one snapshot per micro-batch.
+    """Merge a stream of rows into a table of buckets, one snapshot per micro-batch.
 
-    A batch that is run again updates the same rows to the same values, so
-    replays change nothing. The table has to be seeded.
+    A snapshot tells which batch of which stream (named by its checkpoint) it has
+    got, so a batch that is run again is left out. The table has to be seeded.
     """
     spark: SparkSession = updates.sparkSession
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        target = tables.read_snapshot(spark, table_path)
-        # Rows without a key match nothing and would be inserted again on replay.
-        keyed = batch.where(F.col(key).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            tables.publish(upsert.merge(target, keyed, key, latest_by).result(), table_path)
+            buckets.merge(spark, table_path, kept, latest_by, checkpoint, batch_id)
         finally:
-            keyed.unpersist()
+            kept.unpersist()
 
     return (
         updates.writeStream.foreachBatch(apply)

@@ -32,7 +32,7 @@ def frame(spark, name, made):
     )
 
 
-@pytest.mark.parametrize("options", [{}, {"max_numbers": 24}])
+@pytest.mark.parametrize("options", [{}, {"max_numbers": 40}, {"max_numbers": 1}])
 def test_equals_brute_force(spark, vectors, options):
     queries = np.vstack([vectors[[0, 7, 200, 299]], -vectors[0]])
     found = dense.vector_topk(
@@ -40,6 +40,7 @@ def test_equals_brute_force(spark, vectors, options):
         frame(spark, "query_id", queries),
         ["vec_id"],
         10,
+        6,
         **options,
     )
     assert found.columns == ["query_id", "vec_id", "score", "rk"]
@@ -59,7 +60,7 @@ def test_small_batches_and_query_blocks(spark, vectors, monkeypatch):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 9)
     try:
         found = dense.vector_topk(
-            frame(spark, "vec_id", vectors), frame(spark, "query_id", vectors[:8]), ["vec_id"], 4
+            frame(spark, "vec_id", vectors), frame(spark, "query_id", vectors[:8]), ["vec_id"], 4, 6
         )
         got = rows(found.select("query_id", "rk", "vec_id"), "query_id", "rk")
     finally:
@@ -81,7 +82,7 @@ def test_missing_and_uneven_vectors(spark, vectors):
     schema = "vec_id long, embedding array<float>"
     some = spark.createDataFrame([(1, vectors[0].tolist()), (2, None)], schema)
     found = dense.vector_topk(some, queries, ["vec_id"], 3)
-    assert rows(found.select("vec_id", "score")) == [(1, 1.0)]
+    assert rows(found.select("vec_id", "score")) == [(1, pytest.approx(1.0))]
     # A number that is none would come out on top of every comparison.
     for wrong in (float("nan"), float("inf"), None):
         odd = spark.createDataFrame([(1, [1.0] * 7 + [wrong])], schema)
@@ -96,12 +97,12 @@ def test_missing_and_uneven_vectors(spark, vectors):
 def test_cells(spark, vectors):
     queries = frame(spark, "query_id", vectors[250:260])
     some = frame(spark, "vec_id", vectors)
-    exact = dense.vector_topk(some, queries, ["vec_id"], 5)
+    exact = dense.vector_topk(some, queries, ["vec_id"], 5, 6)
     cells = dense.build_cells(some, ["vec_id"], 6)
     assert cells.vectors.count() == len(vectors)
-    everywhere = dense.cell_topk(cells, queries, ["vec_id"], 5, n_probe=6)
+    everywhere = dense.cell_topk(cells, queries, ["vec_id"], 5, n_probe=6, digits=6)
     assert rows(everywhere) == rows(exact)
-    near = dense.cell_topk(cells, queries, ["vec_id"], 5, n_probe=1)
+    near = dense.cell_topk(cells, queries, ["vec_id"], 5, n_probe=1, digits=6)
     # Nothing but the unread cells is missing: the result is exact within a cell.
     cell_of = {r["vec_id"]: r["cell"] for r in cells.vectors.collect()}
     unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-30)
@@ -118,3 +119,49 @@ def test_cells(spark, vectors):
     one = dense.cell_topk(cells, queries.where("query_id = 0"), ["vec_id"], 5, n_probe=1)
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "(cell#" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+
+
+def test_raw_scores_rank_by_default(spark):
+    """Two vectors whose cosines differ by less than six decimals show."""
+    near, nearer = [1.0, 2e-4], [1.0, 1e-4]
+    some = spark.createDataFrame([(1, near), (2, nearer)], "vec_id long, embedding array<double>")
+    query = spark.createDataFrame([(0, [1.0, 0.0])], "query_id long, embedding array<double>")
+    found = dense.vector_topk(some, query, ["vec_id"], 2)
+    assert rows(found.select("rk", "vec_id")) == [(1, 2), (2, 1)]
+    rounded = dense.vector_topk(some, query, ["vec_id"], 2, digits=6)
+    assert rows(rounded.select("rk", "vec_id")) == [(1, 1), (2, 2)]
+
+
+def test_one_pass_at_a_time(spark, vectors, monkeypatch):
+    """Several passes: each part of the queries is taken back before the next is sent."""
+    live, most, encoded = [], [], spark.sparkContext.accumulator(0)
+    broadcast = type(spark.sparkContext).broadcast
+
+    class Watched:
+        def __init__(self, real):
+            self.real, self.value = real, real.value
+            live.append(self)
+            most.append(len(live))
+
+        def __reduce__(self):
+            return self.real.__reduce__()
+
+        def destroy(self):
+            live.remove(self)
+            self.real.destroy()
+
+    monkeypatch.setattr(
+        type(spark.sparkContext), "broadcast", lambda self, value: Watched(broadcast(self, value))
+    )
+
+    def encode(batches):
+        for batch in batches:
+            encoded.add(len(batch))
+            yield batch
+
+    queries = frame(spark, "query_id", vectors[:5])
+    queries = queries.mapInPandas(encode, queries.schema)
+    found = dense.vector_topk(frame(spark, "vec_id", vectors), queries, ["vec_id"], 2, 6, max_numbers=10)
+    assert found.count() == 10
+    assert len(most) > 1 and max(most) == 1 and not live
+    assert encoded.value == 5

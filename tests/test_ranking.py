@@ -144,7 +144,7 @@ def test_from_questions_to_prompts(spark):
     best = retrieval.reranked_topk(index, vectors, queries, 1)
     first = dict(rows(best.select("query_id", "chunk_id")))
     assert first[0].startswith("doc4.txt") and first[1] == "doc2.txt_chunk0"
-    made = retrieval.answer_prompts(index, vectors, queries).orderBy("query_id").collect()
+    made = retrieval.answer_prompts(index, vectors, queries, "Cite.").orderBy("query_id").collect()
     assert [r["query_id"] for r in made] == list(range(len(KEYWORD_RANKING)))
     for r, question in zip(made, KEYWORD_RANKING, strict=True):
         assert r["user_prompt"].startswith("Context:\n[Source: doc")

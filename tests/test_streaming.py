@@ -4,9 +4,9 @@ import os
 from pyspark.sql import functions as F
 
 from millrace.functions.contract import ORDER_SCHEMA
-from millrace.operators import contract
+from millrace.operators import contract, lineage
 from millrace.plans import refinery
-from millrace.sources import feeds, tables
+from millrace.sources import buckets, feeds, tables
 from millrace.streaming import ingest
 from tests.conftest import rows
 from tests.samples import BRONZE, RAW_ORDERS, REASONS, UPDATES
@@ -119,22 +119,80 @@ def test_topic_to_gold(spark, tmp_path):
     assert arrive([]) == [("Cable", 1), ("Laptop", 3), ("Mouse", 2)]
 
 
+def lose_commit(root, batch_id):
+    for name in (f"{batch_id}", f".{batch_id}.crc"):
+        os.remove(f"{root}/checkpoint/commits/{name}")
+
+
 def test_updates_are_merged_as_they_come(spark, orders, tmp_path):
     root = str(tmp_path)
-    tables.seed(spark, f"{root}/silver", orders(BRONZE))
+    buckets.seed(spark, f"{root}/silver", orders(BRONZE), "order_id")
 
     def arrive(data):
         orders(data).coalesce(1).write.mode("append").parquet(f"{root}/updates")
         stream = spark.readStream.schema(ORDER_SCHEMA).parquet(f"{root}/updates")
         ingest.merge_stream(
-            stream, f"{root}/silver", "order_id", f"{root}/checkpoint", F.col("quantity")
+            stream, f"{root}/silver", f"{root}/checkpoint", F.col("quantity")
         ).awaitTermination()
-        return rows(tables.read_snapshot(spark, f"{root}/silver"))
+        return rows(buckets.read(spark, f"{root}/silver"))
 
     want = sorted([*UPDATES, *BRONZE[1:]], key=repr)
     assert arrive(UPDATES) == want
-    # The batch is applied again after its commit was lost, and changes nothing.
-    for name in ("0", ".0.crc"):
-        os.remove(f"{root}/checkpoint/commits/{name}")
+    # The batch comes again after its commit was lost, and is left out.
+    lose_commit(root, 0)
     later = ("ORD001", "U_A", "Laptop", 1200.0, 8)
     assert arrive([later, UPDATES[0]]) == sorted([later, UPDATES[1], *BRONZE[1:]], key=repr)
+
+
+def test_replay_of_a_batch_with_a_new_key_twice(spark, orders, tmp_path):
+    root = str(tmp_path)
+    buckets.seed(spark, f"{root}/silver", orders([]), "order_id")
+    twice = [BRONZE[0], (*BRONZE[0][:4], 9)]
+    orders(twice).coalesce(1).write.parquet(f"{root}/updates")
+    for _ in range(2):
+        stream = spark.readStream.schema(ORDER_SCHEMA).parquet(f"{root}/updates")
+        ingest.merge_stream(stream, f"{root}/silver", f"{root}/checkpoint").awaitTermination()
+        assert rows(buckets.read(spark, f"{root}/silver")) == sorted(twice, key=repr)
+        lose_commit(root, 0)
+
+
+def test_counts_outlast_the_progress_that_spark_keeps(spark, tmp_path):
+    root = str(tmp_path)
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, 3)
+    try:
+        for _ in range(12):
+            feeds.write_topic(spark.createDataFrame([("{}",)], "value string").coalesce(1), f"{root}/topic")
+        stream = feeds.read_topic(spark, f"{root}/topic", maxFilesPerTrigger=1)
+        ingest.drain(
+            stream, f"{root}/bronze", f"{root}/quarantine", f"{root}/checkpoint", counts_path=f"{root}/counts"
+        ).awaitTermination()
+    finally:
+        spark.conf.unset(key)
+    found = ingest.consumed(spark, f"{root}/counts").collect()
+    assert len(found) == 12 and sum(r["n_messages"] for r in found) == 12
+
+
+def test_empty_topic(spark, tmp_path):
+    root = str(tmp_path)
+    layout = refinery.Layout.under(root)
+    os.makedirs(f"{root}/topic")
+    stream = feeds.read_topic(spark, f"{root}/topic")
+    results = refinery.run_stream(spark, stream, layout, f"{root}/quarantine", f"{root}/checkpoint")
+    assert results.count() == 5
+    assert tables.read_snapshot(spark, layout.gold).count() == 0
+
+
+def test_stream_events_once_per_batch(spark, tmp_path):
+    root = str(tmp_path)
+    layout = refinery.Layout.under(root)
+    raw = spark.createDataFrame([(json.dumps(r),) for r in RAW_ORDERS], "value string")
+    feeds.write_topic(raw.coalesce(1), f"{root}/topic")
+    for _ in range(2):
+        stream = feeds.read_topic(spark, f"{root}/topic")
+        refinery.run_stream(spark, stream, layout, f"{root}/quarantine", f"{root}/checkpoint")
+        lose_commit(root, 0)
+    report = {r["stage"]: r for r in lineage.stage_report(lineage.read_events(spark, layout.events)).collect()}
+    assert report["bronze_layer"]["rows_out"] == report["silver_layer"]["rows_out"] == 2
+    assert report["bronze_layer"]["n_completed"] == report["silver_layer"]["n_completed"] == 1
+    assert report["stream_layer"]["n_completed"] == 2

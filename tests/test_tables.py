@@ -73,13 +73,25 @@ def test_snapshots(spark, orders, tmp_path):
     current = tables.read_snapshot(spark, path)
     tables.publish(current.where("quantity > 1"), path)
     assert rows(tables.read_snapshot(spark, path).select("order_id")) == [("ORD002",), ("ORD007",)]
-    # A write that did not finish is neither read nor written over.
-    os.makedirs(f"{path}/v00000003")
+    # A write that did not finish has no number.
+    os.makedirs(f"{path}/_staged-x")
     assert tables.current_snapshot(spark, path).endswith("v00000002")
-    assert tables.publish(orders(BRONZE[:1]), path).endswith("v00000004")
+    assert tables.publish(orders(BRONZE[:1]), path).endswith("v00000003")
     assert rows(tables.read_snapshot(spark, path)) == BRONZE[:1]
 
 
+def test_second_of_two_writers_is_refused(spark, orders, tmp_path):
+    """Both have read the same snapshot; neither's rows may be lost."""
+    path = str(tmp_path / "silver")
+    tables.publish(orders(BRONZE[:1]), path)
+    read = tables.newest(spark, path)
+    tables.publish(orders(BRONZE[:2]), path, replaces=read)
+    with pytest.raises(tables.ConcurrentPublish):
+        tables.publish(orders(BRONZE[2:3]), path, replaces=read)
+    assert rows(tables.read_snapshot(spark, path)) == BRONZE[:2]
+    assert not [n for n in os.listdir(path) if n.startswith("_staged")]
+
+
 def test_failed_publish_leaves_the_table(spark, orders, tmp_path):
     path = str(tmp_path / "silver")
     tables.publish(orders(BRONZE), path)
