@@ -125,6 +125,56 @@ ORACLES: dict[str, str] = {
                    first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(t) DESC, doc_id) AS keep_id
             FROM d)
         SELECT doc_id, keep_id, n AS group_size, nth = 1 AS kept, sha256(norm) AS text_sha256 FROM r""",
+    "op8_quality_rules": rf"""
+        WITH d AS (
+            SELECT doc_id, source, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+                   list_filter(string_split(coalesce(text, ''), chr(10)),
+                               lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents),
+        windows AS (
+            SELECT doc_id, p, count(*) OVER (
+                       PARTITION BY doc_id, words[p], words[p + 1], words[p + 2]) AS times
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS p FROM d)),
+        repeats AS (
+            SELECT doc_id, count(DISTINCT p + k) AS n
+            FROM windows, (VALUES (0), (1), (2)) v(k) WHERE times > 1 GROUP BY doc_id),
+        m AS (
+            SELECT doc_id, source, len(words) AS n_words,
+                   coalesce(CAST(list_sum(list_transform(words, lambda x: length(x))) AS BIGINT), 0)
+                       AS word_chars,
+                   length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                   len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                   coalesce(n, 0) AS n_repeat_words
+            FROM d LEFT JOIN repeats USING (doc_id)),
+        b AS (
+            SELECT *, n_words < {host_rules.MIN_WORDS}
+                      OR 100 * n_repeat_words > {host_rules.REPEAT_PERCENT} * n_words AS base_failed
+            FROM m),
+        hosts AS (
+            SELECT source, CAST(count(*) AS DOUBLE) AS n,
+                   CAST(count(*) FILTER (base_failed) AS DOUBLE) AS f
+            FROM b GROUP BY source),
+        sums AS (
+            SELECT sum(f) / sum(n) AS mean, sum(n) AS n, count(*) AS hosts,
+                   sum(f * f / n) AS squares, sum(n * n) AS n_squares
+            FROM hosts),
+        spread AS (
+            SELECT *, mean * (1 - mean) AS noise,
+                   CASE WHEN n > n_squares / n
+                        THEN (squares - n * mean * mean - (hosts - 1) * mean * (1 - mean))
+                             / (n - n_squares / n) ELSE 0 END AS s
+            FROM sums),
+        prior AS (
+            SELECT mean, CASE WHEN s <= 0 OR noise <= 0
+                              THEN greatest(1, CASE WHEN hosts > 1 THEN n ELSE 1 END)
+                              ELSE greatest(1, noise / s - 1) END AS weight
+            FROM spread),
+        rates AS (
+            SELECT source, (f + mean * weight) / (n + weight) AS rate FROM hosts, prior)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND NOT rate > {host_rules.HOST_RATE} AS kept
+        FROM b JOIN rates ON b.source IS NOT DISTINCT FROM rates.source""",
     "op7_line_dedup": rf"""
         WITH l AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
