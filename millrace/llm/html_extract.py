@@ -29,13 +29,16 @@ WINDOW = 3
 PEAK = 120
 
 # Element and attribute names of HTML.
-_RAW = "script style textarea title noscript template xmp svg math iframe select option object canvas".split()
+_RAW = "script style textarea title xmp".split()
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt "
     "ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
-_BOILER_TAGS = set("nav footer aside form menu dialog button fieldset head".split())
+_BOILER_TAGS = set(
+    "nav footer aside form menu dialog button fieldset head noscript template svg math iframe select object "
+    "canvas".split()
+)
 _BOILER_ROLES = set(
     "navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar "
     "toolbar tablist".split()

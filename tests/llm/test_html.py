@@ -26,6 +26,8 @@ CASES = {
     "nothing but boilerplate": ("<nav>menu</nav><footer>foot</footer>", ""),
     "an advert that is never closed": ("<div class=ad>x<article><p>text</p></article>", "text"),
     "quotes in attributes": ("<article><p title='a > b' data-x=\"c > d\">x</p></article>", "x"),
+    "elements without text of the page": (
+        "<article><p>a</p><select><option>x<option>y</select><svg><text>z</text></svg><iframe><p>b</p></article>", "a b"),
     "truncated": ("<article><p>one two <b", "one two"),
 }
 
