@@ -551,6 +551,23 @@ FROM vectors JOIN units USING (source_doc, chunk_idx)""",
         _ENCODED,
         select="""
 SELECT query_id, source_doc, chunk_idx, score, CAST(rk AS INTEGER) AS rk FROM nearest""",
+    ),
+    "semantic_results": _with(
+        _CHUNKS,
+        _ENCODED,
+        select="""
+SELECT query_id, source_doc, chunk_idx, chunk_id, text, score, CAST(rk AS INTEGER) AS rk,
+       round(1 - score, 6) AS distance
+FROM nearest JOIN units USING (source_doc, chunk_idx)""",
+    ),
+    "keyword_results": _with(
+        _CHUNKS,
+        _TOKENIZED,
+        _INDEX,
+        _MATCHES,
+        select="""
+SELECT query_id, source_doc, chunk_idx, chunk_id, text, score, CAST(rk AS INTEGER) AS rk
+FROM matches JOIN units USING (source_doc, chunk_idx)""",
     ),
     "hybrid_chunks": _with(
         *_CHUNK_SEARCH,

@@ -503,6 +503,20 @@ def semantic_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dense.vector_topk(store, queries, retrieval.KEYS, retrieval.LIST_DEPTH, _ROUNDED)
 
 
+def semantic_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same results with ids, texts and distances."""
+    store, encoder = _vector_store(spark, sf_dir)
+    queries = encoder.transform(feeds.query_feed(spark, sf_dir))
+    return retrieval.nearest_texts(store, queries, digits=_ROUNDED)
+
+
+def keyword_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword matches with ids and texts."""
+    index = bm25.build_index(_chunks(spark, sf_dir))
+    queries = feeds.query_feed(spark, sf_dir)
+    return retrieval.matching_texts(index, queries, digits=_ROUNDED)
+
+
 def _chunk_search(spark: SparkSession, sf_dir: str) -> tuple[bm25.Bm25Index, DataFrame, DataFrame]:
     """Index, vectors and questions of the real chunks, all of one encoder."""
     store, encoder = _vector_store(spark, sf_dir)
@@ -633,6 +647,8 @@ QUERIES: dict[str, Query] = {
         embed_chunks,
         vector_rebuild,
         semantic_topk,
+        semantic_results,
+        keyword_results,
         hybrid_chunks,
         prompt_chunks,
         candidate_texts,

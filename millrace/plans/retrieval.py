@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from millrace.operators import bm25, dense, fusion, prompts, rerank
 
@@ -35,6 +36,28 @@ def hybrid_topk(
     return fusion.fuse([nearest, matches], KEYS, top_k)
 
 
+def nearest_texts(
+    vectors: DataFrame, queries: DataFrame, top_k: int = LIST_DEPTH, digits: int | None = None
+) -> DataFrame:
+    """The nearest vectors with their ids, texts and cosine distances.
+
+    ``vectors`` is the vector table, with ``chunk_id`` and ``text``.
+    """
+    found = rerank.settled(dense.vector_topk(vectors, queries, KEYS, top_k, digits))
+    distance = 1 - F.col("score")
+    return rerank.with_text(found, vectors, KEYS).withColumn(
+        "distance", distance if digits is None else F.round(distance, digits)
+    )
+
+
+def matching_texts(
+    index: bm25.Bm25Index, queries: DataFrame, top_k: int = LIST_DEPTH, digits: int | None = None
+) -> DataFrame:
+    """The best keyword matches with their ids and texts."""
+    found = rerank.settled(bm25.keyword_topk(index, queries, top_k, digits))
+    return rerank.with_text(found, index.units, KEYS)
+
+
 def reranked_topk(
     index: bm25.Bm25Index,
     vectors: DataFrame,
