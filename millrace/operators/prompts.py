@@ -5,13 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_SYSTEM = (
-    "Use nothing but the context to answer. Say that you do not know if the "
-    "context is not enough. End with the ids of the chunks you relied on, each "
-    "in square brackets."
-)
-
-
 def context_blocks(ranked_texts: DataFrame) -> DataFrame:
     """(query_id, rk, chunk_id, text) to one labelled context per query.
 
@@ -24,7 +17,7 @@ def context_blocks(ranked_texts: DataFrame) -> DataFrame:
     )
 
 
-def prompts(context: DataFrame, queries: DataFrame, system: str = DEFAULT_SYSTEM) -> DataFrame:
+def prompts(context: DataFrame, queries: DataFrame, system: str) -> DataFrame:
     """One row per query that has a context: (query_id, system_prompt, user_prompt)."""
     return context.join(queries.select("query_id", "text"), "query_id").select(
         "query_id",

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Column names of the published summary.
+ORDERS, UNITS, REVENUE, PRICE = "total_orders", "total_units_sold", "total_revenue", "avg_price"
+
 
 def product_summary(orders: DataFrame, whole_cents: bool = False) -> DataFrame:
     """Orders, units, revenue and mean price per product.
@@ -27,13 +30,13 @@ def product_summary(orders: DataFrame, whole_cents: bool = False) -> DataFrame:
         revenue = F.round(F.sum(price * quantity), 2)
         mean = F.round(F.avg("price"), 2)
     return orders.groupBy("product").agg(
-        F.count("order_id").alias("total_orders"),
-        F.sum("quantity").alias("total_units_sold"),
-        revenue.alias("total_revenue"),
-        mean.alias("avg_price"),
+        F.count("order_id").alias(ORDERS),
+        F.sum("quantity").alias(UNITS),
+        revenue.alias(REVENUE),
+        mean.alias(PRICE),
     )
 
 
 def by_revenue(summary: DataFrame) -> DataFrame:
     """Report order: highest revenue first. Applied when read, files keep no order."""
-    return summary.orderBy(F.desc("total_revenue"), "product")
+    return summary.orderBy(F.desc(REVENUE), "product")
