@@ -1,0 +1,83 @@
+"""The whole pipeline against the same steps by hand."""
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from millrace.llm import secrets
+from tests.llm.conftest import LABELS
+from tests.llm.test_lines import by_hand
+from tests.llm.test_near import classes_of, variants
+from tests.llm.test_secrets import KINDS
+
+JUNK = "| # ".join(["x"] * 40)
+
+
+def cut(text, live):
+    """Base spans and live candidates of a text replaced by the mark."""
+    spans = [s for find in KINDS.values() for s in find(text)]
+    spans += [m.span() for m in re.finditer(secrets._TOKEN, text) if m[0] in live]
+    out, at = "", 0
+    merged = []
+    for a, b in sorted(spans):
+        if merged and a < merged[-1][1]:
+            merged[-1][1] = max(b, merged[-1][1])
+        else:
+            merged.append([a, b])
+    for a, b in merged:
+        out, at = out + text[at:a] + "[secret]", b
+    return out + text[at:]
+
+
+def test_against_steps_by_hand(spark, prose, docs_of, tmp_path):
+    rng = random.Random(9)
+    texts = variants(prose, rng)
+    texts += [JUNK] * 12 + [prose(70, 500 + n) for n in range(12)]
+    shared = "one shared line\nand another one\nand a third"
+    texts += [prose(30, 600 + n) + "\n" + shared for n in range(5)] + [shared]
+    texts += [prose(60, 700 + n) + f" token = abcdef{n}{n} Own{n}Own{n}Own{n}Own{n}Own{n}Own{n}" for n in range(6)]
+    texts += [prose(60, 800 + n) + " Example0Example0Example0" for n in range(6)]
+    first_junk = texts.index(JUNK)
+    labels = [(first_junk + n, 0, 0) for n in range(10)] + [(first_junk + 12 + n, 1, 0) for n in range(10)]
+    docs = docs_of(texts)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+
+    # Classifier: the junk and what has no words goes, prose stays.
+    kept = [(n, t) for n, t in enumerate(texts) if t != JUNK and (t or "").split()]
+    judged = {r["doc_id"] for r in corpus_pipeline.quality_stage(spark, docs, str(tmp_path)).collect()}
+    assert judged == {n for n, _ in kept}
+    # Lines, and what they leave empty.
+    kept = [(n, t) for n, t in by_hand(kept) if t.split()]
+    # One of each class.
+    classes = classes_of([t for _, t in kept])
+    kept = [row for place, row in enumerate(kept) if classes[place] == place]
+    # Candidates of one owner and repository are live.
+    places = defaultdict(set)
+    for n, t in kept:
+        for m in re.finditer(secrets._TOKEN, t):
+            places[m[0]].add(f"s{n % 3}")
+    live = {value for value, owners in places.items() if len(owners) == 1}
+    assert live and len(live) < len(places)
+    kept = [(n, cut(t, live)) for n, t in kept]
+
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    whole.encode_special_tokens = True
+    want = Counter()
+    for n, t in kept:
+        ids = np.array([*whole.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        for piece, at in enumerate(range(0, len(ids), 2048)):
+            part = ids[at : at + 2048]
+            want[n, piece, at, len(part), zlib.crc32(part.tobytes())] += 1
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == want
+    used = defaultdict(int)
+    for r in rows:
+        used[r["sequence_id"]] += r["length"]
+    assert max(used.values()) <= 2048 and len(used) <= 1.1 * sum(used.values()) / 2048 + 1
