@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from millrace.llm.common import SPACES, batched, fresh, or_empty
 from millrace.sources import files
@@ -169,29 +169,54 @@ def similar(a: list, sa: set, b: list, sb: set, similarity: float = SIMILARITY)
     return edits_within(a, b, int((1 - similarity) * max(len(a), len(b)) + 1e-9)) is not None
 
 
-def _node(body: Column) -> Column:
-    """Name of a text's word sequence; null without words."""
-    squeezed = F.trim(F.regexp_replace(body, f"{SPACES}+", " "))
+def _squeezed(body: Column) -> Column:
+    """The words of a text with one blank between them."""
+    return F.trim(F.regexp_replace(body, f"{SPACES}+", " "))
+
+
+def _named(squeezed: Column) -> Column:
+    """Name of a word sequence; null without words."""
     return F.when(squeezed != "", F.unhex(F.md5(squeezed)))
 
 
-def candidates(nodes: DataFrame, bands: int = BANDS) -> DataFrame:
-    """``node, other``: pairs to verify. ``nodes`` has ``node, text``; repeated nodes are allowed."""
-    words = F.split(F.trim(F.regexp_replace("text", f"{SPACES}+", " ")), " ")
-    hashed = batched(nodes).select("node", F.transform(words, lambda w: F.xxhash64(w)).alias("words"))
-    schema = StructType([StructField("node", BinaryType()), StructField("key", LongType())])
+def _node(body: Column) -> Column:
+    return _named(_squeezed(body))
+
+
+def sketches(docs: DataFrame, bands: int = BANDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, node, keys`` for each row; no keys without words. One pass over the texts."""
+    squeezed = docs.select(
+        F.col(doc_id).alias("doc_id"), _squeezed(or_empty(F.col(text))).alias("squeezed")
+    )
+    hashed = batched(squeezed).select(
+        "doc_id",
+        _named(F.col("squeezed")).alias("node"),
+        F.when(
+            F.col("squeezed") != "", F.transform(F.split("squeezed", " "), lambda w: F.xxhash64(w))
+        ).alias("words"),
+    )
+    schema = StructType(
+        [hashed.schema["doc_id"], StructField("node", BinaryType()), StructField("keys", ArrayType(LongType()))]
+    )
     seeds = _seeds(bands)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                keys = [sketch(np.asarray(w, dtype=np.int64).view(np.uint64), seeds) for w in batch["words"]]
-                yield pd.DataFrame(
-                    {"node": np.repeat(batch["node"].to_numpy(), bands), "key": np.concatenate(keys).view(np.int64)}
-                )
+            out = batch[["doc_id", "node"]].copy()
+            out["keys"] = [
+                None if w is None else sketch(np.asarray(w, dtype=np.int64).view(np.uint64), seeds).view(np.int64)
+                for w in batch["words"]
+            ]
+            yield out
+
+    return hashed.mapInPandas(run, schema)
+
 
+def candidates(sketched: DataFrame) -> DataFrame:
+    """``node, other``: pairs to verify. Rows of one node may come repeatedly."""
     # Copies meet here, combined in every task first.
-    keyed = files.materialize(hashed.mapInPandas(run, schema).distinct(), "omh-keys")
+    keyed = sketched.select("node", F.explode("keys").alias("key")).distinct()
+    keyed = files.materialize(keyed, "omh-keys")
     sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
     shared = files.materialize(keyed.join(sizes, "key"), "omh-shared")
     centrality = shared.groupBy("node").agg(F.sum("size").alias("shares"))
@@ -280,10 +305,10 @@ def near_duplicates(
     ``node`` names the row's word sequence. Of a class the row with the smallest id is
     kept, of equal rows any one.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), or_empty(F.col(text)).alias("text"))
-    named = rows.select("doc_id", _node(F.col("text")).alias("node"), "text")
-    worded = named.where(F.col("node").isNotNull()).select("node", "text")
-    pairs = files.materialize(candidates(worded, bands), "omh-pairs")
+    named = files.materialize(sketches(docs, bands, doc_id, text), "omh-sketches")
+    pairs = files.materialize(candidates(named), "omh-pairs")
+    body = or_empty(F.col(text))
+    worded = docs.select(_node(body).alias("node"), body.alias("text")).where(F.col("node").isNotNull())
     texts = worded.groupBy("node").agg(F.first("text").alias("text"))
     links = files.materialize(verified(pairs, texts, similarity), "omh-verified")
     roots = components(links).select(F.col("node").alias("of_node"), "root")
