@@ -11,7 +11,9 @@
    all its edited copies; the others are the smallest name and the one with the smallest
    hash of its name, two orders that hold for all buckets, so that buckets of one group
    agree on few heads. All three come from combinable aggregates, so a bucket of any
-   size costs three pairs a member at most.
+   size costs three pairs a member at most. Once links are found, nodes that are still
+   outside the class of a bucket's central node are paired once more, with the nodes
+   of other classes that they share two buckets with.
 3. A pair is linked if its sets of ``SHINGLE``-word shingles have a Jaccard similarity
    of ``SIMILARITY`` or more, and a banded alignment of the words, which gives up as
    soon as it needs more edits than the band is wide, an edit similarity of
@@ -44,6 +46,8 @@ SIMILARITY = 0.8
 #: 0.33 per band and miss all 20 with 0.0003; unrelated texts at 0.1 share one with 0.0002.
 BANDS = 20
 SAMPLED = 5
+#: Nodes of a bucket outside the class of its central one that are searched one by one.
+RESIDUE = 256
 
 _U = np.uint64
 
@@ -212,33 +216,67 @@ def sketches(docs: DataFrame, bands: int = BANDS, doc_id: str = "doc_id", text:
     return hashed.mapInPandas(run, schema)
 
 
-def candidates(sketched: DataFrame) -> DataFrame:
-    """``node, other``: pairs to verify. Rows of one node may come repeatedly."""
+def shared_keys(sketched: DataFrame) -> DataFrame:
+    """``key, node, shares``: keys that several nodes have, with how central each node is."""
     # Copies meet here, combined in every task first.
     keyed = sketched.select("node", F.explode("keys").alias("key")).distinct()
     keyed = files.materialize(keyed, "omh-keys")
     sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
     shared = files.materialize(keyed.join(sizes, "key"), "omh-shared")
     centrality = shared.groupBy("node").agg(F.sum("size").alias("shares"))
-    ranked = shared.join(centrality, "node")
-    heads = shared_heads(ranked)
-    pairs = ranked.select("node", "key").join(heads, "key")
+    return files.materialize(shared.join(centrality, "node").select("key", "node", "shares"), "omh-ranked")
+
+
+def _pairs(found: DataFrame) -> DataFrame:
+    """Each pair of different nodes once, the smaller name first."""
     return (
-        pairs.select("node", F.explode(F.array("central", "smallest", "chosen")).alias("other"))
-        .where(F.col("node") != F.col("other"))
+        found.where(F.col("node") != F.col("other"))
         .select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other"))
         .distinct()
     )
 
 
-def shared_heads(ranked: DataFrame) -> DataFrame:
-    """``key, central, smallest, chosen``: three members of each bucket."""
-    return ranked.groupBy("key").agg(
+def head_pairs(ranked: DataFrame) -> DataFrame:
+    """``node, other``: every node of a bucket with the bucket's three heads."""
+    heads = ranked.groupBy("key").agg(
         # The smallest name among the most central, as max would take the largest.
         F.min(F.struct((-F.col("shares")).alias("rank"), "node"))["node"].alias("central"),
         F.min("node").alias("smallest"),
         F.min(F.struct(F.xxhash64("node").alias("rank"), "node"))["node"].alias("chosen"),
     )
+    found = ranked.select("node", "key").join(heads, "key")
+    return _pairs(found.select("node", F.explode(F.array("central", "smallest", "chosen")).alias("other")))
+
+
+def residue_pairs(ranked: DataFrame, roots: DataFrame, done: DataFrame) -> DataFrame:
+    """``node, other``: further pairs across classes, where a bucket has some left.
+
+    The residue of a bucket is its nodes that are not in the class of its central one.
+    Each of at most ``RESIDUE`` such nodes is paired with the nodes of other classes that
+    it shares two buckets with, so a bucket costs in proportion to its size. A larger
+    residue, as of texts that have but a passage in common, gets heads of its own.
+    """
+    classed = ranked.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classed = files.materialize(classed, "omh-classed")
+    centers = classed.groupBy("key").agg(
+        F.min(F.struct((-F.col("shares")).alias("rank"), "node", "root"))["root"].alias("center")
+    )
+    apart = classed.join(centers, "key").where(F.col("root") != F.col("center")).drop("center")
+    apart = files.materialize(apart, "omh-residue")
+    counts = apart.groupBy("key").agg(F.count("*").alias("left"))
+    few = apart.join(counts.where(F.col("left") <= RESIDUE), "key")
+    others = classed.select("key", F.col("node").alias("other"), F.col("root").alias("other_root"))
+    met = few.join(others, "key").where(F.col("root") != F.col("other_root"))
+    # A pair of two residues is met from both sides, which must not count as two buckets.
+    twice = (
+        met.select("key", F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other"))
+        .groupBy("node", "other")
+        .agg(F.min("key").alias("first"), F.max("key").alias("last"))
+        .where(F.col("first") != F.col("last"))
+        .select("node", "other")
+    )
+    many = apart.join(counts.where(F.col("left") > RESIDUE), "key").select("key", "node", "shares")
+    return twice.union(head_pairs(many)).distinct().join(done, ["node", "other"], "left_anti")
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -306,12 +344,18 @@ def near_duplicates(
     kept, of equal rows any one.
     """
     named = files.materialize(sketches(docs, bands, doc_id, text), "omh-sketches")
-    pairs = files.materialize(candidates(named), "omh-pairs")
+    ranked = shared_keys(named)
+    pairs = files.materialize(head_pairs(ranked), "omh-pairs")
     body = or_empty(F.col(text))
     worded = docs.select(_node(body).alias("node"), body.alias("text")).where(F.col("node").isNotNull())
     texts = worded.groupBy("node").agg(F.first("text").alias("text"))
     links = files.materialize(verified(pairs, texts, similarity), "omh-verified")
-    roots = components(links).select(F.col("node").alias("of_node"), "root")
+    roots = components(links)
+    more = files.materialize(residue_pairs(ranked, roots, pairs), "omh-pairs")
+    found = files.materialize(verified(more, texts, similarity), "omh-verified")
+    if found.limit(1).count():
+        roots = components(links.union(found))
+    roots = roots.select(F.col("node").alias("of_node"), "root")
     by_node = (
         named.where(F.col("node").isNotNull())
         .groupBy("node")

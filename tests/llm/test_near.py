@@ -107,7 +107,7 @@ def test_one_large_class(prose, docs_of):
             words[rng.randrange(len(words))] = f"w{rng.random()}"
         texts.append(" ".join(words))
     docs = docs_of(texts)
-    assert omh.candidates(omh.sketches(docs)).count() < 20 * len(texts)
+    assert omh.head_pairs(omh.shared_keys(omh.sketches(docs))).count() < 20 * len(texts)
     assert [r["class_id"] for r in omh.near_duplicates(docs).select("class_id").distinct().collect()] == [0]
 
 
