@@ -47,7 +47,7 @@ SIMILARITY = 0.8
 BANDS = 20
 SAMPLED = 5
 #: Nodes of a bucket outside the class of its central one that are searched one by one.
-RESIDUE = 256
+RESIDUE = 64
 
 _U = np.uint64
 
