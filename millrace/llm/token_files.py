@@ -121,6 +121,7 @@ class SequenceFile:
         self.n_batches = self._reader.num_record_batches
         self.length = self._reader.schema.field("ids").type.list_size
         self._first = len(self._reader.get_batch(0)) if self.n_batches else 0
+        self._last: tuple[int, pa.Array | None] = (-1, None)
 
     def __len__(self) -> int:
         if not self.n_batches:
@@ -143,7 +144,9 @@ class SequenceFile:
         step = self._first * self.length
         while n > 0:
             batch, at = divmod(start, step)
-            view = self._flat(batch, "ids").slice(at, n).to_numpy(zero_copy_only=True)
+            if self._last[0] != batch:
+                self._last = (batch, self._flat(batch, "ids"))
+            view = self._last[1].slice(at, n).to_numpy(zero_copy_only=True)
             yield view
             start, n = start + len(view), n - len(view)
 
@@ -163,6 +166,7 @@ def write(
 ) -> DataFrame:
     """Write all documents under ``folder``; the written files as ``part, path, n_docs, n_tokens``."""
     dtype = "uint16" if vocabulary_size <= 1 << 16 else "uint32"
+    end = END_ID.to_bytes(4, "little")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), or_empty(F.col(text)).alias("text"))
     ordered = (
         batched(rows)
@@ -190,7 +194,7 @@ def write(
             starts, counts = [], []
             for ids in encoder.encode(rows["text"]):
                 starts.append(writer.n_tokens)
-                writer.append(np.append(np.frombuffer(ids, "<u4"), END_ID))
+                writer.append(np.frombuffer(ids + end, "<u4"))
                 counts.append(writer.n_tokens - starts[-1])
             ids = pa.array(rows["doc_id"], pa.int64(), from_pandas=True)
             index.write_batch(pa.RecordBatch.from_arrays([ids, pa.array(starts), pa.array(counts)], schema=_INDEX))

@@ -22,6 +22,8 @@ _ASCII_ODD = "\x1c\x1d\x1e\x1f"
 _OTHER_SPACE = _ASCII_ODD + "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNITS = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+\Z").findall
 _SEPARATOR = "<|endoftext|>"
+# Letters below are letters in every version of Unicode that libraries may go by.
+_LAST_LETTER = "\u0250"
 # Stands before a unit that has no blank in front of it. Texts that hold it are encoded whole.
 _BARE = "\x1f"
 
@@ -44,20 +46,33 @@ class UnitEncoder:
     """
 
     def __init__(self, vocabulary: str, leading_space: bool, cache_units: int = CACHE_UNITS):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self._plain = Tokenizer.from_str(vocabulary)
-        self._plain.encode_special_tokens = True
-        self._joined = Tokenizer.from_str(vocabulary)
-        self._separator = self._joined.token_to_id(_SEPARATOR)
+        # One vocabulary in memory, set up anew for each of three uses.
+        self._tokenizer = Tokenizer.from_str(vocabulary)
+        self._separator = self._tokenizer.token_to_id(_SEPARATOR)
+        self._split, self._normal = self._tokenizer.pre_tokenizer, self._tokenizer.normalizer
+        self._unsplit = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._spaced = leading_space
         self._new: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
         self._cache_units = cache_units
 
+    def _ids(self, texts: list[str], joined: bool = False, letters: bool = False) -> list[np.ndarray]:
+        """Ids of texts: whole ones, or with separators between units, of letters only or not.
+
+        Words of letters only are one part of either vocabulary's split, so they need not
+        be searched for it, and plain ones need no normalising but small letters.
+        """
+        used = self._tokenizer
+        used.encode_special_tokens = not joined
+        used.pre_tokenizer = self._unsplit if letters else self._split
+        used.normalizer = None if letters and not self._spaced else self._normal
+        found = used.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4") for e in found]
+
     def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self._plain.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        return [ids.tobytes() for ids in self._ids(texts)]
 
     def _text(self, unit: str) -> str:
         if not self._spaced:
@@ -71,11 +86,21 @@ class UnitEncoder:
             yield from zip(odd, self._whole([self._text(u) for u in odd]))
             apart = set(odd)
             units = [u for u in units if u not in apart]
-        for at in range(0, len(units), _TOGETHER * 256):
-            groups = [units[i : i + _TOGETHER] for i in range(at, min(at + _TOGETHER * 256, len(units)), _TOGETHER)]
-            joined = [_SEPARATOR.join(map(self._text, g)) for g in groups]
-            for group, encoding in zip(groups, self._joined.encode_batch_fast(joined, add_special_tokens=False)):
-                ids = np.array(encoding.ids, dtype="<u4")
+        letters, others = [], []
+        for unit in units:
+            plain = unit.isalpha() and (unit.isascii() or self._spaced and max(unit) < _LAST_LETTER)
+            (letters if plain else others).append(unit)
+        yield from self._apart(others, list(map(self._text, others)), False)
+        small = [f" {u}" for u in letters] if self._spaced else list(map(str.lower, letters))
+        yield from self._apart(letters, small, True)
+
+    def _apart(self, units: list[str], texts: list[str], letters: bool) -> Iterator[tuple[str, bytes]]:
+        step = _TOGETHER * 256
+        for at in range(0, len(units), step):
+            starts = range(at, min(at + step, len(units)), _TOGETHER)
+            groups = [units[i : i + _TOGETHER] for i in starts]
+            joined = [_SEPARATOR.join(texts[i : i + _TOGETHER]) for i in starts]
+            for group, ids in zip(groups, self._ids(joined, True, letters)):
                 cuts = (np.flatnonzero(ids == self._separator) * 4).tolist()
                 raw = ids.tobytes()
                 begin = 0
@@ -92,22 +117,27 @@ class UnitEncoder:
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         texts = list(texts)
-        new, old = self._new, self._old
         units = [self._units(t) for t in texts]
-        missing: set[str] = set()
+        # Look-ups in a large table are what costs, so the batch's words are made
+        # distinct first and each is looked up there once.
+        distinct: set[str] = set()
         for found in units:
             if found:
-                missing.update([u for u in found if u not in new])
-        again = missing & old.keys() if old else set()
-        for unit in again:
-            new[unit] = old[unit]
-        learn = list(missing - again)
-        new.update(self._learn(learn))
-        get = new.__getitem__
+                distinct.update(found)
+        new, old = self._new, self._old
+        known = dict(zip(distinct, map(new.get, distinct)))
+        unknown = []
+        for unit in [u for u, ids in known.items() if ids is None]:
+            if unit in old:
+                known[unit] = new[unit] = old[unit]
+            else:
+                unknown.append(unit)
+        for unit, ids in self._learn(unknown):
+            known[unit] = ids
+            if len(unit) <= UNIT_CHARS:  # long units are looked up in this batch only
+                new[unit] = ids
+        get = known.__getitem__
         out = [b"".join(map(get, u)) if u is not None else self._whole([t])[0] for t, u in zip(texts, units)]
-        for unit in learn:
-            if len(unit) > UNIT_CHARS:
-                del new[unit]  # long units are looked up in this batch only
         if len(new) > self._cache_units:
             self._new, self._old = {}, new
         return out
