@@ -57,6 +57,15 @@ class Segmenter:
         self._unknown = unknown
         self._longest = max(map(len, scores), default=1)
         self._beside: dict[tuple[str, str], bool] = {}
+        # Pieces by their characters from the last to the first; "" leads to the piece.
+        self._endings: dict = {}
+        if merges:
+            for piece in scores:
+                if self.merged(piece) == [piece]:
+                    node = self._endings
+                    for char in reversed(piece):
+                        node = node.setdefault(char, {})
+                    node[""] = piece
 
     def merged(self, symbols: Iterable[str]) -> list[str]:
         """Merge neighbours, best score first and leftmost of equals, until none makes a piece."""
@@ -87,38 +96,44 @@ class Segmenter:
         return [p for p in parts if p]
 
     def _stands(self, before: str, piece: str) -> bool:
+        """Whether merging the characters of two pieces ends in just these two."""
         key = (before, piece)
         found = self._beside.get(key)
         if found is None:
             if len(self._beside) >= 1_000_000:
                 self._beside.clear()
-            found = self.merged(before + piece) == ([before, piece] if before else [piece])
+            found = self.merged(before + piece) == [before, piece]
             self._beside[key] = found
         return found
 
-    def _extend(self, word: str, end: int, starts: list[int], sums: list[float]) -> None:
-        """The forward state of the prefix up to ``end``, from those before it."""
-        first = max(0, end - self._longest)
-        if self._merges:
-            for start in range(first, end):
-                piece = word[start:end]
-                if piece in self._scores or start == end - 1:
-                    before = word[starts[start] : start] if start else ""
-                    if self._stands("", piece) and (not before or self._stands(before, piece)):
-                        starts.append(start)
-                        return
-            raise AssertionError("a prefix without a segmentation")
-        best, chosen = _NEVER, end - 1
-        for start in range(first, end):
-            score = self._scores.get(word[start:end], self._unknown if start == end - 1 else None)
+    def _last_merged(self, word: str, end: int, lasts: list[str]) -> str:
+        """The last piece of the one segmentation of the prefix up to ``end``."""
+        node, at = self._endings, end
+        while at:
+            node = node.get(word[at - 1])
+            if node is None:
+                break
+            at -= 1
+            piece = node.get("")
+            if piece is not None and (not at or self._stands(lasts[at], piece)):
+                return piece
+        return word[end - 1]  # a character that is no piece merges with nothing
+
+    def _last_scored(self, word: str, end: int, lasts: list[str], sums: list[float]) -> str:
+        """The last piece of the best segmentation of the prefix up to ``end``."""
+        best, last = _NEVER, word[end - 1]
+        for start in range(max(0, end - self._longest), end):
+            piece = word[start:end]
+            score = self._scores.get(piece, self._unknown if start == end - 1 else None)
             if score is not None and sums[start] + score > best:
-                best, chosen = sums[start] + score, start
-        starts.append(chosen)
+                best, last = sums[start] + score, piece
         sums.append(best)
+        return last
 
     def segment(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
         """Each distinct word with its pieces, in sorted order."""
-        before, starts, sums = "", [0], [0.0]
+        # The forward states of the prefixes of the word before: last piece, best sum.
+        before, lasts, sums = "", [""], [0.0]
         for word in sorted(set(words)):
             if self._merges and MARK * 2 in word:
                 # Runs of marks have equal scores, of which the leftmost wins only as a whole.
@@ -127,14 +142,17 @@ class Segmenter:
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del starts[shared + 1 :], sums[shared + 1 :]
+            del lasts[shared + 1 :], sums[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                self._extend(word, end, starts, sums)
+                if self._merges:
+                    lasts.append(self._last_merged(word, end, lasts))
+                else:
+                    lasts.append(self._last_scored(word, end, lasts, sums))
             before = word
             pieces, end = [], len(word)
             while end:
-                pieces.append(word[starts[end] : end])
-                end = starts[end]
+                pieces.append(lasts[end])
+                end -= len(lasts[end])
             yield word, pieces[::-1]
 
 
@@ -154,23 +172,23 @@ class PieceModel:
         processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         size = processor.get_piece_size()
         self._prefix = MARK if spec.add_dummy_prefix else ""
-        self._ids: dict[str, int] = {}
+        self._ids: dict[str, bytes] = {}  # little-endian, like all ids here
         scores: dict[str, float] = {}
-        self._bytes = [processor.unk_id()] * 256
+        self._bytes = [processor.unk_id().to_bytes(4, "little")] * 256
         self._text: list[bytes] = []
         for n in range(size):
             piece, kind = parsed.pieces[n].piece, parsed.pieces[n].type
             shown = piece.replace(MARK, " ").encode()
             if kind == kinds.BYTE:
                 value = int(piece[3:5], 16)
-                self._bytes[value] = n
+                self._bytes[value] = n.to_bytes(4, "little")
                 shown = bytes([value])
             elif kind == kinds.CONTROL:
                 shown = b""
             elif kind == kinds.UNKNOWN:
                 shown = parsed.trainer_spec.unk_surface.encode()
             else:
-                self._ids[piece] = n
+                self._ids[piece] = n.to_bytes(4, "little")
                 scores[piece] = parsed.pieces[n].score
             self._text.append(shown)
         if any(MARK in p.lstrip(MARK) for p in scores):
@@ -180,18 +198,17 @@ class PieceModel:
         # Control characters that are in no piece part words as well.
         apart = "".join(c for c in "\n\t\r" if not any(c in p for p in scores))
         self._words = re.compile(f"{MARK}*[^{MARK}{apart}]+|{MARK}+" + (f"|[{apart}]+" if apart else "")).findall
-        self._cache: dict[str, bytes] = {}
+        # Two generations: when the newer is full the older goes, and what is used moves on.
+        self._new: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
         self._cache_words = cache_words
 
     def _id_bytes(self, pieces: list[str]) -> bytes:
-        ids: list[int] = []
-        for piece in pieces:
-            n = self._ids.get(piece)
-            if n is None:
-                ids.extend(self._bytes[b] for b in piece.encode("utf-8", "surrogatepass"))
-            else:
-                ids.append(n)
-        return np.array(ids, dtype="<u4").tobytes()
+        ids = self._ids
+        return b"".join([ids[p] if p in ids else self._byte_ids(p) for p in pieces])
+
+    def _byte_ids(self, character: str) -> bytes:
+        return b"".join([self._bytes[b] for b in character.encode("utf-8", "surrogatepass")])
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -199,16 +216,21 @@ class PieceModel:
         distinct = set()
         for found in words:
             distinct.update(found)
-        if len(self._cache) + len(distinct) > self._cache_words:
-            self._cache.clear()
-        cache = self._cache
-        new = [w for w in distinct if w not in cache]
-        for word, pieces in self._segmenter.segment(new):
-            cache[word] = self._id_bytes(pieces)
-        out = [b"".join(map(cache.__getitem__, found)) for found in words]
-        for word in new:
-            if len(word) > _CACHED_CHARS:
-                del cache[word]
+        new, old = self._new, self._old
+        known = dict(zip(distinct, map(new.get, distinct)))
+        unknown = []
+        for word in [w for w, ids in known.items() if ids is None]:
+            if word in old:
+                known[word] = new[word] = old[word]
+            else:
+                unknown.append(word)
+        for word, pieces in self._segmenter.segment(unknown):
+            known[word] = self._id_bytes(pieces)
+            if len(word) <= _CACHED_CHARS:  # long words are looked up in this batch only
+                new[word] = known[word]
+        out = [b"".join(map(known.__getitem__, found)) for found in words]
+        if len(new) > self._cache_words:
+            self._new, self._old = {}, new
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
