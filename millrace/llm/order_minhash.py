@@ -13,7 +13,8 @@
    agree on few heads. All three come from combinable aggregates, so a bucket of any
    size costs three pairs a member at most. Once links are found, nodes that are still
    outside the class of a bucket's central node are paired once more, with the nodes
-   of other classes that they share two buckets with.
+   of other classes that they share two buckets with; where many are outside, all similar
+   pairs of the bucket's nodes are found by the rarest shingles of each.
 3. A pair is linked if its sets of ``SHINGLE``-word shingles have a Jaccard similarity
    of ``SIMILARITY`` or more, and a banded alignment of the words, which gives up as
    soon as it needs more edits than the band is wide, an edit similarity of
@@ -29,13 +30,15 @@ differ by moved paragraphs are not linked, as the method asks for the same order
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from millrace.llm.common import SPACES, batched, fresh, or_empty
 from millrace.sources import files
@@ -46,8 +49,11 @@ SIMILARITY = 0.8
 #: 0.33 per band and miss all 20 with 0.0003; unrelated texts at 0.1 share one with 0.0002.
 BANDS = 20
 SAMPLED = 5
-#: Nodes of a bucket outside the class of its central one that are searched one by one.
-RESIDUE = 64
+#: Nodes of a bucket outside the class of its central one that are searched one by one;
+#: where more are left they are searched by their rare shingles, which finds all as well.
+RESIDUE = 8
+#: Counters of shingles for that; beyond some millions of shingles the order gets coarser.
+SLOTS = 1 << 22
 
 _U = np.uint64
 
@@ -64,14 +70,20 @@ def _seeds(n: int) -> np.ndarray:
     return _mix(np.arange(1, n + 1, dtype=np.uint64) * _U(0xA0761D6478BD642F))
 
 
-def labelled(word_hashes: np.ndarray) -> np.ndarray:
-    """Hashes of a text's k-mers, each with the number of its earlier occurrences."""
+def plain(word_hashes: np.ndarray) -> np.ndarray:
+    """Hashes of a text's k-mers in its order; equal ones for repeats."""
     n = len(word_hashes)
     k = min(SHINGLE, n)
     mers = np.zeros(n - k + 1, np.uint64)
     with np.errstate(over="ignore"):
         for i in range(k):
             mers = _mix(mers + word_hashes[i : n - k + 1 + i])
+    return mers
+
+
+def labelled(word_hashes: np.ndarray) -> np.ndarray:
+    """Hashes of a text's k-mers, each with the number of its earlier occurrences."""
+    mers = plain(word_hashes)
     order = np.argsort(mers, kind="stable")
     ranked = mers[order]
     new = np.r_[True, ranked[1:] != ranked[:-1]]
@@ -153,6 +165,12 @@ def edits_within(a: list, b: list, most: int) -> int | None:
     return None
 
 
+def prefix_length(size: int, similarity: float = SIMILARITY) -> int:
+    """Of sets in one common order, how many first members decide: sets as similar as that
+    have one in common among these, as all others together would be too few."""
+    return size - math.ceil(similarity * size - 1e-9) + 1
+
+
 def _words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
@@ -248,13 +266,16 @@ def head_pairs(ranked: DataFrame) -> DataFrame:
     return _pairs(found.select("node", F.explode(F.array("central", "smallest", "chosen")).alias("other")))
 
 
-def residue_pairs(ranked: DataFrame, roots: DataFrame, done: DataFrame) -> DataFrame:
+def residue_pairs(
+    ranked: DataFrame, roots: DataFrame, done: DataFrame, texts: DataFrame, similarity: float = SIMILARITY
+) -> DataFrame:
     """``node, other``: further pairs across classes, where a bucket has some left.
 
     The residue of a bucket is its nodes that are not in the class of its central one.
     Each of at most ``RESIDUE`` such nodes is paired with the nodes of other classes that
-    it shares two buckets with, so a bucket costs in proportion to its size. A larger
-    residue, as of texts that have but a passage in common, gets heads of its own.
+    it shares two buckets with, so a bucket costs in proportion to its size. Where more
+    are left, as of texts that have but a passage in common, ``prefix_pairs`` finds all
+    similar pairs of the bucket's nodes.
     """
     classed = ranked.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classed = files.materialize(classed, "omh-classed")
@@ -275,8 +296,100 @@ def residue_pairs(ranked: DataFrame, roots: DataFrame, done: DataFrame) -> DataF
         .where(F.col("first") != F.col("last"))
         .select("node", "other")
     )
-    many = apart.join(counts.where(F.col("left") > RESIDUE), "key").select("key", "node", "shares")
-    return twice.union(head_pairs(many)).distinct().join(done, ["node", "other"], "left_anti")
+    many = counts.where(F.col("left") > RESIDUE).select("key")
+    searched = apart.join(many, "key").select("node").distinct().withColumn("searched", F.lit(True))
+    wide = (
+        classed.join(many, "key", "left_semi").select("node", "root").distinct()
+        .join(searched, "node", "left").withColumn("searched", F.coalesce("searched", F.lit(False)))
+    )
+    wide = files.materialize(wide, "omh-wide")
+    return twice.union(prefix_pairs(wide, texts, similarity)).distinct().join(done, ["node", "other"], "left_anti")
+
+
+def prefix_pairs(wide: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``node, other``: all pairs across classes whose shingles may be similar enough, one of them searched.
+
+    ``wide`` has ``node, root, searched``. Nothing is lost: of two similar sets in one
+    common order, each has a shingle of the other among its first few. The order is by how
+    many nodes have a shingle, rare ones first, so a passage that many texts share comes
+    last and pairs nothing unless it is most of a text.
+    """
+    words = F.split(_squeezed(F.col("text")), " ")
+    hashed = files.materialize(
+        wide.join(texts, "node").select(
+            "node", "root", "searched", F.transform(words, lambda w: F.xxhash64(w)).alias("words")
+        ),
+        "omh-wide-words",
+    )
+    counts = _counted(hashed)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = np.frombuffer(counts, np.uint8)
+        for batch in batches:
+            out = []
+            for node, root, searched, w in batch[["node", "root", "searched", "words"]].itertuples(index=False):
+                mers = _distinct(w)
+                times = seen[_slots(mers)]
+                order = np.lexsort((mers, times))[: prefix_length(len(mers), similarity)]
+                # What one node alone has pairs with nothing, but takes its place.
+                for place in np.flatnonzero(times[order] > 1):
+                    mer = int(mers[order[place]].astype(np.int64))
+                    out.append((mer, node, root, searched, len(mers), int(place)))
+            yield pd.DataFrame(out, columns=["mer", "node", "root", "searched", "size", "place"])
+
+    schema = "mer long, node binary, root binary, searched boolean, size long, place long"
+    firsts = files.materialize(batched(hashed).mapInPandas(run, schema), "omh-prefixes")
+    a, b = firsts.where("searched").alias("a"), firsts.alias("b")
+    # The first shingle that two sets have in common leaves no more than what follows it.
+    most = 1 + F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place")) - 1
+    enough = similarity / (1 + similarity) * (F.col("a.size") + F.col("b.size")) - 1e-6
+    met = a.join(
+        b,
+        (F.col("a.mer") == F.col("b.mer"))
+        & (F.col("a.root") != F.col("b.root"))
+        & (~F.col("b.searched") | (F.col("a.node") < F.col("b.node")))
+        & (most >= enough),
+    )
+    return _pairs(met.select(F.col("a.node").alias("node"), F.col("b.node").alias("other")))
+
+
+def _distinct(words: np.ndarray) -> np.ndarray:
+    return np.unique(plain(np.asarray(words, dtype=np.int64).view(np.uint64)))
+
+
+def _slots(mers: np.ndarray) -> np.ndarray:
+    return (mers % _U(SLOTS)).astype(np.int64)
+
+
+def _counted(hashed: DataFrame) -> bytes:
+    """How many nodes have a shingle of each slot, up to 255, one byte a slot.
+
+    Slots that several shingles share count for all of them, so a count may be too high,
+    which changes the order but not what it finds.
+    """
+    width = SLOTS // 64
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = np.zeros(SLOTS, np.uint8)
+        for batch in batches:
+            for w in batch["words"]:
+                slots = np.unique(_slots(_distinct(w)), return_counts=True)
+                seen[slots[0]] = np.minimum(seen[slots[0]].astype(np.int64) + slots[1], 255)
+        blocks = [n for n in range(64) if seen[n * width : (n + 1) * width].any()]
+        yield pd.DataFrame(
+            {"block": blocks, "seen": [zlib.compress(seen[n * width : (n + 1) * width].tobytes(), 1) for n in blocks]}
+        )
+
+    def add(block: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(width, np.uint16)
+        for part in block["seen"]:
+            total = np.minimum(total + np.frombuffer(zlib.decompress(part), np.uint8), 255).astype(np.uint16)
+        return pd.DataFrame({"block": block["block"][:1], "seen": [zlib.compress(total.astype(np.uint8).tobytes(), 1)]})
+
+    schema = StructType([StructField("block", IntegerType()), StructField("seen", BinaryType())])
+    found = batched(hashed).mapInPandas(count, schema).groupBy("block").applyInPandas(add, schema).collect()
+    blocks = {r["block"]: zlib.decompress(r["seen"]) for r in found}
+    return b"".join(blocks.get(n, bytes(width)) for n in range(64))
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -351,7 +464,7 @@ def near_duplicates(
     texts = worded.groupBy("node").agg(F.first("text").alias("text"))
     links = files.materialize(verified(pairs, texts, similarity), "omh-verified")
     roots = components(links)
-    more = files.materialize(residue_pairs(ranked, roots, pairs), "omh-pairs")
+    more = files.materialize(residue_pairs(ranked, roots, pairs, texts, similarity), "omh-pairs")
     found = files.materialize(verified(more, texts, similarity), "omh-verified")
     if found.limit(1).count():
         roots = components(links.union(found))

@@ -126,3 +126,20 @@ def test_one_row_of_each_class_stays(spark, odd, prose, docs_of):
     assert sorted(r["doc_id"] for r in omh.keep_one(docs.union(docs)).collect() if (r["text"] or "").strip()) == [
         n for n in want if (texts[n] or "").strip()
     ]
+
+
+def test_pairs_in_a_wide_bucket(spark, prose):
+    """Pairs among many texts with one passage in common are found where a bucket holds all."""
+    rng, passage = random.Random(7), prose(400, 3).split()
+    texts = []
+    for n in range(100):
+        own = prose(60, 5_000 + n).split()
+        texts += [" ".join(own + passage), " ".join(own[:-2] + [f"v{rng.random()}"] + passage)]
+    nodes = [(n.to_bytes(4, "big"), t) for n, t in enumerate(texts)]
+    # One bucket of all texts, of which the first is most central.
+    ranked = spark.createDataFrame([(1, b, 2 if n == 0 else 1) for n, (b, _) in enumerate(nodes)], "key long, node binary, shares long")
+    none = spark.createDataFrame([], "node binary, root binary")
+    done = spark.createDataFrame([], "node binary, other binary")
+    found = omh.residue_pairs(ranked, none, done, spark.createDataFrame(nodes, "node binary, text string"), 0.9)
+    got = {tuple(int.from_bytes(r[c], "big") for c in ("node", "other")) for r in found.collect()}
+    assert {(n, n + 1) for n in range(0, 200, 2)} <= got and len(got) < 2_000
