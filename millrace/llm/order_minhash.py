@@ -12,8 +12,8 @@
    hash of its name, two orders that hold for all buckets, so that buckets of one group
    agree on few heads. All three come from combinable aggregates, so a bucket of any
    size costs three pairs a member at most. Once links are found, nodes that are still
-   outside the class of a bucket's central node are paired once more, with the nodes
-   of other classes that they share two buckets with; where many are outside, all similar
+   outside the class of a bucket's central node are paired once more, with all nodes
+   of other classes in the bucket; where many are outside, all similar
    pairs of the bucket's nodes are found by the rarest shingles of each.
 3. A pair is linked if its sets of ``SHINGLE``-word shingles have a Jaccard similarity
    of ``SIMILARITY`` or more, and a banded alignment of the words, which gives up as
@@ -171,6 +171,11 @@ def prefix_length(size: int, similarity: float = SIMILARITY) -> int:
     return size - math.ceil(similarity * size - 1e-9) + 1
 
 
+def _distinct(words: np.ndarray) -> np.ndarray:
+    """Hashes of the different shingles of a text, from its word hashes as Spark has them."""
+    return np.unique(plain(np.asarray(words, dtype=np.int64).view(np.uint64)))
+
+
 def _words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
@@ -206,7 +211,8 @@ def _node(body: Column) -> Column:
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, node, keys`` for each row; no keys without words. One pass over the texts."""
+    """``doc_id, node, keys, size`` for each row, the size in different shingles; no keys
+    without words. One pass over the texts."""
     squeezed = docs.select(
         F.col(doc_id).alias("doc_id"), _squeezed(or_empty(F.col(text))).alias("squeezed")
     )
@@ -218,7 +224,12 @@ def sketches(docs: DataFrame, bands: int = BANDS, doc_id: str = "doc_id", text:
         ).alias("words"),
     )
     schema = StructType(
-        [hashed.schema["doc_id"], StructField("node", BinaryType()), StructField("keys", ArrayType(LongType()))]
+        [
+            hashed.schema["doc_id"],
+            StructField("node", BinaryType()),
+            StructField("keys", ArrayType(LongType())),
+            StructField("size", LongType()),
+        ]
     )
     seeds = _seeds(bands)
 
@@ -229,20 +240,21 @@ def sketches(docs: DataFrame, bands: int = BANDS, doc_id: str = "doc_id", text:
                 None if w is None else sketch(np.asarray(w, dtype=np.int64).view(np.uint64), seeds).view(np.int64)
                 for w in batch["words"]
             ]
+            out["size"] = [0 if w is None else len(_distinct(w)) for w in batch["words"]]
             yield out
 
     return hashed.mapInPandas(run, schema)
 
 
 def shared_keys(sketched: DataFrame) -> DataFrame:
-    """``key, node, shares``: keys that several nodes have, with how central each node is."""
+    """``key, node, shares, size``: keys that several nodes have, with how central each node is."""
     # Copies meet here, combined in every task first.
-    keyed = sketched.select("node", F.explode("keys").alias("key")).distinct()
+    keyed = sketched.select("node", "size", F.explode("keys").alias("key")).distinct()
     keyed = files.materialize(keyed, "omh-keys")
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
-    shared = files.materialize(keyed.join(sizes, "key"), "omh-shared")
-    centrality = shared.groupBy("node").agg(F.sum("size").alias("shares"))
-    return files.materialize(shared.join(centrality, "node").select("key", "node", "shares"), "omh-ranked")
+    members = keyed.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > 1)
+    shared = files.materialize(keyed.join(members, "key"), "omh-shared")
+    centrality = shared.groupBy("node").agg(F.sum("members").alias("shares"))
+    return files.materialize(shared.join(centrality, "node").select("key", "node", "shares", "size"), "omh-ranked")
 
 
 def _pairs(found: DataFrame) -> DataFrame:
@@ -272,8 +284,8 @@ def residue_pairs(
     """``node, other``: further pairs across classes, where a bucket has some left.
 
     The residue of a bucket is its nodes that are not in the class of its central one.
-    Each of at most ``RESIDUE`` such nodes is paired with the nodes of other classes that
-    it shares two buckets with, so a bucket costs in proportion to its size. Where more
+    Each of at most ``RESIDUE`` such nodes is paired with all nodes of other classes in
+    the bucket that are not too long or short, so it costs in proportion to its size. Where more
     are left, as of texts that have but a passage in common, ``prefix_pairs`` finds all
     similar pairs of the bucket's nodes.
     """
@@ -285,17 +297,23 @@ def residue_pairs(
     apart = classed.join(centers, "key").where(F.col("root") != F.col("center")).drop("center")
     apart = files.materialize(apart, "omh-residue")
     counts = apart.groupBy("key").agg(F.count("*").alias("left"))
-    few = apart.join(counts.where(F.col("left") <= RESIDUE), "key")
-    others = classed.select("key", F.col("node").alias("other"), F.col("root").alias("other_root"))
-    met = few.join(others, "key").where(F.col("root") != F.col("other_root"))
-    # A pair of two residues is met from both sides, which must not count as two buckets.
-    twice = (
-        met.select("key", F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other"))
-        .groupBy("node", "other")
-        .agg(F.min("key").alias("first"), F.max("key").alias("last"))
-        .where(F.col("first") != F.col("last"))
-        .select("node", "other")
+    few = apart.join(counts.where(F.col("left") <= RESIDUE).select("key"), "key")
+    others = classed.join(apart.select("key", "node", F.lit(True).alias("is_left")), ["key", "node"], "left").select(
+        "key",
+        F.col("node").alias("other"),
+        F.col("root").alias("other_root"),
+        F.col("size").alias("other_size"),
+        F.col("is_left").isNotNull().alias("is_left"),
     )
+    # A pair of two residues is met from one side; unlike sizes rule a pair out.
+    met = few.join(
+        others,
+        (few["key"] == others["key"])
+        & (F.col("root") != F.col("other_root"))
+        & (~F.col("is_left") | (F.col("node") < F.col("other")))
+        & (F.least("size", "other_size") >= similarity * F.greatest("size", "other_size") - 1e-6),
+    )
+    met = _pairs(met.select("node", "other"))
     many = counts.where(F.col("left") > RESIDUE).select("key")
     searched = apart.join(many, "key").select("node").distinct().withColumn("searched", F.lit(True))
     wide = (
@@ -303,7 +321,7 @@ def residue_pairs(
         .join(searched, "node", "left").withColumn("searched", F.coalesce("searched", F.lit(False)))
     )
     wide = files.materialize(wide, "omh-wide")
-    return twice.union(prefix_pairs(wide, texts, similarity)).distinct().join(done, ["node", "other"], "left_anti")
+    return met.union(prefix_pairs(wide, texts, similarity)).distinct().join(done, ["node", "other"], "left_anti")
 
 
 def prefix_pairs(wide: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -353,10 +371,6 @@ def prefix_pairs(wide: DataFrame, texts: DataFrame, similarity: float = SIMILARI
     return _pairs(met.select(F.col("a.node").alias("node"), F.col("b.node").alias("other")))
 
 
-def _distinct(words: np.ndarray) -> np.ndarray:
-    return np.unique(plain(np.asarray(words, dtype=np.int64).view(np.uint64)))
-
-
 def _slots(mers: np.ndarray) -> np.ndarray:
     return (mers % _U(SLOTS)).astype(np.int64)
 

@@ -137,9 +137,24 @@ def test_pairs_in_a_wide_bucket(spark, prose):
         texts += [" ".join(own + passage), " ".join(own[:-2] + [f"v{rng.random()}"] + passage)]
     nodes = [(n.to_bytes(4, "big"), t) for n, t in enumerate(texts)]
     # One bucket of all texts, of which the first is most central.
-    ranked = spark.createDataFrame([(1, b, 2 if n == 0 else 1) for n, (b, _) in enumerate(nodes)], "key long, node binary, shares long")
+    ranked = spark.createDataFrame(
+        [(1, b, 2 if n == 0 else 1, 456) for n, (b, _) in enumerate(nodes)], "key long, node binary, shares long, size long"
+    )
     none = spark.createDataFrame([], "node binary, root binary")
     done = spark.createDataFrame([], "node binary, other binary")
     found = omh.residue_pairs(ranked, none, done, spark.createDataFrame(nodes, "node binary, text string"), 0.9)
     got = {tuple(int.from_bytes(r[c], "big") for c in ("node", "other")) for r in found.collect()}
     assert {(n, n + 1) for n in range(0, 200, 2)} <= got and len(got) < 2_000
+
+
+def test_pairs_that_share_one_key(spark, prose):
+    """In small buckets all pairs across classes are found, heads or not, unless their sizes differ."""
+    names = [n.to_bytes(4, "big") for n in range(5)]
+    ranked = [(1, b, 9 - n, 40 if n == 4 else 100) for n, b in enumerate(names)] + [(2, names[0], 9, 100), (2, names[3], 6, 100)]
+    ranked = spark.createDataFrame(ranked, "key long, node binary, shares long, size long")
+    none = spark.createDataFrame([], "node binary, root binary")
+    done = spark.createDataFrame([], "node binary, other binary")
+    texts = spark.createDataFrame([(b, prose(60, n)) for n, b in enumerate(names)], "node binary, text string")
+    found = omh.residue_pairs(ranked, none, done, texts)
+    got = [tuple(r[c][3] for c in ("node", "other")) for r in found.collect()]
+    assert sorted(got) == [(0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3)]
