@@ -5,6 +5,9 @@
    how often it occurred before, so repeats count. Under each of ``BANDS`` hash functions
    the ``SAMPLED`` smallest labelled k-mers are taken and kept in the order of the text;
    that ordered tuple is one key. Equal keys call for similar texts in a similar order.
+   Of texts with at most ``SHORT`` different shingles, and of those that may be similar to
+   such a text, the first shingles in the order of their hashes are keys, so many that
+   two similar texts have one in common; short texts have no others.
 2. Nodes that share a key are candidates. They are not paired with each other: in each
    bucket of a key every node is paired with three of its members. The central one is
    the node whose keys are shared most over all buckets, as an original shares keys with
@@ -49,6 +52,9 @@ SIMILARITY = 0.8
 #: 0.33 per band and miss all 20 with 0.0003; unrelated texts at 0.1 share one with 0.0002.
 BANDS = 20
 SAMPLED = 5
+#: Up to so many different shingles the smaller of two texts decides by its first shingles
+#: in the order of their hashes, which misses nothing.
+SHORT = 64
 #: Nodes of a bucket outside the class of its central one that are searched one by one;
 #: where more are left they are searched by their rare shingles, which finds all as well.
 RESIDUE = 8
@@ -118,6 +124,18 @@ def sketch(word_hashes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return keys
 
 
+def keys_of(word_hashes: np.ndarray, seeds: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """The keys of a text: its first shingles if it may be like a short one, its sketch if it is not short."""
+    few = _distinct(word_hashes)
+    keys = []
+    if similarity * len(few) <= SHORT + 1e-9:
+        with np.errstate(over="ignore"):
+            keys.append(_mix(few[: prefix_length(len(few), similarity)] + _U(0x94D049BB133111EB)))
+    if len(few) > SHORT:
+        keys.append(sketch(word_hashes, seeds))
+    return np.concatenate(keys)
+
+
 def edits_within(a: list, b: list, most: int) -> int | None:
     """Least insertions, deletions and replacements that turn ``a`` into ``b``, if at most ``most``.
 
@@ -171,9 +189,14 @@ def prefix_length(size: int, similarity: float = SIMILARITY) -> int:
     return size - math.ceil(similarity * size - 1e-9) + 1
 
 
-def _distinct(words: np.ndarray) -> np.ndarray:
-    """Hashes of the different shingles of a text, from its word hashes as Spark has them."""
-    return np.unique(plain(np.asarray(words, dtype=np.int64).view(np.uint64)))
+def _distinct(word_hashes: np.ndarray) -> np.ndarray:
+    """Hashes of the different shingles of a text, in order."""
+    return np.unique(plain(word_hashes))
+
+
+def _unsigned(words: np.ndarray) -> np.ndarray:
+    """Word hashes as Spark has them, without sign."""
+    return np.asarray(words, dtype=np.int64).view(np.uint64)
 
 
 def _words(text: str) -> list[bytes]:
@@ -210,7 +233,13 @@ def _node(body: Column) -> Column:
     return _named(_squeezed(body))
 
 
-def sketches(docs: DataFrame, bands: int = BANDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def sketches(
+    docs: DataFrame,
+    bands: int = BANDS,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    similarity: float = SIMILARITY,
+) -> DataFrame:
     """``doc_id, node, keys, size`` for each row, the size in different shingles; no keys
     without words. One pass over the texts."""
     squeezed = docs.select(
@@ -237,10 +266,10 @@ def sketches(docs: DataFrame, bands: int = BANDS, doc_id: str = "doc_id", text:
         for batch in batches:
             out = batch[["doc_id", "node"]].copy()
             out["keys"] = [
-                None if w is None else sketch(np.asarray(w, dtype=np.int64).view(np.uint64), seeds).view(np.int64)
+                None if w is None else keys_of(_unsigned(w), seeds, similarity).view(np.int64)
                 for w in batch["words"]
             ]
-            out["size"] = [0 if w is None else len(_distinct(w)) for w in batch["words"]]
+            out["size"] = [0 if w is None else len(_distinct(_unsigned(w))) for w in batch["words"]]
             yield out
 
     return hashed.mapInPandas(run, schema)
@@ -346,7 +375,7 @@ def prefix_pairs(wide: DataFrame, texts: DataFrame, similarity: float = SIMILARI
         for batch in batches:
             out = []
             for node, root, searched, w in batch[["node", "root", "searched", "words"]].itertuples(index=False):
-                mers = _distinct(w)
+                mers = _distinct(_unsigned(w))
                 times = seen[_slots(mers)]
                 order = np.lexsort((mers, times))[: prefix_length(len(mers), similarity)]
                 # What one node alone has pairs with nothing, but takes its place.
@@ -387,7 +416,7 @@ def _counted(hashed: DataFrame) -> bytes:
         seen = np.zeros(SLOTS, np.uint8)
         for batch in batches:
             for w in batch["words"]:
-                slots = np.unique(_slots(_distinct(w)), return_counts=True)
+                slots = np.unique(_slots(_distinct(_unsigned(w))), return_counts=True)
                 seen[slots[0]] = np.minimum(seen[slots[0]].astype(np.int64) + slots[1], 255)
         blocks = [n for n in range(64) if seen[n * width : (n + 1) * width].any()]
         yield pd.DataFrame(
@@ -470,7 +499,7 @@ def near_duplicates(
     ``node`` names the row's word sequence. Of a class the row with the smallest id is
     kept, of equal rows any one.
     """
-    named = files.materialize(sketches(docs, bands, doc_id, text), "omh-sketches")
+    named = files.materialize(sketches(docs, bands, doc_id, text, similarity), "omh-sketches")
     ranked = shared_keys(named)
     pairs = files.materialize(head_pairs(ranked), "omh-pairs")
     body = or_empty(F.col(text))

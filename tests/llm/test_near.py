@@ -158,3 +158,35 @@ def test_pairs_that_share_one_key(spark, prose):
     found = omh.residue_pairs(ranked, none, done, texts)
     got = [tuple(r[c][3] for c in ("node", "other")) for r in found.collect()]
     assert sorted(got) == [(0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3)]
+
+
+def test_short_texts_against_all_pairs(docs_of):
+    """Texts of 5 to 90 words, each with copies that have words more, fewer or replaced."""
+    rng, texts = random.Random(12), []
+    for n in [*range(5, 31), *range(5, 31), *range(35, 95, 5)]:
+        words = [f"w{rng.randrange(10_000)}" for _ in range(n)]
+        texts.append(" ".join(words))
+        for how in range(4):
+            other = list(words)
+            for _ in range(1 + (n > 40) * rng.randint(0, 1)):
+                at = rng.choice([0, len(other) - 1])
+                other[at : at + (how > 1)] = [] if how == 2 else [f"v{rng.random()}"]
+            if how == 0:
+                other = [*words, "end"]
+            texts.append(" ".join(other))
+    rows = {r["doc_id"]: r["class_id"] for r in omh.near_duplicates(docs_of(texts)).collect()}
+    want = classes_of(texts)
+    assert len(set(want)) < 0.6 * len(texts)
+    assert [rows[n] for n in range(len(texts))] == want
+
+
+def test_short_keys_miss_nothing():
+    """By number of shared shingles, for each size up to the border and beyond it."""
+    rng, seeds = np.random.default_rng(2), omh._seeds(omh.BANDS)
+    for size in [*range(4, 40), 63, 64, 65, 79, 80]:
+        words = rng.integers(1, 1 << 60, size + 5).astype(np.uint64)
+        # As many shingles as similarity allows go at the end: at 64 and fewer none is missed.
+        for more in range(1, size // 4 + 1):
+            a, b = words[: size + 4], np.r_[words[: size + 4], rng.integers(1, 1 << 60, more).astype(np.uint64)]
+            if size <= omh.SHORT and size >= 0.8 * (size + more):
+                assert set(omh.keys_of(a, seeds).tolist()) & set(omh.keys_of(b, seeds).tolist())
