@@ -2,10 +2,11 @@
 
 Base kinds are found by their patterns: assignments, access keys, long hex numbers. The
 method adds a fourth kind, other token-like strings that mix cases and digits. Every
-such candidate's hash is counted over the corpus by the distinct repositories and owners
-that have it: what several owners share is a published example, and only what at most
-``OWNERS`` owner and ``REPOSITORIES`` repositories have is taken for a live credential
-and added. Base spans are reported whatever their owners.
+candidate's hash, of an assignment that of its value, is counted over the corpus by the
+distinct repositories and owners that have it: what more than ``OWNERS`` owners share is a
+published example, and what at most ``OWNERS`` owner and ``REPOSITORIES`` repositories have
+is taken for a live credential. Of the fourth kind only the live ones are added. Base spans
+are reported whatever their owners, and their counts and verdicts beside them.
 
 Spans come from the texts between matches: a pattern's matches and the pieces that
 splitting by it leaves alternate, so running sums of their lengths are the places.
@@ -82,10 +83,20 @@ def scan(docs: DataFrame, doc_id: str, text: str, repository: str, owner: str) -
     )
 
 
+def _hash(span: Column) -> Column:
+    """Of a candidate; an assignment goes by its value, however it is written."""
+    value = F.when(span["kind"] == "assign", F.regexp_extract(span["value"], _VALUE, 1)).otherwise(span["value"])
+    return F.sha2(value, 256)
+
+
+def _hashes() -> Column:
+    return F.array_distinct(F.transform(F.concat("base", "extra"), _hash))
+
+
 def ownership(scanned: DataFrame) -> DataFrame:
     """``value_hash, repositories, owners``: in how many distinct ones each candidate is."""
     places = scanned.select(
-        F.explode(F.array_distinct(F.transform("extra", lambda s: F.sha2(s["value"], 256)))).alias("value_hash"),
+        F.explode(_hashes()).alias("value_hash"),
         F.struct("repository").alias("repository"),
         F.struct("owner").alias("owner"),
     )
@@ -98,19 +109,23 @@ def ownership(scanned: DataFrame) -> DataFrame:
 
 
 def live(scanned: DataFrame, max_owners: int = OWNERS, max_repositories: int = REPOSITORIES) -> DataFrame:
-    """``doc_id, text_hash, live``: the hashes of owner-specific candidates of each text."""
-    own = ownership(scanned).where(
-        (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
+    """``doc_id, text_hash, counts``: of each text's candidates the hash, repositories, owners and verdict."""
+    own = ownership(scanned).withColumn(
+        "live", (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
     )
     held = scanned.select(
         "doc_id",
         "text_hash",
-        F.explode(F.array_distinct(F.transform("extra", lambda s: F.sha2(s["value"], 256)))).alias("value_hash"),
+        F.explode(_hashes()).alias("value_hash"),
     ).distinct()
     return (
-        held.join(own.select("value_hash"), "value_hash")
+        held.join(own, "value_hash")
         .groupBy("doc_id", "text_hash")
-        .agg(F.collect_set("value_hash").alias("live"))
+        .agg(
+            F.map_from_entries(
+                F.collect_list(F.struct("value_hash", F.struct("repositories", "owners", "live")))
+            ).alias("counts")
+        )
     )
 
 
@@ -123,17 +138,31 @@ def find_secrets(
     max_owners: int = OWNERS,
     max_repositories: int = REPOSITORIES,
 ) -> DataFrame:
-    """``doc_id, text_hash, base, added``: arrays of spans by start, then kind, for each row."""
+    """``doc_id, text_hash, base, added, judged``: arrays of spans by start, then kind, for each row.
+
+    ``judged`` has the base spans with ``repositories``, ``owners`` and ``live``.
+    """
     scanned = files.materialize(scan(docs, doc_id, text, repository, owner), "secrets")
     credentials = live(scanned, max_owners, max_repositories).select(
-        F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_hash"), "live"
+        F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_hash"), "counts"
+    )
+
+    def counted(span: Column) -> Column:
+        return F.element_at(F.col("counts"), _hash(span))
+
+    added = F.filter("extra", lambda s: counted(s)["live"])
+    judged = F.transform(
+        "base",
+        lambda s: F.struct(
+            *(s[c].alias(c) for c in ("kind", "start", "end")),
+            *(counted(s)[c].alias(c) for c in ("repositories", "owners", "live")),
+        ),
     )
-    added = F.filter("extra", lambda s: F.array_contains(F.coalesce("live", F.array().cast("array<string>")), F.sha2(s["value"], 256)))
     return scanned.join(
         credentials,
         F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_hash")),
         "left",
-    ).select("doc_id", "text_hash", "base", added.alias("added"))
+    ).select("doc_id", "text_hash", "base", added.alias("added"), judged.alias("judged"))
 
 
 def in_order(spans: Column) -> Column:
@@ -152,17 +181,30 @@ def joined(spans: Column) -> Column:
 
 
 def digests(found: DataFrame) -> DataFrame:
-    """``doc_id``, counts by kind, hash of the base spans, and all spans."""
+    """``doc_id``, counts by kind, hash of the base spans, all spans, and verdicts on the base spans."""
 
     def count(kind: str) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
+    # kind:start:end:repositories:owners:verdict of each base span.
+    verdicts = F.transform(
+        "judged",
+        lambda s: F.struct(
+            s["start"].alias("start"),
+            F.concat_ws(
+                ":", s["kind"], s["start"], s["end"], s["repositories"], s["owners"],
+                F.when(s["live"], "live").otherwise("example"),
+            ).alias("verdict"),
+        ),
+    )
     return found.select(
         "doc_id",
         *map(count, KINDS[:3]),
         F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
         joined(F.concat("base", "added")).alias("spans"),
         F.size("added").cast("long").alias("n_live"),
+        F.size(F.filter("judged", lambda s: s["live"])).cast("long").alias("n_base_live"),
+        F.array_join(F.transform(F.array_sort(verdicts), lambda s: s["verdict"]), ",").alias("base_verdicts"),
     )
 
 

@@ -93,3 +93,17 @@ def test_no_python_in_the_plan(docs_of):
     docs = docs_of(["token = abcdef"])
     for df in (secrets.digests(secrets.find_secrets(docs)), secrets.redact(docs)):
         assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().toString())
+
+
+def test_base_candidates_are_counted(spark):
+    """By values: an example many owners have, a value of one owner, written in two ways."""
+    rows = [(n, "token = Shared123456 " + "ab12" * 8, f"o{n}", f"r{n}") for n in range(5)]
+    rows += [(10, "password: Own1234567", "a", "r"), (11, "secret = 'Own1234567'", "a", "r"), (12, "nothing", "a", "r")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, owner string, repository string")
+    found = secrets.digests(secrets.find_secrets(docs, repository="repository", owner="owner"))
+    got = {r["doc_id"]: (r["n_assign"] + r["n_hex"], r["n_base_live"], r["base_verdicts"]) for r in found.collect()}
+    for n in range(5):
+        assert got[n] == (2, 0, "assign:0:20:5:5:example,hex:21:53:5:5:example")
+    assert got[10] == (1, 1, "assign:0:20:1:1:live")
+    assert got[11] == (1, 1, "assign:0:20:1:1:live")
+    assert got[12] == (0, 0, "")
