@@ -63,6 +63,7 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"([a-z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _ARTICLE = re.compile(r"<(?:article|main)\b|role\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articleBody", re.I)
 _HEADING = re.compile(r"<h[1-6]\b", re.I)
+_HEADER_END = re.compile(r"</header\b", re.I)
 _END = re.compile(r"</([a-z][^\s/>]*)", re.I)
 _SPACE = re.compile(r"[\x20\x09-\x0D\xa0]+")
 _WORD = re.compile(r"[a-z0-9]+")
@@ -74,14 +75,17 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(text)}
 
 
-def _is_boilerplate(name: str, attrs: dict[str, str], in_article: bool, rest: str) -> bool:
+def _is_boilerplate(name: str, attrs: dict[str, str], in_article: bool, html: str, at: int) -> bool:
     if name in _KEPT_TAGS:
         return False
     if name in _BOILER_TAGS:
         return True
     if name == "header":
         # The heading of an article is part of it; the banner of a page is not.
-        return not (in_article and _HEADING.search(rest.partition("</header")[0]))
+        if not in_article:
+            return True
+        heading, end = _HEADING.search(html, at), _HEADER_END.search(html, at)
+        return not (heading and (end is None or heading.start() < end.start()))
     if not attrs:
         return False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in _BOILER_ROLES:
@@ -140,7 +144,7 @@ def strip_markup(html: str) -> list[tuple[str, int]]:
         attrs = _attributes(m["attrs"])
         outer, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
         skipped = outer
-        if not outer and _is_boilerplate(name, attrs, inside, html[at : at + 2000]):
+        if not outer and _is_boilerplate(name, attrs, inside, html, at):
             # An element that is never closed must not swallow the rest of the page.
             skipped = last_end.get(name, -1) >= at
             if skipped:

@@ -51,3 +51,11 @@ def test_boilerplate_parts_stretches():
     lines = strip_markup("<p>a</p><nav>menu</nav><p>b</p>")
     assert [t for t, _ in lines if t] == ["a", "b"]
     assert len(lines) > 4
+
+
+def test_header_of_an_article_with_a_long_image():
+    image = "<img src='data:image/png;base64," + "A" * 5_000 + "'>"
+    page = f"<article><header>{image}<h1>Title</h1></HEADER><p>Body.</p></article>"
+    assert main_text(page)[0] == "Title Body."
+    # A heading after the end of the header is not its own.
+    assert main_text(f"<article><header>by x {image}</header><h2>Part</h2><p>Body.</p></article>")[0] == "Part Body."
