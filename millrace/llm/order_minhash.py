@@ -504,7 +504,7 @@ def near_duplicates(
     pairs = files.materialize(head_pairs(ranked), "omh-pairs")
     body = or_empty(F.col(text))
     worded = docs.select(_node(body).alias("node"), body.alias("text")).where(F.col("node").isNotNull())
-    texts = worded.groupBy("node").agg(F.first("text").alias("text"))
+    texts = files.materialize(worded.groupBy("node").agg(F.first("text").alias("text")), "omh-texts")
     links = files.materialize(verified(pairs, texts, similarity), "omh-verified")
     roots = components(links)
     more = files.materialize(residue_pairs(ranked, roots, pairs, texts, similarity), "omh-pairs")
