@@ -11,7 +11,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from millrace.llm import (
     bayes,
+    dual_tree,
     exact_dedup,
+    external_shuffle,
     host_rules,
     html_extract,
     line_dedup,
@@ -21,13 +23,16 @@ from millrace.llm import (
     secrets,
     token_files,
     tokens,
+    whitening,
 )
 from millrace.llm.common import table
+from millrace.sources import files
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 BYTE_VOCABULARY_SIZE = 50_257
 PIECE_MODEL = "piece_bpe_32k.model"
+N_SHARDS = 40
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +99,24 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bayes.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its shard and slot, read back from the written shards."""
+    docs = table(spark, sf_dir, "documents")
+    path = files.run_dir(spark, "shards")
+    shard, slot = external_shuffle.write_shards(docs, path, N_SHARDS)
+    return external_shuffle.digests(external_shuffle.read_shards(spark, path, docs.schema, shard, slot), shard, slot)
+
+
+def op12_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 50 documents of every benchmark item."""
+    return dual_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector along its first 32 whitened components."""
+    return whitening.by_component(whitening.whitened(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -107,11 +130,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_token_files,
         op10_quality_classifier,
+        op11_external_shuffle,
+        op12_dual_tree_search,
+        op13_qdwh_whitening,
     )
 }
 
 # White space of the contracts, as DuckDB writes it.
 _SPACE = r"[\x20\x09-\x0D]"
+# Terms of the ranked search.
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": rf"""
@@ -198,4 +226,32 @@ ORACLES: dict[str, str] = {
                count(*) FILTER (WHERE regexp_matches(l.line, '[^\x20\x09-\x0D]') AND gone.n IS NOT NULL) AS n_removed
         FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.n = gone.n
         GROUP BY l.doc_id""",
+    "op12_dual_tree_search": rf"""
+        WITH d AS MATERIALIZED (
+            SELECT doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '{_TERM}') AS words
+            FROM documents),
+        asked AS MATERIALIZED (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '{_TERM}')) AS term
+            FROM benchmark),
+        totals AS (SELECT count(*) FILTER (len(words) > 0) AS n_docs, sum(len(words))::BIGINT AS n_terms FROM d),
+        tf AS MATERIALIZED (
+            SELECT doc_id, term, length, count(*) AS tf
+            FROM (SELECT doc_id, len(words) AS length, unnest(words) AS term FROM d)
+            WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+            FROM tf, totals GROUP BY term, n_docs),
+        scores AS (
+            SELECT item_id, doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * length * n_docs) // n_terms))))::BIGINT
+                       AS score
+            FROM asked JOIN tf USING (term) JOIN weights USING (term), totals GROUP BY item_id, doc_id),
+        r AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+            FROM scores WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= {dual_tree.K}""",
 }

@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables
 
 
 def test_registered():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql())
     assert len(corpus_pipeline.STAGES) == 5
