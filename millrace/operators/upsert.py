@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -27,6 +27,12 @@ class Merge:
     kept_and_updated: DataFrame
     inserted: DataFrame
     columns: list[str]
+    small: bool = False
+
+    def with_kept(self, rows: DataFrame) -> Merge:
+        """The same with further target rows, which nothing matches."""
+        none = F.lit(None).cast(self.kept_and_updated.schema[_MATCHED].dataType)
+        return replace(self, kept_and_updated=self.kept_and_updated.unionByName(rows.withColumn(_MATCHED, none)))
 
     def result(self) -> DataFrame:
         return self.kept_and_updated.select(*self.columns).unionByName(self.inserted)
@@ -132,4 +138,4 @@ def merge(
     # reaches the anti join as one row per task.
     new = source.where(has_key).join(keys.distinct(), key, "left_anti").select(*columns)
     inserted = new.unionByName(source.where(~has_key).select(*columns))
-    return Merge(updated, inserted, columns)
+    return Merge(updated, inserted, columns, small)

@@ -23,6 +23,13 @@ _FEED = """feed AS (
   FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
                 LEFT JOIN orders ON l_orderkey = o_orderkey)"""
 
+# The feed after its finished orders were corrected.
+_WAVES = """waves AS (
+  SELECT order_id, product,
+         CASE WHEN o_orderstatus = 'F' THEN ceil(price) ELSE price END AS price,
+         CASE WHEN o_orderstatus = 'F' THEN quantity + 1 ELSE quantity END AS quantity
+  FROM feed LEFT JOIN orders ON l_orderkey = o_orderkey)"""
+
 _FAULTY = """faulty AS (
   SELECT order_id, user_id, l_orderkey, l_linenumber,
          CASE WHEN l_orderkey % 89 = 0 THEN '' ELSE product END AS product,
@@ -187,7 +194,7 @@ def _words(column: str) -> str:
     return f"regexp_extract_all(lower({column}), '{WORD_PATTERN}')"
 
 
-_TOKENIZED = f"""tokenized AS (
+_TOKENIZED = f"""tokenized AS MATERIALIZED (
   SELECT source_doc, chunk_idx, {_words("text")} AS words FROM units)"""
 
 _INDEX = """stats AS MATERIALIZED (
@@ -196,14 +203,12 @@ postings AS MATERIALIZED (
   SELECT source_doc, chunk_idx, term, count(*) AS tf, any_value(n_words) AS n_words
   FROM (SELECT source_doc, chunk_idx, len(words) AS n_words, unnest(words) AS term FROM tokenized)
   GROUP BY source_doc, chunk_idx, term),
+terms AS MATERIALIZED (SELECT term, count(*) AS df FROM postings GROUP BY term),
 raw_idf AS MATERIALIZED (
-  SELECT term, count(*) AS df,
-         ln((SELECT n_units FROM stats) - count(*) + 0.5) - ln(count(*) + 0.5) AS raw
-  FROM postings GROUP BY term),
-idf AS (
-  SELECT term, df,
-         CASE WHEN raw < 0 THEN 0.25 * (SELECT avg(raw) FROM raw_idf) ELSE raw END AS idf
-  FROM raw_idf)"""
+  SELECT term, df, ln(n_units - df + 0.5) - ln(df + 0.5) AS raw FROM terms, stats),
+idf AS MATERIALIZED (
+  SELECT term, df, CASE WHEN raw < 0 THEN 0.25 * mean_raw ELSE raw END AS idf
+  FROM raw_idf, (SELECT avg(raw) AS mean_raw FROM raw_idf))"""
 
 _MATCHES = f"""asked AS (
   SELECT item_id AS query_id, term, count(*) AS n
@@ -430,6 +435,15 @@ FROM feed WHERE product IS NOT NULL GROUP BY product""",
     ),
     "gold_product_summary": _with(_FEED, select=_summary("feed")),
     "gold_gated": _with(_FEED, select=_summary("feed")),
+    "gold_waves": _with(_FEED, _WAVES, select=_summary("waves")),
+    "gate_waves": _gate(
+        """SELECT order_id, price, quantity, product FROM faulty
+           UNION ALL SELECT order_id, price, quantity, product FROM waves
+           WHERE order_id NOT IN (SELECT order_id FROM faulty)""",
+        _FEED,
+        _FAULTY,
+        _WAVES,
+    ),
     "lineage_report": _with(
         _FEED,
         select="""

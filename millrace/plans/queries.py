@@ -19,6 +19,7 @@ from millrace.operators import (
     lineage,
     quality,
     rerank,
+    rollup,
     summary,
     upsert,
 )
@@ -237,6 +238,37 @@ def gold_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_snapshot(spark, layout.gold)
 
 
+def _three_waves(spark: SparkSession, sf_dir: str) -> refinery.Layout:
+    """Orders that are finished, then all others, then the finished ones again with one
+    unit more and without their cents: each wave is merged, checked and summed up."""
+    layout = refinery.Layout.under(files.run_dir(spark, "waves"))
+    feed = feeds.order_feed(spark, sf_dir)
+    finished = feeds.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+    key = F.split("order_id", "-")[0].cast("bigint") == F.col("o_orderkey")
+    first = feed.join(finished.select("o_orderkey"), key, "left_semi")
+    corrected = first.withColumns({"quantity": F.col("quantity") + 1, "price": F.ceil("price").cast("double")})
+    for wave in (first, feed.join(finished.select("o_orderkey"), key, "left_anti"), corrected):
+        refinery.run(spark, wave, layout, whole_cents=True)
+    return layout
+
+
+def gold_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after three waves, from partial sums of the buckets that each of them changed."""
+    return tables.read_snapshot(spark, _three_waves(spark, sf_dir).gold)
+
+
+def gate_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Check results from the counts kept per bucket, after the same waves and a merge of
+    faulty rows on top."""
+    layout = _three_waves(spark, sf_dir)
+    try:
+        refinery.run(spark, feeds.faulty_order_feed(spark, sf_dir), layout, whole_cents=True)
+    except quality.GateFailed:
+        counts = rollup.read(spark, layout.silver, layout.checks, quality.COUNTS)
+        return quality.results_of(counts)
+    raise AssertionError("the checks let faulty orders through")
+
+
 def lineage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage events of the same two runs."""
     layout = _two_runs(spark, sf_dir)
@@ -628,6 +660,8 @@ QUERIES: dict[str, Query] = {
         gold_product_summary,
         gold_in_doubles,
         gold_gated,
+        gold_waves,
+        gate_waves,
         lineage_report,
         stream_ingest,
         stream_quarantine,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from millrace.functions.contract import ORDER_SCHEMA
-from millrace.operators import quality, summary
+from millrace.operators import quality, rollup, summary
 from millrace.operators.lineage import track_stage
 from millrace.sources import buckets, files, tables
 from millrace.streaming import ingest
@@ -28,6 +29,24 @@ class Layout:
     def under(cls, root: str) -> Layout:
         return cls(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/events")
 
+    def sums(self, whole_cents: bool) -> str:
+        """Partial sums of Gold for each bucket of Silver."""
+        return f"{self.silver}-{'cents' if whole_cents else 'sums'}"
+
+    @property
+    def checks(self) -> str:
+        """Counts of the checks for each bucket of Silver."""
+        return f"{self.silver}-checks"
+
+    def forget(self, spark: SparkSession) -> Callable[[set[int]], None]:
+        """Drops what is known of buckets that a merge is about to write."""
+
+        def drop(touched: set[int]) -> None:
+            for path in (self.sums(True), self.sums(False), self.checks):
+                rollup.forget(spark, self.silver, path, touched)
+
+        return drop
+
 
 def run(
     spark: SparkSession,
@@ -41,14 +60,15 @@ def run(
     The first run seeds Silver with all of Bronze, later ones merge the batch
     that they appended; then ``incoming`` is merged if it is given. A failed
     check raises ``GateFailed`` and leaves Gold as it was; every stage leaves
-    its events. Returns the check results.
+    its events. Returns the check results. Checks and Gold read the buckets of
+    Silver that have changed since they last did, and what they keep of the others.
     """
     with track_stage(spark, layout.events, "bronze_layer") as stage:
         stored = tables.add_batch(stage.observe(batch), layout.bronze, ORDER_SCHEMA)
 
     with track_stage(spark, layout.events, "silver_layer") as stage:
         sources = []
-        if tables.newest(spark, layout.silver):
+        if buckets.layout(spark, layout.silver) is not None:
             sources.append(stored)
         else:
             bronze = tables.read_appended(spark, layout.bronze, ORDER_SCHEMA)
@@ -56,7 +76,7 @@ def run(
         if incoming is not None:
             sources.append(files.materialize(tables.conform(incoming, ORDER_SCHEMA), "incoming"))
         for source in sources:
-            counts = buckets.merge(spark, layout.silver, source)
+            counts = buckets.merge(spark, layout.silver, source, before_write=layout.forget(spark))
             stage.count(counts["n_updated"] + counts["n_inserted"])
 
     return _check_and_publish(spark, layout, whole_cents)
@@ -87,12 +107,14 @@ def run_stream(
         with track_stage(spark, layout.events, "bronze_layer", once=mark) as stage:
             stage.count(stored.count())
         # The counts of a batch that is in Silver already stay as they were recorded.
-        if checkpoint in (held := buckets.state(spark, layout.silver).batches):
-            if held[checkpoint] >= batch_id:
-                return
+        if ingest.is_merged(spark, checkpoint, batch_id):
+            return
         with track_stage(spark, layout.events, "silver_layer", once=mark) as stage:
-            counts = buckets.merge(spark, layout.silver, stored, latest_by, checkpoint, batch_id)
+            counts = buckets.merge(
+                spark, layout.silver, stored, latest_by, layout.forget(spark), need_keys=True
+            )
             stage.count(counts["n_updated"] + counts["n_inserted"])
+        ingest.mark_merged(spark, checkpoint, batch_id)
 
     with track_stage(spark, layout.events, "stream_layer"):
         ingest.drain(
@@ -102,15 +124,20 @@ def run_stream(
 
 
 def _check_and_publish(spark: SparkSession, layout: Layout, whole_cents: bool) -> DataFrame:
-    silver = buckets.read(spark, layout.silver)
+    by = (buckets.BUCKET,)
     with track_stage(spark, layout.events, "quality_gate"):
+        rollup.refresh(spark, layout.silver, layout.checks, lambda rows: quality.unexpected(rows, by))
+        counts = rollup.read(spark, layout.silver, layout.checks, quality.COUNTS)
         # Five rows, whatever the size of the table.
-        results = quality.check_results(silver)
+        results = quality.results_of(counts)
         found = spark.createDataFrame(results.collect(), results.schema)
         if not quality.passed(found):
             failed = found.where("not success").collect()
             raise quality.GateFailed("; ".join(f"{r['check']}({r['column']})" for r in failed))
 
     with track_stage(spark, layout.events, "gold_layer") as stage:
-        tables.publish(stage.observe(summary.product_summary(silver, whole_cents)), layout.gold)
+        kept, schema = layout.sums(whole_cents), summary.parts_schema(whole_cents)
+        rollup.refresh(spark, layout.silver, kept, lambda rows: summary.partial_sums(rows, whole_cents, by))
+        gold = summary.summed_up(rollup.read(spark, layout.silver, kept, schema), whole_cents)
+        tables.publish(stage.observe(gold), layout.gold)
     return found

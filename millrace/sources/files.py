@@ -89,6 +89,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a folder, as its file system counts them."""
+    fs, hadoop_path = _hadoop(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def move(spark: SparkSession, source: str, target: str) -> bool:
     """Rename a folder to a name that is not taken; False if it is."""
     jvm = spark._jvm

@@ -64,25 +64,38 @@ def consumed(spark: SparkSession, counts_path: str) -> DataFrame:
     return spark.read.schema("batch_id long, n_messages long").json(counts_path)
 
 
+def is_merged(spark: SparkSession, checkpoint: str, batch_id: int) -> bool:
+    """Whether a stream has merged a batch: a mark beside its checkpoint says so."""
+    return files.exists(spark, f"{checkpoint}-merged/{batch_id}")
+
+
+def mark_merged(spark: SparkSession, checkpoint: str, batch_id: int) -> None:
+    files.put_text(spark, f"{checkpoint}-merged/{batch_id}", "", replace=True)
+
+
 def merge_stream(
     updates: DataFrame,
     table_path: str,
     checkpoint: str,
     latest_by: Column | None = None,
 ) -> StreamingQuery:
-    """Merge a stream of rows into a table of buckets, one snapshot per micro-batch.
+    """Merge a stream of rows into a keyed table, one micro-batch after another.
 
-    A snapshot tells which batch of which stream (named by its checkpoint) it has
-    got, so a batch that is run again is left out. The table has to be seeded.
+    A batch whose merge was completed is left out if it comes again. One that was stopped
+    midway is merged again, which gives the same rows, as each of them needs a key. The
+    table has to be seeded.
     """
     spark: SparkSession = updates.sparkSession
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        if is_merged(spark, checkpoint, batch_id):
+            return
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            buckets.merge(spark, table_path, kept, latest_by, checkpoint, batch_id)
+            buckets.merge(spark, table_path, kept, latest_by, need_keys=True)
         finally:
             kept.unpersist()
+        mark_merged(spark, checkpoint, batch_id)
 
     return (
         updates.writeStream.foreachBatch(apply)

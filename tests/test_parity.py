@@ -13,7 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 MEDIUM = "/root/testdata/sf0.01"
 # The small order feed has one id twice, which the gated run rightly refuses.
 NEEDS_UNIQUE_IDS = {
-    "gold_gated", "lineage_report", "stream_refined", "lineage_stream", "gate_verdicts",
+    "gold_gated", "gold_waves", "gate_waves", "lineage_report", "stream_refined", "lineage_stream", "gate_verdicts",
 }
 # Clusters are not to be had in SQL; they are tested by brute force instead.
 NO_SQL = {"dense_cells_recall"}
