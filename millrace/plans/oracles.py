@@ -620,3 +620,7 @@ SELECT query_id, source_doc, chunk_idx, chunk_id, CAST(candidate_rk AS INTEGER)
         select=_PROMPTS,
     ),
 }
+
+# Other ways to the same results.
+ORACLES["bm25_pruned"] = ORACLES["bm25_segments"] = ORACLES["bm25_topk"]
+ORACLES["bm25_segment_idf"] = ORACLES["bm25_idf"]

@@ -17,6 +17,7 @@ from millrace.operators import (
     embed,
     fusion,
     lineage,
+    postings,
     quality,
     rerank,
     rollup,
@@ -455,6 +456,46 @@ def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25.keyword_topk(index, queries, retrieval.LIST_DEPTH, _ROUNDED)
 
 
+def bm25_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from postings of the asked terms, skipping ranges by their bounds."""
+    path = files.run_dir(spark, "postings")
+    postings.add(spark, path, _chunks(spark, sf_dir))
+    index = postings.open_index(spark, path)
+    return postings.keyword_topk(spark, index, feeds.query_feed(spark, sf_dir), retrieval.LIST_DEPTH, _ROUNDED)
+
+
+def _segments(spark: SparkSession, sf_dir: str) -> postings.PostingIndex:
+    """All documents but the German ones, the French ones in an older and longer form; then
+    a segment with both as they are."""
+    docs = feeds.document_feed(spark, sf_dir).join(
+        feeds.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("source_doc"), "lang"),
+        "source_doc",
+    )
+    older = F.when(F.col("lang") == "fr", F.concat("text", F.lit(" older "), "text")).otherwise(F.col("text"))
+    waves = (
+        docs.where("lang <> 'de' OR lang IS NULL").withColumn("text", older),
+        docs.where("lang IN ('de', 'fr')"),
+    )
+    path = files.run_dir(spark, "segments")
+    for wave in waves:
+        chunks = chunking.drop_tiny(chunking.chunk_documents(wave.drop("lang")))
+        # A document may be left without chunks in its new form.
+        postings.add(spark, path, chunks, replaced=wave)
+    return postings.open_index(spark, path)
+
+
+def bm25_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from an index of two segments, of which the second replaces documents."""
+    index = _segments(spark, sf_dir)
+    return postings.keyword_topk(spark, index, feeds.query_feed(spark, sf_dir), retrieval.LIST_DEPTH, _ROUNDED)
+
+
+def bm25_segment_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of all terms from the sums over the same segments."""
+    found = postings.weights(spark, _segments(spark, sf_dir))
+    return found.select("term", "df", F.round("idf", _ROUNDED).alias("idf"))
+
+
 # Vectors
 
 
@@ -676,6 +717,9 @@ QUERIES: dict[str, Query] = {
         bm25_postings,
         bm25_idf,
         bm25_topk,
+        bm25_pruned,
+        bm25_segments,
+        bm25_segment_idf,
         dense_topk,
         dense_cells_recall,
         embed_chunks,
