@@ -22,8 +22,9 @@
    of ``SIMILARITY`` or more, and a banded alignment of the words, which gives up as
    soon as it needs more edits than the band is wide, an edit similarity of
    ``SIMILARITY`` or more.
-4. Links are merged into classes by passing on the smallest name, in rounds that are
-   written out. A document's class is the smallest id of its class.
+4. Links are merged into classes by hanging every node under its smallest neighbour and
+   making each tree one node, in rounds that are written out. A document's class is the
+   smallest id of its class.
 
 Defined results: texts without words, null or not, are in no class but their own; a text
 of fewer than ``SHINGLE`` words is one shingle; rows with the same id and text are copies
@@ -34,6 +35,7 @@ differ by moved paragraphs are not linked, as the method asks for the same order
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -60,6 +62,10 @@ SHORT = 64
 RESIDUE = 8
 #: Counters of shingles for that; beyond some millions of shingles the order gets coarser.
 SLOTS = 1 << 22
+#: Words of texts that are sketched together, some tens of megabytes.
+_TOGETHER = 1_000_000
+#: Up to so many candidates the other texts are left out before the shuffle by a broadcast.
+FEW_CANDIDATES = 2_000_000
 
 _U = np.uint64
 
@@ -92,15 +98,15 @@ def labelled(word_hashes: np.ndarray) -> np.ndarray:
     mers = plain(word_hashes)
     order = np.argsort(mers, kind="stable")
     ranked = mers[order]
-    new = np.r_[True, ranked[1:] != ranked[:-1]]
-    if not new.all():
-        starts = np.flatnonzero(new)
-        earlier = np.arange(len(ranked)) - np.repeat(starts, np.diff(np.r_[starts, len(ranked)]))
-        label = np.empty(len(ranked), np.uint64)
-        label[order] = earlier
-        with np.errstate(over="ignore"):
-            mers = _mix(mers + label * _U(0x8EBC6AF09C88C6E3))
-    return mers
+    starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+    label = np.empty(len(ranked), np.uint64)
+    label[order] = np.arange(len(ranked)) - np.repeat(starts, np.diff(np.r_[starts, len(ranked)]))
+    return _with_labels(mers, label)
+
+
+def _with_labels(mers: np.ndarray, label: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return _mix(mers + (label + _U(1)) * _U(0x8EBC6AF09C88C6E3))
 
 
 def sketch(word_hashes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
@@ -136,6 +142,99 @@ def keys_of(word_hashes: np.ndarray, seeds: np.ndarray, similarity: float = SIMI
     return np.concatenate(keys)
 
 
+def keys_of_many(
+    words: list[np.ndarray], seeds: np.ndarray, similarity: float = SIMILARITY
+) -> list[tuple[np.ndarray, int]]:
+    """``keys_of`` and the number of different shingles for each text, worked out together."""
+    found: list = [None] * len(words)
+    together: list[int] = []
+    held = 0
+    for n, w in enumerate(words):
+        if len(w) < SHINGLE or len(w) > _TOGETHER:
+            found[n] = (keys_of(w, seeds, similarity), len(_distinct(w)))
+            continue
+        if held + len(w) > _TOGETHER:
+            for i, keys in zip(together, _keys_together([words[i] for i in together], seeds, similarity)):
+                found[i] = keys
+            together, held = [], 0
+        together.append(n)
+        held += len(w)
+    if together:
+        for i, keys in zip(together, _keys_together([words[i] for i in together], seeds, similarity)):
+            found[i] = keys
+    return found
+
+
+def _keys_together(
+    words: list[np.ndarray], seeds: np.ndarray, similarity: float
+) -> list[tuple[np.ndarray, int]]:
+    """Of texts of ``SHINGLE`` words at least: numpy works on the shingles of all at once."""
+    lengths = np.array([len(w) for w in words])
+    flat = np.concatenate(words)
+    n = lengths - SHINGLE + 1
+    all_mers = np.zeros(len(flat) - SHINGLE + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(SHINGLE):
+            all_mers = _mix(all_mers + flat[i : len(all_mers) + i])
+    doc = np.repeat(np.arange(len(words)), n)
+    # Shingles that reach into the next text are left out.
+    at = np.arange(n.sum()) + np.repeat(np.cumsum(lengths) - lengths - (np.cumsum(n) - n), n)
+    mers = all_mers[at]
+    order = np.lexsort((mers, doc))
+    ordered = mers[order]
+    new = np.r_[True, (ordered[1:] != ordered[:-1]) | (doc[1:] != doc[:-1])]
+    starts = np.flatnonzero(new)
+    label = np.empty(len(mers), np.uint64)
+    label[order] = np.arange(len(mers)) - np.repeat(starts, np.diff(np.r_[starts, len(mers)]))
+    sizes = np.bincount(doc[new], minlength=len(words))
+    few = np.split(ordered[new], np.cumsum(sizes)[:-1])
+    is_long = sizes > SHORT
+    inside = is_long[doc]
+    sketched = iter(
+        _sketch_together(_with_labels(mers[inside], label[inside]), n[is_long], seeds) if is_long.any() else ()
+    )
+    out = []
+    for of, size in zip(few, sizes.tolist()):
+        keys = []
+        if similarity * size <= SHORT + 1e-9:
+            with np.errstate(over="ignore"):
+                keys.append(_mix(of[: prefix_length(size, similarity)] + _U(0x94D049BB133111EB)))
+        if size > SHORT:
+            keys.append(next(sketched))
+        out.append((np.concatenate(keys), size))
+    return out
+
+
+def _sketch_together(mers: np.ndarray, n: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """``sketch`` of several texts, given their labelled k-mers one after another."""
+    doc = np.repeat(np.arange(len(n)), n)
+    first = np.cumsum(n) - n
+    keys = np.zeros((len(n), len(seeds)), np.uint64)
+    # The smallest few lie below this with near certainty; where they don't, all are looked at.
+    below = (np.minimum(16.0 / n, 0.5) * 2.0**64).astype(np.uint64)[doc]
+    for band, seed in enumerate(seeds):
+        values = _mix(mers ^ seed)
+        low = np.flatnonzero(values < below)
+        low_doc = doc[low]
+        count = np.bincount(low_doc, minlength=len(n))
+        order = np.lexsort((values[low], low_doc))
+        low, low_doc = low[order], low_doc[order]
+        nth = np.arange(len(low)) - (np.cumsum(count) - count)[low_doc]
+        enough = count >= SAMPLED
+        taken = [low[(nth < SAMPLED) & enough[low_doc]]]
+        for d in np.flatnonzero(~enough):
+            part = values[first[d] : first[d] + n[d]]
+            taken.append(first[d] + np.argpartition(part, SAMPLED - 1)[:SAMPLED])
+        # Sorted by place, the sampled ones of each text stand together in its order.
+        chosen = mers[np.sort(np.concatenate(taken)).reshape(-1, SAMPLED)]
+        key = np.full(len(n), seed, np.uint64)
+        with np.errstate(over="ignore"):
+            for i in range(SAMPLED):
+                key = _mix(key * _U(31) + chosen[:, i])
+        keys[:, band] = key
+    return keys
+
+
 def edits_within(a: list, b: list, most: int) -> int | None:
     """Least insertions, deletions and replacements that turn ``a`` into ``b``, if at most ``most``.
 
@@ -265,25 +364,28 @@ def sketches(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = batch[["doc_id", "node"]].copy()
-            out["keys"] = [
-                None if w is None else keys_of(_unsigned(w), seeds, similarity).view(np.int64)
-                for w in batch["words"]
-            ]
-            out["size"] = [0 if w is None else len(_distinct(_unsigned(w))) for w in batch["words"]]
+            has = [w is not None for w in batch["words"]]
+            found = iter(keys_of_many([_unsigned(w) for w in batch["words"] if w is not None], seeds, similarity))
+            keys = [next(found) if h else (None, 0) for h in has]
+            out["keys"] = [None if k is None else k.view(np.int64) for k, _ in keys]
+            out["size"] = [size for _, size in keys]
             yield out
 
     return hashed.mapInPandas(run, schema)
 
 
-def shared_keys(sketched: DataFrame) -> DataFrame:
+def shared_keys(sketched: DataFrame, scratch: str = "omh") -> DataFrame:
     """``key, node, shares, size``: keys that several nodes have, with how central each node is."""
-    # Copies meet here, combined in every task first.
-    keyed = sketched.select("node", "size", F.explode("keys").alias("key")).distinct()
-    keyed = files.materialize(keyed, "omh-keys")
-    members = keyed.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > 1)
-    shared = files.materialize(keyed.join(members, "key"), "omh-shared")
+    # Copies meet here with their keys still together, combined in every task first.
+    nodes = sketched.where(F.col("node").isNotNull()).groupBy("node").agg(
+        F.first("size").alias("size"), F.first("keys").alias("keys")
+    )
+    nodes = files.materialize(nodes.select("node", "size", F.array_distinct("keys").alias("keys")), f"{scratch}/nodes")
+    keyed = nodes.select("node", "size", F.explode("keys").alias("key"))
+    members = nodes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("members"))
+    shared = files.materialize(keyed.join(members.where(F.col("members") > 1), "key"), f"{scratch}/shared")
     centrality = shared.groupBy("node").agg(F.sum("members").alias("shares"))
-    return files.materialize(shared.join(centrality, "node").select("key", "node", "shares", "size"), "omh-ranked")
+    return files.materialize(shared.join(centrality, "node").select("key", "node", "shares", "size"), f"{scratch}/ranked")
 
 
 def _pairs(found: DataFrame) -> DataFrame:
@@ -295,20 +397,29 @@ def _pairs(found: DataFrame) -> DataFrame:
     )
 
 
-def head_pairs(ranked: DataFrame) -> DataFrame:
-    """``node, other``: every node of a bucket with the bucket's three heads."""
+def head_pairs(ranked: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``node, other``: every node of a bucket with the bucket's three heads, unless their
+    sizes rule a pair out."""
     heads = ranked.groupBy("key").agg(
         # The smallest name among the most central, as max would take the largest.
-        F.min(F.struct((-F.col("shares")).alias("rank"), "node"))["node"].alias("central"),
-        F.min("node").alias("smallest"),
-        F.min(F.struct(F.xxhash64("node").alias("rank"), "node"))["node"].alias("chosen"),
+        F.min(F.struct((-F.col("shares")).alias("rank"), "node", "size")).alias("central"),
+        F.min(F.struct("node", "size")).alias("smallest"),
+        F.min(F.struct(F.xxhash64("node").alias("rank"), "node", "size")).alias("chosen"),
     )
-    found = ranked.select("node", "key").join(heads, "key")
-    return _pairs(found.select("node", F.explode(F.array("central", "smallest", "chosen")).alias("other")))
+    of = [F.struct(f"{h}.node", f"{h}.size") for h in ("central", "smallest", "chosen")]
+    found = ranked.select("node", "key", "size").join(heads, "key")
+    each = found.select("node", "size", F.explode(F.array(*of)).alias("head"))
+    fits = F.least("size", "head.size") >= similarity * F.greatest("size", "head.size") - 1e-6
+    return _pairs(each.where(fits).select("node", F.col("head.node").alias("other")))
 
 
 def residue_pairs(
-    ranked: DataFrame, roots: DataFrame, done: DataFrame, texts: DataFrame, similarity: float = SIMILARITY
+    ranked: DataFrame,
+    roots: DataFrame,
+    done: DataFrame,
+    texts: DataFrame,
+    similarity: float = SIMILARITY,
+    scratch: str = "omh",
 ) -> DataFrame:
     """``node, other``: further pairs across classes, where a bucket has some left.
 
@@ -319,12 +430,12 @@ def residue_pairs(
     similar pairs of the bucket's nodes.
     """
     classed = ranked.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    classed = files.materialize(classed, "omh-classed")
+    classed = files.materialize(classed, f"{scratch}/classed")
     centers = classed.groupBy("key").agg(
         F.min(F.struct((-F.col("shares")).alias("rank"), "node", "root"))["root"].alias("center")
     )
     apart = classed.join(centers, "key").where(F.col("root") != F.col("center")).drop("center")
-    apart = files.materialize(apart, "omh-residue")
+    apart = files.materialize(apart, f"{scratch}/residue")
     counts = apart.groupBy("key").agg(F.count("*").alias("left"))
     few = apart.join(counts.where(F.col("left") <= RESIDUE).select("key"), "key")
     others = classed.join(apart.select("key", "node", F.lit(True).alias("is_left")), ["key", "node"], "left").select(
@@ -349,11 +460,13 @@ def residue_pairs(
         classed.join(many, "key", "left_semi").select("node", "root").distinct()
         .join(searched, "node", "left").withColumn("searched", F.coalesce("searched", F.lit(False)))
     )
-    wide = files.materialize(wide, "omh-wide")
-    return met.union(prefix_pairs(wide, texts, similarity)).distinct().join(done, ["node", "other"], "left_anti")
+    wide = files.materialize(wide, f"{scratch}/wide")
+    return met.union(prefix_pairs(wide, texts, similarity, scratch)).distinct().join(done, ["node", "other"], "left_anti")
 
 
-def prefix_pairs(wide: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def prefix_pairs(
+    wide: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, scratch: str = "omh"
+) -> DataFrame:
     """``node, other``: all pairs across classes whose shingles may be similar enough, one of them searched.
 
     ``wide`` has ``node, root, searched``. Nothing is lost: of two similar sets in one
@@ -366,7 +479,7 @@ def prefix_pairs(wide: DataFrame, texts: DataFrame, similarity: float = SIMILARI
         wide.join(texts, "node").select(
             "node", "root", "searched", F.transform(words, lambda w: F.xxhash64(w)).alias("words")
         ),
-        "omh-wide-words",
+        f"{scratch}/wide-words",
     )
     counts = _counted(hashed)
 
@@ -385,7 +498,7 @@ def prefix_pairs(wide: DataFrame, texts: DataFrame, similarity: float = SIMILARI
             yield pd.DataFrame(out, columns=["mer", "node", "root", "searched", "size", "place"])
 
     schema = "mer long, node binary, root binary, searched boolean, size long, place long"
-    firsts = files.materialize(batched(hashed).mapInPandas(run, schema), "omh-prefixes")
+    firsts = files.materialize(batched(hashed).mapInPandas(run, schema), f"{scratch}/prefixes")
     a, b = firsts.where("searched").alias("a"), firsts.alias("b")
     # The first shingle that two sets have in common leaves no more than what follows it.
     most = 1 + F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place")) - 1
@@ -459,32 +572,69 @@ def verified(pairs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY)
     return with_text.mapInPandas(run, schema)
 
 
-def components(links: DataFrame) -> DataFrame:
+def _hooked(edges: DataFrame, scratch: str) -> DataFrame:
+    """``name, root``: each end of an edge and the top of the tree that it hangs in, where
+    everyone hangs under the smallest of its neighbours and itself. Paths are halved until
+    all point to the top."""
+    both = edges.select(F.col("a").alias("name"), F.col("b").alias("near")).union(edges.select("b", "a"))
+    tree = both.groupBy("name").agg(F.min("near").alias("near")).select("name", F.least("name", "near").alias("root"))
+    tree = files.materialize(tree, f"{scratch}/trees")
+    while True:
+        up = tree.select(F.col("name").alias("root"), F.col("root").alias("top"))
+        made = files.materialize(tree.join(up, "root").select("name", "root", "top"), f"{scratch}/trees")
+        moved = made.where(F.col("top") != F.col("root")).limit(1).count()
+        tree = made.select("name", F.col("top").alias("root"))
+        if not moved:
+            return tree
+
+
+def _merged_edges(edges: DataFrame, tree: DataFrame) -> DataFrame:
+    """Edges between the tops of trees, each once."""
+    one = tree.select(F.col("name").alias("a"), F.col("root").alias("root_a"))
+    two = tree.select(F.col("name").alias("b"), F.col("root").alias("root_b"))
+    ends = edges.join(one, "a", "left").join(two, "b", "left").select(
+        F.coalesce("root_a", "a").alias("x"), F.coalesce("root_b", "b").alias("y")
+    )
+    return ends.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def components(links: DataFrame, known: DataFrame | None = None, scratch: str = "omh") -> DataFrame:
     """``node, root``: each linked node and the smallest name that it is connected with.
 
-    Each round takes the smallest name among a node's and its neighbours', then the one
-    that this name has got itself, so paths shorten by half. Rounds are written out.
+    In each round all nodes are hung under their smallest neighbours and every tree becomes
+    one node, so edges within trees are gone and at least half of the nodes. ``known`` are
+    roots from earlier links. Rounds are written out.
     """
-    edges = files.materialize(
-        links.select("node", "other").union(links.select(F.col("other").alias("node"), F.col("node").alias("other"))),
-        "omh-links",
-    )
-    nearest = edges.groupBy("node").agg(F.min("other").alias("nearest"))
-    roots = files.materialize(nearest.select("node", F.least("node", "nearest").alias("root")), "omh-roots")
+    edges = links.select(F.col("node").alias("a"), F.col("other").alias("b"))
+    found = None if known is None else known.select(F.col("node").alias("name"), "root")
+    if found is not None:
+        edges = _merged_edges(edges, found)
     while True:
-        near = edges.join(roots.select(F.col("node").alias("other"), F.col("root")), "other")
-        best = near.groupBy("node").agg(F.min("root").alias("near"))
-        stepped = roots.join(best, "node").select(
-            "node", "root", F.least("root", "near").alias("next")
-        )
-        jumped = stepped.join(
-            roots.select(F.col("node").alias("next"), F.col("root").alias("jump")), "next", "left"
-        ).select("node", "root", F.least(F.col("next"), F.coalesce("jump", "next")).alias("next"))
-        made = files.materialize(jumped, "omh-roots")
-        moved = made.where(F.col("next") != F.col("root")).limit(1).count()
-        roots = made.select("node", F.col("next").alias("root"))
-        if not moved:
-            return roots
+        edges = files.materialize(edges, f"{scratch}/edges")
+        if found is not None and not edges.limit(1).count():
+            return found.select(F.col("name").alias("node"), "root")
+        tree = _hooked(edges, scratch)
+        if found is None:
+            found = tree
+        else:
+            up = tree.select(F.col("name").alias("root"), F.col("root").alias("top"))
+            moved = found.join(up, "root", "left").select("name", F.coalesce("top", "root").alias("root"))
+            # Names that no earlier link had.
+            new = tree.join(found.select("name"), "name", "left_anti").select("name", "root")
+            found = files.materialize(moved.union(new), f"{scratch}/roots")
+        edges = _merged_edges(edges, tree)
+
+
+def _candidate_texts(docs: DataFrame, ranked: DataFrame, text: str, scratch: str) -> DataFrame:
+    """``node, text`` of the nodes that share a key with another, one row each."""
+    body = or_empty(F.col(text))
+    worded = docs.select(_node(body).alias("node"), body.alias("text")).where(F.col("node").isNotNull())
+    wanted = files.materialize(ranked.select("node").distinct(), f"{scratch}/wanted")
+    if wanted.count() <= FEW_CANDIDATES:
+        worded = worded.join(F.broadcast(wanted), "node", "left_semi")
+    else:
+        worded = worded.join(wanted, "node", "left_semi")
+    return files.materialize(worded.groupBy("node").agg(F.first("text").alias("text")), f"{scratch}/texts")
 
 
 def near_duplicates(
@@ -499,18 +649,16 @@ def near_duplicates(
     ``node`` names the row's word sequence. Of a class the row with the smallest id is
     kept, of equal rows any one.
     """
+    spark, scratch = docs.sparkSession, f"omh-{uuid.uuid4().hex}"
     named = files.materialize(sketches(docs, bands, doc_id, text, similarity), "omh-sketches")
-    ranked = shared_keys(named)
-    pairs = files.materialize(head_pairs(ranked), "omh-pairs")
-    body = or_empty(F.col(text))
-    worded = docs.select(_node(body).alias("node"), body.alias("text")).where(F.col("node").isNotNull())
-    texts = files.materialize(worded.groupBy("node").agg(F.first("text").alias("text")), "omh-texts")
-    links = files.materialize(verified(pairs, texts, similarity), "omh-verified")
-    roots = components(links)
-    more = files.materialize(residue_pairs(ranked, roots, pairs, texts, similarity), "omh-pairs")
-    found = files.materialize(verified(more, texts, similarity), "omh-verified")
-    if found.limit(1).count():
-        roots = components(links.union(found))
+    ranked = shared_keys(named, scratch)
+    pairs = files.materialize(head_pairs(ranked, similarity), f"{scratch}/pairs")
+    texts = _candidate_texts(docs, ranked, text, scratch)
+    links = files.materialize(verified(pairs, texts, similarity), f"{scratch}/verified")
+    roots = components(links, scratch=scratch)
+    more = files.materialize(residue_pairs(ranked, roots, pairs, texts, similarity, scratch), f"{scratch}/pairs")
+    found = files.materialize(verified(more, texts, similarity), f"{scratch}/verified")
+    roots = components(found, roots, scratch)
     roots = roots.select(F.col("node").alias("of_node"), "root")
     by_node = (
         named.where(F.col("node").isNotNull())
@@ -520,6 +668,8 @@ def near_duplicates(
         .select("node", F.coalesce("root", "node").alias("root"), "first_id", "n")
     )
     by_node = files.materialize(by_node, "omh-nodes")
+    # What the result reads is written elsewhere.
+    files.delete(spark, f"{files.shared_dir(spark).rstrip('/')}/millrace/{scratch}")
     classes = by_node.groupBy("root").agg(
         F.min("first_id").alias("class_id"), F.sum("n").alias("class_size"),
         F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "node"))["node"].alias("keeper"),

@@ -190,3 +190,51 @@ def test_short_keys_miss_nothing():
             a, b = words[: size + 4], np.r_[words[: size + 4], rng.integers(1, 1 << 60, more).astype(np.uint64)]
             if size <= omh.SHORT and size >= 0.8 * (size + more):
                 assert set(omh.keys_of(a, seeds).tolist()) & set(omh.keys_of(b, seeds).tolist())
+
+
+def test_keys_of_many_texts_are_those_of_each():
+    """Worked out together or apart, with repeats, short and long texts and every border."""
+    rng, seeds = np.random.default_rng(8), omh._seeds(omh.BANDS)
+    words = [rng.integers(1, 1 << 60, n).astype(np.uint64) for n in [*range(1, 100), 300, 5_000, *range(60, 90)]]
+    words += [np.tile(w, 3) for w in words[40:80:7]] + [np.full(200, 9, np.uint64)] * 3
+    for limit in (1 << 20, 700, 90):
+        with np.errstate(all="ignore"):
+            before, omh._TOGETHER = omh._TOGETHER, limit
+            try:
+                found = omh.keys_of_many(words, seeds)
+            finally:
+                omh._TOGETHER = before
+        for w, (keys, size) in zip(words, found):
+            assert keys.tolist() == omh.keys_of(w, seeds).tolist() and size == len(omh._distinct(w))
+
+
+def test_a_repeat_changes_few_keys():
+    """A copy with one shingle twice has keys in common with a text that has none twice."""
+    rng, seeds = np.random.default_rng(3), omh._seeds(omh.BANDS)
+    words = rng.integers(1, 1 << 60, 400).astype(np.uint64)
+    again = np.r_[words, words[:6]]
+    assert (omh.sketch(words, seeds) == omh.sketch(again, seeds)).mean() > 0.7
+
+
+def test_components_of_many_shapes(spark):
+    rng = random.Random(9)
+    links = [(n, n + 1) for n in range(0, 60)] + [(100, n) for n in range(101, 160)] + [(n, n - 1) for n in range(260, 200, -1)]
+    links += [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(70)] + [(300, 300)]
+    named = lambda n: bytearray(n.to_bytes(4, "big"))
+    frame = lambda some: spark.createDataFrame([(named(a), named(b)) for a, b in some], "node binary, other binary")
+    root = {n: n for pair in links for n in pair}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    want = {n: find(n) for n in root}
+    read = lambda df: {int.from_bytes(r["node"], "big"): int.from_bytes(r["root"], "big") for r in df.collect()}
+    assert read(omh.components(frame(links))) == want
+    # The same in two steps.
+    first = omh.components(frame(links[::2]))
+    assert read(omh.components(frame(links[1::2]), first)) == want
