@@ -506,6 +506,14 @@ SELECT count(*) AS n_first, count(*) AS n_resumed, 2 * count(*) AS n_anew FROM l
         select="""
 SELECT count(*) AS n_with_file, count(*) FILTER (reason IS NOT NULL) AS n_with_time FROM decoded""",
     ),
+    "stream_positions": _with(
+        _FEED,
+        _MESSAGES,
+        select=r"""
+SELECT CAST(p AS INTEGER) AS "partition", row_number() OVER (PARTITION BY p ORDER BY run, value) - 1 AS "offset", value
+FROM (SELECT CAST(regexp_extract(value, '"order_id":"(\d+)-', 1) AS BIGINT) % 8 AS p, run, value
+      FROM messages, (VALUES (0), (1)) r(run))""",
+    ),
     "stream_upsert": _merged(300),
     "chunk_documents": _with(
         _CHUNKS,
@@ -623,4 +631,5 @@ SELECT query_id, source_doc, chunk_idx, chunk_id, CAST(candidate_rk AS INTEGER)
 
 # Other ways to the same results.
 ORACLES["bm25_pruned"] = ORACLES["bm25_segments"] = ORACLES["bm25_topk"]
+ORACLES["dense_quantised"] = ORACLES["dense_topk"]
 ORACLES["bm25_segment_idf"] = ORACLES["bm25_idf"]

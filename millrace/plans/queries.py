@@ -19,6 +19,7 @@ from millrace.operators import (
     lineage,
     postings,
     quality,
+    quantised,
     rerank,
     rollup,
     summary,
@@ -380,6 +381,20 @@ def stream_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of two appends to a log of eight partitions, with partition and offset."""
+    root = files.run_dir(spark, "log")
+    # Some messages are not JSON.
+    number = F.regexp_extract("value", r'"order_id":"(\d+)-', 1).cast("bigint")
+    for _ in range(2):
+        messages = feeds.untyped_order_feed(spark, sf_dir)
+        feeds.append_log(messages, f"{root}/log", F.pmod(number, F.lit(8)), 8, [F.col("value")])
+    stream = feeds.read_topic(spark, f"{root}/log", format="parquet")
+    writer = stream.writeStream.format("parquet").option("path", f"{root}/seen")
+    writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/seen").select("partition", "offset", "value")
+
+
 def _refined(spark: SparkSession, sf_dir: str) -> refinery.Layout:
     root = files.run_dir(spark, "refinery")
     feeds.write_topic(feeds.untyped_order_feed(spark, sf_dir), f"{root}/topic")
@@ -518,6 +533,14 @@ def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("distance", distance)
 
 
+def dense_quantised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from 8-bit codes, of which the bounds leave few vectors to score in full."""
+    path = quantised.build(_embeddings(spark, sf_dir), ["vec_id"])
+    queries = _query_vectors(spark, sf_dir)
+    found = quantised.vector_topk(path, queries, ["vec_id"], retrieval.LIST_DEPTH, _ROUNDED)
+    return found.withColumn("distance", F.round(1 - F.col("score"), _ROUNDED))
+
+
 def dense_cells_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of the exact results, how many a search in half of the cells finds."""
     queries, vectors = _query_vectors(spark, sf_dir), _embeddings(spark, sf_dir)
@@ -709,6 +732,7 @@ QUERIES: dict[str, Query] = {
         stream_consumed,
         stream_resume,
         stream_metadata,
+        stream_positions,
         stream_refined,
         lineage_stream,
         stream_upsert,
@@ -721,6 +745,7 @@ QUERIES: dict[str, Query] = {
         bm25_segments,
         bm25_segment_idf,
         dense_topk,
+        dense_quantised,
         dense_cells_recall,
         embed_chunks,
         vector_rebuild,

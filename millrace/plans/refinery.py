@@ -102,10 +102,10 @@ def run_stream(
     empty = spark.createDataFrame([], ORDER_SCHEMA)
     buckets.seed(spark, layout.silver, empty, KEY)
 
-    def merge_batch(stored: DataFrame, batch_id: int) -> None:
+    def merge_batch(stored: DataFrame, batch_id: int, n_stored: int) -> None:
         mark = f"batch-{batch_id}"
         with track_stage(spark, layout.events, "bronze_layer", once=mark) as stage:
-            stage.count(stored.count())
+            stage.count(n_stored)
         # The counts of a batch that is in Silver already stay as they were recorded.
         if ingest.is_merged(spark, checkpoint, batch_id):
             return

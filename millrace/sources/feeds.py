@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StringType, StructField, StructType
@@ -160,14 +160,57 @@ def write_topic(messages: DataFrame, location: str, format: str = "text", **opti
         writer.save(location)
 
 
+def append_log(
+    messages: DataFrame, location: str, partition: Column, n_partitions: int, order: list[Column]
+) -> None:
+    """Append messages to a log of Parquet files whose messages have positions.
+
+    A message goes to the partition that ``partition`` (from 0) names, behind those that are
+    there, in the given order. Each append adds one segment to a partition: a file under the
+    folder of the offset that its first message has, so a message's offset is that base plus
+    its row in the file, and nothing has to be counted to read it. One producer at a time.
+    """
+    spark = messages.sparkSession
+    begins = {}
+    if files.exists(spark, location):
+        # One row per partition.
+        after = _log(spark.read, location).groupBy("partition").agg(F.max("offset").alias("last")).collect()
+        begins = {r["partition"]: r["last"] + 1 for r in after}
+    base = F.array(*[F.lit(begins.get(p, 0)).cast("long") for p in range(n_partitions)])
+    placed = messages.withColumn("partition", partition.cast("int"))
+    (
+        placed.withColumn("base", base[F.col("partition")])
+        .repartition(n_partitions, "partition")
+        .sortWithinPartitions("partition", "base", *order)
+        .select("value", "partition", "base")
+        .write.mode("append")
+        .option("maxRecordsPerFile", 0)
+        .partitionBy("partition", "base")
+        .parquet(location)
+    )
+
+
+def _log(reader: DataFrameReader | DataStreamReader, location: str) -> DataFrame:
+    stored = reader.schema("value string, partition int, base long").format("parquet").load(location)
+    return stored.select(
+        "value",
+        "partition",
+        (F.col("base") + F.col("_metadata.row_index")).alias("offset"),
+        F.col("_metadata.file_path").alias("source_file"),
+    )
+
+
 def read_topic(
     spark: SparkSession, location: str, format: str = "text", **options
 ) -> DataFrame:
     """A topic as a stream of (value, partition, offset, source_file), from its start.
 
-    Files know no partition or offset; Kafka messages no file.
+    Text files know no partition or offset; a log of Parquet files (``append_log``) knows
+    all; Kafka messages know no file.
     """
     reader: DataStreamReader = spark.readStream.format(format).options(**options)
+    if format == "parquet":
+        return _log(reader, location)
     if format == "kafka":
         messages = reader.option("subscribe", location).option("startingOffsets", "earliest")
         return messages.load().select(

@@ -6,7 +6,8 @@ import json
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.contract import ORDER_SCHEMA
@@ -19,7 +20,7 @@ def drain(
     bronze_path: str,
     quarantine_path: str,
     checkpoint: str,
-    then: Callable[[DataFrame, int], None] | None = None,
+    then: Callable[[DataFrame, int, int], None] | None = None,
     counts_path: str | None = None,
 ) -> StreamingQuery:
     """Check every message that is there now, store it, and stop.
@@ -28,8 +29,9 @@ def drain(
     only what came since. Each micro-batch is decoded once and written to two
     places under its number, so a batch that is run again after a failure
     replaces what it had written. ``then`` gets the stored accepted rows of a
-    batch and its number before the batch counts as done; it may see a batch
-    again. ``counts_path`` keeps the number of messages of every batch, for
+    batch, its number, and how many rows there are, before the batch counts as
+    done; it may see a batch again. Rows are counted as they are written.
+    ``counts_path`` keeps the number of messages of every batch, for
     :func:`consumed`; Spark's own progress remembers the latest ones only.
     """
     spark: SparkSession = messages.sparkSession
@@ -39,15 +41,19 @@ def drain(
         try:
             good = contract.accepted(checked)
             bad = contract.quarantined(checked, raw_value="value")
-            tables.put_batch(good, bronze_path, ORDER_SCHEMA, batch_id)
-            feeds.put_quarantine_batch(bad, quarantine_path, batch_id)
+            kept, refused = Observation(), Observation()
+            rows = F.count(F.lit(1)).alias("rows")
+            tables.put_batch(good.observe(kept, rows), bronze_path, ORDER_SCHEMA, batch_id)
+            feeds.put_quarantine_batch(bad.observe(refused, rows), quarantine_path, batch_id)
+            n_kept = kept.get.get("rows", 0)
             if counts_path is not None:
-                line = json.dumps({"batch_id": batch_id, "n_messages": checked.count()})
+                n_messages = n_kept + refused.get.get("rows", 0)
+                line = json.dumps({"batch_id": batch_id, "n_messages": n_messages})
                 files.put_text(spark, f"{counts_path}/{batch_id}.json", line + "\n", replace=True)
         finally:
             checked.unpersist()
         if then is not None:
-            then(tables.read_batch(spark, bronze_path, ORDER_SCHEMA, batch_id), batch_id)
+            then(tables.read_batch(spark, bronze_path, ORDER_SCHEMA, batch_id), batch_id, n_kept)
 
     return (
         messages.writeStream.foreachBatch(route)

@@ -1,0 +1,66 @@
+"""Search over codes against the full scan, and the bounds by themselves."""
+
+import numpy as np
+import pytest
+
+from millrace.operators import dense, quantised
+from tests.conftest import rows
+
+
+def vectors(spark, data):
+    return spark.createDataFrame(
+        [(n, None if v is None else [float(x) for x in v]) for n, v in enumerate(data)], "vec_id long, embedding array<float>"
+    )
+
+
+@pytest.fixture(scope="module")
+def made():
+    rng = np.random.default_rng(4)
+    centers = rng.standard_normal((12, 24))
+    data = [centers[n % 12] + 0.4 * rng.standard_normal(24) for n in range(1_500)]
+    # Copies, a zero vector, one without numbers, and very unequal entries.
+    return [*data, *[data[3]] * 500, np.zeros(24), None, 1e-30 * data[0], np.r_[1e6, np.full(23, 1e-3)]]
+
+
+@pytest.mark.parametrize("k, digits", [(1, 6), (10, 6), (25, None)])
+def test_search_equals_the_scan(spark, made, k, digits):
+    stored = vectors(spark, made)
+    asked = vectors(spark, [made[3], made[40], -made[9], np.zeros(24), None]).withColumnRenamed("vec_id", "query_id")
+    path = quantised.build(stored, ["vec_id"])
+    found = quantised.vector_topk(path, asked, ["vec_id"], k, digits)
+    want = dense.vector_topk(stored, asked, ["vec_id"], k, digits)
+    assert found.columns == want.columns
+    if digits is not None:
+        assert rows(found) == rows(want)
+    else:
+        got, due = rows(found, "query_id", "rk"), rows(want, "query_id", "rk")
+        assert np.allclose([r[2] for r in got], [r[2] for r in due], atol=1e-12)
+    passes = quantised.vector_topk(path, asked, ["vec_id"], k, digits, max_numbers=2 * (24 + k))
+    assert rows(passes) == rows(found)
+
+
+def test_most_vectors_are_skipped(spark, made):
+    path = quantised.build(vectors(spark, made), ["vec_id"])
+    asked = vectors(spark, [made[n] for n in (5, 6, 7)]).withColumnRenamed("vec_id", "query_id")
+    counted = quantised.skipped(path, asked, ["vec_id"], 10).collect()
+    assert len(counted) == 3
+    assert all(r["n_vectors"] == 2_003 and 10 <= r["n_scored"] < 100 for r in counted)
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(1)
+    data = rng.standard_normal((400, 50)) * 10.0 ** rng.integers(-6, 6, (400, 1))
+    unit = data / np.linalg.norm(data, axis=1, keepdims=True)
+    codes, scale, lost = quantised.encode(unit)
+    questions = unit[rng.integers(0, 400, 60)]
+    near = questions @ (codes * scale[:, None]).T
+    assert (np.abs(near - questions @ unit.T) <= lost).all()
+    assert lost.max() < 0.03
+
+
+def test_empty_tables(spark, made):
+    asked = vectors(spark, made[:2]).withColumnRenamed("vec_id", "query_id")
+    path = quantised.build(vectors(spark, []), ["vec_id"])
+    assert quantised.vector_topk(path, asked, ["vec_id"], 3).collect() == []
+    path = quantised.build(vectors(spark, made[:2]), ["vec_id"])
+    assert quantised.vector_topk(path, asked.limit(0), ["vec_id"], 3).collect() == []

@@ -196,3 +196,30 @@ def test_stream_events_once_per_batch(spark, tmp_path):
     assert report["bronze_layer"]["rows_out"] == report["silver_layer"]["rows_out"] == 2
     assert report["bronze_layer"]["n_completed"] == report["silver_layer"]["n_completed"] == 1
     assert report["stream_layer"]["n_completed"] == 2
+
+
+def test_positions_of_a_log(spark, tmp_path):
+    """Offsets go on without gaps over several appends; a stream and its resumption see them."""
+    log = f"{tmp_path}/log"
+    value = F.col("value").cast("int")
+
+    def append(numbers):
+        df = spark.createDataFrame([(str(n),) for n in numbers], "value string").repartition(4)
+        feeds.append_log(df, log, value % 3, 3, [value])
+
+    def seen():
+        stream = feeds.read_topic(spark, log, format="parquet").writeStream.format("parquet")
+        stream.option("path", f"{tmp_path}/seen").option("checkpointLocation", f"{tmp_path}/c").trigger(
+            availableNow=True
+        ).start().awaitTermination()
+        found = spark.read.parquet(f"{tmp_path}/seen")
+        assert found.where("source_file IS NULL OR source_file NOT LIKE '%/log/%'").count() == 0
+        return sorted((r["partition"], r["offset"], int(r["value"])) for r in found.collect())
+
+    append([9, 3, 1, 7, 0])
+    want = [(0, 0, 0), (0, 1, 3), (0, 2, 9), (1, 0, 1), (1, 1, 7)]
+    assert seen() == want
+    append([6, 2])
+    append([5, 12, 4])
+    want += [(0, 3, 6), (0, 4, 12), (1, 2, 4), (2, 0, 2), (2, 1, 5)]
+    assert seen() == sorted(want)
