@@ -62,8 +62,8 @@ SHORT = 64
 RESIDUE = 8
 #: Counters of shingles for that; beyond some millions of shingles the order gets coarser.
 SLOTS = 1 << 22
-#: Words of texts that are sketched together, some tens of megabytes.
-_TOGETHER = 1_000_000
+#: Words of texts that are sketched together, a few megabytes.
+_TOGETHER = 100_000
 #: Up to so many candidates the other texts are left out before the shuffle by a broadcast.
 FEW_CANDIDATES = 2_000_000
 
