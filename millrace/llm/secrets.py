@@ -9,7 +9,9 @@ is taken for a live credential. Of the fourth kind only the live ones are added.
 are reported whatever their owners, and their counts and verdicts beside them.
 
 Spans come from the texts between matches: a pattern's matches and the pieces that
-splitting by it leaves alternate, so running sums of their lengths are the places.
+splitting by it leaves alternate, so running sums of their lengths are the places. The
+sums are windows over rows, one for each match, so that a text of very many matches costs
+time in proportion to them. Of a match its lengths and its hash are written, never itself.
 
 Defined results: null and empty texts have no spans; rows without a repository or owner
 share one each; repeated rows are scanned each and count once for ownership; texts with
@@ -18,7 +20,7 @@ the same id are kept apart by their hash; no rows give no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import fresh, or_empty
@@ -40,63 +42,65 @@ _TOKEN = (
     r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])(?=[A-Z0-9_-]*+[a-z])(?=[a-z0-9_-]*+[A-Z])"
     r"[A-Za-z0-9_-]{20,}(?![A-Za-z0-9_-])"
 )
-_SPAN = "array<struct<kind:string,start:bigint,end:bigint,value:string>>"
+_ITEMS = "array<struct<kind:string,gap:bigint,n:bigint,fit:boolean,value_hash:string>>"
+_SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
+_JUDGED = "array<struct<kind:string,start:bigint,end:bigint,repositories:bigint,owners:bigint,live:boolean>>"
+_CUTS = "array<struct<a:int,b:int,opens:boolean>>"
+#: Code points of a text that are cut together, and the most bytes of cuts that go to every task.
+BLOCK = 4096
+SMALL_CUTS = 64 << 20
 
 
-def _spans(text: Column, pattern: str, kind: str) -> Column:
-    """Matches as structs of kind, start, end (in code points) and matched string."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    lengths = F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("m"), F.length(g).alias("g")))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPAN).alias("spans"))
+def _items(text: Column, pattern: str, kind: str) -> Column:
+    """Matches in their order: length of the text since the one before, own length, hash.
 
-    def step(state: Column, item: Column) -> Column:
-        begin = state["at"] + item["g"]
-        end = begin + F.length(item["m"])
-        span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), item["m"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+    An assignment goes by the hash of its value, however it is written; one whose value is
+    too short does not fit, and only its lengths count.
+    """
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pairs = F.zip_with(found, F.split(text, pattern, -1), lambda m, g: F.struct(m.alias("m"), F.length(g).alias("g")))
+
+    def item(pair: Column) -> Column:
+        value = F.regexp_extract(pair["m"], _VALUE, 1) if kind == "assign" else pair["m"]
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            pair["g"].cast("bigint").alias("gap"),
+            F.length(pair["m"]).cast("bigint").alias("n"),
+            (F.length(value) >= _MIN_VALUE).alias("fit"),
+            F.sha2(value, 256).alias("value_hash"),
+        )
 
-    whole = F.filter(lengths, lambda x: x["m"].isNotNull())
-    placed = F.aggregate(whole, start, step, lambda s: s["spans"])
-    return F.when(F.rlike(text, F.lit(pattern)), placed).otherwise(F.array().cast(_SPAN))
+    items = F.transform(F.filter(pairs, lambda p: p["m"].isNotNull()), item).cast(_ITEMS)
+    return F.when(F.rlike(text, F.lit(pattern)), items).otherwise(F.array().cast(_ITEMS))
 
 
 def scan(docs: DataFrame, doc_id: str, text: str, repository: str, owner: str) -> DataFrame:
-    """``doc_id, text_hash, repository, owner, base, extra`` of each row; no text."""
-    body = or_empty(F.col(text))
-    assign = F.filter(
-        _spans(F.col("body"), _ASSIGN, "assign"), lambda s: F.length(F.regexp_extract(s["value"], _VALUE, 1)) >= _MIN_VALUE
-    )
+    """``row, doc_id, text_hash, repository, owner, items`` of each row; no text and no match.
+
+    ``row`` is a number that holds once the result is written.
+    """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.col(repository).cast("string").alias("repository"),
         F.col(owner).cast("string").alias("owner"),
-        body.alias("body"),
+        or_empty(F.col(text)).alias("body"),
     )
+    patterns = zip((_ASSIGN, _ACCESS, _HEX, _TOKEN), KINDS)
     return rows.select(
+        F.monotonically_increasing_id().alias("row"),
         "doc_id",
         F.md5("body").alias("text_hash"),
         "repository",
         "owner",
-        F.concat(assign, _spans(F.col("body"), _ACCESS, "access"), _spans(F.col("body"), _HEX, "hex")).alias("base"),
-        _spans(F.col("body"), _TOKEN, "token").alias("extra"),
+        F.concat(*(_items(F.col("body"), pattern, kind) for pattern, kind in patterns)).alias("items"),
     )
 
 
-def _hash(span: Column) -> Column:
-    """Of a candidate; an assignment goes by its value, however it is written."""
-    value = F.when(span["kind"] == "assign", F.regexp_extract(span["value"], _VALUE, 1)).otherwise(span["value"])
-    return F.sha2(value, 256)
-
-
-def _hashes() -> Column:
-    return F.array_distinct(F.transform(F.concat("base", "extra"), _hash))
-
-
 def ownership(scanned: DataFrame) -> DataFrame:
     """``value_hash, repositories, owners``: in how many distinct ones each candidate is."""
+    fitting = F.filter("items", lambda i: i["fit"])
     places = scanned.select(
-        F.explode(_hashes()).alias("value_hash"),
+        F.explode(F.array_distinct(F.transform(fitting, lambda i: i["value_hash"]))).alias("value_hash"),
         F.struct("repository").alias("repository"),
         F.struct("owner").alias("owner"),
     )
@@ -108,24 +112,15 @@ def ownership(scanned: DataFrame) -> DataFrame:
     return counted("repository", "repositories").join(counted("owner", "owners"), "value_hash")
 
 
-def live(scanned: DataFrame, max_owners: int = OWNERS, max_repositories: int = REPOSITORIES) -> DataFrame:
-    """``doc_id, text_hash, counts``: of each text's candidates the hash, repositories, owners and verdict."""
-    own = ownership(scanned).withColumn(
-        "live", (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
-    )
-    held = scanned.select(
-        "doc_id",
-        "text_hash",
-        F.explode(_hashes()).alias("value_hash"),
-    ).distinct()
-    return (
-        held.join(own, "value_hash")
-        .groupBy("doc_id", "text_hash")
-        .agg(
-            F.map_from_entries(
-                F.collect_list(F.struct("value_hash", F.struct("repositories", "owners", "live")))
-            ).alias("counts")
-        )
+def placed(scanned: DataFrame) -> DataFrame:
+    """``row, doc_id, text_hash, kind, start, end, value_hash``: a row for each fitting match."""
+    matches = scanned.select("row", "doc_id", "text_hash", F.posexplode("items").alias("pos", "item"))
+    # Dealt by the row alone: its kinds are windows of their own in the same task.
+    matches = matches.select("row", "doc_id", "text_hash", "pos", "item.*").repartition("row")
+    so_far = Window.partitionBy("row", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    ends = matches.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(so_far))
+    return ends.where("fit").select(
+        "row", "doc_id", "text_hash", "kind", (F.col("end") - F.col("n")).alias("start"), "end", "value_hash"
     )
 
 
@@ -143,26 +138,24 @@ def find_secrets(
     ``judged`` has the base spans with ``repositories``, ``owners`` and ``live``.
     """
     scanned = files.materialize(scan(docs, doc_id, text, repository, owner), "secrets")
-    credentials = live(scanned, max_owners, max_repositories).select(
-        F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_hash"), "counts"
+    fits = F.exists("items", lambda i: i["fit"])
+    live = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
+    own = ownership(scanned).withColumn("live", live)
+    known = placed(scanned.where(fits)).join(own, "value_hash")
+    is_base = F.col("kind") != KINDS[3]
+    span = F.struct("kind", "start", "end")
+    holding = known.groupBy("row", "doc_id", "text_hash").agg(
+        F.collect_list(F.when(is_base, span)).cast(_SPANS).alias("base"),
+        F.collect_list(F.when(~is_base & F.col("live"), span)).cast(_SPANS).alias("added"),
+        F.collect_list(F.when(is_base, F.struct("kind", "start", "end", "repositories", "owners", "live")))
+        .cast(_JUDGED)
+        .alias("judged"),
     )
-
-    def counted(span: Column) -> Column:
-        return F.element_at(F.col("counts"), _hash(span))
-
-    added = F.filter("extra", lambda s: counted(s)["live"])
-    judged = F.transform(
-        "base",
-        lambda s: F.struct(
-            *(s[c].alias(c) for c in ("kind", "start", "end")),
-            *(counted(s)[c].alias(c) for c in ("repositories", "owners", "live")),
-        ),
+    empty = {"base": _SPANS, "added": _SPANS, "judged": _JUDGED}
+    without = scanned.where(~fits).select(
+        "doc_id", "text_hash", *(F.array().cast(kind).alias(name) for name, kind in empty.items())
     )
-    return scanned.join(
-        credentials,
-        F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_hash")),
-        "left",
-    ).select("doc_id", "text_hash", "base", added.alias("added"), judged.alias("judged"))
+    return holding.select("doc_id", "text_hash", *empty).unionByName(without)
 
 
 def in_order(spans: Column) -> Column:
@@ -208,6 +201,70 @@ def digests(found: DataFrame) -> DataFrame:
     )
 
 
+def cuts_of(found: DataFrame, of_doc: str, of_hash: str, cuts: str) -> DataFrame:
+    """Stretches to cut of each text that has some, for one block of it after the other.
+
+    Overlapping spans are one stretch. ``cuts`` holds for block 0, 1 and so on the cuts in
+    it, and whether a cut's stretch opens there.
+    """
+    text = ["doc_id", "text_hash"]
+    spans = (
+        found.select(*text, F.explode(F.concat("base", "added")).alias("s"))
+        .select(*text, F.col("s.start").alias("start"), F.col("s.end").alias("end"))
+        .distinct()
+    )
+    by_start = Window.partitionBy(*text).orderBy("start", "end")
+    reach = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    opening = spans.withColumn("opens", F.when(reach > F.col("start"), 0).otherwise(1))
+    stretch = F.sum("opens").over(by_start.rowsBetween(Window.unboundedPreceding, 0))
+    stretches = (
+        opening.withColumn("stretch", stretch)
+        .groupBy(*text, "stretch")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    )
+    first = F.col("block") * BLOCK
+    parts = stretches.select(
+        "*", F.explode(F.sequence(F.expr(f"start div {BLOCK}"), F.expr(f"(end - 1) div {BLOCK}"))).alias("block")
+    ).select(
+        *text,
+        "block",
+        F.struct(
+            F.greatest(F.col("start") - first, F.lit(0)).cast("int").alias("a"),
+            F.least(F.col("end") - first, F.lit(BLOCK)).cast("int").alias("b"),
+            (F.col("start") >= first).alias("opens"),
+        ).alias("cut"),
+    )
+    blocks = parts.groupBy(*text, "block").agg(F.array_sort(F.collect_list("cut")).cast(_CUTS).alias("mine"))
+    before = F.lag("block", 1, -1).over(Window.partitionBy(*text).orderBy("block"))
+    blocks = blocks.withColumn("skipped", (F.col("block") - before - 1).cast("int"))
+    whole = F.concat(F.array_repeat(F.array().cast(_CUTS), F.col("skipped")), F.array("mine"))
+    return (
+        blocks.select(*text, F.struct("block", whole.alias("cuts")).alias("some"))
+        .groupBy(*text)
+        .agg(F.flatten(F.transform(F.array_sort(F.collect_list("some")), lambda x: x["cuts"])).alias(cuts))
+        .withColumnsRenamed({"doc_id": of_doc, "text_hash": of_hash})
+    )
+
+
+def _without(body: Column, cuts: Column, mark: str) -> Column:
+    """The text with ``mark`` for each stretch, block by block."""
+
+    def block(piece: Column, mine: Column) -> Column:
+        n = F.size(mine)
+        past = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(mine, i - 1)["b"])
+        kept = F.transform(
+            F.sequence(F.lit(0), n),
+            lambda i: F.concat(
+                F.when((i > 0) & F.get(mine, i - 1)["opens"], F.lit(mark)).otherwise(F.lit("")),
+                F.substring(piece, past(i) + 1, F.when(i == n, F.lit(BLOCK)).otherwise(F.get(mine, i)["a"]) - past(i)),
+            ),
+        )
+        return F.when(mine.isNull(), piece).otherwise(F.array_join(kept, ""))
+
+    pieces = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    return F.array_join(F.zip_with(pieces, cuts, block), "")
+
+
 def redact(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -218,47 +275,16 @@ def redact(
 ) -> DataFrame:
     """The rows and columns of ``docs``, with ``mark`` for each stretch of secrets in a text.
 
-    Only texts that hold one are touched; they come back to their rows by id and hash.
+    Only texts that hold one are touched. Their cuts go to the rows by id and hash, in a
+    broadcast where they are measured to be small; beyond that in a join.
     """
-    found = find_secrets(docs, doc_id, text, repository, owner)
-    stretches = F.aggregate(
-        in_order(F.concat("base", "added")),
-        F.array().cast("array<struct<start:bigint,end:bigint>>"),
-        lambda done, s: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["end"] > s["start"]),
-            F.concat(
-                F.slice(done, F.lit(1), F.size(done) - 1),
-                F.array(
-                    F.struct(
-                        F.element_at(done, -1)["start"].alias("start"),
-                        F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(done, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))),
-    )
     of_doc, of_hash, cuts = fresh(docs, "of_doc", "of_hash", "cuts")
-    hit = (
-        found.where(F.size("base") + F.size("added") > 0)
-        .select(F.col("doc_id").alias(of_doc), F.col("text_hash").alias(of_hash), stretches.alias(cuts))
-        .dropDuplicates([of_doc, of_hash])
-    )
-    body = F.col(text)
-    n = F.size(cuts)
-    # Pieces between the stretches, from the end of one to the start of the next.
-    between = F.transform(
-        F.sequence(F.lit(0), n),
-        lambda i: F.substring(
-            body,
-            F.when(i == 0, F.lit(1)).otherwise(F.get(F.col(cuts), i - 1)["end"] + 1).cast("int"),
-            (
-                F.when(i == n, F.length(body).cast("long")).otherwise(F.get(F.col(cuts), i)["start"])
-                - F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get(F.col(cuts), i - 1)["end"])
-            ).cast("int"),
-        ),
-    )
-    cleaned = F.when(F.col(cuts).isNull(), body).otherwise(F.array_join(between, mark))
+    found = find_secrets(docs, doc_id, text, repository, owner)
+    hit = files.materialize(cuts_of(found, of_doc, of_hash, cuts), "cuts")
+    if files.measured_bytes(hit)[1] <= SMALL_CUTS:
+        hit = F.broadcast(hit)
     joined_rows = docs.join(
         hit, docs[doc_id].eqNullSafe(F.col(of_doc)) & (F.md5(or_empty(docs[text])) == F.col(of_hash)), "left"
     )
+    cleaned = F.when(F.col(cuts).isNull(), docs[text]).otherwise(_without(docs[text], F.col(cuts), mark))
     return joined_rows.select(*(cleaned.alias(c) if c == text else docs[c] for c in docs.columns))

@@ -107,3 +107,24 @@ def test_base_candidates_are_counted(spark):
     assert got[10] == (1, 1, "assign:0:20:1:1:live")
     assert got[11] == (1, 1, "assign:0:20:1:1:live")
     assert got[12] == (0, 0, "")
+
+
+def test_texts_of_very_many_matches(spark, docs_of):
+    """Places of 100,000 matches in one text, and the text without them; blocks of many cuts and of none."""
+    rng = random.Random(8)
+    values = [f"{rng.getrandbits(96):024x}" for _ in range(100_000)]
+    log = " ".join(values) + " " + "é" * 9_000 + "\n" + "token = " + "A1" * 6_000 + " end"
+    docs = docs_of([log, "no secret"])
+    found = {r["doc_id"]: r for r in secrets.digests(secrets.find_secrets(docs)).collect()}
+    want = base(log)
+    assert found[0]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest()
+    assert (found[0]["n_hex"], found[0]["n_assign"], found[1]["n_hex"]) == (100_000, 1, 0)
+    out = {r["doc_id"]: r["text"] for r in secrets.redact(docs, mark="#").collect()}
+    assert out[0] == " ".join("#" * 100_000) + " " + "é" * 9_000 + "\n# end"
+    assert out[1] == "no secret"
+
+
+def test_no_match_is_written(docs_of):
+    scanned = secrets.scan(docs_of(["password = Hidden123456 " + "ab12" * 8]), "doc_id", "text", "source", "source")
+    assert len(scanned.first()["items"]) == 2
+    assert "Hidden123456" not in str(scanned.first()) and "ab12ab12" not in str(scanned.first())
