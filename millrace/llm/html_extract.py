@@ -2,21 +2,29 @@
 
 Markup is stripped into lines, one for each block of the page. A line weighs as
 much as its text, or nothing where it lies in a menu, notice or other boilerplate,
-outside the article where the page marks one, or is mostly links. Lengths are summed
-over windows of ``WINDOW`` lines. The sum surges where it leaves zero and dives where
-it comes back; text between such a pair of points is kept if the sum gets high
-enough in between, or if the page marks its article.
+is mostly links, or lies outside the articles where the page marks some with text
+in them. Lengths are summed over windows of ``WINDOW`` lines. The sum surges where it
+leaves zero and dives where it comes back, and text between such a pair of points is a
+stretch. A stretch is kept if the sum gets to ``PEAK`` in it (if none does, the heaviest
+one), or if it belongs to the article, or the containing element on a page without marks,
+that most of such a high stretch is in; so is a first-level heading of an element around it.
+So short paragraphs between adverts stay, and short cards beside the article go.
+
+Some class names (``_VOTED_WORDS``) occur on boilerplate and on real text: such an element
+is boilerplate unless it holds more than half of the text.
 
 Defined results: null or empty html, or a page of boilerplate only, gives an empty
-text; if no stretch is high enough the heaviest one is kept; unclosed and truncated
-elements end where an enclosing element ends, or the page; repeated rows are repeated.
+text; unclosed and truncated elements end where an enclosing element ends, or the page;
+marks in comments and scripts are none; repeated rows are repeated.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,7 +32,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from millrace.llm.common import batched
 
-#: Lines to a window, and the window sum that makes a stretch main text without a marked article.
+#: Lines to a window, and the window sum that makes a stretch main text by itself.
 WINDOW = 3
 PEAK = 120
 
@@ -44,11 +52,17 @@ _BOILER_ROLES = set(
     "toolbar tablist".split()
 )
 _BOILER_WORDS = set(
-    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav "
-    "navbar navigation menu menubar breadcrumb breadcrumbs sidebar sidenav footer header masthead topbar "
-    "toolbar comment comments disqus replies reply respond cookie cookies consent gdpr notice notices "
-    "alert popup modal overlay newsletter subscribe subscription signup login social share sharing "
-    "related recommended recommendations teaser widget widgets pagination pager search copyright".split()
+    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored nav navbar navigation menu "
+    "menubar breadcrumb breadcrumbs sidebar sidenav footer masthead topbar comment comments disqus cookie cookies "
+    "consent gdpr popup newsletter subscribe subscription signup login pagination pager".split()
+)
+_VOTED_WORDS = set(
+    "alert copyright feedback header modal notice notices overlay promo promotion recommendations recommended "
+    "related replies reply respond search share sharing social teaser toolbar widget widgets".split()
+)
+_TEXT_BLOCKS = set(
+    "p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption address ul ol dl table tr tbody thead tfoot "
+    "caption figure".split()
 )
 _LAYOUT_WORDS = set("has with no without wrapper container layout page main content article post body".split())
 _KEPT_TAGS = {"html", "body", "main"}
@@ -61,9 +75,7 @@ _TOKEN = re.compile(
     re.IGNORECASE | re.DOTALL,
 )
 _ATTR = re.compile(r"([a-z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-_ARTICLE = re.compile(r"<(?:article|main)\b|role\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articleBody", re.I)
 _HEADING = re.compile(r"<h[1-6]\b", re.I)
-_HEADER_END = re.compile(r"</header\b", re.I)
 _END = re.compile(r"</([a-z][^\s/>]*)", re.I)
 _SPACE = re.compile(r"[\x20\x09-\x0D\xa0]+")
 _WORD = re.compile(r"[a-z0-9]+")
@@ -75,55 +87,90 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(text)}
 
 
-def _is_boilerplate(name: str, attrs: dict[str, str], in_article: bool, html: str, at: int) -> bool:
+def _has_heading(name: str, html: str, at: int) -> bool:
+    """Whether a heading comes before the next end tag of this name."""
+    heading = _HEADING.search(html, at)
+    end = re.compile(rf"</{re.escape(name)}\b", re.I).search(html, at)
+    return bool(heading and (end is None or heading.start() < end.start()))
+
+
+#: What an element is by its tag and attributes.
+_TEXT, _VOTED, _BOILER = range(3)
+
+
+def _standing(name: str, attrs: dict[str, str], in_article: bool, html: str, at: int) -> int:
     if name in _KEPT_TAGS:
-        return False
+        return _TEXT
     if name in _BOILER_TAGS:
-        return True
+        return _BOILER
     if name == "header":
         # The heading of an article is part of it; the banner of a page is not.
-        if not in_article:
-            return True
-        heading, end = _HEADING.search(html, at), _HEADER_END.search(html, at)
-        return not (heading and (end is None or heading.start() < end.start()))
+        return _TEXT if in_article and _has_heading(name, html, at) else _BOILER
     if not attrs:
-        return False
+        return _TEXT
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in _BOILER_ROLES:
-        return True
+        return _BOILER
     if "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True
+        return _BOILER
     words = set(_WORD.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
-    return bool(words & _BOILER_WORDS) and not words & _LAYOUT_WORDS
+    if words & _LAYOUT_WORDS:
+        return _TEXT
+    if words & _BOILER_WORDS:
+        return _BOILER
+    voted = words & _VOTED_WORDS
+    if voted == {"header"} and in_article and _has_heading(name, html, at):
+        return _TEXT
+    return _VOTED if voted else _TEXT
 
 
-def strip_markup(html: str) -> list[tuple[str, int]]:
-    """The page as (text, weight) lines in page order; boilerplate lines are empty."""
-    lines: list[tuple[str, int]] = []
+class Line(NamedTuple):
+    """A block's text, its characters in links, and the numbers of elements around it (0: none)."""
+
+    text: str
+    linked: int = 0
+    article: int = 0  # the outermost marked article
+    container: int = 0  # the innermost element that holds blocks
+    voted: tuple[int, ...] = ()
+    heading: bool = False  # of the first level
+
+
+class _Open(NamedTuple):
+    name: str
+    skipped: bool = False
+    article: int = 0
+    container: int = 0
+    voted: tuple[int, ...] = ()
+
+
+def parse(html: str) -> tuple[list[Line], dict[int, int]]:
+    """Lines in page order, boilerplate ones empty, and of each container the one around it."""
+    lines: list[Line] = []
     parts: list[str] = []
+    around: dict[int, int] = {}
     linked = 0  # characters of the line inside links
-    marked = bool(_ARTICLE.search(html))
     last_end = {m[1].lower(): m.start() for m in _END.finditer(html)}
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, boilerplate, article
+    stack: list[_Open] = []
+    root = _Open("")
 
     def close_line() -> None:
         nonlocal linked
         text = _SPACE.sub(" ", "".join(parts)).strip(" ")
         parts.clear()
         if text:
-            inside = any(e[2] for e in stack) if marked else 2 * linked <= len(text)
-            lines.append((text, len(text) if inside else 0))
+            e = stack[-1] if stack else root
+            lines.append(Line(text, linked, e.article, e.container, e.voted, any(o.name == "h1" for o in stack)))
         linked = 0
 
     def take(text: str) -> None:
         nonlocal linked
-        if text and not (stack and stack[-1][1]):
+        if text and not (stack and stack[-1].skipped):
             decoded = entities.unescape(text)
             parts.append(decoded)
-            if any(e[0] == "a" for e in stack):
+            if any(e.name == "a" for e in stack):
                 linked += len(decoded)
 
     at = 0
-    for m in _TOKEN.finditer(html):
+    for number, m in enumerate(_TOKEN.finditer(html), 1):
         take(html[at : m.start()])
         at = m.end()
         if m["name"] is None:
@@ -133,30 +180,59 @@ def strip_markup(html: str) -> list[tuple[str, int]]:
             close_line()
         if m["end"]:
             # An end tag also ends what it encloses; one without a start is ignored.
-            if any(e[0] == name for e in stack):
-                while stack.pop()[0] != name:
+            if any(e.name == name for e in stack):
+                while stack.pop().name != name:
                     pass
             continue
         if name in _VOID or m["attrs"].endswith("/"):
             continue
-        if name not in _INLINE and stack and stack[-1][0] == "p":
+        if name not in _INLINE and stack and stack[-1].name == "p":
             stack.pop()  # a block ends an open paragraph
         attrs = _attributes(m["attrs"])
-        outer, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        skipped = outer
-        if not outer and _is_boilerplate(name, attrs, inside, html, at):
+        outer = stack[-1] if stack else root
+        standing = _BOILER if outer.skipped else _standing(name, attrs, bool(outer.article), html, at)
+        if not outer.skipped and standing != _TEXT:
             # An element that is never closed must not swallow the rest of the page.
-            skipped = last_end.get(name, -1) >= at
-            if skipped:
+            if last_end.get(name, -1) >= at:
                 close_line()
-                lines.extend([("", 0)] * WINDOW)
-        if name in _INLINE and name != "a" and skipped == outer:
+                lines.extend([Line("")] * WINDOW)
+            else:
+                standing = _TEXT
+        if name in _INLINE and name != "a" and (outer.skipped or standing == _TEXT):
             continue  # unclosed inline elements are common and change nothing
-        article = name in ("article", "main") or attrs.get("role") == "main" or attrs.get("itemprop") == "articleBody"
-        stack.append((name, skipped, inside or (article and not skipped)))
+        marks = name in ("article", "main") or attrs.get("role") == "main" or attrs.get("itemprop") == "articleBody"
+        container = outer.container
+        if name not in _INLINE and name not in _TEXT_BLOCKS:
+            around[number] = container
+            container = number
+        skipped = standing == _BOILER
+        article = outer.article or (number if marks and not skipped else 0)
+        voted = (*outer.voted, number) if standing == _VOTED else outer.voted
+        stack.append(_Open(name, skipped, article, container, voted))
     take(html[at:])
     close_line()
-    return lines
+    return lines, around
+
+
+def weigh(lines: list[Line]) -> tuple[list[tuple[str, int]], bool]:
+    """The lines as (text, weight), and whether they go by marked articles."""
+    marked = any(line.article for line in lines)
+    counted = [line for line in lines if line.article or not marked]
+    plain = Counter()
+    for line in counted:
+        plain.update(dict.fromkeys((0, *line.voted), len(line.text) - min(line.linked, len(line.text))))
+    out = []
+    for line in lines:
+        n = len(line.text)
+        heavy = bool(line.article) if marked else 2 * line.linked <= n
+        by_vote = all(2 * plain[v] > plain[0] for v in line.voted)
+        out.append((line.text, n) if heavy and by_vote else (line.text if by_vote else "", 0))
+    return out, marked
+
+
+def strip_markup(html: str) -> list[tuple[str, int]]:
+    """The page as (text, weight) lines in page order; boilerplate lines are empty."""
+    return weigh(parse(html)[0])[0]
 
 
 def main_stretches(lines: list[tuple[str, int]], marked: bool) -> list[tuple[int, int]]:
@@ -177,13 +253,41 @@ def main_stretches(lines: list[tuple[str, int]], marked: bool) -> list[tuple[int
     return [(f[0], f[1]) for f in high]
 
 
+def kept_stretches(lines: list[Line], around: dict[int, int]) -> tuple[list[tuple[str, int]], list[tuple[int, int]]]:
+    """The weighed lines, and the stretches of main text among them."""
+    weighed, marked = weigh(lines)
+    high = main_stretches(weighed, marked=False)
+
+    def home(stretch: tuple[int, int]) -> int:
+        """The article or container that most of a stretch is in."""
+        held = Counter()
+        for line, (_, weight) in zip(lines[slice(*stretch)], weighed[slice(*stretch)]):
+            held[line.article if marked else line.container] += weight
+        return max(held, key=lambda place: (held[place], -place))
+
+    homes = {home(stretch) for stretch in high}
+    enclosing = set(homes)
+    if not marked:
+        for place in homes:
+            while place:
+                place = around[place]
+                enclosing.add(place)
+
+    def belongs(stretch: tuple[int, int]) -> bool:
+        titles = (line for line, (_, w) in zip(lines[slice(*stretch)], weighed[slice(*stretch)]) if w and line.heading)
+        return stretch in high or home(stretch) in homes or (
+            not marked and any(line.container in enclosing for line in titles)
+        )
+
+    return weighed, [stretch for stretch in main_stretches(weighed, marked=True) if belongs(stretch)]
+
+
 def main_text(html: str | None) -> tuple[str, int, int]:
     """The main text, and the lines of its first surge and last dive (-1 without text)."""
     if not html:
         return "", -1, -1
-    lines = strip_markup(html)
-    stretches = main_stretches(lines, bool(_ARTICLE.search(html)))
-    kept = [lines[i][0] for a, b in stretches for i in range(a, b) if lines[i][1]]
+    weighed, stretches = kept_stretches(*parse(html))
+    kept = [weighed[i][0] for a, b in stretches for i in range(a, b) if weighed[i][1]]
     if not kept:
         return "", -1, -1
     return " ".join(kept), stretches[0][0], stretches[-1][1]

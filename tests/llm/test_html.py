@@ -1,5 +1,7 @@
 """Extraction on pages whose main text is known."""
 
+import random
+
 import pytest
 
 from millrace.llm.html_extract import main_stretches, main_text, strip_markup
@@ -59,3 +61,54 @@ def test_header_of_an_article_with_a_long_image():
     assert main_text(page)[0] == "Title Body."
     # A heading after the end of the header is not its own.
     assert main_text(f"<article><header>by x {image}</header><h2>Part</h2><p>Body.</p></article>")[0] == "Part Body."
+
+
+LONG = ("word " * 60).strip()
+PROBES = {
+    "a mark in a comment": (f"<!-- <article> --><div><p>{LONG}</p></div>", LONG),
+    "a mark in a script": (f"<script>var t = '<main>';</script><div><p>{LONG}</p></div>", LONG),
+    "an article without text": (f"<article><nav>menu</nav></article><div><p>{LONG}</p></div>", LONG),
+    "a title before a menu": (
+        f"<body><h1>Title</h1><ul><li><a href=a>one menu</a><li><a href=b>two</a><li><a href=c>six</a></ul>"
+        f"<div><p>{LONG}</p></div></body>", f"Title {LONG}"),
+    "a last paragraph after an advert": (f"<div><p>{LONG}</p><div class=ad>buy</div><p>The end.</p></div>", f"{LONG} The end."),
+    "short text of another element": (
+        f"<div><div><p>{LONG}</p></div><div class=ad>buy</div><div><p>Imprint</p></div></div>", LONG),
+    "a class of real text": (
+        f"<article><p>Intro.</p><div class='search-results-study'><p>{LONG}</p><div class=share>share</div></div></article>",
+        f"Intro. {LONG}"),
+    "a class around the article": (f"<div class='social-history'><article><p>{LONG}</p></article></div>", LONG),
+    "reader comments": (f"<article><p>{LONG}</p><div class='user-feedback'><p>first!</p></div></article>", LONG),
+    "a header by class": (f"<article><div class='entry-header'><h1>T</h1></div><p>{LONG}</p></article>", f"T {LONG}"),
+    "cards beside the article": (
+        f"<article><p>As.</p><div class=ad>buy</div><p>{LONG}</p></article><div class=ad>buy</div>"
+        "<article><h2>Card</h2></article>", f"As. {LONG}"),
+}
+
+
+@pytest.mark.parametrize("name", list(PROBES))
+def test_pages_of_the_review(name):
+    html, text = PROBES[name]
+    assert main_text(html)[0] == text
+
+
+def test_windows_decide(monkeypatch):
+    """Without windows that are high enough, the same cards and asides come along."""
+    marked, plain = PROBES["cards beside the article"][0], PROBES["short text of another element"][0]
+    monkeypatch.setattr("millrace.llm.html_extract.PEAK", 0)
+    assert main_text(marked)[0] == f"As. {LONG} Card"
+    assert main_text(plain)[0] == f"{LONG} Imprint"
+
+
+def test_stretches_against_brute_force():
+    """Maximal runs of lines whose window, cut off at the end, has any weight."""
+    rng = random.Random(1)
+    for _ in range(2_000):
+        weights = [rng.choice([0, 0, 0, rng.randint(1, 150)]) for _ in range(rng.randint(0, 40))]
+        lines = [("x" * w, w) for w in weights]
+        live = [i for i in range(len(weights)) if any(weights[j] for j in range(i, min(i + 3, len(weights))))]
+        runs = [(a, next(b for b in range(a, len(weights) + 1) if b not in live)) for a in live if a - 1 not in live]
+        assert main_stretches(lines, marked=True) == runs
+        high = [r for r in runs if max(sum(weights[i : i + 3]) for i in range(*r)) >= 120]
+        want = high or sorted(runs, key=lambda r: (-sum(weights[slice(*r)]), r))[:1]
+        assert main_stretches(lines, marked=False) == want
