@@ -31,7 +31,7 @@ from pyspark.sql.types import (
 from millrace.llm.common import SPACES, batched, or_empty
 from millrace.llm.radix import RadixTrie
 
-#: Bytes of labels that a trie may hold before it spills.
+#: Bytes, of labels and nodes, that a trie may take before it spills.
 TRIE_BYTES = 48 << 20
 _ROWS = 256
 
@@ -89,7 +89,7 @@ def owners(docs: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame:
             columns = (batch.column(n).to_pylist() for n in ("norm", "n_points", "doc_id", "text_sha256"))
             for norm, points, doc_id, sha in zip(*columns):
                 trie.insert(norm, (points, doc_id, 1, sha))
-                while trie.n_bytes > trie_bytes:
+                while trie.size > trie_bytes:
                     yield from emit(trie.spill(), True)
         yield from emit(trie.items(), True)
 

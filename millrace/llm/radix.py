@@ -5,6 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 
+#: About what a terminal node takes beside its label: node, dictionary, value and hash.
+NODE_BYTES = 512
+
+
 class Node:
     __slots__ = ("label", "children", "value")
 
@@ -35,15 +39,22 @@ class RadixTrie:
         self.root = Node(b"")
         self.merge = merge
         self.n_bytes = 0
-        self._held: dict[int, int] = {}  # label bytes below each edge of the root
+        self.n_nodes = 0
+        self._held: dict[int, tuple[int, int]] = {}  # label bytes and nodes below each edge of the root
+
+    @property
+    def size(self) -> int:
+        """Bytes that the trie takes; many short strings take mostly nodes."""
+        return self.n_bytes + NODE_BYTES * self.n_nodes
 
     def insert(self, key: bytes, value) -> None:
-        node, at, first, added = self.root, 0, key[0] if key else -1, 0
+        node, at, first, added, nodes = self.root, 0, key[0] if key else -1, 0, 0
         while at < len(key):
             child = node.children.get(key[at])
             if child is None:
                 node.children[key[at]] = Node(key[at:], value)
                 added += len(key) - at
+                nodes += 1
                 break
             rest = key[at:]
             same = _common(child.label, rest)
@@ -54,11 +65,15 @@ class RadixTrie:
                 middle.children[child.label[0]] = child
                 node.children[key[at]] = middle
                 child = middle
+                nodes += 1
             node, at = child, at + same
         else:
+            nodes += node is self.root and node.value is None
             node.value = value if node.value is None else self.merge(node.value, value)
         self.n_bytes += added
-        self._held[first] = self._held.get(first, 0) + added
+        self.n_nodes += nodes
+        held = self._held.get(first, (0, 0))
+        self._held[first] = held[0] + added, held[1] + nodes
 
     def _terminals(self, node: Node, prefix: bytes) -> Iterator[tuple[bytes, object]]:
         stack = [(node, prefix)]
@@ -77,8 +92,10 @@ class RadixTrie:
 
         A string that comes again later starts a new terminal, so the receiver merges.
         """
-        first = max(self._held, key=self._held.get)
-        self.n_bytes -= self._held.pop(first)
+        first = max(self._held, key=lambda f: self._held[f][0] + NODE_BYTES * self._held[f][1])
+        n_bytes, n_nodes = self._held.pop(first)
+        self.n_bytes -= n_bytes
+        self.n_nodes -= n_nodes
         child = self.root.children.pop(first, None)
         if child is not None:
             yield from self._terminals(child, b"")

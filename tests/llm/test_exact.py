@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.radix import RadixTrie
@@ -45,3 +46,20 @@ def test_against_grouping(spark, odd, odd_rows):
         found = exact_dedup(odd, trie_bytes=trie_bytes)
         got = found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
         assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_size_covers_what_short_strings_take():
+    """The counted size is no less than what Python allocates for a million bytes of short strings."""
+    tracemalloc.start()
+    trie = RadixTrie(min)
+    before = tracemalloc.get_traced_memory()[0]
+    for n in range(50_000):
+        key = hashlib.md5(b"%d" % n).digest()[:9]
+        trie.insert(key, (n, n + 10**6, 1, hashlib.sha256(key).hexdigest()))
+    taken = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert taken <= trie.size <= 3 * taken
+    # Spilling everything leaves nothing counted.
+    while trie.size:
+        list(trie.spill())
+    assert trie.n_bytes == trie.n_nodes == 0
