@@ -1,5 +1,6 @@
 """Host rules and the classifier against plain counting and held-out labels."""
 
+import math
 import os
 import random
 
@@ -86,3 +87,79 @@ def test_without_labels_nothing_is_known(spark, prose):
     docs = spark.createDataFrame([(1, prose(60, 1), "a", "p")], "doc_id long, text string, source string, lang string")
     row = bayes.classify(docs, spark.createDataFrame([], LABELS)).first()
     assert row["evidence"] == 0.0 and row["score"] == pytest.approx(0.5) and row["kept"]
+
+
+def shrinkage(groups):
+    """Documents that a prior is worth, from (n, rate, mean) of each group."""
+    between = sum(n * (rate - mean) ** 2 for n, rate, mean in groups)
+    noise = sum(mean * (1 - mean) for _, _, mean in groups)
+    spread = (between - noise) / sum(n for n, _, _ in groups)
+    return 1e6 if spread <= 0 else min(1e6, max(1.0, 0.25 / spread))
+
+
+def judged_by_hand(rows, labels):
+    """Evidence, host and path rates and score of each row, one level after the other."""
+    found = {n: (bayes.bins(bayes.features(t or "")), len((t or "").split()), host, path) for n, t, host, path in rows}
+    known = [(found[d][0], quality) for d, quality, *_ in labels if d in found and quality is not None]
+    sides = [sum(q == side for _, q in known) for side in (0, 1)]
+    prior = (sides[1] + 1) / (len(known) + 2)
+
+    def weight(feature, b):
+        bad, good = (
+            (sum(v[feature] == b and q == side for v, q in known) + sides[side] / len(known)) / sides[side]
+            for side in (0, 1)
+        )
+        return math.log(good / bad)
+
+    evidence, chance = {}, {}
+    for n, (cut, words, _, _) in found.items():
+        total = sum(weight(f, b) for f, b in enumerate(cut))
+        evidence[n] = total * bayes.SHARPNESS / len(bayes.FEATURES) * words / (words + bayes.HALF_WORDS)
+        chance[n] = 1 / (1 + math.exp(-evidence[n]) * (1 - prior) / prior)
+
+    def rates(key):
+        groups = {}
+        for n, row in found.items():
+            groups.setdefault(key(row), []).append(chance[n])
+        return {k: (len(v), sum(v) / len(v)) for k, v in groups.items()}
+
+    overall = sum(chance.values()) / len(chance)
+    hosts, paths = rates(lambda row: row[2]), rates(lambda row: row[2:])
+    worth = shrinkage([(n, rate, overall) for n, rate in hosts.values()])
+    host_rate = {h: (n * rate + worth * overall) / (n + worth) for h, (n, rate) in hosts.items()}
+    worth_path = shrinkage([(n, rate, host_rate[p[0]]) for p, (n, rate) in paths.items()])
+    path_rate = {
+        p: (n * rate + worth_path * host_rate[p[0]]) / (n + worth_path) for p, (n, rate) in paths.items()
+    }
+    result = {}
+    for n, (_, words, host, path) in found.items():
+        rate = path_rate[host, path]
+        score = 1 / (1 + math.exp(-evidence[n]) * (1 - rate) / rate)
+        result[n] = (evidence[n], host_rate[host], path_rate[host, path], score, words > 0 and score >= bayes.KEEP)
+    return result, worth, worth_path
+
+
+def test_levels_against_steps_by_hand(spark, prose):
+    pick = random.Random(5)
+    rows = []
+    for n in range(240):
+        # Hosts differ in how much of them is junk, and so do the paths of the third one.
+        host, path = pick.choice(["a", "b", "c", None]), pick.choice(["p", "q", None])
+        share = {"a": 0.1, "b": 0.8, "c": 0.95 if path == "p" else 0.2, None: 0.5}[host]
+        text = " # | ".join(["x%"] * pick.randint(3, 60)) if pick.random() < share else prose(pick.randint(5, 90), n)
+        rows.append((n, text, host, path))
+    rows += [(900, None, "a", "p"), (901, "", "new", "r"), (902, "word " * 4000, "c", None)]
+    labels = [(n, int("#" not in (t or "")), 0) for n, t, _, _ in rows if n % 3 == 0 and n < 900]
+    labels += [labels[0], labels[1], (77777, 1, 0), (5, None, 0), (None, 1, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r["doc_id"]: r for r in bayes.classify(docs, spark.createDataFrame(labels, LABELS)).collect()}
+    wanted, worth, worth_path = judged_by_hand(rows, [x for x in labels if x[0] is not None])
+    assert len(got) == len(rows) and worth < 1e6 and worth_path < 1e6  # both levels shrink by what they find
+    for n, (evidence, host_rate, path_rate, score, kept) in wanted.items():
+        row = got[n]
+        assert row["evidence"] == pytest.approx(evidence, abs=1e-6), n
+        assert row["host_rate"] == pytest.approx(host_rate, abs=1e-6), n
+        assert row["path_rate"] == pytest.approx(path_rate, abs=1e-6), n
+        assert row["score"] == pytest.approx(score, abs=1e-6), n
+        assert row["kept"] == kept, n
+    assert 0 < sum(r["kept"] for r in got.values()) < len(rows)
