@@ -43,3 +43,22 @@ def test_encoder_hook(spark):
     assert got.columns == ["chunk_id", "text", "embedding"]
     assert rows(got.select("chunk_id", "embedding")) == [("x", [6.0, 3.0, 1.5]), ("y", [0.0, 0.0, 1.5])]
     assert embed.encode(df.where("false"), Lengths).count() == 0
+
+
+def test_placed_texts_are_not_cut_into_words_again(spark):
+    texts = [*DOCUMENTS.values(), "", "a A a b", "!!!", "Straße straße ÉTÉ", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    placed = embed.placed(df, 32)
+    stored = spark.createDataFrame(placed.toPandas(), placed.schema)
+    encoder = embed.HashedTfIdf.fit(stored, 32)
+    assert np.allclose(encoder.idf, embed.HashedTfIdf.fit(df, 32).idf)
+    found = encoder.transform(stored)
+    assert found.columns == ["i", "text", "embedding"]
+    assert rows(found) == rows(encoder.transform(df))
+    assert "regexp_extract_all" not in found._jdf.queryExecution().toString()
+
+
+def test_number_sums(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0, 4.0]), (2, []), (3, None)], "i int, embedding array<float>")
+    got = embed.number_sums(df).drop("embedding")
+    assert rows(got) == [(1, 3, 7.0, 17.0), (2, 0, 0.0, 0.0), (3, None, None, None)]
