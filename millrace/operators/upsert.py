@@ -11,6 +11,7 @@ from millrace.sources import files
 
 _MATCHED = "_matched"
 _WHAT = "_what"
+_HASH = "_hash"
 
 # A source of up to this many measured bytes is sent to every task.
 SMALL_SOURCE_BYTES = 32 << 20
@@ -74,8 +75,14 @@ def latest(source: DataFrame, key: str, order: Column) -> DataFrame:
 
 def _refuse_repeats(target: DataFrame, source: DataFrame, key: str) -> None:
     """Raise if several source rows would update the same target row."""
-    per_key = source.where(F.col(key).isNotNull()).groupBy(key).count()
-    repeated = per_key.where("count > 1")
+    keyed = source.where(F.col(key).isNotNull())
+    # Eight bytes of each key are shuffled. Where no hash repeats, no key does; else the keys
+    # of the repeated hashes are looked at.
+    hashes = keyed.groupBy(F.xxhash64(key).alias(_HASH)).count().where("count > 1").select(_HASH)
+    if not hashes.take(1):
+        return
+    suspect = keyed.withColumn(_HASH, F.xxhash64(key)).join(hashes, _HASH, "left_semi")
+    repeated = suspect.groupBy(key).count().where("count > 1")
     if repeated.take(1):
         hit = repeated.join(target.select(key), key, "left_semi").take(1)
         if hit:
@@ -87,6 +94,7 @@ def merge(
     source: DataFrame,
     key: str,
     latest_by: Column | None = None,
+    source_bytes: int | None = None,
 ) -> Merge:
     """Merge ``source`` into ``target`` on equal keys.
 
@@ -98,44 +106,46 @@ def merge(
     It is written as a left join for the target rows and an anti join for the
     inserts, not as one full outer join: Spark splits the skewed keys of a left
     join, and a source measured to be small is broadcast, leaving the target
-    unshuffled. A full outer join allows neither.
+    unshuffled. A full outer join allows neither. Both joins take the same columns of
+    the source, so that Spark shuffles it once for the two. ``source_bytes`` is its size
+    as ``files.measured_bytes`` has it, if that is known.
     """
     if latest_by is not None:
-        source = latest(source, key, latest_by)
+        source, source_bytes = latest(source, key, latest_by), None
     else:
         _refuse_repeats(target, source, key)
-    small = files.measured_bytes(source)[1] <= SMALL_SOURCE_BYTES
+    if source_bytes is None:
+        source_bytes = files.measured_bytes(source)[1]
+    small = source_bytes <= SMALL_SOURCE_BYTES
     columns = target.columns
-    others = [c for c in columns if c != key]
     has_key = F.col(key).isNotNull()
-    flagged = source.where(has_key).select(
-        F.col(key), F.struct(*others, F.lit(True).alias("_set")).alias(_MATCHED)
-    )
+    new_of = {c: f"_new_{c}" for c in columns}
+    flagged = source.where(has_key).select(*[F.col(c).alias(new) for c, new in new_of.items()])
+    same_key = F.col(key) == F.col(new_of[key])
     if small:
         flagged = F.broadcast(flagged)
-        joined = target.join(flagged, key, "left")
+        joined = target.join(flagged, same_key, "left")
         # Only target keys that the source has are left to be made distinct.
-        keys = target.select(key).join(F.broadcast(flagged.select(key)), key, "left_semi")
+        keys = target.select(key).join(F.broadcast(flagged.select(new_of[key])), same_key, "left_semi")
     else:
         # Rows without a key would all meet in one task of the shuffle.
-        unkeyed = target.where(~has_key).withColumn(
-            _MATCHED, F.lit(None).cast(flagged.schema[_MATCHED].dataType)
+        unkeyed = target.where(~has_key).withColumns(
+            {new: F.lit(None).cast(target.schema[c].dataType) for c, new in new_of.items()}
         )
-        joined = target.where(has_key).join(flagged, key, "left").unionByName(unkeyed)
+        joined = target.where(has_key).join(flagged, same_key, "left").unionByName(unkeyed)
         keys = target.where(has_key).select(key)
+    matched = F.col(new_of[key]).isNotNull()
     updated = joined.select(
         *[
-            F.col(c)
-            if c == key
-            else F.when(F.col(_MATCHED).isNotNull(), F.col(f"{_MATCHED}.{c}"))
-            .otherwise(F.col(c))
-            .alias(c)
-            for c in columns
+            F.col(c) if c == key else F.when(matched, F.col(new)).otherwise(F.col(c)).alias(c)
+            for c, new in new_of.items()
         ],
-        F.col(_MATCHED),
+        F.when(matched, F.lit(True)).alias(_MATCHED),
     )
     # Distinct keys are combined per task, so a key with very many target rows
     # reaches the anti join as one row per task.
-    new = source.where(has_key).join(keys.distinct(), key, "left_anti").select(*columns)
+    new = flagged.join(keys.distinct(), same_key, "left_anti").select(
+        *[F.col(new).alias(c) for c, new in new_of.items()]
+    )
     inserted = new.unionByName(source.where(~has_key).select(*columns))
     return Merge(updated, inserted, columns, small)
