@@ -119,33 +119,34 @@ def merge(
     small = source_bytes <= SMALL_SOURCE_BYTES
     columns = target.columns
     has_key = F.col(key).isNotNull()
-    new_of = {c: f"_new_{c}" for c in columns}
-    flagged = source.where(has_key).select(*[F.col(c).alias(new) for c, new in new_of.items()])
-    same_key = F.col(key) == F.col(new_of[key])
+    # The target's columns are renamed and not the source's, whose rows both joins then
+    # take as they are.
+    old_of = {c: f"_old_{c}" for c in columns}
+    old = target.select(*[F.col(c).alias(name) for c, name in old_of.items()])
+    old_key = F.col(old_of[key])
+    same_key = old_key == F.col(key)
+    flagged = source.where(has_key).select(*columns)
     if small:
         flagged = F.broadcast(flagged)
-        joined = target.join(flagged, same_key, "left")
+        joined = old.join(flagged, same_key, "left")
         # Only target keys that the source has are left to be made distinct.
-        keys = target.select(key).join(F.broadcast(flagged.select(new_of[key])), same_key, "left_semi")
+        keys = old.select(old_key).join(F.broadcast(flagged.select(key)), same_key, "left_semi")
     else:
         # Rows without a key would all meet in one task of the shuffle.
-        unkeyed = target.where(~has_key).withColumns(
-            {new: F.lit(None).cast(target.schema[c].dataType) for c, new in new_of.items()}
+        unkeyed = old.where(old_key.isNull()).withColumns(
+            {c: F.lit(None).cast(flagged.schema[c].dataType) for c in columns}
         )
-        joined = target.where(has_key).join(flagged, same_key, "left").unionByName(unkeyed)
-        keys = target.where(has_key).select(key)
-    matched = F.col(new_of[key]).isNotNull()
+        joined = old.where(old_key.isNotNull()).join(flagged, same_key, "left").unionByName(unkeyed)
+        keys = old.where(old_key.isNotNull()).select(old_key)
     updated = joined.select(
         *[
-            F.col(c) if c == key else F.when(matched, F.col(new)).otherwise(F.col(c)).alias(c)
-            for c, new in new_of.items()
+            old_key.alias(c) if c == key else F.when(has_key, F.col(c)).otherwise(F.col(name)).alias(c)
+            for c, name in old_of.items()
         ],
-        F.when(matched, F.lit(True)).alias(_MATCHED),
+        F.when(has_key, F.lit(True)).alias(_MATCHED),
     )
     # Distinct keys are combined per task, so a key with very many target rows
     # reaches the anti join as one row per task.
-    new = flagged.join(keys.distinct(), same_key, "left_anti").select(
-        *[F.col(new).alias(c) for c, new in new_of.items()]
-    )
+    new = flagged.join(keys.distinct(), same_key, "left_anti").select(*columns)
     inserted = new.unionByName(source.where(~has_key).select(*columns))
     return Merge(updated, inserted, columns, small)

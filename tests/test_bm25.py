@@ -184,3 +184,14 @@ def test_units_are_not_shuffled_for_scoring(spark, corpus):
     assert bm25.term_frequencies(index.units).select(F.sum("tf")).first()[0] == sum(
         len(words(t)) for _, t in corpus
     )
+
+
+def test_a_batch_is_scored_in_slices(spark, corpus, monkeypatch):
+    import pyarrow as pa
+
+    words = [["a"] * n for n in (3, 0, 9, 2, 2)]
+    batch = pa.RecordBatch.from_pydict({"words": pa.array(words, pa.list_(pa.string()))})
+    monkeypatch.setattr(bm25, "MAX_WORDS", 4)
+    parts = list(bm25._slices([batch, batch.slice(0, 0)]))
+    assert [p.num_rows for p in parts] == [2, 1, 2]
+    assert pa.Table.from_batches(parts).to_pydict() == {"words": words}

@@ -163,3 +163,30 @@ def test_types_and_names_are_kept(spark, tmp_path):
     assert [f.dataType for f in got.schema] == [f.dataType for f in df.schema] and got.columns == df.columns
     assert buckets.merge(spark, path, df.where(F.col("a key") == 2))["n_updated"] == 1
     assert rows(buckets.read(spark, path)) == rows(df)
+
+
+def test_a_large_source_finds_enough_buckets(spark, tmp_path):
+    """An empty table grows before the merge, so that no task gets more than a bucket's share."""
+    path = str(tmp_path / "t")
+    buckets.seed(spark, path, frame(spark, []), "k")
+    asked = []
+    many = [(f"key number {n}", n) for n in range(500)]
+    buckets.merge(spark, path, frame(spark, many), before_write=asked.append, bucket_bytes=2_000)
+    assert buckets.layout(spark, path).n_buckets > 8
+    assert max(asked[0]) >= 8
+    assert rows(buckets.read(spark, path)) == sorted(many)
+
+
+def test_a_large_source_is_shuffled_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    buckets.seed(spark, path, frame(spark, [(f"k{n}", n) for n in range(200)]), "k", n_buckets=4)
+    frame(spark, [(f"k{n}", -n) for n in range(190, 210)]).write.parquet(f"{path}-source")
+    monkeypatch.setattr(upsert, "SMALL_SOURCE_BYTES", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        target = buckets.scan(spark, buckets.layout(spark, path), set(range(4))).select("k", "v")
+        result = upsert.merge(target, spark.read.parquet(f"{path}-source"), "k").result()
+        result.collect()
+        assert "ReusedExchange" in result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

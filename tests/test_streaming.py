@@ -223,3 +223,17 @@ def test_positions_of_a_log(spark, tmp_path):
     append([5, 12, 4])
     want += [(0, 3, 6), (0, 4, 12), (1, 2, 4), (2, 0, 2), (2, 1, 5)]
     assert seen() == sorted(want)
+
+
+def test_a_partition_of_a_log_is_appended_by_several_tasks(spark, tmp_path):
+    log = f"{tmp_path}/log"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for first in (0, 500):
+            df = spark.range(first, first + 500, 1, 4).select(F.format_string("%05d", "id").alias("value"))
+            feeds.append_log(df, log, F.lit(1), 2, [F.col("value")])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found = feeds._log(spark.read, log)
+    assert found.select("source_file").distinct().count() > 4
+    assert sorted((r["partition"], r["offset"], r["value"]) for r in found.collect()) == [(1, n, f"{n:05d}") for n in range(1_000)]
