@@ -3,10 +3,12 @@
 An index is four Parquet tables, each partitioned by ``segment``; adding documents writes
 one more segment and reads nothing but what it replaces.
 
-* ``units``: key, number in the segment in corpus order, words;
-* ``blocks``, also partitioned by ``term_bucket``, sorted by term: one row per term and
-  range of ``2^RANGE_BITS`` unit numbers, with the postings there, their number, the largest
-  term frequency and the shortest length;
+* ``units``: key, number in the segment, words. Each writing task numbers its units in the
+  order of their keys, from a start of its own, so numbers have gaps between tasks;
+* ``blocks``, also partitioned by ``term_bucket``: one row per term and range of
+  ``2^RANGE_BITS`` unit numbers, with the postings there, their number, the largest term
+  frequency and the shortest length. A task writes the blocks of its units where they are
+  made, so nothing is shuffled, and a file holds all terms of its bucket over some ranges;
 * ``terms``, also by ``term_bucket``: per term the change of its document frequency that the
   segment makes, and the same two bounds over all of its blocks;
 * ``dead``: units of earlier segments that the segment replaces.
@@ -35,6 +37,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -49,12 +52,25 @@ from millrace.operators.bm25 import KEYS
 from millrace.operators.topk import query_passes, ranked, unit_order
 from millrace.sources import files
 
-RANGE_BITS = 8
+#: At most 64 - 2 * 27.
+RANGE_BITS = 10
 #: Partitions of the terms; so many that one is a few hundred megabytes.
 TERM_BUCKETS = 16
+#: Bytes of a row group of blocks, of which a task holds one for each bucket.
+BLOCK_BYTES = 16 << 20
+#: Bytes of stored units that a task makes blocks of, at least.
+TASK_BYTES = 1 << 20
+#: Scores of single words that are worked out at a time, some 100 MB of arrays.
+MAX_SCORED = 2_000_000
 #: Ranges that each query scores first.
 FIRST_RANGES = 8
 _SLACK = 1e-9
+#: A posting is one number: the unit's place in its range, the frequency and the length, of so
+#: many bits each; Spark holds no list of 2^27 words.
+_COUNT_BITS = 27
+_COUNT = (1 << _COUNT_BITS) - 1
+#: Stands for the number of a term in the row of a range's replaced units.
+_DEAD = -1
 _UNIT = ["segment", "unit"]
 _RANGE = ["segment", "range"]
 
@@ -75,14 +91,16 @@ class PostingIndex:
         return self.n_words / self.n_units if self.n_units else 0.0
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
-        return _table(spark, self.path, name, self.segments)
+        """A table; blocks with ``postings``, rows of unit, tf and n_words, beside their packed form."""
+        found = _table(spark, self.path, name, self.segments)
+        return found.withColumn("postings", _unpacked()) if name == "blocks" else found
 
 
 _SCHEMAS = {
     "units": "source_doc string, chunk_idx int, unit long, words array<string>, segment int",
     "blocks": (
-        "term string, range long, n long, max_tf int, min_words int, "
-        "postings array<struct<unit:long,tf:int,n_words:int>>, segment int, term_bucket int"
+        "term string, range long, start long, n long, max_tf int, min_words int, "
+        "packed array<long>, segment int, term_bucket int"
     ),
     "terms": "term string, df long, max_tf int, min_words int, segment int, term_bucket int",
     "dead": "of_segment int, unit long, segment int",
@@ -103,46 +121,39 @@ def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
     return sorted(int(n.split("=")[1]) for n in names if n.startswith("segment="))
 
 
+def _unpacked() -> Column:
+    def posting(packed: Column) -> Column:
+        place = F.shiftrightunsigned(packed, 2 * _COUNT_BITS)
+        tf = F.shiftrightunsigned(packed, _COUNT_BITS).bitwiseAND(F.lit(_COUNT)).cast("int")
+        n_words = packed.bitwiseAND(F.lit(_COUNT)).cast("int")
+        return F.struct((F.col("start") + place).alias("unit"), tf.alias("tf"), n_words.alias("n_words"))
+
+    return F.transform("packed", posting)
+
+
 def _bucket(term: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+    return F.pmod(F.crc32(term.cast("binary")), F.lit(buckets)).cast("int")
 
 
 # Building
 
 
-def _numbered(spark: SparkSession, units: DataFrame, path: str) -> DataFrame:
-    """Units, tokenized and written in corpus order, with their numbers from 0 in that order.
+def _numbered(units: DataFrame) -> DataFrame:
+    """Units with their words and numbers, in the order of keys within each task.
 
-    A row's number is its place in its file plus the rows of the files before, which hold
-    smaller keys, so numbering shuffles nothing once the rows are sorted.
-    """
-    raw = f"{path}-sorted"
-    # Cut into words behind the shuffle, whose sampling reads its input twice.
-    ordered = bm25.tokenized(units.select(*KEYS, "text").repartitionByRange(*KEYS)).select(*KEYS, "words")
-    ordered = ordered.sortWithinPartitions(*KEYS)
-    ordered.write.mode("overwrite").parquet(raw)
-    stored = spark.read.schema(ordered.schema).parquet(raw)
-    name = F.col("_metadata.file_name")
-    # One row per written file.
-    counts = stored.groupBy(name.alias("file")).count().orderBy("file").collect()
-    starts, at = [], 0
-    for row in counts:
-        starts.append((row["file"], at))
-        at += row["count"]
-    offsets = spark.createDataFrame(starts, "file string, start long")
-    return stored.select(*KEYS, "words", name.alias("file"), F.col("_metadata.row_index").alias("row")).join(
-        F.broadcast(offsets), "file"
-    ).select(*KEYS, (F.col("start") + F.col("row")).alias("unit"), "words")
-
-
-def _blocks(units: DataFrame) -> DataFrame:
-    """Rows of ``term, range, n, max_tf, min_words, postings`` from units in their order.
-
-    Nothing is shuffled: a batch of units gives the blocks of its ranges, and a range that
-    two batches share gets two blocks of a term, which count as any two.
+    Units of equal scores in a range are told apart by their numbers, and a range never
+    reaches over two tasks, so no order over all units is needed and nothing is shuffled.
     """
-    fields = [pa.field("unit", pa.int64()), pa.field("tf", pa.int32()), pa.field("n_words", pa.int32())]
+    ordered = units.select(*KEYS, "text").sortWithinPartitions(*KEYS)
+    return bm25.tokenized(ordered).select(*KEYS, F.monotonically_increasing_id().alias("unit"), "words")
 
+
+def _blocks(units: DataFrame, buckets: int) -> DataFrame:
+    """Rows of ``term, range, start, n, max_tf, min_words, packed, term_bucket`` from units in their order.
+
+    Nothing is shuffled: a batch of units gives the blocks of its ranges, bucket by bucket,
+    and a range that two batches share gets two blocks of a term, which count as any two.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = batch.column("words")
@@ -150,7 +161,12 @@ def _blocks(units: DataFrame) -> DataFrame:
             if not sizes.sum():
                 continue
             coded = words.flatten().dictionary_encode()
-            pair = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * batch.num_rows
+            # As ``_bucket`` has it.
+            bucket = np.array([crc32(t) % buckets for t in coded.dictionary.cast(pa.binary()).to_pylist()], np.int32)
+            by_bucket = np.argsort(bucket, kind="stable")
+            bucket, place = bucket[by_bucket], np.argsort(by_bucket)
+            dictionary = coded.dictionary.take(pa.array(by_bucket))
+            pair = place[coded.indices.to_numpy(zero_copy_only=False)] * batch.num_rows
             pair, tf = np.unique(pair + np.repeat(np.arange(batch.num_rows), sizes), return_counts=True)
             code, row = np.divmod(pair, batch.num_rows)
             unit = batch.column("unit").to_numpy(zero_copy_only=False)[row]
@@ -158,33 +174,42 @@ def _blocks(units: DataFrame) -> DataFrame:
             new = np.r_[True, (code[1:] != code[:-1]) | (ranges[1:] != ranges[:-1])]
             starts = np.flatnonzero(new)
             tf = tf.astype(np.int32)
-            postings = pa.StructArray.from_arrays([pa.array(unit), pa.array(tf), pa.array(n_words)], fields=fields)
+            start = ranges << bits
+            packed = ((unit - start) << 2 * _COUNT_BITS) | (tf.astype(np.int64) << _COUNT_BITS) | n_words
             ends = np.r_[starts, len(pair)].astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    coded.dictionary.take(pa.array(code[starts])),
+                    dictionary.take(pa.array(code[starts])),
                     pa.array(ranges[starts]),
+                    pa.array(start[starts]),
                     pa.array(np.diff(ends).astype(np.int64)),
                     pa.array(np.maximum.reduceat(tf, starts)),
                     pa.array(np.minimum.reduceat(n_words, starts)),
-                    pa.ListArray.from_arrays(pa.array(ends), postings),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(packed)),
+                    pa.array(bucket[code[starts]]),
                 ],
-                names=["term", "range", "n", "max_tf", "min_words", "postings"],
+                names=["term", "range", "start", "n", "max_tf", "min_words", "packed", "term_bucket"],
             )
 
     bits = RANGE_BITS
     schema = (
-        "term string, range long, n long, max_tf int, min_words int, "
-        "postings array<struct<unit:long,tf:int,n_words:int>>"
+        "term string, range long, start long, n long, max_tf int, min_words int, packed array<long>, term_bucket int"
     )
     return units.select("unit", "words").mapInArrow(run, schema)
 
 
 def _put(df: DataFrame, path: str, name: str, segment: int, *by: str) -> None:
-    writer = df.write.mode("overwrite").option("parquet.bloom.filter.enabled#term", str(name == "blocks").lower())
+    writer = df.write.mode("overwrite")
     (writer.partitionBy(*by) if by else writer).parquet(f"{path}/{name}/segment={segment}")
 
 
+def _put_blocks(blocks: DataFrame, path: str, segment: int, term_buckets: int) -> None:
+    """Blocks as they are made: a task keeps a file open for each bucket, instead of sorting."""
+    writer = blocks.write.mode("overwrite").partitionBy("term_bucket").option("parquet.block.size", BLOCK_BYTES)
+    with files.open_writers(blocks.sparkSession, term_buckets):
+        writer.parquet(f"{path}/blocks/segment={segment}")
+
+
 def add(
     spark: SparkSession,
     path: str,
@@ -202,34 +227,39 @@ def add(
     segment = max(taken, default=-1) + 1
     if there:
         term_buckets = _table(spark, path, "totals", tuple(there)).agg(F.max("term_buckets")).first()[0]
-    work = f"{path}/_work-{segment}"
-    numbered = _numbered(spark, chunks, f"{work}/units")
-    _put(numbered, path, "units", segment)
+    _put(_numbered(chunks), path, "units", segment)
     units = _table(spark, path, "units", (segment,))
-    placed = _blocks(units).withColumn("term_bucket", _bucket(F.col("term"), term_buckets))
-    # Rebalanced by size: a bucket with a term that is everywhere fills many tasks and files.
-    dealt = placed.hint("rebalance", "term_bucket").sortWithinPartitions("term_bucket", "term", "range")
-    _put(dealt, path, "blocks", segment, "term_bucket")
+    # A small segment is written by few tasks, as each of them leaves a file per bucket.
+    tasks = 1 + files.stored_bytes(spark, f"{path}/units/segment={segment}") // TASK_BYTES
+    _put_blocks(_blocks(units.coalesce(tasks), term_buckets), path, segment, term_buckets)
     new = _table(spark, path, "blocks", (segment,)).select(
         "term", "term_bucket", F.col("n").alias("df"), "max_tf", "min_words"
     )
     size = F.size("words").cast("long")
     totals = units.agg(F.count("*").alias("n_units"), F.sum(size).alias("n_words"))
     if there:
-        gone = chunks.select("source_doc")
+        gone = units.select("source_doc")
         gone = (gone if replaced is None else gone.unionByName(replaced.select("source_doc"))).distinct()
-        old = live_units(spark, path, tuple(there)).join(gone, "source_doc", "left_semi")
-        old = files.materialize(old.select("segment", "unit", "words"), "replaced-units")
+        # Words have no blanks. As one text the different ones take a third of the room that
+        # a list has in a shuffle.
+        old = _table(spark, path, "units", tuple(there)).select(
+            "source_doc", *_UNIT, F.size("words").alias("n_words"), F.concat_ws(" ", F.array_distinct("words")).alias("words")
+        )
+        old = _living(spark, path, tuple(there), old.join(gone, "source_doc", "left_semi"))
+        old = files.materialize(old.select(*_UNIT, "n_words", "words"), "replaced-units")
         _put(old.select(F.col("segment").alias("of_segment"), "unit"), path, "dead", segment)
         # Their words are in the earlier segments, so what they counted for is taken back.
-        taken_back = old.select(F.explode(F.array_distinct("words")).alias("term"), F.lit(-1).cast("long").alias("df"))
+        lost = F.split(F.when(F.col("words") != "", F.col("words")), " ")
+        taken_back = old.select(F.explode(lost).alias("term"), F.lit(-1).cast("long").alias("df"))
         new = new.unionByName(
             taken_back.groupBy("term").agg(F.sum("df").alias("df")).select(
                 "term", _bucket(F.col("term"), term_buckets).alias("term_bucket"), "df",
                 F.lit(0).alias("max_tf"), F.lit(2**31 - 1).alias("min_words"),
             )
         )
-        totals = totals.unionByName(old.agg((-F.count("*")).alias("n_units"), (-F.sum(size)).alias("n_words")))
+        totals = totals.unionByName(
+            old.agg((-F.count("*")).alias("n_units"), (-F.sum(F.col("n_words").cast("long"))).alias("n_words"))
+        )
     terms = new.groupBy("term_bucket", "term").agg(
         F.sum("df").alias("df"), F.max("max_tf").alias("max_tf"), F.min("min_words").alias("min_words")
     )
@@ -238,14 +268,20 @@ def add(
         F.sum("n_units").alias("n_units"), F.coalesce(F.sum("n_words"), F.lit(0)).cast("long").alias("n_words")
     )
     _put(last.withColumn("term_buckets", F.lit(term_buckets)), path, "totals", segment)
-    files.delete(spark, work)
     return segment
 
 
 def live_units(spark: SparkSession, path: str, segments: tuple[int, ...]) -> DataFrame:
     """Units of these segments that none of them has replaced."""
+    return _living(spark, path, segments, _table(spark, path, "units", segments))
+
+
+def _living(spark: SparkSession, path: str, segments: tuple[int, ...], units: DataFrame) -> DataFrame:
+    """Those of the units that none of the segments has replaced."""
+    if not files.exists(spark, f"{path}/dead"):
+        return units
     dead = _table(spark, path, "dead", segments).select(F.col("of_segment").alias("segment"), "unit")
-    return _table(spark, path, "units", segments).join(dead, _UNIT, "left_anti")
+    return units.join(dead, _UNIT, "left_anti")
 
 
 def frequencies(spark: SparkSession, path: str, segments: tuple[int, ...]) -> DataFrame:
@@ -300,14 +336,16 @@ def asked_blocks(spark: SparkSession, index: PostingIndex, asked: DataFrame, *co
     )
 
 
-def _entries(asked: DataFrame) -> tuple[pa.Array, dict[str, tuple[np.ndarray, np.ndarray]]]:
-    """Ids of the queries, and per term which of them ask for it with which weight."""
-    held = asked.select("query_id", "term", "weight").toArrow().sort_by("term")
+def _entries(asked: DataFrame) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the queries, the asked terms in order, and the query, term number and weight of
+    each entry, by term."""
+    held = asked.select("query_id", "term", "weight").toArrow()
     ids = pc.unique(held["query_id"].combine_chunks())
-    number = pc.index_in(held["query_id"], value_set=ids, skip_nulls=False).to_numpy()
-    weight, terms = held["weight"].to_numpy(), held["term"].to_pylist()
-    bounds = [n for n in range(len(terms)) if n == 0 or terms[n] != terms[n - 1]] + [len(terms)]
-    return ids, {terms[i]: (number[i:j], weight[i:j]) for i, j in zip(bounds, bounds[1:])}
+    terms = pc.unique(held.select(["term"]).sort_by("term")["term"].combine_chunks())
+    query = pc.index_in(held["query_id"], value_set=ids, skip_nulls=False).to_numpy()
+    term = pc.index_in(held["term"], value_set=terms).to_numpy()
+    order = np.argsort(term, kind="stable")
+    return ids, terms, query[order], term[order], held["weight"].to_numpy()[order]
 
 
 def _scored(
@@ -324,10 +362,10 @@ def _scored(
     Of a range, at most the first k are given that reach a query's floor. With ``floors``,
     all are given for queries that have none.
     """
-    ids, by_term = _entries(asked)
+    ids, terms, query, term, weight = _entries(asked)
     known = {r["query_id"]: r["floor"] for r in floors.collect()} if floors is not None else {}
     lowest = np.array([known.get(i, -np.inf) for i in ids.to_pylist()])
-    shared = spark.sparkContext.broadcast((ids, by_term, lowest))
+    shared = spark.sparkContext.broadcast((ids, len(terms), query, term, weight, lowest))
     whole, mean = floors is not None, index.mean_words
     schema = StructType(
         [
@@ -339,29 +377,49 @@ def _scored(
     )
 
     def score(key: tuple, blocks: pa.Table, wanted: pa.Table) -> pa.Table:
-        ids, by_term, lowest = shared.value
+        ids, n_terms, e_query, e_term, e_weight, lowest = shared.value
         asking = pc.index_in(wanted["query_id"], value_set=ids, skip_nulls=False).to_numpy()
-        row_of = np.full(len(ids), -1)
-        row_of[asking] = np.arange(len(asking))
-        blocks = blocks.sort_by("term")
-        lists = blocks["postings"].combine_chunks()
-        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-        flat = lists.flatten()
-        unit, tf, n_words = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("unit", "tf", "n_words"))
+        blocks = blocks.sort_by("number")
+        lists = blocks["packed"].combine_chunks()
+        number = np.repeat(blocks["number"].to_numpy(), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        packed = lists.flatten().to_numpy(zero_copy_only=False)
+        # Replaced units have a row of their own, which lists their numbers.
+        posted = number != _DEAD
+        gone, packed, number = packed[~posted], packed[posted], number[posted]
+        unit = blocks["start"][-1].as_py() + (packed.view(np.uint64) >> np.uint64(2 * _COUNT_BITS)).astype(np.int64)
+        tf, n_words = (packed >> _COUNT_BITS) & _COUNT, packed & _COUNT
+        if len(gone):
+            live = np.isin(unit, gone, invert=True)
+            unit, number, tf, n_words = unit[live], number[live], tf[live], n_words[live]
         length = 1 - sc.BM25_B + sc.BM25_B * n_words / mean if mean else 1.0
         part = tf * (sc.BM25_K1 + 1) / (tf + sc.BM25_K1 * length)
         units, place = np.unique(unit, return_inverse=True)
-        scores, matched = np.zeros((len(asking), len(units))), np.zeros((len(asking), len(units)), bool)
-        first = 0
-        # Term by term, so that copies of a text get the very same score.
-        for term, last in zip(blocks["term"].to_pylist(), ends):
-            queries, weight = by_term[term]
-            rows = row_of[queries]
-            here = rows >= 0
-            at = np.ix_(rows[here], place[first:last])
-            scores[at] += weight[here, None] * part[None, first:last]
-            matched[at] = True
+        # Entries of the queries that ask here, by term.
+        row_of = np.full(len(ids), -1)
+        row_of[asking] = np.arange(len(asking))
+        here = row_of[e_query] >= 0
+        at_row, weight = row_of[e_query[here]] * len(units), e_weight[here]
+        first_of = np.searchsorted(e_term[here], np.arange(n_terms + 1))
+        count = first_of[number + 1] - first_of[number]
+        scores = np.zeros(len(asking) * len(units))
+        # A share is above 0, so a sum of such with weights above 0 is, too.
+        positive = bool((weight > 0).all())
+        matched = None if positive else np.zeros(len(scores), bool)
+        total, first = np.cumsum(count), 0
+        while first < len(unit):
+            done = total[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(total, done + MAX_SCORED, side="right")))
+            many = count[first:last]
+            posting = np.repeat(np.arange(first, last), many)
+            entry = np.arange(len(posting)) + np.repeat(first_of[number[first:last]] - (np.cumsum(many) - many), many)
+            at = at_row[entry] + place[posting]
+            # One by one in the order of terms, so that copies of a text get the very same score.
+            np.add.at(scores, at, weight[entry] * part[posting])
+            if not positive:
+                matched[at] = True
             first = last
+        matched = (scores > 0 if positive else matched).reshape(len(asking), -1)
+        scores = scores.reshape(len(asking), -1)
         if digits is not None:
             scores = np.round(scores, digits)
         kept = matched & (scores >= lowest[asking][:, None])
@@ -369,7 +427,7 @@ def _scored(
             if whole and lowest[asking[row]] == -np.inf:
                 continue
             found = np.flatnonzero(kept[row])
-            # Units are numbered in corpus order, so of equal scores the first ones stay.
+            # Units of a range are numbered in the order of keys, so of equal scores the first ones stay.
             kept[row] = False
             kept[row, found[np.argsort(-scores[row, found], kind="stable")[:k]]] = True
         query, at = np.nonzero(kept)
@@ -382,25 +440,21 @@ def _scored(
             }
         )
 
-    live = _live_blocks(spark, index, asked).join(ranges.select(*_RANGE).distinct(), _RANGE, "left_semi")
-    return live.groupBy(*_RANGE).cogroup(ranges.groupBy(*_RANGE)).applyInArrow(score, schema)
-
-
-def _live_blocks(spark: SparkSession, index: PostingIndex, asked: DataFrame) -> DataFrame:
-    """``term, segment, range, postings`` of asked terms, without postings of replaced units."""
-    blocks = asked_blocks(spark, index, asked.groupBy("term", "term_bucket").agg(F.lit(0).alias("query_id"), F.lit(0.0).alias("weight")), "postings")
-    blocks = blocks.select("term", *_RANGE, "postings")
-    dead = index.table(spark, "dead")
-    if not files.exists(spark, f"{index.path}/dead"):
-        return blocks
-    gone = dead.groupBy(F.col("of_segment").alias("segment"), F.shiftright("unit", RANGE_BITS).alias("range")).agg(
-        F.collect_set("unit").alias("gone")
-    )
-    left = F.filter("postings", lambda p: ~F.array_contains("gone", p["unit"]))
-    kept = blocks.join(gone, _RANGE, "left").withColumn(
-        "postings", F.when(F.col("gone").isNull(), F.col("postings")).otherwise(left)
-    )
-    return kept.where(F.size("postings") > 0).drop("gone")
+    numbers = spark.createDataFrame(pa.table({"term": terms, "number": pa.array(np.arange(len(terms), dtype=np.int32))}))
+    wanted = sorted(r[0] for r in asked.select("term_bucket").distinct().collect())
+    blocks = index.table(spark, "blocks").where(F.col("term_bucket").isin(wanted)).join(F.broadcast(numbers), "term")
+    listed = blocks.select("number", *_RANGE, "start", "packed")
+    if files.exists(spark, f"{index.path}/dead"):
+        dead = index.table(spark, "dead").groupBy(
+            F.col("of_segment").alias("segment"), F.shiftright("unit", RANGE_BITS).alias("range")
+        )
+        listed = listed.unionByName(
+            dead.agg(F.collect_list("unit").alias("packed")).select(
+                F.lit(_DEAD).alias("number"), *_RANGE, F.lit(0).cast("long").alias("start"), "packed"
+            )
+        )
+    listed = listed.join(ranges.select(*_RANGE).distinct(), _RANGE, "left_semi")
+    return listed.groupBy(*_RANGE).cogroup(ranges.groupBy(*_RANGE)).applyInArrow(score, schema)
 
 
 def _first_ranges(spark: SparkSession, index: PostingIndex, asked: DataFrame, k: int) -> DataFrame:
@@ -474,6 +528,8 @@ def _search_part(
     # Ties of the k-th score are kept until keys decide.
     window = Window.partitionBy("query_id").orderBy(F.desc("score"))
     best = scored.withColumn("place", F.rank().over(window)).where(F.col("place") <= k).drop("place")
+    # Written, so that Spark knows its size and need not shuffle all units for their keys.
+    best = files.materialize(best, "best")
     columns = ["query_id", *KEYS, "score"]
     found = _with_keys(spark, index, best).select(columns).unionByName(
         _filled(spark, index, scored, short.select("query_id", "n_matched"), k).select(columns)

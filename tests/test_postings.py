@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import bm25, postings
+from millrace.sources import feeds
 from tests.conftest import rows
 from tests.test_buckets import files_of
 
@@ -177,3 +178,36 @@ def test_empty_indexes_and_questions(spark, questions, tmp_path):
     found = postings.keyword_topk(spark, index, asked, 3, 6).select("query_id", "source_doc", "rk")
     assert rows(found) == [(1, "d0000", 1), (1, "d0001", 2), (2, "d0000", 1), (2, "d0001", 2)]
     assert postings.keyword_topk(spark, index, asked.limit(0), 3).collect() == []
+
+
+def test_blocks_are_written_where_they_are_made(spark, tmp_path):
+    """All terms of a range are written by one task, so no posting went through a shuffle."""
+    path = str(tmp_path / "i")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(postings, "TASK_BYTES", 1)
+        patch.setattr(postings, "RANGE_BITS", 5)
+        postings.add(spark, path, chunks(spark, prose(600, 5)).repartition(6))
+    task = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)-", 1)
+    blocks = spark.read.parquet(f"{path}/blocks/segment=0").select("range", task.alias("task"))
+    each = blocks.groupBy("range").agg(F.count_distinct("task").alias("tasks"))
+    assert blocks.select("task").distinct().count() > 1
+    assert each.where("tasks > 1").count() == 0
+    # Numbers follow the keys within a range.
+    units = spark.read.parquet(f"{path}/units/segment=0").orderBy("unit").collect()
+    by_range = {}
+    for row in units:
+        by_range.setdefault(row["unit"] >> 5, []).append(row["source_doc"])
+    assert all(docs == sorted(docs) for docs in by_range.values()) and sum(map(len, by_range.values())) == 600
+
+
+def test_languages_of_repeated_documents(spark, tmp_path):
+    data = [(1, "a", "fr"), (1, "b", "de"), (1, "b", None), (2, "c", "en"), (None, "d", "fr"), (3, None, None)]
+    documents = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    want = sorted(((str(i), t, other) for i, t, _ in data for j, _, other in data if i is not None and i == j), key=repr)
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    assert rows(feeds.document_languages(spark, str(tmp_path))) == want
+    once = documents.where("doc_id > 1")
+    once.write.parquet(str(tmp_path / "once" / "documents.parquet"))
+    found = feeds.document_languages(spark, str(tmp_path / "once"))
+    assert rows(found) == [("2", "c", "en"), ("3", None, None)]
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
