@@ -37,7 +37,7 @@ def drain(
     spark: SparkSession = messages.sparkSession
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        checked = contract.check_json(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        checked = _held(contract.check_json(batch.select("value"))).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good = contract.accepted(checked)
             bad = contract.quarantined(checked, raw_value="value")
@@ -63,6 +63,12 @@ def drain(
     )
 
 
+def _held(checked: DataFrame) -> DataFrame:
+    """What the two writes of a batch need: the text of rejected messages only."""
+    rejected = F.col("reason").isNotNull()
+    return checked.select(F.when(rejected, F.col("value").cast("string")).alias("value"), *contract.FIELDS, "reason")
+
+
 def consumed(spark: SparkSession, counts_path: str) -> DataFrame:
     """``batch_id, n_messages`` of every batch that was drained."""
     if not files.exists(spark, counts_path):

@@ -2,6 +2,7 @@ import json
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.functions.contract import ORDER_SCHEMA
 from millrace.operators import contract, lineage
@@ -237,3 +238,21 @@ def test_a_partition_of_a_log_is_appended_by_several_tasks(spark, tmp_path):
     found = feeds._log(spark.read, log)
     assert found.select("source_file").distinct().count() > 4
     assert sorted((r["partition"], r["offset"], r["value"]) for r in found.collect()) == [(1, n, f"{n:05d}") for n in range(1_000)]
+
+
+def test_a_batch_is_held_without_what_nothing_reads(spark, tmp_path, monkeypatch):
+    """Texts of accepted messages and their places are not kept between the two writes."""
+    held = []
+    accepted = contract.accepted
+    monkeypatch.setattr(contract, "accepted", lambda checked: (held.append((checked.columns, rows(checked))), accepted(checked))[1])
+    root = str(tmp_path)
+    raw = spark.createDataFrame([(json.dumps(r),) for r in RAW_ORDERS] + [("not json",)], "value string")
+    feeds.write_topic(raw.coalesce(1), f"{root}/topic")
+    drain(spark, root)
+    ((columns, found),) = held
+    assert columns == ["value", *ORDER_SCHEMA.fieldNames(), "reason"]
+    assert len(found) == len(RAW_ORDERS) + 1
+    assert all((r[0] is None) == (r[-1] is None) for r in found)
+    assert {r["raw"] for r in feeds.read_quarantine(spark, f"{root}/quarantine", StructType.fromDDL(QUARANTINE)).collect()} == {
+        r[0] for r in found if r[-1] is not None
+    }
