@@ -14,6 +14,9 @@ from millrace.sources import buckets, files, tables
 from millrace.streaming import ingest
 
 KEY = "order_id"
+#: The first batch gets buckets for so many times its size, else Silver would be written
+#: anew for each of the next batches that outgrows them.
+SEED_ROOM = 4
 
 
 @dataclass(frozen=True)
@@ -72,7 +75,8 @@ def run(
             sources.append(stored)
         else:
             bronze = tables.read_appended(spark, layout.bronze, ORDER_SCHEMA)
-            buckets.seed(spark, layout.silver, stage.observe(bronze), KEY)
+            room = buckets.BUCKET_BYTES // SEED_ROOM
+            buckets.seed(spark, layout.silver, stage.observe(bronze), KEY, bucket_bytes=room)
         if incoming is not None:
             sources.append(files.materialize(tables.conform(incoming, ORDER_SCHEMA), "incoming"))
         for source in sources:

@@ -1,0 +1,116 @@
+"""What is shuffled and stored of large feeds: once, and compressed."""
+
+import glob
+import json
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.functions.contract import ORDER_SCHEMA
+from millrace.plans import queries, refinery
+from millrace.sources import buckets, feeds, files, tables
+from millrace.streaming import ingest
+from tests.conftest import rows
+
+
+@pytest.fixture(scope="module", params=["odd"])
+def sf_dir(spark, tmp_path_factory, request):
+    """Lines with and without an order, a part, or a number; orders that come twice."""
+    root = str(tmp_path_factory.mktemp("tables"))
+    lines = [(n // 3, n % 6, n % 5, n % 3, float(1 + n % 9), 10.25 + n) for n in range(900)]
+    if request.param == "odd":
+        lines += [(None, 2, 1, 0, 1.0, 5.0), (None, None, 4, 1, 2.0, 6.0), (None, 9, 1, None, 3.0, 7.0), (999, 1, 1, 1, 1.0, 8.0)]
+        lines += lines[:4]
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double"
+    spark.createDataFrame(lines, columns).write.parquet(f"{root}/lineitem.parquet")
+    spark.createDataFrame([(n, f"part {n}") for n in range(6)], "p_partkey long, p_name string").write.parquet(f"{root}/part.parquet")
+    orders = [(n, n * 10, "FOP"[n % 3]) for n in range(300)] + [(2, 7, "F"), (3, 8, "O"), (None, 1, "F"), (5, 9, None)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(f"{root}/orders.parquet")
+    return root
+
+
+def counted(monkeypatch, module, name):
+    calls, real = [], getattr(module, name)
+    monkeypatch.setattr(module, name, lambda *a, **b: (calls.append(1), real(*a, **b))[1])
+    return calls
+
+
+def codecs(path):
+    found = [f for f in glob.glob(f"{path}/**/*.parquet", recursive=True) if "/_" not in f.removeprefix(path).replace("/_bucket", "")]
+    assert found
+    return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in found if pq.ParquetFile(f).metadata.num_rows}
+
+
+def test_the_status_of_lines_is_that_of_the_number_their_id_begins_with(spark, sf_dir):
+    feed = feeds.order_feed(spark, sf_dir)
+    finished = feeds.table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey").distinct()
+    key = F.split("order_id", "-")[0].cast("bigint") == F.col("o_orderkey")
+    want = feed.join(finished, key, "left").withColumn("finished", F.col("o_orderkey").isNotNull()).drop("o_orderkey")
+    found = feeds.order_feed(spark, sf_dir, lines=feeds.stored_lines(spark, sf_dir, with_status=True))
+    assert rows(found) == rows(want)
+    assert {r["finished"] for r in found.where("order_id LIKE '2-1-0' OR order_id LIKE '4-1'").collect()} == {True, False}
+    lines = feeds.stored_lines(spark, sf_dir)
+    assert rows(feeds.order_feed(spark, sf_dir, lines=lines)) == rows(feed)
+    assert rows(feeds.faulty_order_feed(spark, sf_dir, lines=lines)) == rows(feeds.faulty_order_feed(spark, sf_dir))
+
+
+def test_lines_are_worked_out_once_for_all_waves(spark, sf_dir, monkeypatch):
+    calls = counted(monkeypatch, feeds, "_lines")
+    waves = []
+    monkeypatch.setattr(refinery, "run", lambda spark, batch, *a, **b: waves.append(batch.count()))
+    with pytest.raises(AssertionError, match="faulty"):
+        queries.gate_waves(spark, sf_dir)
+    assert len(calls) == 1
+    assert len(waves) == 4 and waves[0] == waves[2] > 0 and waves[0] + waves[1] == waves[3]
+
+
+@pytest.mark.parametrize("sf_dir", ["plain"], indirect=True)
+def test_messages_that_are_sent_twice_are_worked_out_once(spark, sf_dir, monkeypatch):
+    calls = counted(monkeypatch, feeds, "untyped_order_feed")
+    n = feeds.order_feed(spark, sf_dir).count()
+    assert rows(queries.stream_resume(spark, sf_dir)) == [(n, n, 2 * n)]
+    assert len(calls) == 1
+    assert queries.stream_positions(spark, sf_dir).count() == 2 * n
+    assert len(calls) == 2
+
+
+def test_a_packed_topic_is_drained_like_a_plain_one(spark, tmp_path):
+    record = {"order_id": "1", "user_id": "u", "product": "p", "price": 2.5, "quantity": 1}
+    values = [json.dumps(record | {"order_id": str(n)}) for n in range(50)] + ["", "é: not json", "{}"]
+    raw = spark.createDataFrame([(v,) for v in values], "value string").coalesce(1)
+    found = {}
+    for kind, options in (("plain", {}), ("packed", {**feeds.PACKED, "maxRecordsPerFile": 20})):
+        root = f"{tmp_path}/{kind}"
+        feeds.write_topic(raw, f"{root}/topic", **options)
+        ingest.drain(feeds.read_topic(spark, f"{root}/topic"), f"{root}/bronze", f"{root}/bad", f"{root}/c").awaitTermination()
+        bad = feeds.read_quarantine(spark, f"{root}/bad", queries._QUARANTINE)
+        found[kind] = rows(tables.read_appended(spark, f"{root}/bronze", ORDER_SCHEMA)), rows(bad)
+    assert found["packed"] == found["plain"] and [len(x) for x in found["packed"]] == [50, 3]
+    assert len(glob.glob(f"{tmp_path}/packed/topic/*.txt.gz")) == 3
+    assert glob.glob(f"{tmp_path}/plain/bad/*/*.json.gz") and codecs(f"{tmp_path}/plain/bronze") == {"ZSTD"}
+
+
+def test_what_is_stored_is_compressed(spark, tmp_path, orders):
+    path = str(tmp_path)
+    batch = orders([(str(n), "u", "p", 1.0, 1) for n in range(40)])
+    stored = tables.add_batch(batch, f"{path}/bronze", ORDER_SCHEMA)
+    buckets.seed(spark, f"{path}/silver", stored, "order_id")
+    buckets.merge(spark, f"{path}/silver", stored)
+    feeds.append_log(batch.select(F.col("order_id").alias("value")), f"{path}/log", F.lit(0), 1, [F.col("value")])
+    files.materialize(batch, "batch", compression=files.CODEC)
+    for name in ("bronze", "silver", "log"):
+        assert codecs(f"{path}/{name}") == {"ZSTD"}
+
+
+def test_the_first_batch_leaves_room_for_the_next(spark, tmp_path, orders, monkeypatch):
+    """Larger batches after the first one do not write Silver anew with more buckets."""
+    monkeypatch.setattr(buckets, "BUCKET_BYTES", 10_000)
+    merge = buckets.merge
+    monkeypatch.setattr(buckets, "merge", lambda *a, **b: merge(*a, **b, bucket_bytes=10_000))
+    grown = counted(monkeypatch, buckets, "_grow")
+    layout = refinery.Layout.under(str(tmp_path))
+    for first, last in ((0, 600), (600, 1_800), (0, 1_800)):
+        refinery.run(spark, orders([(f"key {n}", "u", "p", 1.0 + n, 1) for n in range(first, last)]), layout, whole_cents=True)
+    assert not grown
+    assert buckets.read(spark, layout.silver).count() == 1_800
