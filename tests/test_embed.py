@@ -5,8 +5,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from millrace.operators import embed
+from millrace.functions import text as tx
+from millrace.operators import bm25, dense, embed
+from millrace.plans import queries
 from tests.conftest import rows
 from tests.samples import DOCUMENTS
 
@@ -62,3 +65,43 @@ def test_number_sums(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0, 4.0]), (2, []), (3, None)], "i int, embedding array<float>")
     got = embed.number_sums(df).drop("embedding")
     assert rows(got) == [(1, 3, 7.0, 17.0), (2, 0, 0.0, 0.0), (3, None, None, None)]
+
+
+def test_packed_vectors_are_the_same_numbers(spark):
+    df = spark.createDataFrame([(str(n), 0, t) for n, t in enumerate([*DOCUMENTS.values(), "", "!!!"])], "source_doc string, chunk_idx int, text string")
+    encoder = embed.HashedTfIdf.fit(df, dims=16)
+    plain, packed = encoder.transform(df), encoder.transform(df, packed=True)
+    assert packed.schema["embedding"].dataType.typeName() == "binary"
+    found = {r["source_doc"]: np.frombuffer(r["embedding"], "<f4").tolist() for r in packed.collect()}
+    assert found == {r["source_doc"]: r["embedding"] for r in plain.collect()}
+    assert rows(embed.number_sums(packed).drop("embedding")) == rows(embed.number_sums(plain).drop("embedding"))
+    asked = plain.select(F.col("source_doc").alias("query_id"), "embedding")
+    nearest = [rows(dense.vector_topk(v, asked, ["source_doc"], 3)) for v in (plain, packed)]
+    assert nearest[0] == nearest[1] and nearest[0]
+    empty = spark.createDataFrame([(1, None), (2, bytearray())], "i int, embedding binary")
+    assert rows(embed.number_sums(empty).drop("embedding")) == [(1, None, None, None), (2, 0, 0.0, 0.0)]
+
+
+def test_units_of_an_index_are_not_cut_into_words_again(spark):
+    texts = [*DOCUMENTS.values(), "", "a A a b", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    cut = bm25.tokenized(df)
+    stored = spark.createDataFrame(cut.collect(), cut.schema)
+    placed = embed.placed(stored, 32)
+    assert placed.columns == ["i", "text", embed.PLACES]
+    assert "regexp_extract_all" not in placed._jdf.queryExecution().toString()
+    assert rows(placed) == rows(embed.placed(df, 32))
+
+
+def test_chunk_search_cuts_texts_into_words_once(spark, tmp_path, monkeypatch):
+    """Chunks of documents and the questions, but not the vector table's texts again."""
+    docs = [(n, text) for n, text in enumerate(DOCUMENTS.values())]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(docs, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    cut, real = [], tx.words
+    monkeypatch.setattr(tx, "words", lambda text: (cut.append(1), real(text))[1])
+    index, store, queries_ = queries._chunk_search(spark, str(tmp_path))
+    assert len(cut) == 2
+    assert store.schema["embedding"].dataType.typeName() == "binary"
+    assert rows(store.drop("embedding")) == rows(index.units.drop("words"))
+    assert queries_.schema["embedding"].dataType.typeName() == "array"
